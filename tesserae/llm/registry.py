@@ -6,15 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, simhash
+from . import chat, decontaminate, extract, pieces, pii, simhash, suffix, topk, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_topk": topk.op1_topk,
+        "op3_main_text": extract.op3_main_text,
+        "op4_pii": pii.op4_pii,
+        "op5_chat": chat.op5_chat,
         "op6_simhash": simhash.op6_simhash,
+        "op7_pieces": pieces.op7_pieces,
         "op8_decontaminate": decontaminate.op8_decontaminate,
+        "op9_toxicity": toxicity.op9_toxicity,
+        "op10_suffix_repeats": suffix.op10_suffix_repeats,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontaminate": decontaminate.OP8_SQL}
+    return {
+        "op1_topk": topk.OP1_SQL,
+        "op5_chat": chat.OP5_SQL,
+        "op8_decontaminate": decontaminate.OP8_SQL,
+    }
