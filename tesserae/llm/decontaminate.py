@@ -18,11 +18,11 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Rolling, bound_batches, materialize, mix, sliding_min, splitmix, table
+from .rows import keep_rows, map_lists
 
 WINDOW = 10
 GRAM = 5
@@ -89,14 +89,14 @@ class Block:
         return b" ".join(self.raw[self.start[at] : self.end[at + n - 1]].split())
 
 
-def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(item_id, window) of items."""
-    for b in batches:
-        for i, text in zip(b["item_id"], b["text"], strict=True):
-            w = words_of(text if isinstance(text, str) else None)
-            n = min(WINDOW, len(w))
-            if n:
-                yield pd.DataFrame({"item_id": i, "words": [b" ".join(w[s : s + n]) for s in range(len(w) - n + 1)]})
+def _windows(columns: dict[str, list]) -> Iterator[dict]:
+    """(item_id, words) of items, one item after the other."""
+    for item, text in zip(columns["item_id"], columns["text"], strict=True):
+        w = words_of(text)
+        n = min(WINDOW, len(w))
+        if n:
+            windows = [b" ".join(w[s : s + n]) for s in range(len(w) - n + 1)]
+            yield {"item_id": [item] * len(windows), "words": windows}
 
 
 class Part:
@@ -149,20 +149,18 @@ def _blocks(ids: list, texts: list) -> Iterator[tuple[list, list[bytes]]]:
         yield own, held
 
 
-def _search(part: Part, batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, Block, list[list], list[set]]]:
-    for b in batches:
-        keys = list(zip(b["doc_id"].astype("Int64"), b["h"], strict=True))
-        for ids, texts in _blocks(keys, list(b["text"])):
-            block = Block(texts)
-            spans: list[list] = [[] for _ in ids]
-            items: list[set] = [set() for _ in ids]
-            for s, n in part.candidates(block):
-                if found := part.items.get(block.words(s, n)):
-                    t = block.text[s]
-                    first = s - int(block.first[t])
-                    spans[t].append((first, first + n))
-                    items[t] |= found
-            yield ids, block, spans, items
+def _search(part: Part, columns: dict[str, list]) -> Iterator[tuple[list, Block, list[list], list[set]]]:
+    for ids, texts in _blocks(list(zip(columns["doc_id"], columns["h"], strict=True)), columns["text"]):
+        block = Block(texts)
+        spans: list[list] = [[] for _ in ids]
+        items: list[set] = [set() for _ in ids]
+        for s, n in part.candidates(block):
+            if found := part.items.get(block.words(s, n)):
+                t = block.text[s]
+                first = s - int(block.first[t])
+                spans[t].append((first, first + n))
+                items[t] |= found
+        yield ids, block, spans, items
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -178,10 +176,19 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 FOUND = "doc_id long, h long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
 
 
-def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        merged = [_merge([(x["start"], x["end"]) for x in row]) for row in b["spans"]]
-        yield b.assign(spans=[[{"start": s, "end": e} for s, e in row] for row in merged])
+def _joined(columns: dict[str, list]) -> dict[str, list]:
+    merged = [_merge([(x["start"], x["end"]) for x in row]) for row in columns["spans"]]
+    return columns | {"spans": [[{"start": s, "end": e} for s, e in row] for row in merged]}
+
+
+def _parts(benchmark: DataFrame, part_windows: int) -> Iterator[Part]:
+    """The benchmark's windows in parts of about `part_windows`; one empty part if there are none."""
+    bench = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
+    windows = materialize(map_lists(bench, _windows, "item_id string, words binary").distinct())
+    n = max(1, -(-windows.count() // part_windows))
+    windows = windows.withColumn("part", F.pmod(F.xxhash64("words"), F.lit(n)))
+    for number in range(n):
+        yield Part([(r["item_id"], bytes(r["words"])) for r in windows.where(F.col("part") == number).toLocalIterator()])
 
 
 def find_shared(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_WINDOWS) -> DataFrame:
@@ -195,40 +202,55 @@ def find_shared(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_
     spark = docs.sparkSession
     bound_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("h"))
-    bench = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
-    windows = materialize(bench.mapInPandas(_windows, "item_id string, words binary").distinct())
-    parts = max(1, -(-windows.count() // part_windows))
-    windows = windows.withColumn("part", F.pmod(F.xxhash64("words"), F.lit(parts)))
-
-    def search(number: int) -> DataFrame:
-        rows = [(r["item_id"], bytes(r["words"])) for r in windows.where(F.col("part") == number).toLocalIterator()]
-        shared = spark.sparkContext.broadcast(Part(rows))
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for keys, block, spans, items in _search(shared.value, batches):
-                yield pd.DataFrame(
-                    {
-                        "doc_id": pd.array([k[0] for k in keys], dtype="Int64"),
-                        "h": [k[1] for k in keys],
-                        "n_words": np.diff(block.first),
-                        "spans": [[{"start": s, "end": e} for s, e in _merge(x)] for x in spans],
-                        "items": [sorted(y for y in x if y is not None) for x in items],
-                    }
-                )
-
-        return docs.mapInPandas(run, FOUND)
-
-    if parts == 1:
-        return search(0).drop("h")
-    found = reduce(DataFrame.unionByName, map(search, range(parts)))
-    rows = found.groupBy("doc_id", "h").agg(
+    parts = _parts(benchmark, part_windows)
+
+    def search(part: Part) -> DataFrame:
+        shared = spark.sparkContext.broadcast(part)
+
+        def run(columns: dict[str, list]) -> Iterator[dict]:
+            for keys, block, spans, items in _search(shared.value, columns):
+                yield {
+                    "doc_id": [k[0] for k in keys],
+                    "h": [k[1] for k in keys],
+                    "n_words": np.diff(block.first),
+                    "spans": [[{"start": s, "end": e} for s, e in _merge(x)] for x in spans],
+                    "items": [sorted(y for y in x if y is not None) for x in items],
+                }
+
+        return map_lists(docs, run, FOUND)
+
+    found = [search(p) for p in parts]
+    if len(found) == 1:
+        return found[0].drop("h")
+    rows = reduce(DataFrame.unionByName, found).groupBy("doc_id", "h").agg(
         F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        (F.count("*") / parts).cast("int").alias("copies"),
+        (F.count("*") / len(found)).cast("int").alias("copies"),
     )
     rows = rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).drop("copy", "copies")
-    return rows.mapInPandas(_joined, FOUND).drop("h")
+    return map_lists(rows, _joined, FOUND).drop("h")
+
+
+def drop_hit(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_WINDOWS) -> DataFrame:
+    """`docs`, all its columns, without the rows that hold any window of the benchmark."""
+    spark = docs.sparkSession
+    bound_batches(spark)
+    out = docs
+    for number, part in enumerate(_parts(benchmark, part_windows)):
+        shared = spark.sparkContext.broadcast(part)
+
+        def clean(texts: list, shared=shared) -> list[bool]:
+            keep = [True] * len(texts)
+            for ids, raw in _blocks(list(range(len(texts))), texts):
+                block = Block(raw)
+                for s, n in shared.value.candidates(block):
+                    if keep[ids[block.text[s]]] and block.words(s, n) in shared.value.items:
+                        keep[ids[block.text[s]]] = False
+            return keep
+
+        out = keep_rows(materialize(out) if number else out, clean)
+    return out
 
 
 def report(found: DataFrame) -> DataFrame:

@@ -11,16 +11,15 @@ don't count.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bound_batches, table
+from .rows import map_lists
 
 #: Standard deviation of the smoothing, in lines.
 SIGMA = 1.0
@@ -191,12 +190,12 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     bound_batches(pages.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            text = [main_text(h if isinstance(h, str) else None) for h in b["html"]]
-            yield pd.DataFrame({"page_id": b["page_id"].astype("Int64"), "url": b["url"], "text": text, "n_chars": [len(t) for t in text]})
+    def run(columns: dict[str, list]) -> dict[str, list]:
+        text = [main_text(h) for h in columns["html"]]
+        return {"page_id": columns["page_id"], "url": columns["url"], "text": text, "n_chars": [len(t) for t in text]}
 
-    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
+    return map_lists(rows, run, "page_id long, url string, text string, n_chars long")
 
 
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,14 +15,13 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Rolling, bound_batches, mix, table
+from .rows import add_columns
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 1
@@ -36,6 +35,7 @@ BYTE_WEIGHT = 1e-3
 LIFT = 10.0
 SPACE = 0xFF
 ROWS = 1000
+_SEED = "_row_seed"
 
 _ROLL = Rolling()
 
@@ -272,35 +272,31 @@ def encode(docs: DataFrame, key: str = "doc_id", model: str = MODEL, seed: int =
     spark = docs.sparkSession
     bound_batches(spark, ROWS)
     shared = spark.sparkContext.broadcast(Vocabulary.load(model))
-    names = docs.columns
-    seeded = docs.withColumn("_seed", F.xxhash64(F.col(key).cast("string"), F.lit(seed)))
+    seeded = docs.withColumn(_SEED, F.xxhash64(F.col(key).cast("string"), F.lit(seed)))
+    held: list[Sampler] = []
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sampler = Sampler(shared.value)
-        for b in batches:
-            texts = [t if isinstance(t, str) else "" for t in b["text"]]
-            found = sampler.encode(texts, b["_seed"].to_numpy().astype(np.int64).view(np.uint64)) if len(b) else []
-            out = b[names].copy()
-            out["pieces"] = pd.Series(found, index=b.index, dtype=object)
-            out["lossless"] = [sampler.decode(p) == t for p, t in zip(found, texts, strict=True)]
-            yield out
+    def run(columns: dict[str, list]) -> dict[str, list]:
+        if not held:
+            held.append(Sampler(shared.value))
+        texts = [t or "" for t in columns["text"]]
+        found = held[0].encode(texts, np.array(columns[_SEED], dtype=np.int64).view(np.uint64)) if texts else []
+        return {"pieces": found, "lossless": [held[0].decode(p) == t for p, t in zip(found, texts, strict=True)]}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", pieces array<int>, lossless boolean"
-    return seeded.mapInPandas(run, schema)
+    return add_columns(seeded, run, "pieces array<int>, lossless boolean", ["text", _SEED], drop=[_SEED])
 
 
 def decode(df: DataFrame, model: str = MODEL) -> DataFrame:
     """`df` with the text of its `pieces` in the column `decoded`; null pieces give null."""
     bound_batches(df.sparkSession, ROWS)
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", decoded string"
+    held: list[Sampler] = []
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sampler = Sampler(shared.value)
-        for b in batches:
-            yield b.assign(decoded=[None if p is None else sampler.decode(p) for p in b["pieces"]])
+    def run(columns: dict[str, list]) -> dict[str, list]:
+        if not held:
+            held.append(Sampler(shared.value))
+        return {"decoded": [None if p is None else held[0].decode(p) for p in columns["pieces"]]}
 
-    return df.mapInPandas(run, schema)
+    return add_columns(df, run, "decoded string", ["pieces"])
 
 
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

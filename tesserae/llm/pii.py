@@ -21,11 +21,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bound_batches, table
+from .rows import change_column, map_lists
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("iban", "ssn", "key")
@@ -161,38 +161,33 @@ def _written(found: list[tuple[str, int, int, float]]) -> str:
 FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, scores array<double>"
 
 
-def _report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        rows = []
-        for text in b["text"]:
-            text = text if isinstance(text, str) else ""
-            found = spans(text)
-            base = [x for x in found if x[3] == BASE]
-            counts = [sum(x[0] == k for x in base) for k in KINDS]
-            rows.append((*counts, hashlib.sha256(_written(base).encode()).hexdigest(), _written(found), [min(1.0, x[3]) for x in found]))
-        out = pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "scores"], index=b.index)
-        out.insert(0, "doc_id", b["doc_id"].astype("Int64"))
-        yield out
+def _report(columns: dict[str, list]) -> dict[str, list]:
+    out: dict[str, list] = {"doc_id": columns["doc_id"]} | {c: [] for c in (*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "scores")}
+    for text in columns["text"]:
+        found = spans(text)
+        base = [x for x in found if x[3] == BASE]
+        for k in KINDS:
+            out[f"n_{k}"].append(sum(x[0] == k for x in base))
+        out["base_sha256"].append(hashlib.sha256(_written(base).encode()).hexdigest())
+        out["spans"].append(_written(found))
+        out["scores"].append([min(1.0, x[3]) for x in found])
+    return out
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """Personal data of every row of `docs`: counts of the base kinds, their digest, and all spans.
+    """Personal data of every row of `docs`: counts of the base kinds, their digest, and all spans with scores.
 
-    Null and empty texts have none; repeated rows are searched each.
+    Null and empty texts have none; repeated rows are searched each; columns beyond doc_id and text
+    are left out; an empty table gives an empty result.
     """
     bound_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(_report, FOUND)
+    return map_lists(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), _report, FOUND)
 
 
 def mask(docs: DataFrame) -> DataFrame:
-    """`docs` with personal data in `text` masked; null texts stay null."""
+    """`docs`, all its columns, with personal data in `text` masked; null texts stay null."""
     bound_batches(docs.sparkSession)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield b.assign(text=[masked(t, spans(t)) if isinstance(t, str) else None for t in b["text"]])
-
-    return docs.mapInPandas(run, docs.schema)
+    return change_column(docs, lambda texts: [None if t is None else masked(t, spans(t)) for t in texts])
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

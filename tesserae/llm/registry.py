@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, extract, pieces, pii, simhash, suffix, topk, toxicity
+from . import chat, decontaminate, extract, pieces, pii, simhash, suffix, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_topk": topk.op1_topk,
+        "op2_revisits": warc.op2_revisits,
         "op3_main_text": extract.op3_main_text,
         "op4_pii": pii.op4_pii,
         "op5_chat": chat.op5_chat,
@@ -26,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_topk": topk.OP1_SQL,
+        "op2_revisits": warc.OP2_SQL,
         "op5_chat": chat.OP5_SQL,
         "op8_decontaminate": decontaminate.OP8_SQL,
     }

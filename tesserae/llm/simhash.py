@@ -11,16 +11,15 @@ distance to the bucket's smallest member's fingerprint, and linked to it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bound_batches, connected_components, materialize, table
+from .rows import map_lists
 
 SHINGLE = 3
 SEED = 42
@@ -46,15 +45,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes)).view(">i8")[0])
 
 
-def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fp": np.array([fingerprint(t if isinstance(t, str) else None) for t in b["text"]], dtype=np.int64)})
-
-
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) for every row of `docs`."""
     bound_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(_fingerprints, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return map_lists(rows, lambda c: {"doc_id": c["doc_id"], "fp": [fingerprint(t) for t in c["text"]]}, "doc_id long, fp long")
 
 
 def links(classes: DataFrame) -> DataFrame:

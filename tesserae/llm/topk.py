@@ -24,6 +24,8 @@ from .common import bound_batches, table
 
 K = 5
 SCALE = 256
+#: Components beyond are taken as this; their scores are beyond a long anyhow.
+FAR = 1e150
 SEGMENTS = (1, 4, 16)
 #: Query vectors in one broadcast.
 ROUND = 20_000
@@ -43,7 +45,7 @@ class Vectors:
         x = np.zeros((len(rows), self.width))
         for i, r in enumerate(rows):
             n = min(len(r), self.width)  # beyond the other side's width all products are 0
-            x[i, :n] = np.floor(SCALE * np.asarray(r[:n], dtype=np.float64))
+            x[i, :n] = np.clip(np.floor(SCALE * np.asarray(r[:n], dtype=np.float64)), -FAR, FAR)
         self.x = x
         self.levels = []
         square = np.einsum("ij,ij->i", x, x)
@@ -108,13 +110,10 @@ def search_block(q: Vectors, x: Vectors, least: np.ndarray, k: int) -> tuple[np.
     i, j = pairs
     keep = q.ids[i] != x.ids[j]
     i, j = i[keep], j[keep]
-    score = np.array([_exact(q.x[a : a + 1], x.x[b : b + 1])[0, 0] for a, b in zip(i, j, strict=True)], dtype=np.int64) if len(i) < 50 else np.zeros(0, np.int64)
-    if len(i) >= 50:
-        most = float(np.abs(q.x).max(initial=0)) * float(np.abs(x.x).max(initial=0)) * max(1, q.width)
-        if most < 2**53:
-            score = np.einsum("ij,ij->i", q.x[i], x.x[j]).astype(np.int64)
-        else:
-            score = np.array([_exact(q.x[a : a + 1], x.x[b : b + 1])[0, 0] for a, b in zip(i, j, strict=True)], dtype=np.int64)
+    if float(np.abs(q.x).max(initial=0)) * float(np.abs(x.x).max(initial=0)) * max(1, q.width) < 2**53:
+        score = np.einsum("ij,ij->i", q.x[i], x.x[j]).astype(np.int64)
+    else:
+        score = np.array([int(_exact(q.x[a : a + 1], x.x[b : b + 1])[0, 0]) for a, b in zip(i, j, strict=True)], dtype=np.int64)
     return i, j, score
 
 

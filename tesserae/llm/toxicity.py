@@ -14,15 +14,14 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bound_batches, table
+from .rows import add_columns, keep_rows, map_lists
 
 #: Rows of each class that the model is fitted on, about.
 TRAIN_DOCS = 2500
@@ -75,7 +74,6 @@ def sentences(text: str | None, weights: WordWeights) -> list[tuple[int, int, fl
     """(start, end, logit) of every sentence with words; code points."""
     out = []
     low = (text or "").lower()
-    text = text if text and len(low) == len(text) else low
     for m in _SENTENCE.finditer(low):
         if words := _WORD.findall(m[0]):
             out.append((m.start(), m.end(), weights.model.bias + sum(map(weights.__getitem__, words))))
@@ -90,20 +88,14 @@ def noisy_or(logits: list[float]) -> float:
     return -math.expm1(-total)
 
 
-def _bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _bags(columns: dict[str, list]) -> dict[str, list]:
     """Features of training texts: of every sentence, one after the other."""
-    for b in batches:
-        rows = []
-        for i, y, text in zip(b["doc_id"], b["toxic"], b["text"], strict=True):
-            sizes, ids = [], []
-            for m in _SENTENCE.finditer(text.lower() if isinstance(text, str) else ""):
-                own = [f for w in _WORD.findall(m[0]) for f in word_features(w)]
-                if own:
-                    sizes.append(len(own))
-                    ids += own
-            if sizes:
-                rows.append((i, y, np.array(sizes, dtype=np.int32), np.array(ids, dtype=np.int32)))
-        yield pd.DataFrame(rows, columns=["doc_id", "toxic", "sizes", "ids"])
+    out: dict[str, list] = {"doc_id": columns["doc_id"], "toxic": columns["toxic"], "sizes": [], "ids": []}
+    for text in columns["text"]:
+        own = [[f for w in _WORD.findall(m[0]) for f in word_features(w)] for m in _SENTENCE.finditer((text or "").lower())]
+        out["sizes"].append([len(x) for x in own if x])
+        out["ids"].append([f for x in own for f in x])
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_docs: int = TRAIN_DOCS) -> Model:
@@ -128,7 +120,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = TRAIN_DOCS) ->
     part = F.when(F.col("toxic") == 1, sample_docs / counts[1]).otherwise(sample_docs / counts[0])
     chosen = F.broadcast(known.where(draw < part))  # about 2 * sample_docs rows of 12 bytes
     texts = docs.select(F.col("doc_id").cast("long"), "text").where(F.length("text") <= TRAIN_CHARS)
-    bags = texts.join(chosen, "doc_id").mapInPandas(_bags, "doc_id long, toxic int, sizes array<int>, ids array<int>").toArrow()
+    bags = map_lists(texts.join(chosen, "doc_id"), _bags, "doc_id long, toxic int, sizes array<int>, ids array<int>").where("size(ids) > 0").toArrow()
     bags = bags.combine_chunks().sort_by("doc_id")
     if not bags.num_rows:
         return empty
@@ -170,37 +162,51 @@ def fit(y: np.ndarray, per_doc: np.ndarray, per_sentence: np.ndarray, ids: np.nd
     return Model(weights, bias)
 
 
-def score(docs: DataFrame, model: Model, columns: list[str] | None = None) -> DataFrame:
-    """Scores of every row of `docs`, beside `columns` of it (doc_id unless given).
+SCORED = "score double, worst_start long, worst_end long, worst_score double"
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """Scores of every row of `docs`, after its own columns but for text.
 
     score: the noisy-or; worst_start, worst_end, worst_score: the sentence most likely to offend, in
     code points, null where there are no words. Null, empty and wordless texts score 0; repeated
-    rows are scored each. Of a text that changes length in lower case the positions are of its lower
-    case.
+    rows are scored each; columns of `docs` with these names give way. Of a text that changes length
+    in lower case the positions are of its lower case. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     bound_batches(spark)
+    shared = spark.sparkContext.broadcast(model)  # 4 MB, whatever the input
+    held: list[WordWeights] = []
+
+    def run(columns: dict[str, list]) -> dict[str, list]:
+        if not held:
+            held.append(WordWeights(shared.value))
+        out: dict[str, list] = {"score": [], "worst_start": [], "worst_end": [], "worst_score": []}
+        for text in columns["text"]:
+            found = sentences(text, held[0])
+            start, end, top = max(found, key=lambda x: x[2], default=(None, None, None))
+            out["score"].append(noisy_or([z for *_, z in found]))
+            out["worst_start"].append(start)
+            out["worst_end"].append(end)
+            out["worst_score"].append(None if top is None else 1 / (1 + math.exp(-max(top, -700))))
+        return out
+
+    return add_columns(docs, run, SCORED, ["text"], drop=["text"])
+
+
+def reject(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """`docs`, all its columns, without the rows that score `threshold` or more."""
+    spark = docs.sparkSession
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    columns = ["doc_id"] if columns is None else columns
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights = WordWeights(shared.value)
-        for b in batches:
-            rows = []
-            for text in b["text"]:
-                found = sentences(text if isinstance(text, str) else None, weights)
-                start, end, top = max(found, key=lambda x: x[2], default=(None, None, None))
-                rows.append((noisy_or([z for *_, z in found]), start, end, None if top is None else 1 / (1 + math.exp(-max(top, -700)))))
-            got = pd.DataFrame(rows, columns=["score", "worst_start", "worst_end", "worst_score"], index=b.index)
-            out = b[columns].copy()
-            out["score"] = got["score"].astype(float)
-            out["worst_start"], out["worst_end"] = got["worst_start"].astype("Int64"), got["worst_end"].astype("Int64")
-            out["worst_score"] = got["worst_score"].astype(float)
-            yield out
-
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", score double, worst_start long, worst_end long, worst_score double"
-    return docs.select(*dict.fromkeys([*columns, "text"])).mapInPandas(run, schema)
+    held: list[WordWeights] = []
+
+    def test(texts: list) -> list[bool]:
+        if not held:
+            held.append(WordWeights(shared.value))
+        return [noisy_or([z for *_, z in sentences(t, held[0])]) < threshold for t in texts]
+
+    return keep_rows(docs, test)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
