@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Rolling, bound_batches, materialize, sliding_min, table
+from .common import Rolling, bound_batches, materialize, mix, sliding_min, table
 
 LENGTH = 100
 GRAM = 24
@@ -68,13 +68,14 @@ def _blocks(texts: list[bytes], length: int) -> Iterator[tuple[list[tuple[int, i
 
 
 class Stretches:
-    """The stretches of several texts: text number, first window, windows, and the anchor's gram hash."""
+    """The stretches of several texts: text number, first window, windows, the anchor's gram hash, and a hash of the whole."""
 
     def __init__(self, texts: list[bytes], length: int) -> None:
         out: list[tuple[np.ndarray, ...]] = []
         for held, data in _blocks(texts, length):
             x = np.frombuffer(data, dtype=np.uint8)
-            grams = _ROLL.grams(_ROLL.prefix(x), GRAM)
+            prefix = _ROLL.prefix(x)
+            grams = _ROLL.grams(prefix, GRAM)
             keys = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
             anchor = (sliding_min(keys, length - GRAM + 1) & _PLACE).astype(np.int64)
             bounds = np.array([min(len(texts[i]) - at, BLOCK + length - 1) for i, at in held])
@@ -85,8 +86,10 @@ class Stretches:
             new = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (piece[at[1:]] != piece[at[:-1]]))))
             p = piece[at[new]]
             text, offset = np.array(held, dtype=np.int64).T
-            out.append((text[p], at[new] - first[p] + offset[p], np.diff(np.concatenate((new, [len(at)]))), grams[own[new]].view(np.int64)))
-        self.text, self.start, self.windows, self.gram = (np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out, strict=True) if out else [()] * 4))
+            windows = np.diff(np.concatenate((new, [len(at)])))
+            whole = mix(_ROLL.slices(prefix, at[new], at[new] + windows + length - 1) + windows.astype(np.uint64))
+            out.append((text[p], at[new] - first[p] + offset[p], windows, grams[own[new]].view(np.int64), whole.view(np.int64)))
+        self.text, self.start, self.windows, self.gram, self.whole = (np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out, strict=True) if out else [()] * 5))
 
 
 def _raw(texts: pd.Series) -> list[bytes]:
@@ -202,40 +205,51 @@ def _arrays(length: int, array_bytes: int):
     return run
 
 
-def _gram_filter(grams: DataFrame) -> tuple[np.ndarray, int]:
-    """A bit map of hashed `grams` (g), of bounded size; other grams may be in it too."""
-    n = grams.count()
-    bits = SLICE_BITS
-    while bits < min(FILTER_BITS, 16 * n):
-        bits *= 2
+class Filter:
+    """A bit map of hashes, of bounded size: has all that were put in, and a few others."""
 
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, own = None, np.zeros(0, dtype=np.uint8)
-        for b in batches:
-            for number, rows in b.groupby("part", sort=False):
-                if number != part:
-                    if part is not None:
-                        yield pd.DataFrame({"part": [part], "bits": [np.packbits(own).tobytes()]})
-                    part, own = number, np.zeros(SLICE_BITS, dtype=np.uint8)
-                own[rows["bit"].to_numpy()] = 1
-        if part is not None:
-            yield pd.DataFrame({"part": [part], "bits": [np.packbits(own).tobytes()]})
-
-    place = F.col("g").bitwiseAND(F.lit(bits - 1))
-    dealt = grams.select(F.shiftright(place, 20).alias("part"), place.bitwiseAND(F.lit(SLICE_BITS - 1)).alias("bit"))
-    slices = dealt.repartition("part").sortWithinPartitions("part").mapInPandas(fill, "part long, bits binary")
-    out = np.zeros(bits // 8, dtype=np.uint8)
-    for r in slices.toLocalIterator():
-        out[r["part"] * SLICE_BITS // 8 : (r["part"] + 1) * SLICE_BITS // 8] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
-    return out, bits
+    def __init__(self, hashes: DataFrame) -> None:
+        """`hashes` has one column of longs, g."""
+        n = hashes.count()
+        self.bits = SLICE_BITS
+        while self.bits < min(FILTER_BITS, 16 * n):
+            self.bits *= 2
+
+        def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            part, own = None, np.zeros(0, dtype=np.uint8)
+            for b in batches:
+                for number, rows in b.groupby("part", sort=False):
+                    if number != part:
+                        if part is not None:
+                            yield pd.DataFrame({"part": [part], "bits": [np.packbits(own).tobytes()]})
+                        part, own = number, np.zeros(SLICE_BITS, dtype=np.uint8)
+                    own[rows["bit"].to_numpy()] = 1
+            if part is not None:
+                yield pd.DataFrame({"part": [part], "bits": [np.packbits(own).tobytes()]})
+
+        place = F.col("g").bitwiseAND(F.lit(self.bits - 1))
+        dealt = hashes.select(F.shiftright(place, 20).alias("part"), place.bitwiseAND(F.lit(SLICE_BITS - 1)).alias("bit")).distinct()
+        slices = dealt.repartition("part").sortWithinPartitions("part").mapInPandas(fill, "part long, bits binary")
+        self.map = np.zeros(self.bits // 8, dtype=np.uint8)
+        for r in slices.toLocalIterator():
+            self.map[r["part"] * SLICE_BITS // 8 : (r["part"] + 1) * SLICE_BITS // 8] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes & (self.bits - 1)
+        return (self.map[at >> 3] & (128 >> (at & 7)).astype(np.uint8)) > 0
+
+
+def _place_hash(gram: np.ndarray, doc_id: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A hash of a stretch's place."""
+    return mix(gram.view(np.uint64) + mix(doc_id.astype(np.int64).view(np.uint64) + mix(start.astype(np.int64).view(np.uint64)))).view(np.int64)
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, array_bytes: int = ARRAY_BYTES) -> DataFrame:
     """(doc_id, h, start, end): byte ranges of the documents that repeat earlier ones, unmerged.
 
-    `docs` has doc_id (long, null as the smallest long), h and text. Together the ranges of a document
-    cover just the bytes of strings of `length` bytes that also start earlier: in a document with
-    smaller (doc_id, h), or further ahead in the same one.
+    `docs` has doc_id and h (longs, not null) and text. Together the ranges of a document cover just
+    the bytes of strings of `length` bytes that also start earlier: in a document with smaller
+    (doc_id, h), or further ahead in the same one.
     """
     spark = docs.sparkSession
 
@@ -244,56 +258,79 @@ def repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, array_bytes:
             yield pd.DataFrame({"g": Stretches(_raw(b["text"]), length).gram})
 
     repeated = docs.select("text").mapInPandas(grams, "g long").groupBy("g").count().where("count > 1").select("g")
-    shared_bits, bits = _gram_filter(materialize(repeated))
-    shared = spark.sparkContext.broadcast(shared_bits)  # FILTER_BITS at most
+    shared = spark.sparkContext.broadcast(Filter(materialize(repeated)))  # FILTER_BITS at most
 
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filter_bits = shared.value
+        for b in batches:
+            found = Stretches(_raw(b["text"]), length)
+            keep = np.flatnonzero(shared.value.has(found.gram))
+            text = found.text[keep]
+            yield pd.DataFrame(
+                {
+                    "g": found.gram[keep],
+                    "d": found.whole[keep],
+                    "doc_id": b["doc_id"].to_numpy()[text],
+                    "h": b["h"].to_numpy()[text],
+                    "start": found.start[keep],
+                    "n": found.windows[keep],
+                }
+            )
+
+    # A class is named by 128 bits of hashes: of its gram, and of the whole stretch.
+    found = materialize(docs.mapInPandas(stretches, "g long, d long, doc_id long, h long, start long, n int"))
+    classes = found.groupBy("g", "d").agg(F.min(F.struct("doc_id", "h", "start")).alias("first"), F.count("*").alias("copies"))
+    classes = materialize(classes)
+    firsts = classes.where("copies > 1").select("g", "d", "first")
+    copies = found.join(firsts, ["g", "d"]).where(F.struct("doc_id", "h", "start") != F.col("first"))
+    copies = copies.select("doc_id", "h", "start", (F.col("start") + F.col("n") + (length - 1)).alias("end"))
+
+    sizes = materialize(classes.groupBy("g").count().where("count > 1"))
+
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"g": _place_hash(b["g"].to_numpy(), b["doc_id"].to_numpy(), b["start"].to_numpy())})
+
+    several = classes.join(sizes, "g", "left_semi").select("g", "first.doc_id", "first.start")
+    wanted = spark.sparkContext.broadcast(Filter(materialize(several.mapInPandas(places, "g long"))))  # FILTER_BITS at most
+
+    def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             raw = _raw(b["text"])
             found = Stretches(raw, length)
-            at = found.gram & (bits - 1)
-            keep = np.flatnonzero(filter_bits[at >> 3] & (128 >> (at & 7)).astype(np.uint8))
+            keep = np.flatnonzero(wanted.value.has(_place_hash(found.gram, b["doc_id"].to_numpy()[found.text], found.start)))
             text, start = found.text[keep], found.start[keep]
-            size = found.windows[keep] + length - 1
+            ends = start + found.windows[keep] + (length - 1)
             yield pd.DataFrame(
                 {
                     "g": found.gram[keep],
                     "doc_id": b["doc_id"].to_numpy()[text],
                     "h": b["h"].to_numpy()[text],
                     "start": start,
-                    "u": [raw[t][s : s + n] for t, s, n in zip(text.tolist(), start.tolist(), size.tolist(), strict=True)],
+                    "u": [raw[t][s:e] for t, s, e in zip(text.tolist(), start.tolist(), ends.tolist(), strict=True)],
                 }
             )
 
-    found = materialize(docs.mapInPandas(stretches, "g long, doc_id long, h long, start long, u binary").withColumn("d", F.unhex(F.md5("u"))))
-    classes = found.groupBy("g", "d").agg(F.min(F.struct("doc_id", "h", "start")).alias("first"), F.first("u").alias("u"), F.count("*").alias("n"))
-    classes = materialize(classes.select("g", "d", "first.*", "u", "n"))
-    firsts = classes.where("n > 1").select("g", "d", F.struct("doc_id", "h", "start").alias("first"))
-    copies = found.select("g", "d", "doc_id", "h", "start", (F.col("start") + F.octet_length("u")).alias("end")).join(firsts, ["g", "d"])
-    copies = copies.where(F.struct("doc_id", "h", "start") != F.col("first")).select("doc_id", "h", "start", "end")
-
-    sizes = classes.groupBy("g").count().where("count > 1")
+    strung = docs.mapInPandas(strings, "g long, doc_id long, h long, start long, u binary")
     common = materialize(sizes.where(F.col("count") > hot).select("g"))
-    pick = ["g", "doc_id", "h", "start", "u"]
-    cold = classes.select(*pick)
-    out = copies
-    if not common.isEmpty():
-        cold = cold.join(common, "g", "left_anti")
-        windows = classes.join(common, "g", "left_semi").select(
-            "doc_id", "h", "start", "u", F.explode(F.sequence(F.lit(0), F.octet_length("u") - length)).alias("o")
-        )
+    if common.isEmpty():
+        cold, out = strung, copies
+    else:
+        strung = materialize(strung)
+        cold = strung.join(common, "g", "left_anti").select("g", "doc_id", "h", "start", "u")
+        windows = strung.join(common, "g", "left_semi").select("doc_id", "h", "start", "u", F.explode(F.sequence(F.lit(0), F.octet_length("u") - length)).alias("o"))
         windows = windows.select("doc_id", "h", (F.col("start") + F.col("o")).alias("start"), F.unhex(F.md5(F.substring("u", F.col("o") + 1, F.lit(length)))).alias("d"))
         first = windows.groupBy("d").agg(F.min(F.struct("doc_id", "h", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
         late = windows.join(first, "d").where(F.struct("doc_id", "h", "start") != F.col("first"))
-        out = out.unionByName(late.select("doc_id", "h", "start", (F.col("start") + length).alias("end")))
-    sorted_classes = cold.repartition("g").sortWithinPartitions("g")
-    return out.unionByName(sorted_classes.mapInPandas(_arrays(length, array_bytes), SPANS))
+        out = copies.unionByName(late.select("doc_id", "h", "start", (F.col("start") + length).alias("end")))
+    dealt = cold.repartition("g").sortWithinPartitions("g")
+    return out.unionByName(dealt.mapInPandas(_arrays(length, array_bytes), SPANS))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id (null as the smallest long), h and text."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.xxhash64("text").alias("h"), F.col("text").cast("string"))
+    """doc_id (null as the smallest long), h and text; h is a hash of the text, or 0 if doc_id alone names the rows."""
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.col("text").cast("string"))
+    alone = keyed.groupBy("doc_id").count().where("count > 1").isEmpty()
+    return keyed.withColumn("h", F.lit(0).cast("long") if alone else F.xxhash64("text"))
 
 
 def cut(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
@@ -304,9 +341,16 @@ def cut(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
     document and get one result each; of different texts with one doc_id the order is by their hash.
     Null doc_ids come first and are null in the result. An empty table gives an empty result.
     """
-    bound_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bound_batches(spark)
     keyed = _keyed(docs)
-    found = repeats(keyed, length, **options).groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    found = materialize(repeats(keyed, length, **options).groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
+    hash_ = F.xxhash64("doc_id", "h")
+    touched = spark.sparkContext.broadcast(Filter(found.select(hash_.alias("g"))))  # FILTER_BITS at most
+
+    @F.pandas_udf("boolean")
+    def maybe(hashes: pd.Series) -> pd.Series:
+        return pd.Series(touched.value.has(hashes.to_numpy()))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -318,8 +362,15 @@ def cut(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
             out.insert(0, "doc_id", b["doc_id"])
             yield out
 
-    joined = keyed.join(found.hint("shuffle_hash"), ["doc_id", "h"], "left").select("doc_id", "text", "spans")
-    out = joined.mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>")
+    kind = "array<struct<start:bigint,end:bigint>>"
+    marked = keyed.withColumn("hit", maybe(hash_))
+    joined = marked.where("hit").join(found.hint("shuffle_hash"), ["doc_id", "h"], "left").select("doc_id", "text", "spans")
+    joined = joined.mapInPandas(run, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans {kind}")
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rest = marked.where("not hit").select(
+        "doc_id", F.octet_length(raw).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(raw, 256).alias("kept_sha256"), F.array().cast(kind).alias("spans")
+    )
+    out = joined.unionByName(rest)
     return out.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
 
 
