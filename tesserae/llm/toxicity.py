@@ -1,7 +1,7 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences. A sentence's score is a logistic function of hashed features of
-its words; a document's score is the noisy-or of them, 1 - prod(1 - p). Only documents carry labels:
+its different words; a document's score is the noisy-or of them, 1 - prod(1 - p). Only documents carry labels:
 the likelihood of these is differentiated through the noisy-or, so the sentences that explain a
 label are found by training. The same sentence scores then locate the offending sentences.
 
@@ -29,9 +29,16 @@ TRAIN_DOCS = 2500
 TRAIN_CHARS = 50_000
 #: Hashed features; the model is one float of 4 bytes for each.
 FEATURES = 1 << 20
-ROUNDS = 60
-RATE = 0.3
-DECAY = 2e-3
+ROUNDS = 100
+RATE = 0.5
+#: Weights are drawn to zero by this much a step, so that few features carry the score.
+SPARSITY = 0.5
+#: Features of fewer training documents than this are left out.
+SEEN_IN = 4
+#: Weight of the toxic class in fitting.
+TOXIC_SHARE = 0.35
+#: Logit of a sentence at the start of fitting; low, as a long clean document has many sentences.
+BIAS = -9.0
 THRESHOLD = 0.7
 #: Words whose weights a task remembers at a time.
 REMEMBERED = 300_000
@@ -76,7 +83,7 @@ def sentences(text: str | None, weights: WordWeights) -> list[tuple[int, int, fl
     low = (text or "").lower()
     for m in _SENTENCE.finditer(low):
         if words := _WORD.findall(m[0]):
-            out.append((m.start(), m.end(), weights.model.bias + sum(map(weights.__getitem__, words))))
+            out.append((m.start(), m.end(), weights.model.bias + sum(map(weights.__getitem__, dict.fromkeys(words)))))
     return out
 
 
@@ -92,7 +99,7 @@ def _bags(columns: dict[str, list]) -> dict[str, list]:
     """Features of training texts: of every sentence, one after the other."""
     out: dict[str, list] = {"doc_id": columns["doc_id"], "toxic": columns["toxic"], "sizes": [], "ids": []}
     for text in columns["text"]:
-        own = [[f for w in _WORD.findall(m[0]) for f in word_features(w)] for m in _SENTENCE.finditer((text or "").lower())]
+        own = [[f for w in dict.fromkeys(_WORD.findall(m[0])) for f in word_features(w)] for m in _SENTENCE.finditer((text or "").lower())]
         out["sizes"].append([len(x) for x in own if x])
         out["ids"].append([f for x in own for f in x])
     return out
@@ -102,7 +109,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = TRAIN_DOCS) ->
     """Fit on labelled rows with crc32(doc_id as text) mod 3 other than 1.
 
     Of a doc_id labelled more than once, any toxic label counts; null labels are left out. Without
-    rows of both classes the model has no features and scores by the share of toxic labels.
+    rows of both classes the model has no features, and a sentence's logit is that of the toxic share.
     """
     bound_batches(docs.sparkSession)
     known = (
@@ -129,21 +136,24 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = TRAIN_DOCS) ->
     ids = bags["ids"].combine_chunks().flatten().to_numpy()
     per_doc = np.diff(sizes.offsets.to_numpy())
     per_sentence = sizes.flatten().to_numpy()
-    return fit(y, per_doc, per_sentence, ids, share)
+    return fit(y, per_doc, per_sentence, ids)
 
 
-def fit(y: np.ndarray, per_doc: np.ndarray, per_sentence: np.ndarray, ids: np.ndarray, share: float) -> Model:
-    """Maximise the bags' likelihood by Adagrad with weight decay.
+def fit(y: np.ndarray, per_doc: np.ndarray, per_sentence: np.ndarray, ids: np.ndarray) -> Model:
+    """Maximise the bags' likelihood by Adagrad with soft thresholding.
 
     y: labels; per_doc: sentences of each; per_sentence: features of each; ids: the features.
-    share: the part of toxic rows among all labelled ones, to which the classes are weighted.
     """
     known, at = np.unique(ids, return_inverse=True)
     sentence = np.repeat(np.arange(len(per_sentence)), per_sentence)
     doc = np.repeat(np.arange(len(per_doc)), per_doc)
+    pairs = np.unique(at.astype(np.int64) * len(per_doc) + doc[sentence])
+    often = np.bincount(pairs // len(per_doc), minlength=len(known)) >= SEEN_IN
+    used = often[at]
+    at, sentence, known = (np.cumsum(often) - 1)[at[used]], sentence[used], known[often]
     first = np.concatenate(([0], np.cumsum(per_doc)[:-1]))
-    weight = np.where(y == 1, share / max(1, (y == 1).sum()), (1 - share) / max(1, (y == 0).sum())) * len(y)
-    theta, bias = np.zeros(len(known)), -5.0
+    weight = np.where(y == 1, TOXIC_SHARE / max(1, (y == 1).sum()), (1 - TOXIC_SHARE) / max(1, (y == 0).sum())) * len(y)
+    theta, bias = np.zeros(len(known)), BIAS
     seen, seen_bias = np.full(len(known), 1e-6), 1e-6
     for _ in range(ROUNDS):
         z = np.clip(bias + np.bincount(sentence, theta[at], len(per_sentence)), -30, 30)
@@ -151,11 +161,13 @@ def fit(y: np.ndarray, per_doc: np.ndarray, per_sentence: np.ndarray, ids: np.nd
         none = np.exp(np.add.reduceat(-np.logaddexp(0, z), first))
         up = np.where(y == 1, none / np.maximum(1 - none, 1e-9), -1.0) * weight
         slope = up[doc] * p
-        g = np.bincount(at, slope[sentence], len(known)) - DECAY * len(y) * theta
+        g = np.bincount(at, slope[sentence], len(known))
         gb = slope.sum()
         seen += g * g
         seen_bias += gb * gb
-        theta += RATE * g / np.sqrt(seen)
+        step = RATE / np.sqrt(seen)
+        theta += step * g
+        theta = np.sign(theta) * np.maximum(np.abs(theta) - step * SPARSITY, 0)
         bias = min(-1.0, bias + RATE * gb / math.sqrt(seen_bias))
     weights = np.zeros(FEATURES, dtype=np.float32)
     weights[known] = theta
