@@ -5,21 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from . import spatial, statistics
 
-def _pricing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grouped sums over lineitem."""
-    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return rows.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"))
-
-
-FLAGSHIP = _pricing_summary
+FLAGSHIP = spatial.zonal_stats
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pricing_summary": _pricing_summary}
+    return spatial.QUERIES | statistics.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"pricing_summary": "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL"}
+    return spatial.SQL | statistics.SQL
