@@ -129,3 +129,18 @@ def test_empty_frames(spark, sf_dir):
     assert aggregates.chance_agreement(none, ["sample_id"], "kind").count() == 0
     assert raster.lattice(none, ["sample_id"], 10, 10, 3).count() == 0
     assert joins.near_pairs(none.select("sample_id", F.col("cell_id").alias("id"), "x", "y"), ["sample_id"], 5.0).count() == 0
+
+
+def test_aligned_labels(spark, sf_dir):
+    counts = {}
+    for r in cells(spark, sf_dir).collect():
+        key = (r["sample_id"], (r["kind"] + r["sample_id"]) % 5 * 10, r["kind"])
+        counts[key] = counts.get(key, 0) + 1
+    got = {(r["sample_id"], r["label"]): r["aligned"] for r in catalog.queries()["aligned_labels"](spark, sf_dir).collect()}
+    for s in {k[0] for k in counts}:
+        pairs = sorted((-n, lab, ref) for (t, lab, ref), n in counts.items() if t == s)
+        named = {}
+        for _, lab, ref in pairs:
+            if lab not in named and ref not in named.values():
+                named[lab] = ref
+        assert all(got[s, lab] == ref for lab, ref in named.items())
