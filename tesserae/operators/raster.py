@@ -90,6 +90,25 @@ def eroded(mask: DataFrame, keys: Sequence[str], radius: int) -> DataFrame:
     return hits.where(F.col("n") == size).select(*keys, "y", "x")
 
 
+def boundary(mask: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Mask pixels with one of their four neighbours outside."""
+    return mask.select(*keys, "y", "x").join(eroded(mask, keys, 1), [*keys, "y", "x"], "left_anti")
+
+
+def boundary_f1(a: DataFrame, b: DataFrame, keys: Sequence[str], tolerance: int) -> DataFrame:
+    """F1 of two masks' boundaries, a boundary pixel counting if the other boundary is within `tolerance`."""
+
+    def side(own: DataFrame, other: DataFrame, name: str) -> DataFrame:
+        spread = other.select(*keys, "y", "x", F.explode(_offsets(tolerance)).alias("o"))
+        near = spread.select(*keys, (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x")).distinct().withColumn("_n", F.lit(1))
+        return own.join(near, [*keys, "y", "x"], "left").groupBy(*keys).agg((F.count("_n") / F.count("*")).alias(name))
+
+    ea, eb = boundary(a, keys), boundary(b, keys)
+    both = side(ea, eb, "precision").join(side(eb, ea, "recall"), list(keys))
+    p, r = F.col("precision"), F.col("recall")
+    return both.withColumn("f1", F.when(p + r == 0, F.lit(0.0)).otherwise(F.try_divide(2 * p * r, p + r)))
+
+
 def neighbour_edges(mask: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
     """(src, dst): pixels of a mask with their right and lower neighbours in it, as numbers y * width + x within their keys."""
     node = F.col("y").cast("long") * width + F.col("x")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars
@@ -380,3 +381,23 @@ SELECT sample_id, CASE WHEN margin IS NULL OR stability IS NULL THEN 'not_assess
 def uncertainty_status(spark, sf_dir):
     t = cells(spark, sf_dir).select("sample_id", (F.expr("patient * 13 % 40") / 100.0).alias("margin"), F.when(F.col("kind") != 5, F.col("cell_id") % 11 / 10.0).alias("stability"))
     return t.groupBy("sample_id", scalars.uncertainty(F.col("margin"), F.col("stability")).alias("status")).agg(F.count("*").alias("n"))
+
+
+_FOUR = "four(dy, dx) AS (VALUES (0, 1), (1, 0), (0, -1), (-1, 0))"
+_TEN = "disc AS (SELECT dy, dx FROM range(-2, 3) a(dy), range(-2, 3) b(dx) WHERE dy * dy + dx * dx <= 4)"
+
+
+@query(f"""WITH {RASTER}, {_FOUR}, {_TEN}, a AS (SELECT sample_id, y, x FROM raster WHERE label <> 1), b AS (SELECT sample_id, y, x FROM raster WHERE label <> 2),
+ea AS (SELECT * FROM a p WHERE EXISTS (SELECT 1 FROM four f WHERE (p.sample_id, p.y + dy, p.x + dx) NOT IN (SELECT sample_id, y, x FROM a))), eb AS (SELECT * FROM b p WHERE EXISTS (SELECT 1 FROM four f WHERE (p.sample_id, p.y + dy, p.x + dx) NOT IN (SELECT sample_id, y, x FROM b))),
+na AS (SELECT DISTINCT sample_id, y + dy AS y, x + dx AS x FROM ea, disc), nb AS (SELECT DISTINCT sample_id, y + dy AS y, x + dx AS x FROM eb, disc),
+p AS (SELECT ea.sample_id, count(nb.y) / count(*) AS precision FROM ea LEFT JOIN nb USING (sample_id, y, x) GROUP BY ALL), r AS (SELECT eb.sample_id, count(na.y) / count(*) AS recall FROM eb LEFT JOIN na USING (sample_id, y, x) GROUP BY ALL)
+SELECT sample_id, precision, recall, 2 * precision * recall / (precision + recall) AS f1 FROM p JOIN r USING (sample_id)""")
+def boundary_agreement(spark, sf_dir):
+    r = label_raster(spark, sf_dir)
+    return raster.boundary_f1(r.where("label <> 1"), r.where("label <> 2"), ["sample_id"], 2)
+
+
+@query(f"WITH {CELLS} SELECT sample_id, cell_id, (rank() OVER (PARTITION BY sample_id ORDER BY area) + (count(*) OVER (PARTITION BY sample_id, area) - 1) / 2) / count(*) OVER (PARTITION BY sample_id) AS share FROM cells")
+def area_percentile_ranks(spark, sf_dir):
+    n = F.count(F.lit(1)).over(Window.partitionBy("sample_id"))
+    return cells(spark, sf_dir).select("sample_id", "cell_id", (agg.average_rank("area", ["sample_id"]) / n).alias("share"))
