@@ -35,6 +35,8 @@ BYTE_WEIGHT = 1e-3
 LIFT = 10.0
 SPACE = 0xFF
 ROWS = 1000
+#: Code points of text segmented at a time; bounds a task's memory.
+CHUNK = 1 << 20
 _SEED = "_row_seed"
 
 _ROLL = Rolling()
@@ -150,7 +152,17 @@ class Sampler:
         self.v = vocabulary
 
     def encode(self, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
-        """Piece ids of every text; seeds: one of 64 bits for each."""
+        """Piece ids of every text; seeds: one of 64 bits for each. At most CHUNK code points, or one text, at a time."""
+        out: list[np.ndarray] = []
+        at, size = 0, 0
+        for i, t in enumerate(texts):
+            if size and size + len(t) > CHUNK:
+                out += self._encode(texts[at:i], seeds[at:i])
+                at, size = i, 0
+            size += len(t)
+        return out + self._encode(texts[at:], seeds[at:]) if texts else out
+
+    def _encode(self, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
         raw = [b"\xff" + t.encode("utf-8", "replace").replace(b" ", b"\xff") if t else b"" for t in texts]
         data = np.frombuffer(b"".join(raw), dtype=np.uint8)
         if not len(data):
@@ -180,7 +192,7 @@ class Sampler:
             if self.spell(got) != r:  # two words of one hash
                 if len(texts) == 1:
                     raise ValueError("words of one text have one hash")
-                found[i] = self.encode([texts[i]], seeds[i : i + 1])[0]
+                found[i] = self._encode([texts[i]], seeds[i : i + 1])[0]
         return found
 
     def _draw(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, word: np.ndarray, seed: np.ndarray, nth: np.ndarray) -> tuple[np.ndarray, ...]:
