@@ -12,8 +12,8 @@ def brute(rows, k=5):
     ok = [(i, whole(e)) for i, e in rows if i is not None and e is not None and all(x is not None and math.isfinite(x) for x in e)]
     out = []
     for q, e in {(i, tuple(e)) for i, e in ok if i % 50 == 0}:
-        best = sorted((-sum(a * b for a, b in zip(e, f)), i) for i, f in ok if i != q)[:k]
-        out += [(q, r, i, max(-(2**63), min(2**63 - 1, -s))) for r, (s, i) in enumerate(best, 1)]
+        best = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(e, f)))), i) for i, f in ok if i != q)[:k]
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
     return sorted(out)
 
 
