@@ -31,9 +31,9 @@ TRAIN_CHARS = 50_000
 FEATURES = 1 << 20
 ROUNDS = 100
 RATE = 0.5
-#: Weights are drawn to zero by this much a step, so that few features carry the score.
-SPARSITY = 0.5
-#: Features of fewer training documents than this are left out.
+#: Weights are drawn to zero by this much a step and training document, so that few features carry the score.
+SPARSITY = 1.25e-4
+#: Features whose words are in fewer training documents than this are left out.
 SEEN_IN = 4
 #: Weight of the toxic class in fitting.
 TOXIC_SHARE = 0.35
@@ -96,12 +96,12 @@ def noisy_or(logits: list[float]) -> float:
 
 
 def _bags(columns: dict[str, list]) -> dict[str, list]:
-    """Features of training texts: of every sentence, one after the other."""
-    out: dict[str, list] = {"doc_id": columns["doc_id"], "toxic": columns["toxic"], "sizes": [], "ids": []}
+    """The different words of training texts' sentences, one sentence after the other."""
+    out: dict[str, list] = {"doc_id": columns["doc_id"], "toxic": columns["toxic"], "sizes": [], "words": []}
     for text in columns["text"]:
-        own = [[f for w in dict.fromkeys(_WORD.findall(m[0])) for f in word_features(w)] for m in _SENTENCE.finditer((text or "").lower())]
+        own = [list(dict.fromkeys(_WORD.findall(m[0]))) for m in _SENTENCE.finditer((text or "").lower())]
         out["sizes"].append([len(x) for x in own if x])
-        out["ids"].append([f for x in own for f in x])
+        out["words"].append([w for x in own for w in x])
     return out
 
 
@@ -127,51 +127,52 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = TRAIN_DOCS) ->
     part = F.when(F.col("toxic") == 1, sample_docs / counts[1]).otherwise(sample_docs / counts[0])
     chosen = F.broadcast(known.where(draw < part))  # about 2 * sample_docs rows of 12 bytes
     texts = docs.select(F.col("doc_id").cast("long"), "text").where(F.length("text") <= TRAIN_CHARS)
-    bags = map_lists(texts.join(chosen, "doc_id"), _bags, "doc_id long, toxic int, sizes array<int>, ids array<int>").where("size(ids) > 0").toArrow()
+    bags = map_lists(texts.join(chosen, "doc_id"), _bags, "doc_id long, toxic int, sizes array<int>, words array<string>").where("size(words) > 0").toArrow()
     bags = bags.combine_chunks().sort_by("doc_id")
     if not bags.num_rows:
         return empty
-    y = bags["toxic"].to_numpy()
     sizes = bags["sizes"].combine_chunks()
-    ids = bags["ids"].combine_chunks().flatten().to_numpy()
-    per_doc = np.diff(sizes.offsets.to_numpy())
-    per_sentence = sizes.flatten().to_numpy()
-    return fit(y, per_doc, per_sentence, ids)
+    words = bags["words"].combine_chunks().flatten().dictionary_encode()
+    return fit(bags["toxic"].to_numpy(), np.diff(sizes.offsets.to_numpy()), sizes.flatten().to_numpy(), words.indices.to_numpy(), words.dictionary.to_pylist())
 
 
-def fit(y: np.ndarray, per_doc: np.ndarray, per_sentence: np.ndarray, ids: np.ndarray) -> Model:
+def fit(y: np.ndarray, per_doc: np.ndarray, per_sentence: np.ndarray, word: np.ndarray, vocabulary: list[str]) -> Model:
     """Maximise the bags' likelihood by Adagrad with soft thresholding.
 
-    y: labels; per_doc: sentences of each; per_sentence: features of each; ids: the features.
+    y: labels; per_doc: sentences of each; per_sentence: words of each; word: their places in the
+    vocabulary. A word's weight is the sum of its features', so sums go over words first.
     """
-    known, at = np.unique(ids, return_inverse=True)
+    own = [word_features(w) for w in vocabulary]
+    entry_word = np.repeat(np.arange(len(own)), [len(x) for x in own])
+    known, feature = np.unique(np.array([f for x in own for f in x]), return_inverse=True)
+    del own
     sentence = np.repeat(np.arange(len(per_sentence)), per_sentence)
     doc = np.repeat(np.arange(len(per_doc)), per_doc)
-    pairs = np.unique(at.astype(np.int64) * len(per_doc) + doc[sentence])
-    often = np.bincount(pairs // len(per_doc), minlength=len(known)) >= SEEN_IN
-    used = often[at]
-    at, sentence, known = (np.cumsum(often) - 1)[at[used]], sentence[used], known[often]
+    pairs = np.unique(word.astype(np.int64) * len(per_doc) + doc[sentence]) // len(per_doc)
+    often = np.bincount(feature, np.bincount(pairs, minlength=len(vocabulary))[entry_word], len(known)) >= SEEN_IN
+    used = often[feature]
+    feature, entry_word, known = (np.cumsum(often) - 1)[feature[used]], entry_word[used], known[often]
     first = np.concatenate(([0], np.cumsum(per_doc)[:-1]))
     weight = np.where(y == 1, TOXIC_SHARE / max(1, (y == 1).sum()), (1 - TOXIC_SHARE) / max(1, (y == 0).sum())) * len(y)
     theta, bias = np.zeros(len(known)), BIAS
     seen, seen_bias = np.full(len(known), 1e-6), 1e-6
     for _ in range(ROUNDS):
-        z = np.clip(bias + np.bincount(sentence, theta[at], len(per_sentence)), -30, 30)
+        by_word = np.bincount(entry_word, theta[feature], len(vocabulary))
+        z = np.clip(bias + np.bincount(sentence, by_word[word], len(per_sentence)), -30, 30)
         p = 1 / (1 + np.exp(-z))
         none = np.exp(np.add.reduceat(-np.logaddexp(0, z), first))
-        up = np.where(y == 1, none / np.maximum(1 - none, 1e-9), -1.0) * weight
-        slope = up[doc] * p
-        g = np.bincount(at, slope[sentence], len(known))
+        slope = (np.where(y == 1, none / np.maximum(1 - none, 1e-9), -1.0) * weight)[doc] * p
+        g = np.bincount(feature, np.bincount(word, slope[sentence], len(vocabulary))[entry_word], len(known))
         gb = slope.sum()
         seen += g * g
         seen_bias += gb * gb
         step = RATE / np.sqrt(seen)
         theta += step * g
-        theta = np.sign(theta) * np.maximum(np.abs(theta) - step * SPARSITY, 0)
+        theta = np.sign(theta) * np.maximum(np.abs(theta) - step * SPARSITY * len(y), 0)
         bias = min(-1.0, bias + RATE * gb / math.sqrt(seen_bias))
     weights = np.zeros(FEATURES, dtype=np.float32)
     weights[known] = theta
-    return Model(weights, bias)
+    return Model(weights, float(bias))
 
 
 SCORED = "score double, worst_start long, worst_end long, worst_score double"
