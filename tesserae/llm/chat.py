@@ -7,8 +7,8 @@ linear, only the last turns are rendered: after `WINDOW` turns all but the last
 the next turn has been seen to add the same text with and without them. A template that depends on
 more gets all turns.
 
-Conversations are streamed in order of their turns through the tasks, so one of any length needs the
-memory of a window only.
+A digest of a conversation is a chain over its turns, so each conversation passes through one task;
+it is streamed there in order of its turns, and one of any length needs the memory of a window only.
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import bound_batches, table
+from .rows import stream_lists
 
 Template = Callable[[list[tuple[str, str]]], str]
 
@@ -47,9 +47,6 @@ def render(messages: list[tuple[str, str]]) -> str:
     return BEGIN + "".join(f"{OPEN}{escape(role)}{SEP}{escape(text)}{CLOSE}\n" for role, text in messages)
 
 
-_TURN = re.compile(rf"{re.escape(OPEN)}(?P<role>(?:[^\\]|\\.)*?){re.escape(SEP)}(?P<text>(?:[^\\]|\\.)*?){re.escape(CLOSE)}\n", re.DOTALL)
-
-
 def read_turn(piece: str) -> tuple[str, str, int, int] | None:
     """(role, text, start, end) read back from a rendered turn: start and end are those of the text as written."""
     if not piece.startswith(OPEN) or not piece.endswith(CLOSE + "\n"):
@@ -123,20 +120,20 @@ def format_turns(conversations: DataFrame, template: Template = render, window:
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[dict[str, list]]) -> Iterator[dict]:
         conv, state, n = object(), None, 0
         for b in batches:
-            out = []
-            for c, role, text in zip(b["conv_id"].astype("Int64"), b["role"], b["text"], strict=True):
-                c = None if c is pd.NA else int(c)
+            out: dict[str, list] = {"conv_id": b["conv_id"], "n": [], "start": [], "piece": [], "rewrote": []}
+            for c, role, text in zip(b["conv_id"], b["role"], b["text"], strict=True):
                 if c != conv:
                     conv, state, n = c, Incremental(template, window), 0
-                out.append((c, n, *state.add(role if isinstance(role, str) else "", text if isinstance(text, str) else "")))
+                start, piece, rewrote = state.add(role or "", text or "")
+                for name, value in (("n", n), ("start", start), ("piece", piece), ("rewrote", rewrote)):
+                    out[name].append(value)
                 n += 1
-            got = pd.DataFrame(out, columns=["conv_id", "n", "start", "piece", "rewrote"])
-            yield got.assign(conv_id=got["conv_id"].astype("Int64"))
+            yield out
 
-    return rows.mapInPandas(run, TURNS)
+    return stream_lists(rows, run, TURNS)
 
 
 DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewrites boolean"
@@ -149,7 +146,9 @@ def digests(turns: DataFrame) -> DataFrame:
     assistant turns as written.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [part.split()[0] for part in DIGEST.split(", ")]
+
+    def run(batches: Iterator[dict[str, list]]) -> Iterator[dict]:
         state: list | None = None
 
         def row() -> tuple:
@@ -158,11 +157,11 @@ def digests(turns: DataFrame) -> DataFrame:
 
         for b in batches:
             out = []
-            for c, n, start, piece, rewrote in zip(b["conv_id"].astype("Int64"), b["n"], b["start"], b["piece"], b["rewrote"], strict=True):
+            for c, n, start, piece, rewrote in zip(b["conv_id"], b["n"], b["start"], b["piece"], b["rewrote"], strict=True):
                 if n == 0:
                     if state:
                         out.append(row())
-                    state = [None if c is pd.NA else int(c), 0, hashlib.sha256(), 0, hashlib.sha256(), 0, False]
+                    state = [c, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, False]
                 role, text, begin, end = read_turn(piece)
                 state[1] += 1
                 state[2].update(f"{role}\n{text}\n".encode("utf-8", "replace"))
@@ -172,15 +171,12 @@ def digests(turns: DataFrame) -> DataFrame:
                     state[4].update(loss.encode("utf-8", "replace"))
                 state[5] = start + len(piece)
                 state[6] |= bool(rewrote)
-            yield _frame(out)
+            if out:
+                yield dict(zip(names, map(list, zip(*out, strict=True)), strict=True))
         if state:
-            yield _frame([row()])
-
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        got = pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "rewrites"])
-        return got.assign(conv_id=got["conv_id"].astype("Int64"))
+            yield {name: [value] for name, value in zip(names, row(), strict=True)}
 
-    return turns.mapInPandas(run, DIGEST)
+    return stream_lists(turns, run, DIGEST)
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

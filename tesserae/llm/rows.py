@@ -27,6 +27,19 @@ def map_lists(df: DataFrame, work: Callable[[dict[str, list]], Iterator[dict] |
     return df.mapInArrow(run, kind)
 
 
+def stream_lists(df: DataFrame, work: Callable[[Iterator[dict[str, list]]], Iterator[dict]], schema: str) -> DataFrame:
+    """`df` with each partition's batches, as lists by column, made into columns of `schema` by `work`."""
+    kind = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = ({name: b.column(i).to_pylist() for i, name in enumerate(b.schema.names)} for b in batches)
+        for columns in work(lists):
+            yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type, from_pandas=True) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(run, kind)
+
+
 def keep_rows(df: DataFrame, test: Callable[[list], list[bool]], column: str = "text") -> DataFrame:
     """The rows of `df` whose value in `column` passes; `test` takes a list of values."""
     place = df.columns.index(column)
