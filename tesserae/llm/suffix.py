@@ -320,7 +320,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, array_bytes:
         windows = strung.join(common, "g", "left_semi").select("doc_id", "h", "start", "u", F.explode(F.sequence(F.lit(0), F.octet_length("u") - length)).alias("o"))
         windows = windows.select("doc_id", "h", (F.col("start") + F.col("o")).alias("start"), F.unhex(F.md5(F.substring("u", F.col("o") + 1, F.lit(length)))).alias("d"))
         first = windows.groupBy("d").agg(F.min(F.struct("doc_id", "h", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
-        late = windows.join(materialize(first), "d")  # a side of its own exchange, so that a hot window can be split.where(F.struct("doc_id", "h", "start") != F.col("first"))
+        # Written first, so that the join has an exchange for each side and a hot window can be split.
+        late = windows.join(materialize(first), "d").where(F.struct("doc_id", "h", "start") != F.col("first"))
         out = copies.unionByName(late.select("doc_id", "h", "start", (F.col("start") + length).alias("end")))
     dealt = cold.repartition("g").sortWithinPartitions("g")
     return out.unionByName(dealt.mapInPandas(_arrays(length, array_bytes), SPANS))
