@@ -15,7 +15,7 @@ def one(spark, column):
 
 
 def test_greedy_union_takes_no_source_twice(spark):
-    points = spark.createDataFrame([(0, 1, "stardist", 10.0, 10.0), (0, 2, "stardist", 11.0, 10.0), (0, 3, "hovernet", 10.2, 10.0), (0, 4, "cellvitpp", 10.4, 10.0)], "s int, id long, source string, x double, y double")
+    points = spark.createDataFrame([(0, 1, "one", 10.0, 10.0), (0, 2, "one", 11.0, 10.0), (0, 3, "two", 10.2, 10.0), (0, 4, "three", 10.4, 10.0)], "s int, id long, source string, x double, y double")
     near = joins.nearest_of_sources(points, ["s"], 2.0, 4)
     got = dict(graph.greedy_union(near.select("s", "a", "b", "d"), points, ["s"]).select("id", "fused").collect())
     sizes = sorted(list(got.values()).count(v) for v in set(got.values()))
