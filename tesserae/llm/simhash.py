@@ -25,6 +25,10 @@ SHINGLE = 3
 SEED = 42
 SEGMENTS = 4
 SEGMENT_BITS = 64 // SEGMENTS
+#: Probes that a task makes, about.
+PROBES = 2_000_000
+#: Buckets with several fingerprints that are broadcast (16 MB); more go through a shuffle.
+MET_ROWS = 1_000_000
 #: Hashes whose bits are summed at a time.
 BLOCK = 1 << 15
 
@@ -63,16 +67,15 @@ def links(classes: DataFrame) -> DataFrame:
         for bit in range(segment * SEGMENT_BITS, (segment + 1) * SEGMENT_BITS):
             mask = 1 << bit
             balls.append(F.col("fp").bitwiseXOR(F.lit(mask - (1 << 64) if mask >> 63 else mask)))
-    probes = classes.select("fp", "node", F.explode(F.array(*balls)).alias("key"))
-    low = probes.groupBy("key").agg(F.min("node").alias("src"), F.max("node").alias("top"), F.min_by("fp", "node").alias("other"))
-    met = low.where("src != top")
-    return (
-        probes.join(met, "key")
-        .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= 2)
-        .where("src != node")
-        .select("src", F.col("node").alias("dst"))
-        .distinct()
-    )
+    spark = classes.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), classes.count() * len(balls) // PROBES + 1)
+    probes = classes.repartition(tasks, "fp").select("fp", "node", F.explode(F.array(*balls)).alias("key"))
+    low = probes.groupBy("key").agg(F.min("node").alias("src"), F.max("node").alias("top"))
+    met = materialize(low.where("src != top").select("key", "src"))
+    few = met.count() <= MET_ROWS
+    pairs = probes.join(F.broadcast(met) if few else met, "key").where("src != node").select("src", "fp", F.col("node").alias("dst")).distinct()
+    sources = classes.select(F.col("node").alias("src"), F.col("fp").alias("other"))
+    return pairs.join(sources, "src").where(F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= 2).select("src", "dst")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
