@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from .graph import components, stored
 
+#: Rows that meet as many others in a task, and those of them compared at a time.
+BLOCK_ROWS = 4096
+QUERY_ROWS = 256
+
 
 def principal_components(df: DataFrame, column: str, k: int) -> DataFrame:
     """`df` with `components`: the first k principal components of the centred and scaled vectors.
@@ -35,6 +39,7 @@ def shared_neighbours(nearest: DataFrame) -> DataFrame:
 
     The lists are joined on the neighbour, so a pair costs one row for each neighbour that it shares.
     """
+    nearest = stored(nearest.select("a", "b"))  # read twice
     left, right = nearest.select("a", F.col("b").alias("n")), nearest.select(F.col("a").alias("b"), F.col("b").alias("n"))
     return left.join(right, "n").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
 
@@ -115,13 +120,45 @@ def merge_to_k(centroids: DataFrame, k: int) -> DataFrame:
     return centroids.sparkSession.createDataFrame(sorted(to.items()), "label long, merged long")
 
 
-def nearest_in_feature_space(landmarks: DataFrame, k: int) -> DataFrame:
-    """(a, b, rank): the k nearest other rows by squared distance of vectors, among a stated set of landmarks.
-
-    All pairs of landmarks meet, so the set is to be small; ties go to the smaller id.
+def _nearest_in_block(k: int):
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": [], "d": []})
+        right = right.sort_values("id")
+        ids, others = left["id"].to_numpy(), right["id"].to_numpy()
+        q, x = np.stack(left["v"].to_list()).astype(np.float64), np.stack(right["v"].to_list()).astype(np.float64)
+        square, out = np.einsum("ij,ij->i", x, x), []
+        for at in range(0, len(ids), QUERY_ROWS):
+            own, v = ids[at : at + QUERY_ROWS], q[at : at + QUERY_ROWS]
+            about = square - 2 * (v @ x.T)
+            about[own[:, None] == others] = np.inf
+            least = np.partition(about, k - 1, axis=1)[:, k - 1] if len(others) > k else np.full(len(own), np.inf)
+            slack = 1e-9 * (np.einsum("ij,ij->i", v, v) + square.max())  # products round otherwise than differences
+            i, j = np.nonzero(about <= (least + slack)[:, None])
+            i, j = i[own[i] != others[j]], j[own[i] != others[j]]
+            d = ((v[i] - x[j]) ** 2).sum(1)
+            order = np.lexsort((others[j], d, i))
+            i, j, d = i[order], j[order], d[order]
+            keep = np.arange(len(i)) - np.searchsorted(i, i) < k
+            out.append(pd.DataFrame({"a": own[i[keep]], "b": others[j[keep]], "d": d[keep]}))
+        return pd.concat(out)
+
+    return run
+
+
+def nearest_in_feature_space(rows: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(a, b, rank): the k nearest other rows by squared distance of vectors, of all rows (id, v).
+
+    Every two rows are compared: blocks of about `block_rows` rows meet in a task for each pair of blocks,
+    which sends on k rows a query. Work and shuffle so grow with the square of the rows, a task's memory
+    does not. Ties go to the smaller id; rows without a vector take no part.
     """
-    a, b = landmarks.select(F.col("id").alias("a"), F.col("v").alias("va")), landmarks.select(F.col("id").alias("b"), F.col("v").alias("vb"))
-    d = F.aggregate(F.zip_with("va", "vb", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
-    pairs = a.join(b, F.col("a") != F.col("b")).withColumn("d", d)
+    rows = rows.where("v is not null").select("id", "v")
+    n = max(1, -(-rows.count() // block_rows))
+    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+    left = dealt.select("id", "v", F.col("own").alias("p"), every.alias("q")).groupBy("p", "q")
+    right = dealt.select("id", "v", every.alias("p"), F.col("own").alias("q")).groupBy("p", "q")
+    near = left.cogroup(right).applyInPandas(_nearest_in_block(k), "a long, b long, d double")
     order = Window.partitionBy("a").orderBy("d", "b")
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("a", "b", "rank")
+    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("a", "b", "rank")

@@ -39,8 +39,8 @@ def shared_neighbour_graph(spark, sf_dir):
 
 @query()
 def propagated_communities(spark, sf_dir):
-    """Rounds of label propagation; tested against a loop."""
-    near = models.nearest_in_feature_space(_vectors(spark, sf_dir).where("id % 5 = 0"), 10)
+    """Rounds of label propagation over all vectors; tested against a loop."""
+    near = models.nearest_in_feature_space(_vectors(spark, sf_dir), 10)
     edges = models.shared_neighbours(near.select("a", "b")).where("shared >= 2").withColumnRenamed("shared", "w")
     return models.propagated_labels(edges, 4)
 

@@ -51,6 +51,44 @@ def test_propagation(spark):
     assert {r["node"]: r["label"] for r in got} == labels
 
 
+def nearest_ten(ids, x):
+    """By brute force; ties to the smaller id, as ids are sorted."""
+    out = {}
+    for i, a in enumerate(ids):
+        d = ((x - x[i]) ** 2).sum(1)
+        out[a] = [ids[j] for j in np.argsort(d, kind="stable") if j != i][:10]
+    return out
+
+
+def test_nearest_across_blocks(spark, sf_dir):
+    ids, x = vectors(spark, sf_dir)
+    x = np.minimum(x, 10.0)  # with ties
+    x[::7] = x[3]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)], "id long, v array<double>")
+    got = {}
+    for r in models.nearest_in_feature_space(df, 10, block_rows=64).orderBy("a", "rank").collect():
+        got.setdefault(r["a"], []).append(r["b"])
+    assert got == nearest_ten(ids, x)
+    assert models.nearest_in_feature_space(df.limit(4), 10).count() == 12
+
+
+def test_communities_of_all_vectors(spark, sf_dir):
+    ids, x = vectors(spark, sf_dir)
+    near = {a: set(b) for a, b in nearest_ten(ids, x).items()}
+    around = {a: {b: len(near[a] & near[b]) for b in ids if b != a and len(near[a] & near[b]) >= 2} for a in ids}
+    want = {a: a for a in ids if around[a]}
+    for _ in range(4):
+        new = {}
+        for a in want:
+            weight = {}
+            for b, w in around[a].items():
+                weight[want[b]] = weight.get(want[b], 0) + w
+            new[a] = min(weight, key=lambda k: (-weight[k], k))
+        want = new
+    assert any(a % 5 for a in want)
+    assert {r["node"]: r["label"] for r in modelling.propagated_communities(spark, sf_dir).collect()} == want
+
+
 def test_density_clusters(spark, sf_dir):
     points = cells(spark, sf_dir).select("sample_id", F.col("cell_id").alias("id"), "x", "y")
     near = {}
