@@ -288,10 +288,11 @@ def repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, array_bytes:
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"g": _place_hash(b["g"].to_numpy(), b["doc_id"].to_numpy(), b["start"].to_numpy())})
+            yield b.assign(place=_place_hash(b["g"].to_numpy(), b["doc_id"].to_numpy(), b["start"].to_numpy()))
 
-    several = classes.join(sizes, "g", "left_semi").select("g", "first.doc_id", "first.start")
-    wanted = spark.sparkContext.broadcast(Filter(materialize(several.mapInPandas(places, "g long"))))  # FILTER_BITS at most
+    several = classes.join(sizes, "g", "left_semi").select("g", "first.doc_id", "first.h", "first.start")
+    several = materialize(several.mapInPandas(places, "g long, doc_id long, h long, start long, place long"))
+    wanted = spark.sparkContext.broadcast(Filter(several.select(F.col("place").alias("g"))))  # FILTER_BITS at most
 
     def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -310,7 +311,10 @@ def repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, array_bytes:
                 }
             )
 
-    strung = docs.mapInPandas(strings, "g long, doc_id long, h long, start long, u binary")
+    # The bit map lets some other copies through, and repeated rows have one place: one string a class is left.
+    place = ["g", "doc_id", "h", "start"]
+    strung = docs.mapInPandas(strings, "g long, doc_id long, h long, start long, u binary").dropDuplicates(place)
+    strung = strung.join(several.select(place), place, "left_semi")
     common = materialize(sizes.where(F.col("count") > hot).select("g"))
     if common.isEmpty():
         cold, out = strung, copies

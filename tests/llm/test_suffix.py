@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
@@ -74,6 +76,43 @@ def test_odd_rows(odd_docs, no_docs):
     assert found(no_docs, 100) == []
 
 
+class Full:
+    """A bit map with all bits set."""
+
+    def __init__(self, hashes):
+        pass
+
+    def has(self, hashes):
+        return np.ones(len(hashes), dtype=bool)
+
+
+def test_one_string_a_class_reaches_a_gram(spark, monkeypatch):
+    """Also when the bit map lets everything through, and of repeated rows."""
+    def arrays(length, array_bytes):
+        def run(batches):
+            for b in batches:
+                yield pd.DataFrame({"doc_id": b["doc_id"], "h": b["h"], "start": b["start"], "end": b["g"]})
+
+        return run
+
+    rng = random.Random(5)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(400))
+    rows = [(i, base) for i in range(30)] + [(0, base)] * 5 + [(30 + i, base[i : 300 + i]) for i in range(6)]
+    df = spark.createDataFrame([(i, 0, t) for i, t in rows], "doc_id long, h long, text string").repartition(4)
+    monkeypatch.setattr(suffix, "Filter", Full)
+    monkeypatch.setattr(suffix, "_arrays", arrays)
+    got = [(r["end"], r["doc_id"], r["start"]) for r in suffix.repeats(df, 40).collect() if abs(r["end"]) > 10**6]
+
+    first = {}
+    for i, t in rows:
+        s = suffix.Stretches([t.encode()], 40)
+        for g, d, start in zip(s.gram.tolist(), s.whole.tolist(), s.start.tolist()):
+            first[g, d] = min(first.get((g, d), (i, start)), (i, start))
+    grams = [g for g, _ in first]
+    want = [(g, *at) for (g, _), at in first.items() if grams.count(g) > 1]
+    assert want and sorted(got) == sorted(want)
+
+
 def test_maximal_repeats():
     strings = [b"xxabcdefghyy", b"zzabcdefghww", b"abcdefghyy"]
     got = {(n, tuple(sorted((strings[s][o : o + n], s) for s, o in zip(a.tolist(), b.tolist())))) for n, a, b in suffix.maximal_repeats(strings, 4)}
