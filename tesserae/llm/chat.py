@@ -2,13 +2,16 @@
 
 A template is any function from messages to a string. Successive prefixes of a conversation are
 rendered and compared: what render(turns[:k + 1]) adds to render(turns[:k]) is turn k's span, and a
-template that changes what it has already written rewrites history. To keep long conversations
-linear, only the last turns are rendered: after `WINDOW` turns all but the last are left out, once
-the next turn has been seen to add the same text with and without them. A template that depends on
-more gets all turns.
+template that changes what it has already written rewrites history. Any template may look at all
+turns, so by default all of them are rendered each time, and a conversation costs the square of its
+length. A template that is declared local (`template.local = True`) adds the same text for a turn
+whatever stood before it, and never rewrites; this module's is. Of its conversations only the last
+turns are rendered, to keep long ones linear: after `WINDOW` turns all but the last are left out,
+once the next turn has been seen to add the same text with and without them.
 
 A digest of a conversation is a chain over its turns, so each conversation passes through one task;
-it is streamed there in order of its turns, and one of any length needs the memory of a window only.
+it is streamed there in order of its turns, and with a local template one of any length needs the
+memory of a window only.
 """
 
 from __future__ import annotations
@@ -47,6 +50,9 @@ def render(messages: list[tuple[str, str]]) -> str:
     return BEGIN + "".join(f"{OPEN}{escape(role)}{SEP}{escape(text)}{CLOSE}\n" for role, text in messages)
 
 
+render.local = True
+
+
 def read_turn(piece: str) -> tuple[str, str, int, int] | None:
     """(role, text, start, end) read back from a rendered turn: start and end are those of the text as written."""
     if not piece.startswith(OPEN) or not piece.endswith(CLOSE + "\n"):
@@ -69,7 +75,7 @@ def _unescaped(piece: str, mark: str, at: int) -> int:
 
 
 class Incremental:
-    """Renders a conversation turn by turn."""
+    """Renders a conversation turn by turn; `window` holds for local templates, others get all turns."""
 
     def __init__(self, template: Template = render, window: int = WINDOW) -> None:
         self.template, self.window = template, window
@@ -77,7 +83,7 @@ class Incremental:
         self.before = template([])
         self.length = len(self.before)
         self.rewrites = False
-        self.whole = False
+        self.whole = not getattr(template, "local", False)
 
     def add(self, role: str, text: str) -> tuple[int, str, bool]:
         """(start of the span, what the turn adds, whether it rewrote what was there).

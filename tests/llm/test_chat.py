@@ -47,6 +47,41 @@ def test_templates_that_count_get_all_turns():
     assert "".join(state.add(*t)[1] for t in turns) == counting(turns)
 
 
+def truncating(messages):
+    return "".join(f"[{t}]" for _, t in messages[-20:])
+
+
+def with_system(messages):
+    system = "".join(t for r, t in messages if r == "system")
+    return "".join(f"{r}:{system if r == 'user' else ''}{t};" for r, t in messages)
+
+
+def user_first(messages):
+    if [r for r, _ in messages if r != "system"][:1] not in ([], ["user"]):
+        raise ValueError("a user turn comes first")
+    return "".join(f"{r}:{t};" for r, t in messages)
+
+
+def test_black_box_templates_in_long_conversations():
+    turns = [("system", "be kind")] + [("assistant" if i % 2 else "user", f"turn {i}") for i in range(60)]
+    for template in (truncating, with_system, user_first):
+        state = chat.Incremental(template)
+        rewrites = False
+        for k, turn in enumerate(turns):
+            before, now = template(turns[:k]), template(turns[: k + 1])
+            same = next((i for i, (a, b) in enumerate(zip(before, now)) if a != b), min(len(before), len(now)))
+            rewrites |= same < len(before)
+            assert state.add(*turn) == (same, now[same:], same < len(before)), (template.__name__, k)
+        assert state.rewrites == rewrites == (template is truncating)
+
+
+def test_rows_of_a_black_box_template(spark):
+    turns = [("system", "be kind")] + [("assistant" if i % 2 else "user", f"turn {i}") for i in range(40)]
+    df = spark.createDataFrame([(1, i, *t) for i, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    got = chat.format_turns(df, with_system).orderBy("n").collect()
+    assert "".join(r["piece"] for r in got) == with_system(turns) and not any(r["rewrote"] for r in got)
+
+
 def digest(turns):
     loss = "".join(t for r, t in turns if r == "assistant")
     whole = "".join(f"{r}\n{t}\n" for r, t in turns)
