@@ -4,8 +4,8 @@ A streaming parser turns a page into lines, one for each block of text. A line's
 characters over its tags; a Gaussian smooths the ratios over neighbouring lines, and lines whose
 smoothed ratio reaches the threshold cluster into content regions. Lines in menus, notices, forms
 and the like are never content. Lines in an article or main element are lifted over the threshold:
-they are its text however short they are, and with them the page has its region, so other lines
-don't count.
+they are its text however short they are. All other lines are held against the same threshold, with
+ratios smoothed among themselves, so that an article's long lines don't lift what stands beside it.
 """
 
 from __future__ import annotations
@@ -177,7 +177,8 @@ def main_text(html: str | None) -> str:
     threshold = CUT * float(smooth.std())
     held = np.array([x.held and not x.dropped for x in lines])
     if held.any():
-        smooth = np.where(held, np.maximum(smooth, threshold), -1.0)
+        beside = smoothed(np.where(held, 0.0, ratios))
+        smooth = np.where(held, np.maximum(smooth, threshold), beside)
     content = [x.text for x, r in zip(lines, smooth, strict=True) if r >= threshold and not x.dropped]
     return "\n".join(content)
 

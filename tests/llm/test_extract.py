@@ -21,6 +21,19 @@ def test_without_article():
     assert got.count("Real words") == 48 and "x3" not in got
 
 
+def test_text_beside_article_cards():
+    body = "".join(f"<div>{'Real words of a long paragraph. ' * 8}</div>" for _ in range(6))
+    cards = "".join(f"<article><a href={i}>Card {i}</a></article>" for i in range(4))
+    links = "".join(f"<div><a href={i}>x{i}</a> <a href=y>y</a></div>" for i in range(12))
+    got = main_text(f"<body>{links}{body}{links}{cards}</body>")
+    assert got.count("Real words") == 48 and "x6" not in got and "Card 3" in got
+
+
+def test_links_beside_an_article():
+    text = f"<article>{'<p>' + 'Real words of a long paragraph. ' * 8}</article>"
+    assert main_text(f"<div><a href=x>x</a></div>{text}<div><a href=y>y</a></div>") == ("Real words of a long paragraph. " * 8).strip()
+
+
 def test_unclosed_and_broken():
     assert main_text("<article><p><b>One<br><p>Two</article><footer>no") == "One\nTwo"
     assert main_text("<article>a &lt; b &#233; &nope; <") == "a < b é &nope; <"
