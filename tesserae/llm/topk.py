@@ -151,6 +151,11 @@ def taking_part(vectors: DataFrame) -> DataFrame:
     return vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).where("vec_id is not null and embedding is not null").where(~bad)
 
 
+def in_round(asked: DataFrame, rounds: int, number: int) -> DataFrame:
+    """The queries of one round, dealt by id and vector, so that equal vectors spread over all rounds."""
+    return asked.where(F.pmod(F.xxhash64("vec_id", "query_key"), F.lit(rounds)) == number)
+
+
 def search(queries: DataFrame, vectors: DataFrame, k: int = K, round_size: int = ROUND) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest inner products of floor(256 * x).
 
@@ -168,7 +173,7 @@ def search(queries: DataFrame, vectors: DataFrame, k: int = K, round_size: int =
     rounds = max(1, -(-asked.count() // round_size))
 
     def one(number: int) -> DataFrame:
-        part = asked.where(F.pmod("query_key", F.lit(rounds)) == number).toArrow()
+        part = in_round(asked, rounds, number).toArrow()
         part = part.sort_by([("vec_id", "ascending"), ("query_key", "ascending")])
         mine = Vectors(part["vec_id"].to_numpy(), part["embedding"].to_pylist())
         shared = spark.sparkContext.broadcast((mine, part["query_key"].to_numpy()))  # round_size vectors, about

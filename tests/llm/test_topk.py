@@ -46,6 +46,15 @@ def test_ties_copies_and_rounds(spark):
     assert [r[2] for r in got if r[0] == 0] == [1, 2, 3, 4, 5]
 
 
+def test_rounds_are_bounded_with_equal_vectors(spark, monkeypatch):
+    sizes = []
+    send = spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: sizes.append(len(value[0].ids)) or send(value))
+    df = spark.createDataFrame([(i, [0.25, -0.5]) for i in range(1000)], "vec_id long, embedding array<float>")
+    topk.search(df, df, round_size=250)
+    assert sum(sizes) == 1000 and len(sizes) == 4 and max(sizes) < 400
+
+
 def test_odd_vectors(spark):
     rows = [
         (0, [1.0, 2.0], 0), (50, None, 0), (100, [1.0, None], 0), (150, [float("nan"), 1.0], 0), (200, [], 0), (None, [1.0, 1.0], 0),
