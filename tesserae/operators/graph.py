@@ -4,57 +4,81 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-#: Groups of components that a sample's edges are dealt to.
-BUCKETS = 8
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the one in spark.checkpoint.dir.
 
-
-def stored(df: DataFrame) -> DataFrame:
-    """`df` written to the folder that the cluster shares (spark.checkpoint.dir) and read again."""
-    spark = df.sparkSession
+    Only a local session may leave it unset, and then gets a temporary folder of this machine; on a
+    cluster each executor would write to its own disk, so there an unset folder is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='spark-checkpoint-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def stored(df: DataFrame, instead_of: DataFrame | None = None) -> DataFrame:
+    """`df` written to the shared folder and read again, so that a lost executor costs no more than a reread.
+
+    instead_of: an earlier result of this function that nothing needs from here on; it is deleted.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if instead_of is not None:
+        for old in {f.rpartition("/")[0] for f in instead_of.inputFiles()}:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(old)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def components(edges: DataFrame, keys: Sequence[str] = (), rounds: int = 100) -> DataFrame:
+def components(edges: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, node, component): the smallest node that each node of (keys, src, dst) reaches.
 
-    Every node takes the smallest label around it, then that label's own, until nothing changes;
-    labels are grouped minima, so no neighbourhood is gathered.
+    Large-star and small-star steps take turns, each a grouped minimum and a join, until the edges
+    stop changing; then every node points at its component's smallest. That takes about the square
+    of the logarithm of the number of nodes in rounds, whatever the shape, and has no limit. Groups
+    are never gathered: a hub's minimum is taken before the shuffle, and its skewed join is left to
+    adaptive execution. Null ends and loops are ignored.
     """
     keys = list(keys)
-    both = edges.select(*keys, F.col("src").alias("a"), F.col("dst").alias("b"))
-    both = stored(both.unionByName(both.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = stored(both.groupBy(*keys, F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")))
+    pairs = edges.select(*keys, F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
+    pairs = stored(pairs.where("u != v").distinct())
     state = None
-    for _ in range(rounds):
-        near = both.join(labels.withColumnRenamed("node", "b"), [*keys, "b"]).groupBy(*keys, F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        labels = labels.join(near, [*keys, "node"]).select(*keys, "node", F.least("label", "near").alias("label"))
-        jump = labels.select(*keys, F.col("node").alias("label"), F.col("label").alias("to"))
-        labels = stored(labels.join(jump, [*keys, "label"], "left").select(*keys, "node", F.coalesce("to", "label").alias("label")))
-        now = labels.agg(F.sum(F.xxhash64(*keys, "node", "label").cast("decimal(38,0)"))).first()[0]
-        if now == state:
-            return labels.withColumnRenamed("label", "component")
+    while True:
+        both = pairs.unionByName(pairs.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy(*keys, "u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.where("v > u").join(low, [*keys, "u"]).select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.where("u != v").distinct()
+        low = large.groupBy(*keys, "u").agg(F.min("v").alias("m"))
+        small = large.join(low, [*keys, "u"]).select(*keys, F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.unionByName(low.select(*keys, "u", F.col("m").alias("v"))).where("u != v").distinct()
+        pairs = stored(small, instead_of=pairs)
+        now = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64(*keys, "u", "v").cast("decimal(38,0)"))).first())
+        if now == state or now[0] == 0:
+            break
         state = now
-    raise RuntimeError("components did not settle")
+    roots = pairs.select(*keys, F.col("v").alias("node")).distinct()
+    return pairs.select(*keys, F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        roots.select(*keys, "node", F.col("node").alias("component"))
+    )
 
 
 def greedy_union(edges: DataFrame, points: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, id, fused): points joined along edges (a, b, d) from the shortest on, no source twice in a group.
 
-    The outcome hangs on the order, so each plain component's edges are replayed in order of (d, a, b);
-    components of edges within a few pixels are small. Points without edges are groups of themselves.
+    The outcome hangs on the order, so each plain component's edges are replayed in order of (d, a, b).
+    Components spread over all tasks and stream through them; a task holds one component's nodes.
+    Points without edges are groups of themselves.
     """
     keys = list(keys)
     component = components(edges.select(*keys, F.col("a").alias("src"), F.col("b").alias("dst")), keys)
@@ -63,32 +87,41 @@ def greedy_union(edges: DataFrame, points: DataFrame, keys: Sequence[str]) -> Da
     rows = rows.join(source.withColumnRenamed("id", "a").withColumnRenamed("source", "sa"), [*keys, "a"])
     rows = rows.join(source.withColumnRenamed("id", "b").withColumnRenamed("source", "sb"), [*keys, "b"])
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    order = [*keys, "component", "d", "a", "b"]
+    rows = rows.select(*order, "sa", "sb").repartition(*keys, "component").sortWithinPartitions(*order)
+    width = len(keys)
 
-    def replay(g: pd.DataFrame) -> pd.DataFrame:
+    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parent: dict = {}
         held: dict = {}
+        own = None
 
         def root(x):
             while parent[x] != x:
+                parent[x] = parent[parent[x]]
                 x = parent[x]
             return x
 
-        for r in g.itertuples(index=False):
-            for node, s in ((r.a, r.sa), (r.b, r.sb)):
-                if node not in parent:
-                    parent[node], held[node] = node, {s}
-        for r in g.sort_values(["d", "a", "b"]).itertuples(index=False):
-            p, q = root(r.a), root(r.b)
-            if p != q and not held[p] & held[q]:
-                low, high = min(p, q), max(p, q)
-                parent[high] = low
-                held[low] |= held.pop(high)
-        ids = sorted(parent)
-        return pd.DataFrame({**{k: g[k].iloc[0] for k in keys}, "id": ids, "fused": [root(i) for i in ids]})
-
-    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", id long, fused long"
-    # Components do not touch, so several are replayed at once, in one of BUCKETS groups of their sample.
-    fused = rows.groupBy(*keys, F.pmod(F.xxhash64("component"), F.lit(BUCKETS))).applyInPandas(replay, schema)
+        for batch in batches:
+            out: list[tuple] = []
+            for r in zip(*(batch[c].tolist() for c in batch.columns), strict=True):
+                if r[: width + 1] != own:
+                    out += [(*own[:width], i, root(i)) for i in parent] if own else []
+                    own, parent, held = r[: width + 1], {}, {}
+                _, a, b, sa, sb = r[width + 1 :]
+                for node, s in ((a, sa), (b, sb)):
+                    if node not in parent:
+                        parent[node], held[node] = node, {s}
+                p, q = root(a), root(b)
+                if p != q and held[p].isdisjoint(held[q]):
+                    low, high = (p, q) if p < q else (q, p)
+                    parent[high] = low
+                    held[low] |= held.pop(high)
+            yield pd.DataFrame(out, columns=[*keys, "id", "fused"])
+        yield pd.DataFrame([(*own[:width], i, root(i)) for i in parent] if own else [], columns=[*keys, "id", "fused"])
+
+    schema = "".join(f"`{k}` {kinds[k]}, " for k in keys) + "id long, fused long"
+    fused = rows.mapInPandas(replay, schema)
     return points.select(*keys, "id").join(fused, [*keys, "id"], "left").select(*keys, "id", F.coalesce("fused", "id").alias("fused"))
 
 
