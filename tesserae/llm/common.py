@@ -2,51 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-#: Rows of whole texts in one Arrow batch: bounds a Python worker's memory.
-TEXT_BATCH_ROWS = 1000
 
+from ..operators.graph import stored
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
-    """Lower the session's Arrow batches to `rows` rows, if they are larger."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
-        spark.conf.set(key, str(rows))
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    The cluster names it in spark.checkpoint.dir; only where that is unset (a local session)
-    is a temporary folder of this machine taken.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='spark-checkpoint-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` as Parquet to the shared folder and read it again.
-
-    Cuts the lineage, so a lost executor costs no more than a reread.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Writes a DataFrame to the shared folder and reads it again, which cuts the lineage.
+materialize = stored
 
 
 def splitmix(n: int, seed: int) -> np.ndarray:
@@ -110,35 +77,3 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
         size *= 2
     rest = width - size
     return np.minimum(x[:-rest], x[rest:]) if rest else x
-
-
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, component) for every node of `edges` (src, dst): the smallest node reachable.
-
-    Alternates large-star and small-star steps, each a grouped minimum and a join, until the
-    edges stop changing; every node then points at its component's minimum. Groups are never
-    gathered: a hub's minimum is summed map-side and its skewed join is left to AQE. Nodes are
-    longs; null ends and self-loops are ignored.
-    """
-    pairs = edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v"))
-    pairs = materialize(pairs.where("u != v").distinct())
-    state = None
-    for _ in range(rounds):
-        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(low.select("u", F.col("m").alias("v"))).where("u != v").distinct()
-        pairs = materialize(small)
-        now = tuple(pairs.agg(F.count("*"), F.countDistinct("u"), F.expr("sum(cast(xxhash64(u, v) as decimal(20)))")).first())
-        if now == state or now[0] == 0:
-            break
-        state = now
-    else:
-        raise RuntimeError("connected components did not settle")
-    roots = pairs.select(F.col("v").alias("node")).distinct()
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        roots.select("node", F.col("node").alias("component"))
-    )

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Rolling, bound_batches, materialize, mix, sliding_min, splitmix, table
+from .common import Rolling, materialize, mix, sliding_min, splitmix, table
 from .rows import keep_rows, map_lists
 
 WINDOW = 10
@@ -200,7 +200,6 @@ def find_shared(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_
     alone. Items whose id is null hit words, but are not listed.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("h"))
     parts = _parts(benchmark, part_windows)
 
@@ -235,7 +234,6 @@ def find_shared(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_
 def drop_hit(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_WINDOWS) -> DataFrame:
     """`docs`, all its columns, without the rows that hold any window of the benchmark."""
     spark = docs.sparkSession
-    bound_batches(spark)
     out = docs
     for number, part in enumerate(_parts(benchmark, part_windows)):
         shared = spark.sparkContext.broadcast(part)

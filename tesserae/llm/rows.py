@@ -4,11 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+#: Bytes of the rows that are taken into Python objects at a time; a larger row is taken by itself.
+SLICE_BYTES = 2 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of `batches` in slices of at most `most` bytes, or of one row; nothing is copied.
+
+    So a worker's memory is bounded by bytes, without touching the session's Arrow settings.
+    """
+    for b in batches:
+        todo = [b]
+        while todo:
+            part = todo.pop()
+            if part.nbytes <= most or part.num_rows <= 1:
+                yield part
+            else:
+                half = part.num_rows // 2
+                todo += [part.slice(half), part.slice(0, half)]
+
 
 def map_lists(df: DataFrame, work: Callable[[dict[str, list]], Iterator[dict] | dict], schema: str) -> DataFrame:
     """`df` with each batch, as lists by column, made into columns of `schema` by `work`.
@@ -19,7 +39,7 @@ def map_lists(df: DataFrame, work: Callable[[dict[str, list]], Iterator[dict] |
     arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             out = work({name: b.column(i).to_pylist() for i, name in enumerate(b.schema.names)})
             for columns in [out] if isinstance(out, dict) else out:
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type, from_pandas=True) for f in arrow], schema=arrow)
@@ -33,7 +53,7 @@ def stream_lists(df: DataFrame, work: Callable[[Iterator[dict[str, list]]], Iter
     arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = ({name: b.column(i).to_pylist() for i, name in enumerate(b.schema.names)} for b in batches)
+        lists = ({name: b.column(i).to_pylist() for i, name in enumerate(b.schema.names)} for b in slices(batches))
         for columns in work(lists):
             yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type, from_pandas=True) for f in arrow], schema=arrow)
 
@@ -45,7 +65,7 @@ def keep_rows(df: DataFrame, test: Callable[[list], list[bool]], column: str = "
     place = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array(test(b.column(place).to_pylist()), type=pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
@@ -56,7 +76,7 @@ def change_column(df: DataFrame, change: Callable[[list], list], column: str = "
     place = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             columns = list(b.columns)
             columns[place] = pa.array(change(columns[place].to_pylist()), type=columns[place].type)
             yield pa.RecordBatch.from_arrays(columns, schema=b.schema)
@@ -75,7 +95,7 @@ def add_columns(df: DataFrame, work: Callable[[dict[str, list]], dict], schema:
     arrow = to_arrow_schema(added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             names = b.schema.names
             out = work({c: b.column(names.index(c)).to_pylist() for c in needs})
             new = [pa.array(out[f.name], type=f.type, from_pandas=True) for f in arrow]
@@ -83,3 +103,15 @@ def add_columns(df: DataFrame, work: Callable[[dict[str, list]], dict], schema:
             yield pa.RecordBatch.from_arrays([b.column(i) for i in places] + new, schema=pa.schema([*fields, *arrow]))
 
     return df.mapInArrow(run, StructType([*kept, *added.fields]))
+
+
+def map_frames(df: DataFrame, work: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """`df` with each partition's slices, as pandas frames, made into frames of `schema` by `work`; no longs may be null."""
+    kind = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in work(b.to_pandas() for b in slices(batches)):
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type, from_pandas=True) for f in arrow], schema=arrow)
+
+    return df.mapInArrow(run, kind)

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Rolling, bound_batches, materialize, mix, sliding_min, table
+from .common import Rolling, materialize, mix, sliding_min, table
 
 LENGTH = 100
 GRAM = 24
@@ -347,7 +347,6 @@ def cut(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
     Null doc_ids come first and are null in the result. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
     keyed = _keyed(docs)
     found = materialize(repeats(keyed, length, **options).groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     hash_ = F.xxhash64("doc_id", "h")
