@@ -7,7 +7,7 @@ the pieces' weights. The random numbers are hashes of the row's key, the word's
 the same row gives the same segmentation on any partition, batch or executor.
 
 Pieces hold a space only at their beginning, so the lattice falls apart at spaces, and a word's sums
-are worked out once for all its occurrences in a batch. Spaces are the byte 0xFF inside (never part
+are worked out once for all its occurrences in a part of about a megabyte; words are compared by their bytes. Spaces are the byte 0xFF inside (never part
 of UTF-8); a literal U+2581 is spelled in byte pieces. So every text decodes to itself.
 """
 
@@ -15,12 +15,13 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Rolling, bound_batches, mix, table
+from .common import Rolling, mix, table
 from .rows import add_columns
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -34,10 +35,10 @@ BYTE_WEIGHT = 1e-3
 #: Weights are multiplied by this for each byte, to stay in a float's range; it cancels out.
 LIFT = 10.0
 SPACE = 0xFF
-ROWS = 1000
-#: Code points of text segmented at a time; bounds a task's memory.
+#: Bytes of a longer word whose pieces are held at a time.
+LONG_BLOCK = 1 << 16
+#: Bytes of text segmented at a time, at words' beginnings; bounds a task's memory.
 CHUNK = 1 << 20
-_SEED = "_row_seed"
 
 _ROLL = Rolling()
 
@@ -77,6 +78,7 @@ class Vocabulary:
         for i in inner:
             for c, to in steps[i].items():
                 self.next[self.row[i], c] = to
+        self.longest = max((len(raw) for raw, _, _ in pieces), default=1)
         self.id = np.array(self_id, dtype=np.int32)
         self.weight = np.array(self_weight)
 
@@ -127,22 +129,48 @@ def _uniform(seeds: np.ndarray, word: np.ndarray, step: int) -> np.ndarray:
     return (mix(x + np.uint64(step)) >> np.uint64(11)) * 2.0**-53
 
 
-def _long_word(start: np.ndarray, size: np.ndarray, ids: np.ndarray, weight: np.ndarray, n: int) -> list[list[tuple[int, int, float]]]:
-    """For each place of a word, the ways into it: (from, id, probability), by logarithms."""
-    into: list[list[tuple[int, int, float]]] = [[] for _ in range(n + 1)]
-    for s, k, i, w in zip(start.tolist(), size.tolist(), ids.tolist(), np.log(weight).tolist(), strict=True):
-        into[s + k].append((s, i, w))
-    total = [0.0] + [-math.inf] * n
-    for at in range(1, n + 1):
-        ways = [(s, i, total[s] + w) for s, i, w in into[at] if total[s] > -math.inf]
-        if ways:
-            top = max(x for *_, x in ways)
-            mass = sum(math.exp(x - top) for *_, x in ways)
-            total[at] = top + math.log(mass)
-            into[at] = [(s, i, math.exp(x - total[at])) for s, i, x in ways]
-        else:
-            into[at] = []
-    return into
+def _starts(data: np.ndarray) -> np.ndarray:
+    """Places where a word begins: a space after another character."""
+    return np.flatnonzero((data[1:] == SPACE) & (data[:-1] != SPACE)) + 1 if len(data) else np.zeros(0, np.int64)
+
+
+def _cut(raw: bytes) -> Iterator[bytes]:
+    """`raw` in parts of about CHUNK bytes, each from a word's beginning to another's; longer words are not cut."""
+    at = 0
+    while len(raw) - at > CHUNK:
+        to = raw.rfind(b"\xff", at + 1, at + CHUNK)
+        while to > at + 1 and raw[to - 1] == SPACE:
+            to -= 1
+        if to <= at + 1:  # one word, or its spaces, fills the part
+            to = at + CHUNK
+            while (to := raw.find(b"\xff", to)) > 0 and raw[to - 1] == SPACE:
+                to += 1
+        if to <= 0:
+            break
+        yield raw[at:to]
+        at = to
+    if at < len(raw):
+        yield raw[at:]
+
+
+def _different(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The occurrence that stands for each different word, and each occurrence's word; the words tile `data`.
+
+    Words are found by hashes and compared byte by byte, so that words with one hash are told apart.
+    """
+    hashes = _ROLL.slices(_ROLL.prefix(data), start, end) ^ (end - start).astype(np.uint64)
+    _, one, word = np.unique(hashes, return_index=True, return_inverse=True)
+    size = end - start
+    like = np.repeat(start[one[word]] - start, size) + np.arange(len(data))
+    wrong = (size != size[one[word]]) | np.logical_or.reduceat(data != data[np.minimum(like, len(data) - 1)], start)
+    more: dict[bytes, int] = {}
+    for o in np.flatnonzero(wrong).tolist():
+        raw = data[start[o] : end[o]].tobytes()
+        if raw not in more:
+            more[raw] = len(one)
+            one = np.append(one, o)
+        word[o] = more[raw]
+    return one, word
 
 
 class Sampler:
@@ -152,32 +180,42 @@ class Sampler:
         self.v = vocabulary
 
     def encode(self, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
-        """Piece ids of every text; seeds: one of 64 bits for each. At most CHUNK code points, or one text, at a time."""
-        out: list[np.ndarray] = []
-        at, size = 0, 0
+        """Piece ids of every text; seeds: one of 64 bits for each. About CHUNK bytes, or one word, at a time."""
+        found: list[list[np.ndarray]] = [[] for _ in texts]
+        held: list[tuple[int, bytes, int]] = []  # text, bytes, words of the text before them
+        size = 0
+
+        def flush() -> None:
+            raws = [raw for _, raw, _ in held]
+            for (i, _, _), ids in zip(held, self._encode(raws, seeds[[i for i, _, _ in held]], [n for *_, n in held]), strict=True):
+                found[i].append(ids)
+            held.clear()
+
         for i, t in enumerate(texts):
-            if size and size + len(t) > CHUNK:
-                out += self._encode(texts[at:i], seeds[at:i])
-                at, size = i, 0
-            size += len(t)
-        return out + self._encode(texts[at:], seeds[at:]) if texts else out
-
-    def _encode(self, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
-        raw = [b"\xff" + t.encode("utf-8", "replace").replace(b" ", b"\xff") if t else b"" for t in texts]
+            words = 0
+            parts = list(_cut(b"\xff" + t.encode("utf-8", "replace").replace(b" ", b"\xff") if t else b""))
+            for raw in parts:
+                if held and size + len(raw) > CHUNK:
+                    flush()
+                    size = 0
+                held.append((i, raw, words))
+                size += len(raw)
+                if len(parts) > 1:
+                    words += 1 + len(_starts(np.frombuffer(raw, dtype=np.uint8)))
+        if held:
+            flush()
+        return [x[0] if len(x) == 1 else np.concatenate(x) if x else np.zeros(0, np.int32) for x in found]
+
+    def _encode(self, raw: list[bytes], seeds: np.ndarray, before: list[int]) -> list[np.ndarray]:
+        """Piece ids of byte strings that begin with a space; `before`: the number of words that each one's text had before."""
         data = np.frombuffer(b"".join(raw), dtype=np.uint8)
-        if not len(data):
-            return [np.zeros(0, np.int32) for _ in texts]
         sizes = np.array([len(r) for r in raw])
         first = np.cumsum(sizes) - sizes
-        new = np.zeros(len(data), dtype=bool)
-        new[1:] = (data[1:] == SPACE) & (data[:-1] != SPACE)
-        new[first[sizes > 0]] = True
-        start = np.flatnonzero(new)
+        start = np.union1d(_starts(data), first)
         end = np.concatenate((start[1:], [len(data)]))
         row = np.searchsorted(first, start, side="right") - 1
-        nth = np.arange(len(start)) - np.searchsorted(start, first)[row]
-        hashes = _ROLL.slices(_ROLL.prefix(data), start, end) ^ (end - start).astype(np.uint64)
-        _, one, word = np.unique(hashes, return_index=True, return_inverse=True)
+        nth = np.arange(len(start)) - np.searchsorted(start, first)[row] + np.array(before)[row]
+        one, word = _different(data, start, end)
         order = np.argsort(start[one] - end[one], kind="stable")  # long ones first
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
@@ -186,85 +224,120 @@ class Sampler:
         count = np.bincount(occurrence, minlength=len(start))
         out = np.empty(len(ids), np.int32)
         out[(np.cumsum(count) - count)[occurrence] + count[occurrence] - 1 - step] = ids
-        per_row = np.bincount(row, weights=count, minlength=len(texts)).astype(np.int64)
-        found = np.split(out, np.cumsum(per_row)[:-1])
-        for i, (r, got) in enumerate(zip(raw, found, strict=True)):
-            if self.spell(got) != r:  # two words of one hash
-                if len(texts) == 1:
-                    raise ValueError("words of one text have one hash")
-                found[i] = self._encode([texts[i]], seeds[i : i + 1])[0]
-        return found
+        per_row = np.bincount(row, weights=count, minlength=len(raw)).astype(np.int64)
+        return np.split(out, np.cumsum(per_row)[:-1])
+
+    def _draw_long(self, data: np.ndarray, seed: np.ndarray, nth: np.ndarray) -> list[np.ndarray]:
+        """Piece ids, from the end, of one long word `data` for each seed and word number.
+
+        Sums are kept as logarithms, one a byte; pieces are looked up again on the way back, a block at a time.
+        """
+        n = len(data)
+        total = np.full(n + 1, -math.inf)
+        total[0] = 0.0
+        for lo in range(0, n, LONG_BLOCK):
+            for at, ways in enumerate(self._into(data, lo, min(n, lo + LONG_BLOCK)), lo + 1):
+                sums = [total[s] + w for s, _, w in ways]
+                top = max(sums, default=-math.inf)
+                if top > -math.inf:
+                    total[at] = top + math.log(sum(math.exp(x - top) for x in sums))
+        place = [n] * len(seed)
+        got: list[list[int]] = [[] for _ in place]
+        for lo in range((n - 1) // LONG_BLOCK * LONG_BLOCK, -1, -LONG_BLOCK):
+            into = self._into(data, lo, min(n, lo + LONG_BLOCK))
+            for o in range(len(place)):
+                at, own = place[o], got[o]
+                while at > lo:
+                    u = float(_uniform(seed[o : o + 1], nth[o : o + 1], len(own))[0])
+                    pick = None
+                    for s, i, w in into[at - lo - 1]:
+                        if total[s] > -math.inf:
+                            pick = s, i
+                            u -= math.exp(total[s] + w - total[at])
+                            if u < 0:
+                                break
+                    at = pick[0]
+                    own.append(pick[1])
+                place[o] = at
+        return [np.array(x, dtype=np.int32) for x in got]
+
+    def _into(self, data: np.ndarray, lo: int, hi: int) -> list[list[tuple[int, int, float]]]:
+        """For each place from lo + 1 to hi, the pieces that end there: (start, id, logarithm of the weight)."""
+        begin = max(0, lo - self.v.longest - 4)
+        stop = min(len(data), hi + self.v.longest + 4)
+        own = data[begin:stop]
+        room = len(data) - begin - np.arange(len(own))
+        # Pieces that reach past the slice end past hi, and are not asked for.
+        room = np.minimum(room, len(own) - np.arange(len(own)))
+        boundary = np.flatnonzero((own[: hi - begin] & 0xC0) != 0x80)
+        at, n, ids, weight = self.v.edges(own, room, boundary)
+        into: list[list[tuple[int, int, float]]] = [[] for _ in range(hi - lo)]
+        inside = (at + n + begin > lo) & (at + n + begin <= hi)
+        for s, e, i, w in zip((at[inside] + begin).tolist(), (at + n)[inside].tolist(), ids[inside].tolist(), np.log(weight[inside]).tolist(), strict=True):
+            into[e + begin - lo - 1].append((s, i, w))
+        return into
 
     def _draw(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, word: np.ndarray, seed: np.ndarray, nth: np.ndarray) -> tuple[np.ndarray, ...]:
         """(occurrence, step from the end, id) of all pieces drawn; words are given by their places, longest first."""
-        size = end - start
-        base = np.cumsum(size) - size
-        owner = np.repeat(np.arange(len(size)), size)
-        flat = np.arange(len(owner)) - base[owner] + start[owner]
-        own = data[flat]
-        room = base[owner] + size[owner] - np.arange(len(owner))
-        boundary = np.flatnonzero(((own & 0xC0) != 0x80))
-        at, n, ids, weight = self.v.edges(own, room, boundary)
-        w = owner[at]
-        from_ = at - base[w]
-        n_long = int(np.searchsorted(-size, -SHORT, side="left"))
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-        long_edges = np.flatnonzero(w < n_long)
-        long_edges = long_edges[np.argsort(w[long_edges], kind="stable")]
-        cuts = np.searchsorted(w[long_edges], np.arange(n_long + 1))
+        n_long = int(np.searchsorted(start - end, -SHORT, side="left"))
+        by_word = np.argsort(word, kind="stable")
+        cuts = np.searchsorted(word[by_word], np.arange(n_long + 1))
         for k in range(n_long):
-            e = long_edges[cuts[k] : cuts[k + 1]]
-            into = _long_word(from_[e], n[e], ids[e], weight[e], int(size[k]))
-            for o in np.flatnonzero(word == k):
-                place, step, got = int(size[k]), 0, []
-                while place > 0:
-                    u = float(_uniform(seed[o : o + 1], nth[o : o + 1], step)[0])
-                    for s, i, p in into[place]:
-                        u -= p
-                        if u < 0:
-                            break
-                    got.append(i)
-                    place, step = s, step + 1
-                out.append((np.full(step, o), np.arange(step), np.array(got, dtype=np.int32)))
+            where = by_word[cuts[k] : cuts[k + 1]]
+            for o, got in zip(where.tolist(), self._draw_long(data[start[k] : end[k]], seed[where], nth[where]), strict=True):
+                out.append((np.full(len(got), o), np.arange(len(got)), got))
 
         # All short words together: node (word, place) is base + word + place.
-        e = np.flatnonzero(w >= n_long)
-        node = base + np.arange(len(size))
-        a, b, ids, weight, to = node[w[e]] + from_[e], node[w[e]] + from_[e] + n[e], ids[e], weight[e], from_[e] + n[e]
-        total = np.zeros(int(size.sum()) + len(size))
-        total[node] = 1.0
-        by_place = np.argsort(to.astype(np.int16), kind="stable")
-        bounds = np.searchsorted(to[by_place], np.arange(1, SHORT + 2))
-        rank = w[e] - n_long
-        reach = np.searchsorted(-size[n_long:], -np.arange(SHORT + 1), side="right")  # words of so many bytes or more
-        for t in range(1, SHORT + 1):
-            part = by_place[bounds[t - 1] : bounds[t]]
-            if len(part):
-                total[node[n_long : n_long + reach[t]] + t] = np.bincount(rank[part], total[a[part]] * weight[part], reach[t])
-        by_node = np.argsort(b, kind="stable")
-        a, ids, b = a[by_node], ids[by_node], b[by_node]
-        share = np.cumsum(total[a] * weight[by_node] / np.maximum(total[b], 1e-300))
-        last = np.cumsum(np.bincount(b, minlength=len(total)))
-        widest = int(np.diff(last).max(initial=1))
-        live = np.flatnonzero(word >= n_long)
-        place = node[word[live]] + size[word[live]]
-        step = 0
-        while len(live):
-            low, high = last[place - 1], last[place]
-            below = np.where(low > 0, share[low - 1], 0.0)
-            u = _uniform(seed[live], nth[live], step)
-            aim = below + u * (share[high - 1] - below)
-            pick, top = low, high - 1
-            for _ in range(widest.bit_length()):
-                middle = (pick + top) >> 1
-                right = share[middle] <= aim
-                pick, top = np.where(right, np.minimum(middle + 1, top), pick), np.where(right, top, middle)
-            out.append((live, np.full(len(live), step), ids[pick]))
-            place = a[pick]
-            more = place != node[word[live]]
-            live, place, step = live[more], place[more], step + 1
-        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+        start, end = start[n_long:], end[n_long:]
+        if len(start):
+            size = end - start
+            base = np.cumsum(size) - size
+            owner = np.repeat(np.arange(len(size)), size)
+            flat = np.arange(len(owner)) - base[owner] + start[owner]
+            own = data[flat]
+            room = base[owner] + size[owner] - np.arange(len(owner))
+            at, n, ids, weight = self.v.edges(own, room, np.flatnonzero(((own & 0xC0) != 0x80)))
+            w = owner[at]
+            node = base + np.arange(len(size))
+            from_ = at - base[w]
+            to = from_ + n
+            a, b = node[w] + from_, node[w] + to
+            total = np.zeros(int(size.sum()) + len(size))
+            total[node] = 1.0
+            by_place = np.argsort(to.astype(np.int16), kind="stable")
+            bounds = np.searchsorted(to[by_place], np.arange(1, SHORT + 2))
+            reach = np.searchsorted(-size, -np.arange(SHORT + 1), side="right")  # words of so many bytes or more
+            for t in range(1, SHORT + 1):
+                part = by_place[bounds[t - 1] : bounds[t]]
+                if len(part):
+                    total[node[: reach[t]] + t] = np.bincount(w[part], total[a[part]] * weight[part], reach[t])
+            by_node = np.argsort(b, kind="stable")
+            a, ids, b = a[by_node], ids[by_node], b[by_node]
+            share = total[a] * weight[by_node] / np.maximum(total[b], 1e-300)
+            last = np.cumsum(np.bincount(b, minlength=len(total)))
+            first = np.concatenate(([0], last[:-1]))
+            widest = int((last - first).max())
+            # Running sums begin anew at every node, so that no word's draws hang on its neighbours.
+            for r in range(1, widest):
+                up = first[last - first > r] + r
+                share[up] += share[up - 1]
+            live = np.flatnonzero(word >= n_long)
+            place = node[word[live] - n_long] + size[word[live] - n_long]
+            step = 0
+            while len(live):
+                low, high = first[place], last[place]
+                aim = _uniform(seed[live], nth[live], step) * share[high - 1]
+                pick, top = low, high - 1
+                for _ in range(widest.bit_length()):
+                    middle = (pick + top) >> 1
+                    right = share[middle] <= aim
+                    pick, top = np.where(right, np.minimum(middle + 1, top), pick), np.where(right, top, middle)
+                out.append((live, np.full(len(live), step), ids[pick]))
+                place = a[pick]
+                more = place != node[word[live] - n_long]
+                live, place, step = live[more], place[more], step + 1
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))
 
     def spell(self, ids) -> bytes:
         return b"".join(map(self.v.spelling.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
@@ -278,28 +351,30 @@ def encode(docs: DataFrame, key: str = "doc_id", model: str = MODEL, seed: int =
     """The columns of `docs` with `pieces` (array<int>) and `lossless` beside them.
 
     The random numbers hang on `key` and `seed` alone: rows with one key and one text are segmented
-    alike. Null and empty texts have no pieces; lossless says whether the pieces decode to the text.
+    alike, alone or among others. Null and empty texts have no pieces; null keys have one seed; columns
+    named pieces or lossless give way; an empty table gives an empty result. lossless says whether the pieces decode to the text.
     The model is read on the driver and sent to the tasks (a few MB, whatever the input).
     """
     spark = docs.sparkSession
-    bound_batches(spark, ROWS)
     shared = spark.sparkContext.broadcast(Vocabulary.load(model))
-    seeded = docs.withColumn(_SEED, F.xxhash64(F.col(key).cast("string"), F.lit(seed)))
+    row_seed = "_row_seed"
+    while row_seed in docs.columns:
+        row_seed += "_"
+    seeded = docs.withColumn(row_seed, F.xxhash64(F.col(key).cast("string"), F.lit(seed)))
     held: list[Sampler] = []
 
     def run(columns: dict[str, list]) -> dict[str, list]:
         if not held:
             held.append(Sampler(shared.value))
         texts = [t or "" for t in columns["text"]]
-        found = held[0].encode(texts, np.array(columns[_SEED], dtype=np.int64).view(np.uint64)) if texts else []
+        found = held[0].encode(texts, np.array(columns[row_seed], dtype=np.int64).view(np.uint64)) if texts else []
         return {"pieces": found, "lossless": [held[0].decode(p) == t for p, t in zip(found, texts, strict=True)]}
 
-    return add_columns(seeded, run, "pieces array<int>, lossless boolean", ["text", _SEED], drop=[_SEED])
+    return add_columns(seeded, run, "pieces array<int>, lossless boolean", ["text", row_seed], drop=[row_seed])
 
 
 def decode(df: DataFrame, model: str = MODEL) -> DataFrame:
     """`df` with the text of its `pieces` in the column `decoded`; null pieces give null."""
-    bound_batches(df.sparkSession, ROWS)
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
     held: list[Sampler] = []
 

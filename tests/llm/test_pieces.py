@@ -72,3 +72,43 @@ def test_rows(odd_docs, no_docs):
     again = {str(r["doc_id"]) + str(r["text"]): r["pieces"] for r in pieces.encode(odd_docs.repartition(1)).collect()}
     assert all(again[str(r["doc_id"]) + str(r["text"])] == r["pieces"] for r in rows)
     assert pieces.encode(no_docs).count() == 0
+
+
+def test_words_of_one_hash(sampler):
+    """A Thue-Morse word and its complement have one polynomial hash modulo 2**64, whatever its odd base."""
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    data = np.frombuffer(f"\xff{a}\xff{b}".encode("latin-1"), dtype=np.uint8)
+    start, end = np.array([0, len(a) + 1]), np.array([len(a) + 1, len(data)])
+    hashes = pieces._ROLL.slices(pieces._ROLL.prefix(data), start, end)
+    assert hashes[0] == hashes[1]
+    one, word = pieces._different(data, start, end)
+    assert len(one) == 2 and word[0] != word[1]
+    text = f"{a} {b} {a} short {b}"
+    got = sampler.encode(["x", text], np.arange(2, dtype=np.uint64))
+    assert sampler.decode(got[1]) == text
+
+
+def test_alone_as_in_a_large_batch(sampler):
+    rows = [" ".join(f"w{(i * 7919 + j * 104729) % 5003}" for j in range(100)) for i in range(1000)]
+    seeds = np.arange(len(rows), dtype=np.uint64)
+    together = sampler.encode(rows, seeds)
+    for i in range(0, len(rows), 97):
+        assert (sampler.encode([rows[i]], seeds[i : i + 1])[0] == together[i]).all()
+
+
+def test_parts_change_nothing(sampler, monkeypatch):
+    texts = [*ODD, "  " * 50 + "some words  here " * 40, "\u65e5" * 200 + " tail " * 30, " " * 300]
+    seeds = np.arange(len(texts), dtype=np.uint64)
+    want = sampler.encode(texts, seeds)
+    monkeypatch.setattr(pieces, "CHUNK", 97)
+    monkeypatch.setattr(pieces, "LONG_BLOCK", 33)
+    got = sampler.encode(texts, seeds)
+    assert all((a == b).all() for a, b in zip(got, want, strict=True))
+
+
+def test_a_column_named_like_the_seed(spark):
+    docs = spark.createDataFrame([(1, "some text", 5)], "doc_id long, text string, _row_seed int")
+    row = pieces.encode(docs).first()
+    assert row["_row_seed"] == 5 and row["lossless"]
