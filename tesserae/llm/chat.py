@@ -3,11 +3,13 @@
 A template is any function from messages to a string. Successive prefixes of a conversation are
 rendered and compared: what render(turns[:k + 1]) adds to render(turns[:k]) is turn k's span, and a
 template that changes what it has already written rewrites history. Any template may look at all
-turns, so by default all of them are rendered each time, and a conversation costs the square of its
-length. A template that is declared local (`template.local = True`) adds the same text for a turn
-whatever stood before it, and never rewrites; this module's is. Of its conversations only the last
-turns are rendered, to keep long ones linear: after `WINDOW` turns all but the last are left out,
-once the next turn has been seen to add the same text with and without them.
+turns, so all of them are rendered each time, and a conversation costs the square of its length.
+
+A template may be declared local (`template.local = True`): it adds the same text for a turn
+whatever stood before it, and never rewrites. This module's is. Of its conversations the last
+`WINDOW` turns at most are rendered with each new one, which keeps long ones linear. The declaration
+is held against a rendering of the whole conversation, or of its first `VERIFIED` code points; where
+it proves false all prefixes are rendered, as for any other template.
 
 A digest of a conversation is a chain over its turns, so each conversation passes through one task;
 it is streamed there in order of its turns, and with a local template one of any length needs the
@@ -29,6 +31,8 @@ from .rows import stream_lists
 Template = Callable[[list[tuple[str, str]]], str]
 
 WINDOW = 16
+#: Code points of a conversation's turns that are held, and over which a local template is verified.
+VERIFIED = 1 << 20
 BEGIN, OPEN, SEP, CLOSE = "<s>", "<|turn|>", "<|text|>", "<|end|>"
 #: Strings that have a meaning to this template or to others; inside texts they are escaped.
 CONTROL = (OPEN, SEP, CLOSE, "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -75,42 +79,48 @@ def _unescaped(piece: str, mark: str, at: int) -> int:
 
 
 class Incremental:
-    """Renders a conversation turn by turn; `window` holds for local templates, others get all turns."""
+    """Renders a conversation turn by turn; of local templates only the last `window` turns are rendered with each."""
 
-    def __init__(self, template: Template = render, window: int = WINDOW) -> None:
+    def __init__(self, template: Template = render, window: int = WINDOW, local: bool | None = None) -> None:
         self.template, self.window = template, window
+        self.local = getattr(template, "local", False) if local is None else local
         self.held: list[tuple[str, str]] = []
         self.before = template([])
         self.length = len(self.before)
         self.rewrites = False
-        self.whole = not getattr(template, "local", False)
 
     def add(self, role: str, text: str) -> tuple[int, str, bool]:
         """(start of the span, what the turn adds, whether it rewrote what was there).
 
         When a template rewrites, the span begins where the two renderings part.
         """
-        now = self.template([*self.held, (role, text)])
+        self.held.append((role, text))
+        now = self.template(self.held)
         shared = len(self.before)
         rewrote = not now.startswith(self.before)
         if rewrote:
-            self.rewrites = self.whole = True
+            self.rewrites = True
             shared = next((i for i, (a, b) in enumerate(zip(self.before, now, strict=False)) if a != b), min(len(self.before), len(now)))
         piece = now[shared:]
         start = self.length - len(self.before) + shared
         self.length = start + len(piece)
-        if len(self.held) >= self.window and not self.whole:
-            near = self.held[-1:]
-            less, more = self.template(near), self.template([*near, (role, text)])
-            if more.startswith(less) and more[len(less) :] == piece:
-                self.held, now = near, more
-            else:
-                self.whole = True
-        self.held.append((role, text))
+        if self.local and len(self.held) >= self.window:
+            self.held = self.held[-1:]
+            now = self.template(self.held)
         self.before = now
         return start, piece, rewrote
 
 
+def verified(turns: list[tuple[str, str]], template: Template = render, window: int = WINDOW) -> tuple[Incremental, list[tuple[int, str, bool]]]:
+    """The spans of `turns`, and the state to go on from; a local template's are held against the whole rendering."""
+    state = Incremental(template, window)
+    out = [state.add(*t) for t in turns]
+    if state.local and (state.rewrites or template([]) + "".join(piece for _, piece, _ in out) != template(turns)):
+        state = Incremental(template, window, local=False)
+        out = [state.add(*t) for t in turns]
+    return state, out
+
+
 TURNS = "conv_id long, n int, start long, piece string, rewrote boolean"
 
 
@@ -127,16 +137,42 @@ def format_turns(conversations: DataFrame, template: Template = render, window:
 
     def run(batches: Iterator[dict[str, list]]) -> Iterator[dict]:
         conv, state, n = object(), None, 0
+        held: list[tuple[str, str]] = []
+        size = 0
+        out: dict[str, list] = {}
+
+        def emit(spans: list[tuple[int, str, bool]]) -> None:
+            nonlocal n
+            for start, piece, rewrote in spans:
+                for name, value in (("conv_id", conv), ("n", n), ("start", start), ("piece", piece), ("rewrote", rewrote)):
+                    out[name].append(value)
+                n += 1
+
+        def settle() -> None:
+            nonlocal state, held
+            if held:
+                state, spans = verified(held, template, window)
+                emit(spans)
+                held = []
+
         for b in batches:
-            out: dict[str, list] = {"conv_id": b["conv_id"], "n": [], "start": [], "piece": [], "rewrote": []}
+            out = {name: [] for name in ("conv_id", "n", "start", "piece", "rewrote")}
             for c, role, text in zip(b["conv_id"], b["role"], b["text"], strict=True):
                 if c != conv:
-                    conv, state, n = c, Incremental(template, window), 0
-                start, piece, rewrote = state.add(role or "", text or "")
-                for name, value in (("n", n), ("start", start), ("piece", piece), ("rewrote", rewrote)):
-                    out[name].append(value)
-                n += 1
+                    settle()
+                    conv, state, n, size = c, None, 0, 0
+                turn = (role or "", text or "")
+                if state:
+                    emit([state.add(*turn)])
+                else:
+                    held.append(turn)
+                    size += len(turn[0]) + len(turn[1])
+                    if size > VERIFIED:
+                        settle()
             yield out
+        out = {name: [] for name in ("conv_id", "n", "start", "piece", "rewrote")}
+        settle()
+        yield out
 
     return stream_lists(rows, run, TURNS)
 

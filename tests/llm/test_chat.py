@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -26,7 +27,7 @@ def test_long_conversations_keep_their_spans():
     turns = [("user" if i % 2 else "assistant", f"turn {i}") for i in range(200)]
     state = chat.Incremental(window=4)
     got = "".join([chat.render([]), *(state.add(*t)[1] for t in turns)])
-    assert got == chat.render(turns) and len(state.held) <= 6
+    assert got == chat.render(turns) and len(state.held) <= 4
 
 
 def test_history_rewriting_is_seen():
@@ -38,6 +39,45 @@ def test_history_rewriting_is_seen():
     assert state.rewrites
 
 
+def late_numbers(messages):
+    return "".join(f"{i if i >= 20 else ''}:{t};" for i, (_, t) in enumerate(messages))
+
+
+def late_stripping(messages):
+    return "".join(f"{'' if r == 'assistant' and i < 5 and len(messages) > 40 else t};" for i, (r, t) in enumerate(messages))
+
+
+def falsely_local(template):
+    def own(messages):
+        return template(messages)
+
+    own.local = True
+    return own
+
+
+@pytest.mark.parametrize("template", [late_numbers, late_stripping, falsely_local(late_numbers), falsely_local(late_stripping)])
+def test_templates_that_change_late(spark, template):
+    """Sixty turns: numbers from the twentieth on, or early answers stripped after the fortieth; declared local or not."""
+    turns = [("assistant" if i % 2 else "user", f"turn {i}") for i in range(60)]
+    want, rewrites = [], False
+    for k in range(60):
+        before, now = template(turns[:k]), template(turns[: k + 1])
+        same = next((i for i, (a, b) in enumerate(zip(before, now)) if a != b), min(len(before), len(now)))
+        want.append((same, now[same:], same < len(before)))
+    assert chat.verified(turns, template)[1] == want
+    df = spark.createDataFrame([(1, i, *t) for i, t in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    got = [(r["start"], r["piece"], r["rewrote"]) for r in chat.format_turns(df, template).orderBy("n").collect()]
+    assert got == want and any(r for *_, r in got) == any(r for *_, r in want)
+
+
+def test_conversations_beyond_what_is_held(spark, monkeypatch):
+    monkeypatch.setattr(chat, "VERIFIED", 50)
+    turns = [("assistant" if i % 2 else "user", f"turn {i}" * 3) for i in range(60)]
+    state, out = chat.verified(turns[:5])
+    out += [state.add(*t) for t in turns[5:]]
+    assert chat.render([]) + "".join(p for _, p, _ in out) == chat.render(turns) and len(state.held) <= chat.WINDOW
+
+
 def test_templates_that_count_get_all_turns():
     def counting(messages):
         return "".join(f"{i}:{t};" for i, (_, t) in enumerate(messages))
