@@ -1,16 +1,21 @@
 """Main text of web pages by text-to-tag ratios.
 
-A streaming parser turns a page into lines, one for each block of text. A line's ratio is its
-characters over its tags; a Gaussian smooths the ratios over neighbouring lines, and lines whose
-smoothed ratio reaches the threshold cluster into content regions. Lines in menus, notices, forms
-and the like are never content. Lines in an article or main element are lifted over the threshold:
-they are its text however short they are. All other lines are held against the same threshold, with
-ratios smoothed among themselves, so that an article's long lines don't lift what stands beside it.
+A parser takes a page in pieces as a stream of events and turns it into lines, one for each block of
+text. A line's ratio is its characters, blanks and links aside, over its tags. A Gaussian smooths the ratios
+over the neighbouring lines of the same section, so that a long article doesn't lift what stands
+beside it, and lines whose smoothed ratio reaches the threshold are clusters of content. A section
+with such a line is a content region and is taken whole, however short its other lines are.
+
+Elements and names are features of that choice, not the choice: lines in an article or main element
+count twice, and a cluster there selects that element; sections with a name such as `notice` count a
+quarter and are taken only on their own. What can't be an article's text (menus, headers and footers
+of pages, sidebars, adverts, forms, scripts, reader comments) has no ratio and is never content.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -25,162 +30,255 @@ from .rows import map_lists
 SIGMA = 1.0
 #: Share of the smoothed ratios' standard deviation that content reaches.
 CUT = 1.0
+#: Ratios beyond count as this, so that very long lines don't raise the threshold over ordinary ones.
+CEILING = 80.0
+#: Factors on the ratios of lines in article and main elements, and in sections with a weak name.
+HELD, WEAK = 2.0, 0.25
+#: Characters that the parser is given at a time.
+FEED = 1 << 16
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
-    "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td "
-    "textarea tfoot th thead title tr ul".split()
+    "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td "
+    "tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Blocks that are sections of a page.
+SECTIONS = frozenset("html body article main div section center td".split())
 #: Elements whose text is never content.
-DROPPED = frozenset("aside button canvas datalist dialog footer form head iframe label menu nav noembed noframes noscript object option script select style svg template textarea title".split())
+DROPPED = frozenset(
+    "aside button canvas datalist dialog footer form head iframe label menu nav noembed noframes noscript object optgroup option script search "
+    "select style svg template textarea title".split()
+)
 #: Words of class and id names, and roles, that mark such an element.
 MARKED = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
-    "gdpr hidden masthead menu modal nav navbar navigation newsletter notice notification pager pagination popup promo promotion related "
-    "replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
+    "gdpr hidden masthead menu modal nav navbar navigation newsletter pager pagination popup related replies reply respond sidebar signup "
+    "sponsor sponsored subscribe subscription".split()
 )
+#: Words that speak against a section without deciding.
+WEAKLY = frozenset("notice notification promo promotion share sharing skip social toolbar widget widgets".split())
+#: Words that mark even an element within a line of text.
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising adsense hidden sponsor sponsored".split())
+#: Beside these a word says what is not there, or what else is on the page.
+WITHOUT = frozenset("free has have no non not with without".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 #: Elements that hold a page's own text; never dropped for their class.
 HOLDERS = frozenset("html body article main".split())
+#: Open elements that a new one of the kind ends.
+ENDS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
-_NAMES = re.compile(r"[a-z]+")
+_WORDS = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
+def named(names: str, words: frozenset[str]) -> bool:
+    """Whether one of the blank-separated class or id names begins or ends with one of `words`, and doesn't deny it."""
+    for name in names.lower().split():
+        parts = _WORDS.findall(name)
+        if parts and (parts[0] in words or parts[-1] in words) and WITHOUT.isdisjoint(parts):
+            return True
+    return False
+
+
+@dataclass
+class Section:
+    """A section of a page: the one around it, the innermost article or main element it is or lies in, its name's weight."""
+
+    parent: int
+    holder: int
+    weak: bool = False
+    root: bool = False
+
+
 @dataclass
 class Line:
-    """A block of text: its parts as they come, tags seen in it, and where it stands."""
+    """A block of text: its parts as they come, the tags seen in it, its characters in links without blanks, and where it stands."""
 
     parts: list[str] = field(default_factory=list)
     tags: int = 0
+    linked: int = 0
     dropped: bool = False
-    held: bool = False
+    title: bool = False
+    section: int = 0
     text: str = ""
 
 
+@dataclass
+class Open:
+    """An open element: whether its text is dropped, there as a part of a line, and its section."""
+
+    tag: str
+    dropped: bool
+    inline: bool
+    section: int
+
+
 class Lines(HTMLParser):
-    """Collects lines from the parser's events."""
+    """Collects lines and sections from the parser's events."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.line = Line()
-        #: Open elements: name, whether they are dropped, whether they hold an article.
-        self.open: list[tuple[str, bool, bool]] = []
+        self.sections = [Section(-1, -1, root=True)]
+        self.open = [Open("", False, False, 0)]
         self.count: dict[str, int] = {}
-
-    def _state(self) -> tuple[bool, bool]:
-        return self.open[-1][1:] if self.open else (False, False)
+        self.line = Line()
 
     def _break(self) -> None:
         if self.line.parts:
             self.line.text = " ".join("".join(self.line.parts).split())
             if self.line.text:
                 self.lines.append(self.line)
-        self.line = Line(tags=0 if self.line.text else self.line.tags)
-        self.line.dropped, self.line.held = self._state()
+        at = self.open[-1]
+        self.line = Line(tags=0 if self.line.text else self.line.tags, dropped=at.dropped, title=at.tag == "h1", section=at.section)
 
-    def _pop(self) -> None:
-        tag = self.open.pop()[0]
-        self.count[tag] -= 1
+    def _pop(self) -> Open:
+        was = self.open.pop()
+        self.count[was.tag] -= 1
+        return was
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "br":
             self.line.parts.append(" ")
-        if tag in BLOCKS:
-            self._break()
-            if self.open and self.open[-1][0] == "p":
+        block = tag in BLOCKS
+        if block and not self.open[-1].inline:
+            if self.open[-1].tag == "p":
                 self._pop()  # a block ends an open paragraph
-            for same in {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}.get(tag, ()):
-                if self.open and self.open[-1][0] == same:
-                    self._pop()
+            if self.open[-1].tag in ENDS.get(tag, ()):
+                self._pop()
+            self._break()
         self.line.tags += 1
         if tag in VOID:
             return
-        dropped, held = self._state()
-        in_article = held
-        if tag in ("article", "main"):
-            held = True
+        at = self.open[-1]
+        section, inline, dropped = at.section, at.inline, at.dropped
+        held = self.sections[section].holder >= 0
+        weak = False
         if not dropped:
-            dropped = tag in DROPPED or (tag == "header" and not in_article)
-            if attrs and not dropped and tag not in ("html", "body"):
-                dropped = self._marked(tag, attrs, in_article)
-        self.open.append((tag, dropped, held))
+            dropped = tag in DROPPED or (tag == "header" and not held)
+            if attrs and not dropped:
+                dropped, weak = self._marks(tag, attrs, block, held)
+            inline = dropped and not block
+        if not dropped and (tag in SECTIONS or weak):
+            self.sections.append(Section(section, self.sections[section].holder, weak, tag in ("html", "body")))
+            section = len(self.sections) - 1
+            if tag in ("article", "main"):
+                self.sections[section].holder = section
+        self.open.append(Open(tag, dropped, inline, section))
         self.count[tag] = self.count.get(tag, 0) + 1
-        if tag in BLOCKS or dropped != self.line.dropped:
+        if block and not inline:
             self._break()
             self.line.tags += 1
 
     @staticmethod
-    def _marked(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+    def _marks(tag: str, attrs: list[tuple[str, str | None]], block: bool, held: bool) -> tuple[bool, bool]:
+        """Whether attributes drop an element, and whether they speak against it."""
+        weak = False
         for name, value in attrs:
+            if tag in ("html", "body"):
+                break
             if name == "hidden":
-                return True
+                return True, False
             if not value:
                 continue
             if name in ("class", "id"):
-                if tag in HOLDERS and not in_article:
+                if tag in HOLDERS and not held:
                     continue
-                if any(w in MARKED for w in _NAMES.findall(value.lower())):
-                    return True
+                if block and named(value, MARKED) or tag in ("ins", "span") and named(value, ADVERTS):
+                    return True, False
+                weak |= block and named(value, WEAKLY)
             elif name == "role" and value.lower() in ROLES or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
-                return True
-        return False
+                return True, False
+        return False, weak
 
     def handle_endtag(self, tag: str) -> None:
+        at = self.open[-1]
         if tag == "p" and not self.count.get("p"):
-            self._break()
+            if not at.inline:
+                self._break()
             return
         self.line.tags += 1
         if not self.count.get(tag):
             return
-        was = self.line.dropped
-        if tag in BLOCKS:
-            self._break()
-        while self.open:
-            name = self.open[-1][0]
-            self._pop()
-            if name == tag:
+        broken = False
+        while True:
+            if not broken and self.open[-1].tag in BLOCKS and not self.open[-1].inline:
+                self._break()
+                broken = True
+            if self._pop().tag == tag:
                 break
-        if tag in BLOCKS or self._state()[0] != was:
+        if broken:
             self._break()
 
     def handle_data(self, data: str) -> None:
-        self.line.parts.append(data)
+        if not self.open[-1].inline:
+            self.line.parts.append(data)
+            if self.count.get("a"):
+                self.line.linked += len("".join(data.split()))
 
 
-def lines_of(html: str) -> list[Line]:
-    """The lines of a page, in order."""
+def parsed(html: str, feed: int = FEED) -> tuple[list[Line], list[Section]]:
+    """The lines of a page, in order, and its sections."""
     parser = Lines()
-    parser.feed(html)
+    for at in range(0, len(html), feed):
+        parser.feed(html[at : at + feed])
     parser.close()
     parser._break()
-    return parser.lines
+    return parser.lines, parser.sections
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     """Ratios under a Gaussian window; the weights beyond the ends go to what is there."""
+    if len(ratios) < 2:
+        return ratios
     n = max(1, int(3 * sigma))
     window = np.exp(-0.5 * (np.arange(-n, n + 1) / sigma) ** 2)
     weight = np.convolve(np.ones(len(ratios)), window)[n : n + len(ratios)]
     return np.convolve(ratios, window)[n : n + len(ratios)] / weight
 
 
+def clusters(lines: list[Line], sections: list[Section]) -> np.ndarray:
+    """Whether each line's smoothed ratio reaches the page's threshold."""
+    ratios = np.zeros(len(lines))
+    members: dict[int, list[int]] = {}
+    for i, x in enumerate(lines):
+        if not x.dropped:
+            s = sections[x.section]
+            factor = (HELD if s.holder >= 0 else 1.0) * (WEAK if s.weak else 1.0)
+            ratios[i] = min(CEILING, max(0, len(x.text) - x.text.count(" ") - x.linked) / max(1, x.tags)) * factor
+            members.setdefault(x.section, []).append(i)
+    smooth = np.zeros(len(lines))
+    for own in members.values():
+        smooth[own] = smoothed(ratios[own])
+    return (smooth > 0) & (smooth >= CUT * smooth.std())
+
+
+def regions(lines: list[Line], sections: list[Section]) -> Iterator[Line]:
+    """The lines of the sections that clusters select."""
+    chosen: set[int] = set()
+    for x, dense in zip(lines, clusters(lines, sections), strict=True):
+        if dense:
+            chosen.add(x.section)
+            if not sections[x.section].weak and sections[x.section].holder >= 0:
+                chosen.add(sections[x.section].holder)
+    taken, around = [], set()
+    for i, s in enumerate(sections):  # sections come after those around them
+        inherits = s.parent >= 0 and not s.weak and not sections[s.parent].root and taken[s.parent]
+        taken.append(i in chosen or inherits)
+    for i in chosen:
+        while (i := sections[i].parent) >= 0 and i not in around:
+            around.add(i)
+    untitled = not any(x.title and taken[x.section] and not x.dropped for x in lines)
+    for x in lines:
+        if not x.dropped and (taken[x.section] or untitled and x.title and x.section in around):
+            yield x
+
+
 def main_text(html: str | None) -> str:
     """The content lines of a whole page, joined by newlines."""
-    lines = lines_of(html or "")
-    if not lines:
-        return ""
-    ratios = np.array([0.0 if x.dropped else len(x.text) / max(1, x.tags) for x in lines])
-    smooth = smoothed(ratios)
-    threshold = CUT * float(smooth.std())
-    held = np.array([x.held and not x.dropped for x in lines])
-    if held.any():
-        beside = smoothed(np.where(held, 0.0, ratios))
-        smooth = np.where(held, np.maximum(smooth, threshold), beside)
-    content = [x.text for x, r in zip(lines, smooth, strict=True) if r >= threshold and not x.dropped]
-    return "\n".join(content)
+    lines, sections = parsed(html or "")
+    return "\n".join(x.text for x in regions(lines, sections)) if lines else ""
 
 
 def extract(pages: DataFrame) -> DataFrame:
