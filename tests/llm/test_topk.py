@@ -80,3 +80,33 @@ def test_bounds_hold():
     exact = v.x @ v.x.T
     for f, a in v.levels:
         assert (f @ f.T + a[:, None] + a >= exact - 1e-6).all()
+
+
+def test_survivors(spark):
+    """Clustered vectors in two tasks: bounds drop more at each level, and the few pairs left give the exact result."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 48)) @ np.diag(np.linspace(1, 0.05, 48))
+    rows = [(i, (centres[i % 40] + 0.1 * rng.normal(size=48)).astype(np.float32).tolist(), 0) for i in range(6000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, query_id int").repartition(2)
+    counts = topk.counters(spark)
+    got = sorted(tuple(r) for r in topk.search(df.where("vec_id % 50 = 0"), df, survivors=counts).collect())
+    x = np.floor(256 * np.array([r[1] for r in rows], dtype=np.float64)).astype(np.int64)
+    want = []
+    for q in range(0, 6000, 50):
+        score = x @ x[q]
+        best = sorted((-s, i) for i, s in enumerate(score.tolist()) if i != q)[:5]
+        want += [(q, r, i, -s) for r, (s, i) in enumerate(best, 1)]
+    assert got == sorted(want)
+    pairs, *left = (c.value for c in counts)
+    assert pairs == 120 * (6000 - 2 * topk.SEED) and left == sorted(left, reverse=True) and left[0] < pairs and left[-1] < pairs / 20
+
+
+def test_survivors_of_given_vectors(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").coalesce(1)
+    counts = topk.counters(spark)
+    assert topk.search(df.where("vec_id % 50 = 0"), df, survivors=counts).count() == 200
+    pairs, *left = (c.value for c in counts)
+    print("survivors", [n / pairs for n in left])
+    assert left[-1] < pairs / 2
