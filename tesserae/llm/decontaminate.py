@@ -2,33 +2,33 @@
 
 Every run of ten item words is a window. A window's fingerprint is the minimum hash of its six
 5-word grams, so equal windows have equal fingerprints, and a shared span of ten words or more
-always shares one. Documents are winnowed the same way; their fingerprints are matched with those
-of the benchmark, and each hit is extended to its whole window and compared word by word. Items
-with fewer than ten words are one shorter window, found by the hash of their first gram (of all
-their words, below five).
-
-The benchmark is sent to the tasks in parts of at most `PART_WINDOWS` windows, so what is broadcast
-has a fixed bound; documents meet the parts one after the other.
+always shares one. Documents are winnowed the same way, which leaves a fingerprint for every few
+words; these are joined with the benchmark's, and each hit is extended to the whole windows it stands
+for, which are joined by their digests of all ten words. Items with fewer than ten words are one
+shorter window, with the hash of their first gram (of all their words, below five) for a fingerprint.
+
+Documents are read once, whatever the benchmark's size. Up to `FEW` windows of a length, their
+hashes are sent to the tasks, and only hits leave these; beyond, all fingerprints of the documents go
+through a shuffle, and the documents with hits are read again for their windows.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Rolling, materialize, mix, sliding_min, splitmix, table
-from .rows import keep_rows, map_lists
+from .rows import map_lists
 
 WINDOW = 10
 GRAM = 5
-#: Windows of the benchmark in one broadcast (of about 200 bytes each).
-PART_WINDOWS = 200_000
-#: Bytes of text handled at a time; a longer text is a block of its own.
+#: Windows of one length whose hashes are broadcast (16 bytes each, ten lengths at most).
+FEW = 500_000
+#: Bytes of text handled at a time; a longer text is cut, with nine words in common.
 BLOCK = 1 << 19
 
 _CLASS = np.zeros(256, dtype=np.uint8)
@@ -41,11 +41,6 @@ _PLACE = splitmix(WINDOW, 11) | np.uint64(1)
 _ROLL = Rolling()
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """The words of a text, lower-cased, as UTF-8."""
-    return (text or "").encode("utf-8", "replace").translate(_LOWER).split()
-
-
 class Block:
     """Word boundaries and hashes of several texts in one buffer."""
 
@@ -84,171 +79,200 @@ class Block:
         at = np.flatnonzero(self.whole(WINDOW))
         return at, low[at]
 
-    def words(self, at: int, n: int) -> bytes:
-        """Words at to at + n, joined by spaces."""
-        return b" ".join(self.raw[self.start[at] : self.end[at + n - 1]].split())
+    def prints(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """First words and fingerprints, as longs, of all windows of n words, ten or fewer."""
+        if n == WINDOW:
+            at, low = self.winnow()
+            return at, low.view(np.int64)
+        at = np.flatnonzero(self.whole(n))
+        return at, self.grams(min(n, GRAM))[at].view(np.int64)
+
+    def digest(self, at: int, n: int) -> bytes:
+        """A digest of n words from `at` on."""
+        return hashlib.md5(b" ".join(self.raw[self.start[at] : self.end[at + n - 1]].split())).digest()
 
 
 def _windows(columns: dict[str, list]) -> Iterator[dict]:
-    """(item_id, words) of items, one item after the other."""
+    """The windows of items: number of words, fingerprint, hash and digest of all words."""
     for item, text in zip(columns["item_id"], columns["text"], strict=True):
-        w = words_of(text)
-        n = min(WINDOW, len(w))
+        block = Block([text.encode("utf-8", "replace") if isinstance(text, str) else b""])
+        n = min(WINDOW, len(block.hash))
         if n:
-            windows = [b" ".join(w[s : s + n]) for s in range(len(w) - n + 1)]
-            yield {"item_id": [item] * len(windows), "words": windows}
-
-
-class Part:
-    """A part of the benchmark's windows, ready for look-ups."""
-
-    def __init__(self, rows: list[tuple[str, bytes]]) -> None:
-        self.items: dict[bytes, set[str]] = defaultdict(set)
-        for item, words in rows:
-            self.items[words].add(item)
-        found: dict[tuple[int, int], set[int]] = defaultdict(set)
-        for words in self.items:
-            block = Block([words])
-            n = len(block.hash)
-            if n == WINDOW:
-                found[WINDOW, GRAM].add(int(block.winnow()[1][0]))
-            else:
-                found[n, min(n, GRAM)].add(int(block.grams(min(n, GRAM))[0]))
-        self.marks = {k: np.array(sorted(v), dtype=np.uint64) for k, v in found.items()}
-
-    def candidates(self, block: Block) -> Iterator[tuple[int, int]]:
-        """(first word, words) of what may be a window; all that is one is among them."""
-        for (n, gram), marks in self.marks.items():
-            if n == WINDOW:
-                at, low = block.winnow()
-                new = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1]))) if len(low) else np.zeros(0, np.int64)
-                at_mark = np.minimum(np.searchsorted(marks, low[new]), len(marks) - 1)
-                hit = np.repeat(marks[at_mark] == low[new], np.diff(np.concatenate((new, [len(low)])))) if len(new) else np.zeros(0, bool)
-                for s in at[hit]:
-                    yield int(s), n
-            elif len(h := block.grams(gram)):
-                whole = block.whole(n)
-                at = np.flatnonzero(whole)
-                h = h[at]
-                for s in at[marks[np.minimum(np.searchsorted(marks, h), len(marks) - 1)] == h]:
-                    yield int(s), n
-
-
-def _blocks(ids: list, texts: list) -> Iterator[tuple[list, list[bytes]]]:
-    """Texts in blocks of at most BLOCK bytes, or of one text."""
-    own, held, size = [], [], 0
-    for i, t in zip(ids, texts, strict=True):
-        raw = t.encode("utf-8", "replace") if isinstance(t, str) else b""
-        if held and size + len(raw) > BLOCK:
-            yield own, held
-            own, held, size = [], [], 0
-        own.append(i)
-        held.append(raw)
-        size += len(raw)
+            at, fp = block.prints(n)
+            digests = [block.digest(s, n) for s in at.tolist()]
+            yield {"item_id": [item] * len(at), "n": [n] * len(at), "fp": fp, "whole": block.grams(n)[at].view(np.int64), "digest": digests}
+
+
+def _pieces(raw: bytes) -> Iterator[tuple[int, bytes]]:
+    """(words before, bytes) of a text's pieces of about BLOCK bytes; each repeats the last nine words of the one before."""
+    if len(raw) <= BLOCK:
+        yield 0, raw
+        return
+    low = raw.translate(_LOWER)
+    at = before = 0
+    while True:
+        cut, starts = at, np.zeros(0, np.int64)
+        while cut < len(low) and len(starts) < WINDOW:
+            cut = low.find(b" ", cut + BLOCK)
+            cut = len(low) if cut < 0 else cut
+            x = np.frombuffer(low[at:cut], dtype=np.uint8) != 0x20
+            starts = np.flatnonzero(x & ~np.concatenate(([False], x[:-1])))
+        yield before, low[at:cut]
+        if cut == len(low):
+            return
+        before += len(starts) - WINDOW + 1
+        at += int(starts[len(starts) - WINDOW + 1])
+
+
+def _blocks(texts: list) -> Iterator[tuple[np.ndarray, np.ndarray, Block]]:
+    """(text numbers, words before, block) of the pieces of texts, in blocks of about BLOCK bytes."""
+    own, before, held, size = [], [], [], 0
+    for i, t in enumerate(texts):
+        for words, raw in _pieces(t.encode("utf-8", "replace") if isinstance(t, str) else b""):
+            if held and size + len(raw) > BLOCK:
+                yield np.array(own), np.array(before), Block(held)
+                own, before, held, size = [], [], [], 0
+            own.append(i)
+            before.append(words)
+            held.append(raw)
+            size += len(raw)
     if held:
-        yield own, held
-
-
-def _search(part: Part, columns: dict[str, list]) -> Iterator[tuple[list, Block, list[list], list[set]]]:
-    for ids, texts in _blocks(list(zip(columns["doc_id"], columns["h"], strict=True)), columns["text"]):
-        block = Block(texts)
-        spans: list[list] = [[] for _ in ids]
-        items: list[set] = [set() for _ in ids]
-        for s, n in part.candidates(block):
-            if found := part.items.get(block.words(s, n)):
-                t = block.text[s]
-                first = s - int(block.first[t])
-                spans[t].append((first, first + n))
-                items[t] |= found
-        yield ids, block, spans, items
-
-
-def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for s, e in sorted(spans):
-        if out and s <= out[-1][1]:
-            out[-1] = (out[-1][0], max(e, out[-1][1]))
-        else:
-            out.append((s, e))
-    return out
+        yield np.array(own), np.array(before), Block(held)
+
+
+def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether values are among `known`, which is sorted."""
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values if len(known) else np.zeros(len(values), bool)
+
+
+#: A document's row has n_words alone; a window's has s, n and digest; a fingerprint's has s, last, n and fp.
+FOUND = "doc_id long, h long, n_words long, n int, s long, last long, fp long, digest binary"
+
+
+def _found(size: int, **columns) -> dict:
+    return {name: columns.get(name, [None] * size) for name in ("doc_id", "h", "n_words", "n", "s", "last", "fp", "digest")}
+
 
+def _search(columns: dict[str, list], marks: dict[int, tuple[np.ndarray, np.ndarray] | None]) -> Iterator[dict]:
+    """Rows of FOUND of the documents in `columns`; marks: the benchmark's fingerprints and windows by length, None for too many."""
+    doc_id, h = columns["doc_id"], columns["h"]
+    n_words = np.zeros(len(doc_id), np.int64)
+    for own, before, block in _blocks(columns["text"]):
+        np.maximum.at(n_words, own, before + np.diff(block.first))
 
-FOUND = "doc_id long, h long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+        def rows(at: np.ndarray, own=own, before=before, block=block, **more) -> dict:
+            t = block.text[at]
+            place = at - block.first[t] + before[t]
+            return _found(len(at), doc_id=[doc_id[i] for i in own[t]], h=[h[i] for i in own[t]], s=place, **more)
 
+        for n, known in marks.items():
+            at, fp = block.prints(n)
+            if known:
+                at = at[_within(fp, known[0])]
+                at = at[_within(block.grams(n)[at].view(np.int64), known[1])] if len(at) else at
+                if len(at):
+                    yield rows(at, n=[n] * len(at), digest=[block.digest(s, n) for s in at.tolist()])
+            elif len(at):
+                new = np.flatnonzero(np.concatenate(([True], (fp[1:] != fp[:-1]) | (np.diff(at) != 1))))
+                run = np.diff(np.concatenate((new, [len(at)])))
+                out = rows(at[new], n=[n] * len(new), fp=fp[new])
+                yield out | {"last": out["s"] + run - 1}
+    yield _found(len(doc_id), doc_id=doc_id, h=h, n_words=n_words)
 
-def _joined(columns: dict[str, list]) -> dict[str, list]:
-    merged = [_merge([(x["start"], x["end"]) for x in row]) for row in columns["spans"]]
-    return columns | {"spans": [[{"start": s, "end": e} for s, e in row] for row in merged]}
 
+def _marks(bench: DataFrame, few: int) -> dict[int, tuple[np.ndarray, np.ndarray] | None]:
+    sizes = {r["n"]: r["size"] for r in bench.groupBy("n").agg(F.countDistinct("whole").alias("size")).collect()}  # ten rows at most
+    out: dict[int, tuple[np.ndarray, np.ndarray] | None] = {}
+    for n, size in sorted(sizes.items()):
+        out[n] = None
+        if size <= few:
+            own = bench.where(F.col("n") == n)
+            out[n] = tuple(np.sort(own.select(c).distinct().toPandas()[c].to_numpy()) for c in ("fp", "whole"))
+    return out
+
+
+def _refetched(rows: DataFrame, hits: DataFrame) -> DataFrame:
+    """Windows (doc_id, h, s, n, digest) of the runs in `hits` (doc_id, h, n, s, last), read again from the documents."""
+    runs = hits.groupBy("doc_id", "h").agg(F.collect_list(F.struct("n", "s", "last")).alias("runs"))
 
-def _parts(benchmark: DataFrame, part_windows: int) -> Iterator[Part]:
-    """The benchmark's windows in parts of about `part_windows`; one empty part if there are none."""
-    bench = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
-    windows = materialize(map_lists(bench, _windows, "item_id string, words binary").distinct())
-    n = max(1, -(-windows.count() // part_windows))
-    windows = windows.withColumn("part", F.pmod(F.xxhash64("words"), F.lit(n)))
-    for number in range(n):
-        yield Part([(r["item_id"], bytes(r["words"])) for r in windows.where(F.col("part") == number).toLocalIterator()])
+    def fetch(columns: dict[str, list]) -> Iterator[dict]:
+        asked = [{} for _ in columns["runs"]]
+        for own, found in zip(asked, columns["runs"], strict=True):
+            for r in found:
+                own.setdefault(r["n"], []).append((r["s"], r["last"]))
+        for own, before, block in _blocks(columns["text"]):
+            for t, i in enumerate(own.tolist()):
+                words = int(block.first[t + 1] - block.first[t])
+                for n, spans in asked[i].items():
+                    starts = [s - int(before[t]) for a, b in spans for s in range(a, b + 1) if 0 <= s - before[t] <= words - n]
+                    if starts:
+                        digests = [block.digest(int(block.first[t]) + s, n) for s in starts]
+                        place = [s + int(before[t]) for s in starts]
+                        yield _found(len(starts), doc_id=[columns["doc_id"][i]] * len(starts), h=[columns["h"][i]] * len(starts), n=[n] * len(starts), s=place, digest=digests)
 
+    met = rows.join(runs, rows["doc_id"].eqNullSafe(runs["doc_id"]) & (rows["h"] == runs["h"])).select(rows["doc_id"], rows["h"], "text", "runs")
+    return map_lists(met, fetch, FOUND)
 
-def find_shared(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_WINDOWS) -> DataFrame:
-    """(doc_id, n_words, spans, items) for every row of `docs`.
+
+def _true_windows(docs: DataFrame, benchmark: DataFrame, few: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What _search() found, the documents' windows (doc_id, h, s, n, digest) that are the benchmark's, and its windows."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
+    bench = materialize(map_lists(items, _windows, "item_id string, n int, fp long, whole long, digest binary").distinct())
+    marks = _marks(bench, few)
+    shared = spark.sparkContext.broadcast(marks)  # ten lengths of `few` windows at most
+    found = materialize(map_lists(rows, lambda columns: _search(columns, shared.value), FOUND))
+    windows = found.where("digest is not null")
+    if None in marks.values():
+        prints = found.where("fp is not null")
+        hits = materialize(prints.join(bench.select("n", "fp").distinct(), ["n", "fp"], "left_semi").select("doc_id", "h", "n", "s", "last"))
+        windows = windows.unionByName(_refetched(rows, hits))
+    windows = windows.select("doc_id", "h", "s", "n", "digest").distinct()
+    return found, windows.join(bench.select("digest").distinct(), "digest", "left_semi"), bench
+
+
+def find_shared(docs: DataFrame, benchmark: DataFrame, few: int = FEW) -> DataFrame:
+    """(doc_id, n_words, spans, items) for every row of `docs`; its other columns are left out.
 
     spans: disjoint ranges of word numbers, end exclusive, that windows of the benchmark cover;
     items: ids, as strings, of the items those windows belong to. Null and empty texts have no
     words; an empty benchmark hits nothing; rows that repeat a doc_id are kept and judged each
-    alone. Items whose id is null hit words, but are not listed.
+    by its text; rows without doc_id are judged like any other. Items whose id is null hit words, but
+    are not listed. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("h"))
-    parts = _parts(benchmark, part_windows)
-
-    def search(part: Part) -> DataFrame:
-        shared = spark.sparkContext.broadcast(part)
-
-        def run(columns: dict[str, list]) -> Iterator[dict]:
-            for keys, block, spans, items in _search(shared.value, columns):
-                yield {
-                    "doc_id": [k[0] for k in keys],
-                    "h": [k[1] for k in keys],
-                    "n_words": np.diff(block.first),
-                    "spans": [[{"start": s, "end": e} for s, e in _merge(x)] for x in spans],
-                    "items": [sorted(y for y in x if y is not None) for x in items],
-                }
-
-        return map_lists(docs, run, FOUND)
-
-    found = [search(p) for p in parts]
-    if len(found) == 1:
-        return found[0].drop("h")
-    rows = reduce(DataFrame.unionByName, found).groupBy("doc_id", "h").agg(
-        F.first("n_words").alias("n_words"),
-        F.flatten(F.collect_list("spans")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        (F.count("*") / len(found)).cast("int").alias("copies"),
+    found, windows, bench = _true_windows(docs, benchmark, few)
+    windows = materialize(windows)
+    before = Window.partitionBy("doc_id", "h").orderBy("s", "n").rowsBetween(Window.unboundedPreceding, -1)
+    end = F.col("s") + F.col("n")
+    runs = windows.select("doc_id", "h", "s", "n").distinct().withColumn("far", F.max(end).over(before))
+    new = F.when(F.col("far").isNull() | (F.col("s") > F.col("far")), F.col("s"))
+    runs = runs.withColumn("start", F.max(new).over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy("doc_id", "h", "start").agg(F.max(end).alias("end"))
+    spans = runs.groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    met = windows.select("doc_id", "h", "digest").distinct().join(bench.where("item_id is not null").select("digest", "item_id"), "digest")
+    items = met.groupBy("doc_id", "h").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    # Null ids are the smallest long here, so that the joins are by equal keys.
+    named = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d")
+    hits = spans.select(named, "h", "spans").join(items.select(named, "h", "items"), ["d", "h"], "left")
+    every = found.where("n_words is not null").select("doc_id", named, "h", "n_words")
+    return every.join(hits, ["d", "h"], "left").select(
+        "doc_id",
+        "n_words",
+        F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("spans"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
-    rows = rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).drop("copy", "copies")
-    return map_lists(rows, _joined, FOUND).drop("h")
 
 
-def drop_hit(docs: DataFrame, benchmark: DataFrame, part_windows: int = PART_WINDOWS) -> DataFrame:
-    """`docs`, all its columns, without the rows that hold any window of the benchmark."""
-    spark = docs.sparkSession
-    out = docs
-    for number, part in enumerate(_parts(benchmark, part_windows)):
-        shared = spark.sparkContext.broadcast(part)
-
-        def clean(texts: list, shared=shared) -> list[bool]:
-            keep = [True] * len(texts)
-            for ids, raw in _blocks(list(range(len(texts))), texts):
-                block = Block(raw)
-                for s, n in shared.value.candidates(block):
-                    if keep[ids[block.text[s]]] and block.words(s, n) in shared.value.items:
-                        keep[ids[block.text[s]]] = False
-            return keep
-
-        out = keep_rows(materialize(out) if number else out, clean)
-    return out
+def drop_hit(docs: DataFrame, benchmark: DataFrame, few: int = FEW) -> DataFrame:
+    """`docs`, all its columns, without the rows that hold any window of the benchmark.
+
+    Null and empty texts stay, as do all rows where the benchmark is empty; rows are judged each by its text.
+    """
+    _, windows, _ = _true_windows(docs, benchmark, few)
+    hit = materialize(windows.select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).distinct())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_h"))
+    return docs.join(hit, same, "left_anti")
 
 
 def report(found: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 
 from tesserae.llm import decontaminate as d
@@ -49,16 +50,51 @@ def test_against_brute_force(case):
     assert found(df.repartition(3), bench) == brute(docs, items)
 
 
-def test_parts_give_the_same(case):
+@pytest.mark.parametrize("few", [0, 1, 8])
+def test_the_shuffle_gives_the_same(case, few):
+    """Of no length, of those with one window, or of those with up to eight, are the hashes broadcast."""
     docs, items, df, bench = case
-    assert found(df, bench, part_windows=8) == brute(docs, items)
+    assert found(df, bench, few=few) == brute(docs, items)
+
+
+def test_documents_are_scanned_once(case, monkeypatch):
+    """However large the benchmark is."""
+    _, _, df, bench = case
+    for few, scans in ((0, 1), (1000, 1)):
+        seen = []
+        monkeypatch.setattr(d, "_search", lambda columns, marks: iter(()))
+        monkeypatch.setattr(d, "map_lists", lambda frame, work, schema, real=d.map_lists: seen.append("text" in frame.columns and "h" in frame.columns and "runs" not in frame.columns) or real(frame, work, schema))
+        d.find_shared(df, bench, few=few)
+        assert sum(seen) == scans
+        monkeypatch.undo()
+
+
+@pytest.mark.parametrize("block", [1, 40, 333, 1 << 19])
+def test_long_texts_in_pieces(monkeypatch, block):
+    from .conftest import words
+
+    texts = [words(500, 3), None, "", "x" * 700 + " " + words(30, 4), words(9, 5), " ,; " * 300]
+    whole = d.Block([(t or "").encode() for t in texts])
+    want = [set() for _ in texts]
+    for s in whole.prints(10)[0].tolist():
+        t = int(whole.text[s])
+        want[t].add((s - int(whole.first[t]), whole.digest(s, 10)))
+    monkeypatch.setattr(d, "BLOCK", block)
+    got, n_words = [set() for _ in texts], [0] * len(texts)
+    for own, before, b in d._blocks(texts):
+        for t, i in enumerate(own.tolist()):
+            n_words[i] = max(n_words[i], int(before[t] + b.first[t + 1] - b.first[t]))
+        for s in b.prints(10)[0].tolist():
+            t = int(b.text[s])
+            got[own[t]].add((s - int(b.first[t]) + int(before[t]), b.digest(s, 10)))
+    assert got == want and n_words == np.diff(whole.first).tolist()
 
 
 def test_dropping(case):
     docs, items, df, bench = case
     clean = sorted(str(x[0]) for x in brute(docs, items) if not x[2])
-    for n in (8, 1000):
-        assert sorted(str(r["doc_id"]) for r in d.drop_hit(df, bench, part_windows=n).collect()) == clean
+    for n in (0, 8, 1000):
+        assert sorted(str(r["doc_id"]) for r in d.drop_hit(df, bench, few=n).collect()) == clean
 
 
 def test_empty(case, no_docs):
