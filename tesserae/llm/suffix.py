@@ -7,14 +7,17 @@ that equal strings meet:
    anchor; equal windows have equal anchors at the same place. Successive windows with one anchor
    form a stretch. Anchors whose gram occurs once cannot repeat and are dropped.
 2. Equal stretches become one class with its first occurrence, by a grouped minimum that is summed
-   before the shuffle. All windows of the others repeat.
+   before the shuffle. All windows of the others repeat. Classes are named by an MD5 of their bytes.
 3. Classes with one gram meet in a task. It sorts the suffixes of `length` bytes or more of their
    stretches into an enhanced suffix array (order and common prefixes of neighbours), walks the
    common prefixes with a stack, which builds the interval tree bottom up, and keeps the intervals
    of `length` or more whose occurrences differ in the byte before them (or begin a stretch): the
    maximal repeats, each with all its occurrences.
-4. Grams with more than `HOT` classes would make one task's group too large. Their windows are
-   grouped by their digest instead, again by a minimum that is summed before the shuffle.
+4. A gram with more than `HOT` classes is split first, by the bytes around it: of the places that the
+   gram may have within a window, one half has more bytes after it in common, the other more before
+   it. Each stretch gives each half its windows there, named by these bytes too, and equal ones
+   become classes again. Halving goes on until no name has more than `HOT` classes, at the latest
+   when a name is a whole window; every name then gets its interval tree as in step 3.
 
 Positions are bytes of UTF-8. Null texts are empty.
 """
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -30,17 +34,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Rolling, materialize, mix, sliding_min, table
+from .rows import map_frames
 
 LENGTH = 100
 GRAM = 24
 #: Classes of one gram that a task takes together.
-HOT = 4096
+HOT = 1024
 #: Bytes of stretches of which a task builds one suffix array; whole grams only.
 ARRAY_BYTES = 1 << 19
 #: Bytes of text hashed at a time.
 BLOCK = 1 << 19
-#: Bits of the filter of repeated grams at most: 64 MB.
-FILTER_BITS = 1 << 29
+#: Hashes in a filter at most (64 MB); with more there is none, and joins do its work.
+FILTER_KEYS = 1 << 25
 SLICE_BITS = 1 << 20
 
 _PLACE = np.uint64((1 << 20) - 1)
@@ -68,7 +73,7 @@ def _blocks(texts: list[bytes], length: int) -> Iterator[tuple[list[tuple[int, i
 
 
 class Stretches:
-    """The stretches of several texts: text number, first window, windows, the anchor's gram hash, and a hash of the whole."""
+    """The stretches of several texts: text number, first window, windows, the anchor's gram hash and place after the first window's start."""
 
     def __init__(self, texts: list[bytes], length: int) -> None:
         out: list[tuple[np.ndarray, ...]] = []
@@ -87,9 +92,8 @@ class Stretches:
             p = piece[at[new]]
             text, offset = np.array(held, dtype=np.int64).T
             windows = np.diff(np.concatenate((new, [len(at)])))
-            whole = mix(_ROLL.slices(prefix, at[new], at[new] + windows + length - 1) + windows.astype(np.uint64))
-            out.append((text[p], at[new] - first[p] + offset[p], windows, grams[own[new]].view(np.int64), whole.view(np.int64)))
-        self.text, self.start, self.windows, self.gram, self.whole = (np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out, strict=True) if out else [()] * 5))
+            out.append((text[p], at[new] - first[p] + offset[p], windows, grams[own[new]].view(np.int64), own[new] - at[new]))
+        self.text, self.start, self.windows, self.gram, self.anchor = (np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out, strict=True) if out else [()] * 5))
 
 
 def _raw(texts: pd.Series) -> list[bytes]:
@@ -206,13 +210,12 @@ def _arrays(length: int, array_bytes: int):
 
 
 class Filter:
-    """A bit map of hashes, of bounded size: has all that were put in, and a few others."""
+    """A bit map of hashes: has all that were put in, and one in sixteen of the others."""
 
-    def __init__(self, hashes: DataFrame) -> None:
-        """`hashes` has one column of longs, g."""
-        n = hashes.count()
+    def __init__(self, hashes: DataFrame, n: int) -> None:
+        """`hashes` has one column of longs, g, and `n` rows."""
         self.bits = SLICE_BITS
-        while self.bits < min(FILTER_BITS, 16 * n):
+        while self.bits < 16 * n:
             self.bits *= 2
 
         def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,7 +232,7 @@ class Filter:
 
         place = F.col("g").bitwiseAND(F.lit(self.bits - 1))
         dealt = hashes.select(F.shiftright(place, 20).alias("part"), place.bitwiseAND(F.lit(SLICE_BITS - 1)).alias("bit")).distinct()
-        slices = dealt.repartition("part").sortWithinPartitions("part").mapInPandas(fill, "part long, bits binary")
+        slices = map_frames(dealt.repartition("part").sortWithinPartitions("part"), fill, "part long, bits binary")
         self.map = np.zeros(self.bits // 8, dtype=np.uint8)
         for r in slices.toLocalIterator():
             self.map[r["part"] * SLICE_BITS // 8 : (r["part"] + 1) * SLICE_BITS // 8] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
@@ -239,96 +242,151 @@ class Filter:
         return (self.map[at >> 3] & (128 >> (at & 7)).astype(np.uint8)) > 0
 
 
+def _filter(hashes: DataFrame, most: int):
+    """A broadcast filter of the column g of `hashes`, or None for more than `most`."""
+    n = hashes.count()
+    return hashes.sparkSession.sparkContext.broadcast(Filter(hashes, n)) if n <= most else None
+
+
 def _place_hash(gram: np.ndarray, doc_id: np.ndarray, start: np.ndarray) -> np.ndarray:
     """A hash of a stretch's place."""
     return mix(gram.view(np.uint64) + mix(doc_id.astype(np.int64).view(np.uint64) + mix(start.astype(np.int64).view(np.uint64)))).view(np.int64)
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, array_bytes: int = ARRAY_BYTES) -> DataFrame:
+PLACE = ("doc_id", "h", "start")
+STRINGS = "g long, doc_id long, h long, start long, a int, u binary"
+
+
+def _strings(docs: DataFrame, several: DataFrame, length: int, most: int) -> DataFrame:
+    """STRINGS of the stretches in `several` (g, doc_id, h, start), each once: a is the gram's place in the bytes u."""
+
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"g": _place_hash(*(b[c].to_numpy() for c in ("g", "doc_id", "start")))})
+
+    wanted = _filter(map_frames(several.select("g", "doc_id", "start"), places, "g long"), most)
+    if not wanted:
+        starts = several.groupBy("doc_id", "h").agg(F.collect_set("start").alias("starts"))
+        docs = docs.join(starts, ["doc_id", "h"])
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            raw = _raw(b["text"])
+            found = Stretches(raw, length)
+            doc_id, h = b["doc_id"].to_numpy()[found.text], b["h"].to_numpy()[found.text]
+            if wanted:
+                keep = np.flatnonzero(wanted.value.has(_place_hash(found.gram, doc_id, found.start)))
+            else:
+                asked = [set(x.tolist()) for x in b["starts"]]
+                keep = np.array([i for i, (t, s) in enumerate(zip(found.text.tolist(), found.start.tolist(), strict=True)) if s in asked[t]], dtype=np.int64)
+            text, start = found.text[keep], found.start[keep]
+            ends = start + found.windows[keep] + (length - 1)
+            strings = [raw[t][s:e] for t, s, e in zip(text.tolist(), start.tolist(), ends.tolist(), strict=True)]
+            yield pd.DataFrame({"g": found.gram[keep], "doc_id": doc_id[keep], "h": h[keep], "start": start, "a": found.anchor[keep], "u": strings})
+
+    # A filter lets some other stretches through, and repeated rows have one place: one string a class is left.
+    strung = map_frames(docs, cut, STRINGS).dropDuplicates(["g", *PLACE])
+    return strung.join(several.select("g", *PLACE), ["g", *PLACE], "left_semi")
+
+
+def _halved(strings: DataFrame, length: int) -> DataFrame:
+    """Each of `strings` (STRINGS, and lo and hi: the gram's least and last place in a window) in two, by the gram's place.
+
+    g becomes a hash of the bytes that all windows of a half with the gram have in common; strings
+    that get one by chance stay apart, as lo and hi are part of the name and bytes are compared later.
+    """
+    windows = F.octet_length("u") - length + 1
+    middle = ((F.col("lo") + F.col("hi")) / 2).cast("int")
+    halves = F.array(F.struct(F.col("lo").alias("lo"), middle.alias("hi")), F.struct((middle + 1).alias("lo"), F.col("hi").alias("hi")))
+    cut = strings.select("doc_id", "h", "start", "a", "u", windows.alias("n"), F.explode(halves).alias("half")).select("*", "half.lo", "half.hi")
+    first, last = F.greatest(F.lit(0), F.col("a") - F.col("hi")), F.least(F.col("n") - 1, F.col("a") - F.col("lo"))
+    cut = cut.where("lo <= hi").withColumn("i", first).withColumn("j", last).where("i <= j")
+    common = F.substring("u", F.col("a") - F.col("lo") + 1, F.col("lo") + GRAM + (length - GRAM - F.col("hi")))
+    return cut.select(
+        F.xxhash64(common, "lo", "hi").alias("g"), "doc_id", "h", (F.col("start") + F.col("i")).alias("start"), (F.col("a") - F.col("i")).alias("a"),
+        F.substring("u", F.col("i") + 1, F.col("j") - F.col("i") + length).alias("u"), "lo", "hi",
+    )
+
+
+def _split(strings: DataFrame, hot: int, length: int) -> tuple[DataFrame, DataFrame]:
+    """(strings to build arrays of, SPANS of whole strings that repeat) in place of `strings`, whose names are all hot."""
+    todo = strings.withColumn("lo", F.lit(0)).withColumn("hi", F.lit(length - GRAM))
+    ready, spans = [], []
+    while True:
+        parts = materialize(_halved(todo, length).withColumn("d", F.md5("u")))
+        classes = parts.groupBy("g", "d", "lo", "hi").agg(F.min(F.struct(*PLACE, "a", "u")).alias("first"), F.count("*").alias("copies"))
+        classes = materialize(classes)
+        # Written first, so that the join has an exchange for each side and a hot class can be split.
+        firsts = materialize(classes.where("copies > 1").select("g", "d", "lo", "hi", F.struct(*(F.col(f"first.{c}") for c in PLACE)).alias("first")))
+        copies = parts.join(firsts, ["g", "d", "lo", "hi"]).where(F.struct(*PLACE) != F.col("first"))
+        spans.append(copies.select(*PLACE, (F.col("start") + F.octet_length("u")).alias("end")))
+        sizes = materialize(classes.groupBy("g").count().where("count > 1"))
+        alone = classes.select("g", *(f"first.{c}" for c in (*PLACE, "a", "u")), "lo", "hi").join(sizes, "g")
+        ready.append(alone.where(F.col("count") <= hot))
+        todo = alone.where((F.col("count") > hot) & (F.col("lo") < F.col("hi")))
+        if sizes.where(F.col("count") > hot).isEmpty():
+            break
+        if todo.isEmpty():  # whole windows have one class each, but for chance
+            ready.append(alone.where(F.col("count") > hot))
+            break
+    columns = ["g", *PLACE, "u"]
+    return reduce(DataFrame.unionByName, (r.select(*columns) for r in ready)), reduce(DataFrame.unionByName, spans)
+
+
+def repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, array_bytes: int = ARRAY_BYTES, most: int = FILTER_KEYS) -> DataFrame:
     """(doc_id, h, start, end): byte ranges of the documents that repeat earlier ones, unmerged.
 
     `docs` has doc_id and h (longs, not null) and text. Together the ranges of a document cover just
     the bytes of strings of `length` bytes that also start earlier: in a document with smaller
     (doc_id, h), or further ahead in the same one.
     """
-    spark = docs.sparkSession
 
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"g": Stretches(_raw(b["text"]), length).gram})
 
-    repeated = docs.select("text").mapInPandas(grams, "g long").groupBy("g").count().where("count > 1").select("g")
-    shared = spark.sparkContext.broadcast(Filter(materialize(repeated)))  # FILTER_BITS at most
+    repeated = materialize(map_frames(docs.select("text"), grams, "g long").groupBy("g").count().where("count > 1").select("g"))
+    shared = _filter(repeated, most)
 
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = Stretches(_raw(b["text"]), length)
-            keep = np.flatnonzero(shared.value.has(found.gram))
-            text = found.text[keep]
+            raw = _raw(b["text"])
+            found = Stretches(raw, length)
+            keep = np.flatnonzero(shared.value.has(found.gram)) if shared else np.arange(len(found.gram))
+            text, start, n = found.text[keep], found.start[keep], found.windows[keep]
+            ends = start + n + (length - 1)
             yield pd.DataFrame(
                 {
                     "g": found.gram[keep],
-                    "d": found.whole[keep],
+                    "d": [hashlib.md5(raw[t][s:e]).digest() for t, s, e in zip(text.tolist(), start.tolist(), ends.tolist(), strict=True)],
                     "doc_id": b["doc_id"].to_numpy()[text],
                     "h": b["h"].to_numpy()[text],
-                    "start": found.start[keep],
-                    "n": found.windows[keep],
+                    "start": start,
+                    "n": n,
                 }
             )
 
-    # A class is named by 128 bits of hashes: of its gram, and of the whole stretch.
-    found = materialize(docs.mapInPandas(stretches, "g long, d long, doc_id long, h long, start long, n int"))
-    classes = found.groupBy("g", "d").agg(F.min(F.struct("doc_id", "h", "start")).alias("first"), F.count("*").alias("copies"))
+    found = map_frames(docs, stretches, "g long, d binary, doc_id long, h long, start long, n int")
+    found = materialize(found if shared else found.join(repeated, "g", "left_semi"))
+    classes = found.groupBy("g", "d").agg(F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("copies"))
     classes = materialize(classes)
     firsts = classes.where("copies > 1").select("g", "d", "first")
-    copies = found.join(firsts, ["g", "d"]).where(F.struct("doc_id", "h", "start") != F.col("first"))
-    copies = copies.select("doc_id", "h", "start", (F.col("start") + F.col("n") + (length - 1)).alias("end"))
+    copies = found.join(firsts, ["g", "d"]).where(F.struct(*PLACE) != F.col("first"))
+    out = copies.select(*PLACE, (F.col("start") + F.col("n") + (length - 1)).alias("end"))
 
     sizes = materialize(classes.groupBy("g").count().where("count > 1"))
-
-    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield b.assign(place=_place_hash(b["g"].to_numpy(), b["doc_id"].to_numpy(), b["start"].to_numpy()))
-
-    several = classes.join(sizes, "g", "left_semi").select("g", "first.doc_id", "first.h", "first.start")
-    several = materialize(several.mapInPandas(places, "g long, doc_id long, h long, start long, place long"))
-    wanted = spark.sparkContext.broadcast(Filter(several.select(F.col("place").alias("g"))))  # FILTER_BITS at most
-
-    def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            raw = _raw(b["text"])
-            found = Stretches(raw, length)
-            keep = np.flatnonzero(wanted.value.has(_place_hash(found.gram, b["doc_id"].to_numpy()[found.text], found.start)))
-            text, start = found.text[keep], found.start[keep]
-            ends = start + found.windows[keep] + (length - 1)
-            yield pd.DataFrame(
-                {
-                    "g": found.gram[keep],
-                    "doc_id": b["doc_id"].to_numpy()[text],
-                    "h": b["h"].to_numpy()[text],
-                    "start": start,
-                    "u": [raw[t][s:e] for t, s, e in zip(text.tolist(), start.tolist(), ends.tolist(), strict=True)],
-                }
-            )
-
-    # The bit map lets some other copies through, and repeated rows have one place: one string a class is left.
-    place = ["g", "doc_id", "h", "start"]
-    strung = docs.mapInPandas(strings, "g long, doc_id long, h long, start long, u binary").dropDuplicates(place)
-    strung = strung.join(several.select(place), place, "left_semi")
+    several = materialize(classes.join(sizes, "g", "left_semi").select("g", *(f"first.{c}" for c in PLACE)))
+    strung = _strings(docs, several, length, most)
     common = materialize(sizes.where(F.col("count") > hot).select("g"))
     if common.isEmpty():
-        cold, out = strung, copies
+        cold = strung.select("g", *PLACE, "u")
     else:
         strung = materialize(strung)
-        cold = strung.join(common, "g", "left_anti").select("g", "doc_id", "h", "start", "u")
-        windows = strung.join(common, "g", "left_semi").select("doc_id", "h", "start", "u", F.explode(F.sequence(F.lit(0), F.octet_length("u") - length)).alias("o"))
-        windows = windows.select("doc_id", "h", (F.col("start") + F.col("o")).alias("start"), F.unhex(F.md5(F.substring("u", F.col("o") + 1, F.lit(length)))).alias("d"))
-        first = windows.groupBy("d").agg(F.min(F.struct("doc_id", "h", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
-        # Written first, so that the join has an exchange for each side and a hot window can be split.
-        late = windows.join(materialize(first), "d").where(F.struct("doc_id", "h", "start") != F.col("first"))
-        out = copies.unionByName(late.select("doc_id", "h", "start", (F.col("start") + length).alias("end")))
+        cold = strung.join(common, "g", "left_anti").select("g", *PLACE, "u")
+        ready, whole = _split(strung.join(common, "g", "left_semi"), hot, length)
+        cold, out = cold.unionByName(ready), out.unionByName(whole)
     dealt = cold.repartition("g").sortWithinPartitions("g")
-    return out.unionByName(dealt.mapInPandas(_arrays(length, array_bytes), SPANS))
+    return out.unionByName(map_frames(dealt, _arrays(length, array_bytes), SPANS))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -346,11 +404,10 @@ def cut(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
     document and get one result each; of different texts with one doc_id the order is by their hash.
     Null doc_ids come first and are null in the result. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
     keyed = _keyed(docs)
     found = materialize(repeats(keyed, length, **options).groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     hash_ = F.xxhash64("doc_id", "h")
-    touched = spark.sparkContext.broadcast(Filter(found.select(hash_.alias("g"))))  # FILTER_BITS at most
+    touched = _filter(found.select(hash_.alias("g")), options.get("most", FILTER_KEYS))
 
     @F.pandas_udf("boolean")
     def maybe(hashes: pd.Series) -> pd.Series:
@@ -367,9 +424,9 @@ def cut(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
             yield out
 
     kind = "array<struct<start:bigint,end:bigint>>"
-    marked = keyed.withColumn("hit", maybe(hash_))
+    marked = keyed.withColumn("hit", maybe(hash_) if touched else F.lit(True))
     joined = marked.where("hit").join(found.hint("shuffle_hash"), ["doc_id", "h"], "left").select("doc_id", "text", "spans")
-    joined = joined.mapInPandas(run, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans {kind}")
+    joined = map_frames(joined, run, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans {kind}")
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rest = marked.where("not hit").select(
         "doc_id", F.octet_length(raw).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2(raw, 256).alias("kept_sha256"), F.array().cast(kind).alias("spans")

@@ -40,13 +40,54 @@ def passages(seed, n):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize(("seed", "options"), [(1, {}), (2, {"hot": 1}), (3, {"array_bytes": 500}), (4, {"hot": 3, "array_bytes": 1})])
+@pytest.mark.parametrize(("seed", "options"), [(1, {}), (2, {"hot": 1}), (3, {"array_bytes": 500}), (4, {"hot": 3, "array_bytes": 1}), (5, {"most": 0}), (6, {"most": 0, "hot": 2})])
 def test_against_brute_force(spark, seed, options):
     rows = passages(seed, 40)
     df = spark.createDataFrame([(*r, 1, "h") for r in rows], "doc_id long, text string, n_bytes int, h string").repartition(4)
     assert found(df, 40, **options) == sorted(brute(rows, 40), key=str)
 
 
+def test_a_gram_around_which_everything_differs(spark):
+    """A common passage shorter than a window in many surroundings, some of which repeat."""
+    rng = random.Random(11)
+    common = "all rights reserved to the holders"
+    left, right = (["".join(rng.choice("abcdef ") for _ in range(60)) for _ in range(25)] for _ in range(2))
+    rows = [(i, rng.choice(left)[rng.randint(0, 40) :] + common + rng.choice(right)[: rng.randint(5, 60)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = sorted(brute(rows, 60), key=str)
+    assert sum(r[2] for r in want) > 1000
+    assert found(df, 60, hot=20) == want and found(df, 60, hot=1) == want
+
+
+def test_no_name_stays_hot(spark, monkeypatch):
+    """Every group that reaches an array has `hot` strings at most."""
+    sizes = []
+    real = suffix._split
+
+    def watched(strings, hot, length):
+        ready, spans = real(strings, hot, length)
+        sizes.append(ready.groupBy("g").count().agg({"count": "max"}).first()[0])
+        return ready, spans
+
+    monkeypatch.setattr(suffix, "_split", watched)
+    rng = random.Random(3)
+    common = "all rights reserved to the holders"
+    rows = [(i, "".join(rng.choice("abcdef ") for _ in range(60)) + common + "".join(rng.choice("ab") for _ in range(60))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(df, 60, hot=15) == sorted(brute(rows, 60), key=str)
+    assert sizes and all(n is None or n <= 15 for n in sizes)
+
+
+def test_hashes_that_collide_are_told_apart(spark):
+    """Thue-Morse words and their complements have one polynomial hash, but not one MD5."""
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    rows = [(0, a), (1, b), (2, "x" + a + "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(df, 100) == sorted(brute(rows, 100), key=str)
+
+
 def test_blocks_of_long_texts(spark, monkeypatch):
     rows = passages(9, 30)
     monkeypatch.setattr(suffix, "BLOCK", 64)
@@ -79,7 +120,7 @@ def test_odd_rows(odd_docs, no_docs):
 class Full:
     """A bit map with all bits set."""
 
-    def __init__(self, hashes):
+    def __init__(self, hashes, n):
         pass
 
     def has(self, hashes):
@@ -106,7 +147,8 @@ def test_one_string_a_class_reaches_a_gram(spark, monkeypatch):
     first = {}
     for i, t in rows:
         s = suffix.Stretches([t.encode()], 40)
-        for g, d, start in zip(s.gram.tolist(), s.whole.tolist(), s.start.tolist()):
+        for g, n, start in zip(s.gram.tolist(), s.windows.tolist(), s.start.tolist()):
+            d = t[start : start + n + 39]
             first[g, d] = min(first.get((g, d), (i, start)), (i, start))
     grams = [g for g, _ in first]
     want = [(g, *at) for (g, _), at in first.items() if grams.count(g) > 1]
