@@ -8,8 +8,9 @@ card                     also 13 to 15 digits that pass Luhn, if a word near by
 ssn                      three, two and four digits, if a word near by speaks for it
 key                      access keys and values given to words such as password or token
 
-Base spans are always kept. A span that the method adds is kept if its score reaches `KEEP`: the
-kind's own score, more if a word near by speaks for it and less if one speaks against it.
+Every span has a score: its kind's own, more if a word near by speaks for it and less if one speaks
+against it. Base spans are always kept, however low their scores; a span that the method adds is kept
+if its score reaches `KEEP`.
 
 Every pattern is searched from a rare first character, or from the start of a run, so no text takes
 more than linear time.
@@ -32,7 +33,6 @@ ADDED = ("iban", "ssn", "key")
 #: Code points before and after a span in which words count.
 NEAR = 48
 KEEP = 0.5
-BASE = 2.0
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -45,8 +45,12 @@ _DIGIT = re.compile(r"[0-9]")
 _ACCESS = re.compile(r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b")
 _SECRET = re.compile(r"\b(?:password|passwd|pwd|secret|token|api_?key)\b[\x20\t]{0,3}[=:][\x20\t]{0,3}(?P<q>[\"']?)(?P<v>[^\s\"']{6,})(?P=q)", re.IGNORECASE)
 
-#: Own score of a kind; words that speak for it; words that speak against it.
+#: Own score of a kind; words that speak for it; words that speak against it. Cards of 16 digits or more, as base spans, have a score beyond other ones'.
 CONTEXT = {
+    "email": (0.9, r"mail|contact|write|reach|address", r"example|sample|noreply|no-reply"),
+    "ip": (0.6, r"ip|host|server|address|login|client", r"version|release|section|build|v\b"),
+    "phone": (0.7, r"phone|call|tel|mobile|fax|contact|whatsapp", r"order|invoice|serial|tracking|isbn"),
+    "base card": (0.7, r"card|visa|master|amex|credit|debit|karte|carte|tarjeta|kredit", r"order|invoice|serial|tracking|isbn"),
     "iban": (0.8, r"iban|account|konto|cuenta|compte|bank|bic|swift", r"example|sample|dummy"),
     "card": (0.3, r"card|visa|master|amex|credit|debit|karte|carte|tarjeta|kredit", r"order|invoice|serial|tracking|isbn"),
     "ssn": (0.4, r"ssn|social|security|tax", r"order|invoice|serial|part|model"),
@@ -100,22 +104,21 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return out
 
 
-def scored(kind: str, text: str, start: int, end: int) -> float:
-    """Score of an added span: its kind's own, moved by the words near by."""
-    own, pro, con = _CONTEXT[kind]
+def scored(kind: str, text: str, start: int, end: int, base: bool = False) -> float:
+    """Score of a span: its kind's own, moved by the words near by."""
+    own, pro, con = _CONTEXT["base card" if base and kind == "card" else kind]
     near = f"{text[max(0, start - NEAR) : start]} | {text[end : end + NEAR]}"
     return min(1.0, max(0.0, own + 0.3 * bool(pro.search(near)) - 0.4 * bool(con.search(near))))
 
 
-def spans(text: str | None) -> list[tuple[str, int, int, float]]:
-    """(kind, start, end, score) of all personal data in a whole text, by kind and start.
+def spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:
+    """(kind, start, end, score, whether it is a base span) of all personal data in a whole text, by kind and start.
 
-    Base spans have the score BASE, beyond any other.
     Added spans never overlap base ones or each other.
     """
     text = text or ""
     base = base_spans(text)
-    found = [(k, s, e, BASE) for k in KINDS for s, e in base[k]]
+    found = [(k, s, e, scored(k, text, s, e, base=True), True) for k in KINDS for s, e in base[k]]
     extra: list[tuple[str, int, int]] = []
     if _DIGIT.search(text):
         for m in _IBAN.finditer(text):
@@ -134,28 +137,28 @@ def spans(text: str | None) -> list[tuple[str, int, int, float]]:
     if "=" in text or ":" in text:
         extra += [("key", *m.span("v")) for m in _SECRET.finditer(text)]
     taken = bytearray(len(text) if extra else 0)
-    for _, s, e, _ in found if extra else ():
+    for _, s, e, *_ in found if extra else ():
         taken[s:e] = b"\1" * (e - s)
     for kind, s, e in extra:
         if not any(taken[s:e]) and (x := scored(kind, text, s, e)) >= KEEP:
-            found.append((kind, s, e, x))
+            found.append((kind, s, e, x, False))
             taken[s:e] = b"\1" * (e - s)
     order = {k: i for i, k in enumerate((*KINDS, *ADDED))}
     return sorted(found, key=lambda x: (order[x[0]], x[1]))
 
 
-def masked(text: str, found: list[tuple[str, int, int, float]]) -> str:
+def masked(text: str, found: list[tuple]) -> str:
     """The text with every span replaced by its kind in angle brackets; of overlapping spans, the first."""
     out, done = [], 0
-    for kind, s, e, _ in sorted(found, key=lambda x: (x[1], -x[2])):
+    for kind, s, e, *_ in sorted(found, key=lambda x: (x[1], -x[2])):
         if s >= done:
             out += [text[done:s], f"<{kind}>"]
         done = max(done, e)
     return "".join([*out, text[done:]])
 
 
-def _written(found: list[tuple[str, int, int, float]]) -> str:
-    return ",".join(f"{k}:{s}:{e}" for k, s, e, _ in found)
+def _written(found: list[tuple]) -> str:
+    return ",".join(f"{k}:{s}:{e}" for k, s, e, *_ in found)
 
 
 FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, scores array<double>"
@@ -165,12 +168,12 @@ def _report(columns: dict[str, list]) -> dict[str, list]:
     out: dict[str, list] = {"doc_id": columns["doc_id"]} | {c: [] for c in (*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "scores")}
     for text in columns["text"]:
         found = spans(text)
-        base = [x for x in found if x[3] == BASE]
+        base = [x for x in found if x[4]]
         for k in KINDS:
             out[f"n_{k}"].append(sum(x[0] == k for x in base))
         out["base_sha256"].append(hashlib.sha256(_written(base).encode()).hexdigest())
         out["spans"].append(_written(found))
-        out["scores"].append([min(1.0, x[3]) for x in found])
+        out["scores"].append([x[3] for x in found])
     return out
 
 
@@ -184,7 +187,10 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def mask(docs: DataFrame) -> DataFrame:
-    """`docs`, all its columns, with personal data in `text` masked; null texts stay null."""
+    """`docs`, all its columns, with personal data in `text` masked.
+
+    Null texts stay null and empty ones empty; repeated rows are masked each; an empty table gives an empty result.
+    """
     return change_column(docs, lambda texts: [None if t is None else masked(t, spans(t)) for t in texts])
 
 
