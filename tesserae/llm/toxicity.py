@@ -5,8 +5,8 @@ its different words; a document's score is the noisy-or of them, 1 - prod(1 - p)
 the likelihood of these is differentiated through the noisy-or, so the sentences that explain a
 label are found by training. The same sentence scores then locate the offending sentences.
 
-The model is fitted on a bounded sample of labelled rows (`TRAIN_DOCS` of each class, of at most
-`TRAIN_CHARS` code points each), drawn by a hash of doc_id; every text is scored whole.
+The model is fitted on a bounded sample of labelled rows (`TRAIN_DOCS` of each class, and of very long
+ones sentences of about `TRAIN_CHARS` code points), drawn by hashes; every text is scored whole.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from .rows import add_columns, keep_rows, map_lists
 
 #: Rows of each class that the model is fitted on, about.
 TRAIN_DOCS = 2500
-#: Longer texts are not used for fitting.
+#: Of longer texts, sentences of about so many code points are fitted on, drawn by a hash of their places.
 TRAIN_CHARS = 50_000
 #: Hashed features; the model is one float of 4 bytes for each.
 FEATURES = 1 << 20
@@ -99,7 +99,9 @@ def _bags(columns: dict[str, list]) -> dict[str, list]:
     """The different words of training texts' sentences, one sentence after the other."""
     out: dict[str, list] = {"doc_id": columns["doc_id"], "toxic": columns["toxic"], "sizes": [], "words": []}
     for text in columns["text"]:
-        own = [list(dict.fromkeys(_WORD.findall(m[0]))) for m in _SENTENCE.finditer((text or "").lower())]
+        part = TRAIN_CHARS / max(1, len(text or ""))
+        found = (m for m in _SENTENCE.finditer((text or "").lower()) if part >= 1 or zlib.crc32(b"%d" % m.start()) < part * 2**32)
+        own = [list(dict.fromkeys(_WORD.findall(m[0]))) for m in found]
         out["sizes"].append([len(x) for x in own if x])
         out["words"].append([w for x in own for w in x])
     return out
@@ -125,7 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = TRAIN_DOCS) ->
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     part = F.when(F.col("toxic") == 1, sample_docs / counts[1]).otherwise(sample_docs / counts[0])
     chosen = F.broadcast(known.where(draw < part))  # about 2 * sample_docs rows of 12 bytes
-    texts = docs.select(F.col("doc_id").cast("long"), "text").where(F.length("text") <= TRAIN_CHARS)
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     bags = map_lists(texts.join(chosen, "doc_id"), _bags, "doc_id long, toxic int, sizes array<int>, words array<string>").where("size(words) > 0").toArrow()
     bags = bags.combine_chunks().sort_by("doc_id")
     if not bags.num_rows:
@@ -206,7 +208,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def reject(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs`, all its columns, without the rows that score `threshold` or more."""
+    """`docs`, all its columns, without the rows that score `threshold` or more.
+
+    Null, empty and wordless texts stay; repeated rows are judged each; an empty table gives an empty result.
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     held: list[WordWeights] = []

@@ -52,3 +52,33 @@ def test_labels_kept_back_are_not_used(spark, odd_docs):
     ids = [i for i in range(1, 13) if zlib.crc32(str(i).encode()) % 3 == 1]
     labels = spark.createDataFrame([(i, i % 2, 0) for i in ids], "doc_id long, toxic int, quality int")
     assert not toxicity.train(odd_docs, labels).weights.any()
+
+
+def test_long_texts_are_fitted_on():
+    text = "You there. " * 20_000
+    (words,), (sizes,) = (toxicity._bags({"doc_id": [1], "toxic": [1], "text": [text]})[c] for c in ("words", "sizes"))
+    assert 0.8 < 11 * len(sizes) / toxicity.TRAIN_CHARS < 1.2 and len(words) == sum(sizes)
+    (short,) = toxicity._bags({"doc_id": [1], "toxic": [1], "text": ["You there. " * 9]})["sizes"]
+    assert len(short) == 9
+
+
+def test_fit_finds_the_offending_word():
+    """Brute force: of random bags, the label hangs on one word, and training gives it the largest weight."""
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    docs = [[[rng.choice("abcdefghijklmnop") * 4 for _ in range(5)] for _ in range(4)] for _ in range(400)]
+    y = [int(rng.random() < 0.5) for _ in docs]
+    for d, label in zip(docs, y, strict=True):
+        if label:
+            d[rng.randrange(4)].append("qqqq")
+    flat = [w for d in docs for s in d for w in dict.fromkeys(s)]
+    vocabulary = sorted(set(flat))
+    sizes = [len(dict.fromkeys(s)) for d in docs for s in d]
+    model = toxicity.fit(np.array(y), np.full(len(docs), 4), np.array(sizes), np.array([vocabulary.index(w) for w in flat]), vocabulary)
+    weights = toxicity.WordWeights(model)
+    assert max(vocabulary, key=weights.__getitem__) == "qqqq"
+    scores = [toxicity.noisy_or([z for *_, z in toxicity.sentences(". ".join(" ".join(s) for s in d), weights)]) for d in docs]
+    assert sum((s >= 0.5) == bool(label) for s, label in zip(scores, y, strict=True)) > 390
