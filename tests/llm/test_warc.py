@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from tesserae.llm import warc
@@ -10,10 +13,11 @@ def run(spark, rows, **options):
     return {r["record_id"]: r for r in warc.resolve(df, **options).collect()}
 
 
-def test_latest_earlier_response(spark):
+@pytest.mark.parametrize("per_bucket", [3, 20, 100_000])
+def test_latest_earlier_response(spark, per_bucket):
     rows = [(i, "http://www.A.com/p/?utm_source=x#top", 10 * i, False, {"etag": f'"{i}"', "content-type": "t", "date": str(i)}) for i in range(1, 40)]
     rows += [(1000 + t, "https://a.com:443/p", t, True, {"etag": f'W/"{(t - 1) // 10}"', "date": "new", "content-type": "no"}) for t in range(0, 400, 7)]
-    got = run(spark, rows, buckets=8)
+    got = run(spark, rows, per_bucket=per_bucket)
     for t in range(0, 400, 7):
         r, want = got[1000 + t], min(39, (t - 1) // 10)
         if want < 1:
@@ -41,6 +45,33 @@ def test_empty(spark):
 
 
 def test_canonical_urls(spark):
-    urls = ["http://www.Ex.com/", "https://ex.com", "ex.com:80/#a", "http://ex.com/?utm_a=1&ref=x", "ex.com/a?b=1&utm_x=2&c=3", "ex.com/a/?b=1", None, ""]
+    urls = ["http://www.Ex.com/", "https://ex.com", "ex.com:80/#a", "http://ex.com/?utm_a=1&ref=x", "ex.com/a?b=1&utm_x=2&c=3", "ex.com/a/?b=1", "ex.com/a?c=3&b=1", None, ""]
     got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(warc.canonical_url(F.col("u"))).collect()]
-    assert got == ["ex.com"] * 4 + ["ex.com/a?b=1&c=3", "ex.com/a?b=1", None, ""]
+    assert got == ["ex.com"] * 4 + ["ex.com/a?b=1&c=3", "ex.com/a?b=1", "ex.com/a?b=1&c=3", None, ""]
+
+
+@pytest.mark.parametrize("per_bucket", [2, 7, 100_000])
+def test_against_brute_force(spark, per_bucket):
+    """Interleaved captures of few URLs, bursts at one time, and null headers."""
+    rng = random.Random(per_bucket)
+    rows = []
+    for i in range(600):
+        url = rng.choice(["http://a.com/x", "https://www.a.com/x/", "b.com", "c.com/?q=1"])
+        ts = 50 if rng.random() < 0.4 else rng.randint(0, 100)
+        rows.append((i, url, ts, rng.random() < 0.5, rng.choice([None, {"etag": str(ts // 9), "server": None}, {"last-modified": str(ts // 20)}, {"date": str(i)}])))
+    key = {"http://a.com/x": "a.com/x", "https://www.a.com/x/": "a.com/x", "b.com": "b.com", "c.com/?q=1": "c.com?q=1"}
+    got = run(spark, rows, per_bucket=per_bucket)
+    assert len(got) == sum(r[3] for r in rows)
+    for i, url, ts, revisit, own in rows:
+        if revisit:
+            full = max(((t, j, h) for j, u, t, r, h in rows if not r and key[u] == key[url] and t < ts), key=lambda x: x[:2], default=None)
+            own, theirs = ({k: v for k, v in (h or {}).items() if v is not None} for h in (own, full[2] if full else None))
+            agrees = all(own[k] == theirs[k] for k in ("etag", "last-modified") if k in own and k in theirs)
+            status = "no_earlier_response" if not full else "resolved" if agrees else "validator_mismatch"
+            assert (got[i]["canonical_url"], got[i]["status"], got[i]["response_id"]) == (key[url], status, full and full[1])
+            assert got[i]["headers"] == (theirs | own if status == "resolved" else None)
+
+
+def test_columns_of_other_names(spark):
+    df = spark.createDataFrame([(1, "a.com", 1, False, {"etag": "x"}, 5, 6, "s"), (2, "a.com", 2, True, {"etag": "x"}, 5, 6, "s")], "record_id long, url string, ts long, revisit boolean, headers map<string,string>, bucket int, cuts int, status string")
+    assert [tuple(r)[:4] for r in warc.resolve(df).collect()] == [(2, "a.com", "resolved", 1)]
