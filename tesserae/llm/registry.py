@@ -30,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_revisits": warc.OP2_SQL,
         "op5_chat": chat.OP5_SQL,
         "op8_decontaminate": decontaminate.OP8_SQL,
+        "op10_suffix_repeats": suffix.OP10_SQL,
     }

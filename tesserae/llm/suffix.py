@@ -447,3 +447,20 @@ def kept_bytes(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 def op10_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents left when strings of 100 bytes that started earlier are gone."""
     return cut(table(spark, sf_dir, "documents")).drop("spans")
+
+
+#: The same by all windows of 100 bytes, in hexadecimal, for DuckDB; texts are cut into overlapping parts first, as substr() counts from the start.
+OP10_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+b AS (SELECT doc_id, o, n, substr(x, 2 * o + 1, 798) AS part FROM (SELECT doc_id, x, n, unnest(range(0, n - 99, 300)) AS o FROM d WHERE n >= 100)),
+w AS (SELECT doc_id, o + s AS s, md5(substr(part, 2 * s + 1, 200)) AS k FROM (SELECT doc_id, o, part, unnest(range(least(300, n - 99 - o))) AS s FROM b)),
+f AS (SELECT k, min((doc_id, s)) AS first FROM w GROUP BY k HAVING count(*) > 1),
+late AS (SELECT w.doc_id, w.s FROM w JOIN f USING (k) WHERE (w.doc_id, w.s) <> f.first),
+m AS (SELECT doc_id, s, s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS gap FROM late),
+i AS (SELECT doc_id, s, sum(CASE WHEN gap <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM m),
+r AS (SELECT doc_id, run, min(s) AS a, max(s) + 100 AS b FROM i GROUP BY ALL),
+k AS (SELECT doc_id, b AS a, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY a), n) AS b, b - a AS gone FROM (
+  SELECT doc_id, a, b, n FROM r JOIN d USING (doc_id) UNION ALL SELECT doc_id, 0, 0, n FROM d)),
+c AS (SELECT doc_id, sum(gone) AS gone, count(*) - 1 AS n_spans, string_agg(substr(x, 2 * k.a + 1, 2 * (k.b - k.a)), '' ORDER BY k.a) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(gone AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256 FROM d JOIN c USING (doc_id)
+"""
