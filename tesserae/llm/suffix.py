@@ -459,7 +459,7 @@ late AS (SELECT w.doc_id, w.s FROM w JOIN f USING (k) WHERE (w.doc_id, w.s) <> f
 m AS (SELECT doc_id, s, s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS gap FROM late),
 i AS (SELECT doc_id, s, sum(CASE WHEN gap <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM m),
 r AS (SELECT doc_id, run, min(s) AS a, max(s) + 100 AS b FROM i GROUP BY ALL),
-k AS (SELECT doc_id, b AS a, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY a), n) AS b, b - a AS gone FROM (
+k AS (SELECT doc_id, b AS a, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY a, b), n) AS b, b - a AS gone FROM (
   SELECT doc_id, a, b, n FROM r JOIN d USING (doc_id) UNION ALL SELECT doc_id, 0, 0, n FROM d)),
 c AS (SELECT doc_id, sum(gone) AS gone, count(*) - 1 AS n_spans, string_agg(substr(x, 2 * k.a + 1, 2 * (k.b - k.a)), '' ORDER BY k.a) AS kept FROM k JOIN d USING (doc_id) GROUP BY doc_id)
 SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(gone AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256 FROM d JOIN c USING (doc_id)
