@@ -77,17 +77,22 @@ def not_summing_to_one(df: DataFrame, key: str, column: str, tolerance: float =
 
 
 def overlapping_cores(grid: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Grid rows that start at the same place as another row, or where their row's previous core has not ended."""
+    """Grid rows that start where a core before them in their row, not just the last one, has not ended."""
     from pyspark.sql import Window
 
-    line = Window.partitionBy(*keys, "y0").orderBy("x0", "label")
-    return _violations(grid.withColumn("_end", F.lag("x1").over(line)).where("_end > x0"), "overlap", F.col("label"))
+    before = Window.partitionBy(*keys, "y0").orderBy("x0", "label").rowsBetween(Window.unboundedPreceding, -1)
+    return _violations(grid.withColumn("_end", F.max("x1").over(before)).where("_end > x0"), "overlap", F.col("label"))
 
 
-def conflicting_pairs(df: DataFrame, unit: str, order: str, value: str, tolerance: float) -> DataFrame:
-    """Pairs of rows of a unit whose values differ by more than a share of the larger one."""
-    a, b = df.select(unit, F.col(order).alias("a"), F.col(value).alias("va")), df.select(unit, F.col(order).alias("b"), F.col(value).alias("vb"))
-    return a.join(b, unit).where("a < b").where(F.abs(F.col("va") - F.col("vb")) > tolerance * F.greatest(F.abs("va"), F.abs("vb"))).select(unit, "a", "b")
+def conflicting_values(df: DataFrame, unit: str, order: str, value: str, tolerance: float) -> DataFrame:
+    """Rows whose value differs from their unit's smallest or largest by more than a share of the larger one, with these.
+
+    A row that conflicts with any row of its unit conflicts with one of the two, so no pairs are formed. Values are positive.
+    """
+    ends = df.groupBy(unit).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+    met = df.select(unit, order, value).join(ends, unit)
+    apart = (F.col(value) - F.col("low") > tolerance * F.col(value)) | (F.col("high") - F.col(value) > tolerance * F.col("high"))
+    return met.where(apart).select(unit, order, "low", "high")
 
 
 def not_bijective(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -7,12 +7,15 @@ nothing is compared across samples or far apart.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import stored
+
 #: Rows that a broadcast side may have; larger sides go through a shuffle.
 BROADCAST_ROWS = 20_000
 
@@ -74,15 +77,73 @@ def nearest_of_sources(points: DataFrame, keys: Sequence[str], radius: float, k:
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def nearest(points: DataFrame, others: DataFrame, keys: Sequence[str], k: int, tile: float, differ: str | None = None) -> DataFrame:
+    """(keys, a, b, d, rank): for every point (id, x, y) the `k` nearest of `others` with the same keys, however far.
+
+    A point meets the nine tiles around it. If its k nearest there lie within a tile's width, nothing
+    nearer can lie outside; the points left go on to tiles twice as wide, until tiles cover everything.
+    A point is not its own neighbour; `differ` names a column in which neighbours must differ from
+    the point; ties go to the smaller id. `tile` only bears on the speed.
+    """
+    keys, extra = list(keys), [differ] if differ else []
+    ends = [F.struct(F.min(c).alias("low"), F.max(c).alias("high")) for c in ("x", "y")]
+    box = points.select("x", "y").unionByName(others.select("x", "y")).agg(*(e.alias(c) for e, c in zip(ends, "xy", strict=True))).first()
+    span = max((box[c]["high"] or 0) - (box[c]["low"] or 0) for c in "xy")
+    here = others.select(*keys, F.col("id").alias("b"), F.col("x").alias("xb"), F.col("y").alias("yb"), *(F.col(c).alias("_other") for c in extra))
+    todo = points.select(*keys, F.col("id").alias("a"), F.col("x").alias("xa"), F.col("y").alias("ya"), *extra)
+    order = Window.partitionBy(*keys, "a").orderBy("_d2", "b")
+    steps = F.sequence(F.lit(-1), F.lit(1))
+    square = (F.col("xa") - F.col("xb")) ** 2 + (F.col("ya") - F.col("yb")) ** 2
+    found, size = [], float(tile)
+    while True:
+        placed = todo.withColumn("_i", F.floor(F.col("xa") / size)).withColumn("_j", F.floor(F.col("ya") / size))
+        placed = placed.withColumn("_tx", F.explode(F.transform(steps, lambda s: F.col("_i") + s))).withColumn("_ty", F.explode(F.transform(steps, lambda s: F.col("_j") + s)))
+        met = placed.join(here.withColumn("_tx", F.floor(F.col("xb") / size)).withColumn("_ty", F.floor(F.col("yb") / size)), [*keys, "_tx", "_ty"]).where("a <> b")
+        met = met.where(F.col(differ) != F.col("_other")) if differ else met
+        best = met.withColumn("_d2", square).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        best = stored(best.select(*keys, "a", "b", F.sqrt("_d2").alias("d"), "rank"))
+        if size >= span:
+            return reduce(DataFrame.unionByName, [*found, best])
+        done = best.where((F.col("rank") == k) & (F.col("d") <= size)).select(*keys, "a")
+        found.append(best.join(done, [*keys, "a"], "left_semi"))
+        todo = stored(todo.join(done, [*keys, "a"], "left_anti"))
+        if todo.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        size *= 2
+
+
+def nearest_values(df: DataFrame, keys: Sequence[str], value: str, k: int) -> DataFrame:
+    """(keys, a, b, d): for every row (id) the `k` rows with the same keys whose values are nearest; ties to the smaller id.
+
+    The k nearest rows have values among the k different ones on either side, and of each value
+    only the k + 1 smallest ids can be among them, so a row meets a bounded number of others.
+    """
+    keys = list(keys)
+    first = Window.partitionBy(*keys, value).orderBy("id")
+    few = df.select(*keys, "id", value).withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= k + 1)
+    listed = few.groupBy(*keys, value).agg(F.collect_list("id").alias("ids"))
+    around = Window.partitionBy(*keys).orderBy(value).rowsBetween(-k, k)
+    near = listed.withColumn("_near", F.collect_list(F.struct(F.col(value).alias("v"), "ids")).over(around)).select(*keys, value, "_near")
+    met = df.select(*keys, F.col("id").alias("a"), value).join(near, [*keys, value]).withColumn("_c", F.explode("_near")).withColumn("b", F.explode("_c.ids")).where("a <> b")
+    met = met.withColumn("d", F.abs(F.col(value) - F.col("_c.v")))
+    order = Window.partitionBy(*keys, "a").orderBy("d", "b")
+    return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(*keys, "a", "b", "d", "rank")
+
+
 def nearest_landmarks(points: DataFrame, landmarks: DataFrame, k: int) -> DataFrame:
-    """(id, landmark, d, rank): the `k` nearest of a few landmarks (landmark, x, y) for every point.
+    """(id, landmark, d, rank): the `k` nearest landmarks (landmark, x, y) for every point.
 
-    Up to BROADCAST_ROWS landmarks are sent to the tasks and compared in blocks; more are an error,
-    as a nearest-neighbour table of any size needs `near_pairs`. Ties go to the smaller landmark.
+    Up to BROADCAST_ROWS landmarks are sent to the tasks and compared in blocks; more are dealt to
+    tiles, as in nearest(), of about k landmarks. Ties go to the smaller landmark.
     """
     few = landmarks.select(F.col("landmark").cast("long"), F.col("x").cast("double"), F.col("y").cast("double")).limit(BROADCAST_ROWS + 1).toPandas()
     if len(few) > BROADCAST_ROWS:
-        raise ValueError(f"more than {BROADCAST_ROWS} landmarks")
+        other = landmarks.select(F.col("landmark").cast("long").alias("id"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+        area = other.agg((F.max("x") - F.min("x")) * (F.max("y") - F.min("y")) * k / F.count("*")).first()[0]
+        # Landmarks are apart from points, so no id is a point's own: numbers below zero are free for it.
+        away = points.select((-1 - F.col("id").cast("long")).alias("id"), "x", "y")
+        found = nearest(away, other, [], k, max(1e-9, float(area) ** 0.5))
+        return found.select((-1 - F.col("a")).alias("id"), F.col("b").alias("landmark"), "d", "rank")
     few = few.sort_values("landmark", kind="stable")
     ids, at = few["landmark"].to_numpy(), few[["x", "y"]].to_numpy()
 

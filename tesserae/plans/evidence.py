@@ -47,23 +47,30 @@ def agreement_tiers(spark, sf_dir):
     return evidence.tiers(_points(spark, sf_dir), joins.near_pairs(_points(spark, sf_dir), ["sample_id"], 16.0), 12.0).withColumnRenamed("id", "cell_id")
 
 
-@query(f"""WITH {CELLS}, {_PAIRS}, r AS (SELECT sample_id, a, b, row_number() OVER (PARTITION BY a ORDER BY round(d, 9), b) AS k FROM pairs WHERE d < 24),
-p AS (SELECT a.cell_id AS a, b.cell_id AS b, row_number() OVER (PARTITION BY a.cell_id ORDER BY abs(a.area - b.area), b.cell_id) AS k FROM pairs n JOIN cells a ON n.a = a.cell_id JOIN cells b ON n.b = b.cell_id WHERE n.d < 24),
-u AS (SELECT a, b, max(o) AS one, max(t) AS two FROM (SELECT a, b, 1 AS o, 0 AS t FROM r WHERE k <= 2 UNION ALL SELECT a, b, 0, 1 FROM p WHERE k <= 2) GROUP BY ALL)
+_ALL_PAIRS = "pairs AS (SELECT a.sample_id, a.cell_id AS a, b.cell_id AS b, a.source AS sa, b.source AS sb, abs(a.area - b.area) AS v, (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2 FROM cells a JOIN cells b ON a.sample_id = b.sample_id AND a.cell_id <> b.cell_id)"
+
+
+@query(f"WITH {CELLS}, {_ALL_PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY d2, b) AS k FROM pairs) SELECT sample_id, a, b, round(sqrt(d2), 9) AS d, CAST(k AS INTEGER) AS rank FROM r WHERE k <= 4")
+def nearest_cells(spark, sf_dir):
+    return joins.nearest(_points(spark, sf_dir), _points(spark, sf_dir), ["sample_id"], 4, 64.0).withColumn("d", F.round("d", 9))
+
+
+@query(f"""WITH {CELLS}, {_ALL_PAIRS}, r AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY d2, b) AS k FROM pairs),
+p AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY v, b) AS k FROM pairs),
+u AS (SELECT a, b, max(o) AS one, max(t) AS two FROM (SELECT a, b, 1 AS o, 0 AS t FROM r WHERE k <= 6 UNION ALL SELECT a, b, 0, 1 FROM p WHERE k <= 6) GROUP BY ALL)
 SELECT a AS cell_id, CAST(sum(one * two) AS DOUBLE) / count(*) AS jaccard FROM u GROUP BY a""")
 def neighbour_set_overlap(spark, sf_dir):
-    near = joins.near_pairs(_points(spark, sf_dir), ["sample_id"], 24.0)
-    area = cells(spark, sf_dir).select(F.col("cell_id").alias("a"), F.col("area").alias("va"))
-    feature = near.join(area, "a").join(area.toDF("b", "vb"), "b").select("a", "b", F.abs(F.col("va") - F.col("vb")).alias("d"))
-    return evidence.neighbour_overlap(near.select("a", "b", F.round("d", 9).alias("d")), feature, 2).withColumnRenamed("a", "cell_id")
+    """The six nearest in place and the six nearest in area, each from the whole sample."""
+    near = joins.nearest(_points(spark, sf_dir), _points(spark, sf_dir), ["sample_id"], 6, 64.0)
+    alike = joins.nearest_values(cells(spark, sf_dir).select("sample_id", F.col("cell_id").alias("id"), "area"), ["sample_id"], "area", 6)
+    return evidence.neighbour_overlap(near.select("a", "b", "d"), alike.select("a", "b", "d"), 6).withColumnRenamed("a", "cell_id")
 
 
-@query(f"""WITH {CELLS}, {_PAIRS}, n AS (SELECT sample_id, a, sa, min(d) AS d FROM pairs WHERE d < 24 AND sa <> sb GROUP BY ALL) SELECT sample_id, sa AS source, count(*) AS n, round(avg(d), 6) AS mean_nearest, round(max(d), 6) AS hausdorff FROM n GROUP BY ALL""")
+@query(f"""WITH {CELLS}, {_ALL_PAIRS}, n AS (SELECT sample_id, a, sa, sqrt(min(d2)) AS d FROM pairs WHERE sa <> sb GROUP BY ALL) SELECT sample_id, sa AS source, count(*) AS n, round(avg(d), 6) AS mean_nearest, round(max(d), 6) AS hausdorff FROM n GROUP BY ALL""")
 def nearest_boundary(spark, sf_dir):
     points = _points(spark, sf_dir)
-    near = joins.near_pairs(points, ["sample_id"], 24.0)
-    a, b = points.select(F.col("id").alias("a"), F.col("source").alias("source")), points.select(F.col("id").alias("b"), F.col("source").alias("other"))
-    best = near.join(a, "a").join(b, "b").where("source <> other").groupBy("sample_id", "a", "source").agg(F.min("d").alias("d"))
+    near = joins.nearest(points, points, ["sample_id"], 1, 64.0, differ="source")
+    best = near.join(points.select("sample_id", F.col("id").alias("a"), "source"), ["sample_id", "a"])
     return best.groupBy("sample_id", "source").agg(F.count("*").alias("n"), F.round(F.avg("d"), 6).alias("mean_nearest"), F.round(F.max("d"), 6).alias("hausdorff"))
 
 
@@ -86,13 +93,13 @@ def token_purity(spark, sf_dir):
     return evidence.tokens(label_raster(spark, sf_dir), ["sample_id"], 4).groupBy("sample_id").agg(F.count_if("pure").alias("pure"), F.count("*").alias("tokens"), F.round(F.avg("mean"), 9).alias("mean"))
 
 
-@query(f"""WITH {RASTER}, t AS (SELECT sample_id, y // 8 AS ty, x // 8 AS tx, avg(label) AS v FROM raster GROUP BY ALL), p AS (SELECT sample_id, y, x, (y + 0.5) / 8 - 0.5 AS fy, (x + 0.5) / 8 - 0.5 AS fx FROM raster WHERE y % 5 = 0 AND x % 5 = 0),
+@query(f"""WITH {RASTER}, t AS (SELECT sample_id, y // 8 AS ty, x // 8 AS tx, avg(label) AS v FROM raster GROUP BY ALL), p AS (SELECT sample_id, y, x, (y + 0.5) / 8 - 0.5 AS fy, (x + 0.5) / 8 - 0.5 AS fx FROM raster),
 n AS (SELECT p.sample_id, p.y, p.x, t.v, (1 - abs(fy - t.ty)) * (1 - abs(fx - t.tx)) AS w FROM p JOIN t ON p.sample_id = t.sample_id AND abs(fy - t.ty) < 1 AND abs(fx - t.tx) < 1)
 SELECT sample_id, y, x, round(sum(w * v) / sum(w), 6) AS v FROM n GROUP BY ALL""")
 def bilinear_projection(spark, sf_dir):
     r = label_raster(spark, sf_dir)
     tokens = evidence.tokens(r, ["sample_id"], 8).select("sample_id", "ty", "tx", F.col("mean").alias("v"))
-    return evidence.bilinear(r.where("y % 5 = 0 AND x % 5 = 0").select("sample_id", "y", "x"), tokens, ["sample_id"], 8).withColumn("v", F.round("v", 6))
+    return evidence.bilinear(r.select("sample_id", "y", "x"), tokens, ["sample_id"], 8).withColumn("v", F.round("v", 6))
 
 
 @query(f"""WITH {PIXELS}, q AS (SELECT sample_id, quantile_cont(score, 0.02) AS lo, quantile_cont(score, 0.98) AS hi FROM pixels GROUP BY ALL) SELECT p.sample_id, count(*) AS n, round(avg(least(greatest((score - lo) / nullif(hi - lo, 0), 0), 1)), 9) AS mean FROM pixels p JOIN q ON p.sample_id = q.sample_id GROUP BY ALL""")
@@ -100,9 +107,9 @@ def scaled_intensity(spark, sf_dir):
     return evidence.percentile_scaled(pixels(spark, sf_dir), ["sample_id"], "score", 0.02, 0.98).groupBy("sample_id").agg(F.count("*").alias("n"), F.round(F.avg("scaled"), 9).alias("mean"))
 
 
-@query(f"""WITH {PIXELS} SELECT label % 10 AS channel, count(*) AS n, avg((score < 5)::INT) AS near_zero, avg((score >= 50)::INT) AS saturated, round(corr(score, other), 9) AS r, avg(score) FILTER (nucleus > 0) AS inside, avg(score) FILTER (nucleus = 0) AS outside FROM pixels WHERE label > 0 AND y % 2 = 0 AND x % 2 = 0 GROUP BY ALL""")
+@query(f"""WITH {PIXELS} SELECT label % 10 AS channel, count(*) AS n, avg((score < 5)::INT) AS near_zero, avg((score >= 50)::INT) AS saturated, round(corr(score, other), 9) AS r, avg(score) FILTER (nucleus > 0) AS inside, avg(score) FILTER (nucleus = 0) AS outside FROM pixels WHERE label > 0 GROUP BY ALL""")
 def marker_quality(spark, sf_dir):
-    p = pixels(spark, sf_dir).where("label > 0 AND y % 2 = 0 AND x % 2 = 0").withColumn("channel", F.col("label") % 10)
+    p = pixels(spark, sf_dir).where("label > 0").withColumn("channel", F.col("label") % 10)
     stats = p.groupBy("channel").agg(
         F.count("*").alias("n"), F.avg((F.col("score") < 5).cast("int")).alias("near_zero"), F.avg((F.col("score") >= 50).cast("int")).alias("saturated"), F.avg(F.when(F.col("nucleus") > 0, F.col("score"))).alias("inside"), F.avg(F.when(F.col("nucleus") == 0, F.col("score"))).alias("outside")
     )
@@ -182,10 +189,10 @@ def chosen_resolution(spark, sf_dir):
     return evidence.cascade(s, ["sample_id"], "score", 0.03, ["k", "tiny", F.desc("score")]).select("sample_id", "k", "score")
 
 
-@query("""WITH w AS (SELECT o_orderkey % 40 AS wanted, o_custkey % 64 AS have FROM orders WHERE o_orderkey % 3 = 0), r AS (SELECT DISTINCT wanted, have FROM w)
+@query("""WITH w AS (SELECT o_orderkey % 40 AS wanted, o_custkey % 64 AS have FROM orders), r AS (SELECT DISTINCT wanted, have FROM w)
 SELECT wanted, CASE WHEN max(have) FILTER (have <= wanted) IS NOT NULL THEN max(have) FILTER (have <= wanted) ELSE min(have) END AS have FROM r GROUP BY wanted""")
 def nearest_dimension(spark, sf_dir):
-    w = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select((F.col("o_orderkey") % 40).alias("wanted"), (F.col("o_custkey") % 64).alias("have"))
+    w = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 40).alias("wanted"), (F.col("o_custkey") % 64).alias("have"))
     return w.groupBy("wanted").agg(F.coalesce(F.max(F.when(F.col("have") <= F.col("wanted"), F.col("have"))), F.min("have")).alias("have"))
 
 

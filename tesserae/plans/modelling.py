@@ -27,13 +27,13 @@ def _vectors(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "label", F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double")).alias("v"))
 
 
-_LANDMARKS = "lm AS (SELECT vec_id AS id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS v FROM embeddings WHERE vec_id % 5 = 0)"
+_LANDMARKS = "lm AS (SELECT vec_id AS id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS v FROM embeddings)"
 _NEAREST = f"""{_LANDMARKS}, nn AS (SELECT a, b FROM (SELECT a.id AS a, b.id AS b, row_number() OVER (PARTITION BY a.id ORDER BY list_inner_product(a.v, a.v) + list_inner_product(b.v, b.v) - 2 * list_inner_product(a.v, b.v), b.id) AS r FROM lm a JOIN lm b ON a.id <> b.id) WHERE r <= 10)"""
 
 
 @query(f"WITH {_NEAREST} SELECT x.a AS a, y.a AS b, count(*) AS shared FROM nn x JOIN nn y ON x.b = y.b AND x.a < y.a GROUP BY ALL")
 def shared_neighbour_graph(spark, sf_dir):
-    near = models.nearest_in_feature_space(_vectors(spark, sf_dir).where("id % 5 = 0"), 10)
+    near = models.nearest_in_feature_space(_vectors(spark, sf_dir), 10)
     return models.shared_neighbours(near.select("a", "b"))
 
 

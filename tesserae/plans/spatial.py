@@ -105,23 +105,23 @@ def pair_distances(spark, sf_dir):
     return joins.near_pairs(_points(spark, sf_dir), ["sample_id"], 24.0).where("a < b").groupBy("sample_id").agg(F.count("*").alias("n_pairs"), F.round(F.avg("d"), 6).alias("mean_d"))
 
 
-@query(f"""WITH {CELLS}, l AS (SELECT s_suppkey AS landmark, (s_suppkey * 7919 % 8192) / 8.0 AS x, (s_suppkey * 104729 % 8192) / 8.0 AS y, s_suppkey % 6 AS cluster FROM supplier WHERE s_suppkey < 200),
+@query(f"""WITH {CELLS}, l AS (SELECT s_suppkey AS landmark, (s_suppkey * 7919 % 8192) / 8.0 AS x, (s_suppkey * 104729 % 8192) / 8.0 AS y, s_suppkey % 6 AS cluster FROM supplier),
 n AS (SELECT cell_id AS id, landmark, cluster, row_number() OVER (PARTITION BY cell_id ORDER BY (c.x - l.x) * (c.x - l.x) + (c.y - l.y) * (c.y - l.y), landmark) AS r FROM cells c, l),
 v AS (SELECT id, cluster, count(*) AS n FROM n WHERE r <= 15 GROUP BY ALL),
 o AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, cluster) AS r, sum(n) OVER (PARTITION BY id) AS k FROM v)
 SELECT id, max(cluster) FILTER (r = 1) AS cluster, max(n) FILTER (r = 1) / max(k) AS fraction, (max(n) FILTER (r = 1) - coalesce(max(n) FILTER (r = 2), 0)) / max(k) AS margin FROM o GROUP BY id""")
 def landmark_vote(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").where("s_suppkey < 200")
+    s = table(spark, sf_dir, "supplier")
     landmarks = s.select(F.col("s_suppkey").alias("landmark"), (F.expr("s_suppkey * 7919 % 8192") / 8.0).alias("x"), (F.expr("s_suppkey * 104729 % 8192") / 8.0).alias("y"))
     near = joins.nearest_landmarks(_points(spark, sf_dir), landmarks, 15)
     return agg.vote(near, s.select(F.col("s_suppkey").alias("landmark"), (F.col("s_suppkey") % 6).alias("cluster")))
 
 
-@query(f"""WITH {CELLS}, l AS (SELECT s_suppkey AS landmark, (s_suppkey * 7919 % 8192) / 8.0 AS x, (s_suppkey * 104729 % 8192) / 8.0 AS y, s_suppkey % 6 AS value FROM supplier WHERE s_suppkey < 200),
+@query(f"""WITH {CELLS}, l AS (SELECT s_suppkey AS landmark, (s_suppkey * 7919 % 8192) / 8.0 AS x, (s_suppkey * 104729 % 8192) / 8.0 AS y, s_suppkey % 6 AS value FROM supplier),
 n AS (SELECT cell_id AS id, value, sqrt((c.x - l.x) * (c.x - l.x) + (c.y - l.y) * (c.y - l.y)) AS d, row_number() OVER (PARTITION BY cell_id ORDER BY (c.x - l.x) * (c.x - l.x) + (c.y - l.y) * (c.y - l.y), landmark) AS r FROM cells c, l)
 SELECT id, round(sum(value / greatest(d, 1e-6)) / sum(1 / greatest(d, 1e-6)), 6) AS value FROM n WHERE r <= 5 GROUP BY id""")
 def inverse_distance_projection(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").where("s_suppkey < 200")
+    s = table(spark, sf_dir, "supplier")
     landmarks = s.select(F.col("s_suppkey").alias("landmark"), (F.expr("s_suppkey * 7919 % 8192") / 8.0).alias("x"), (F.expr("s_suppkey * 104729 % 8192") / 8.0).alias("y"))
     near = joins.nearest_landmarks(_points(spark, sf_dir), landmarks, 5).join(s.select(F.col("s_suppkey").alias("landmark"), (F.col("s_suppkey") % 6).alias("value")), "landmark")
     w = 1 / F.greatest(F.col("d"), F.lit(1e-6))
@@ -169,12 +169,12 @@ def polygon_shapes(spark, sf_dir):
     return _polygons(spark, sf_dir).select("sample_id", "polygon", geometry.area(ring).alias("area"), b["x0"].alias("x0"), b["y1"].alias("y1"), geometry.crosses_itself(ring).alias("crosses"))
 
 
-@query(f"""WITH {CELLS}, {_SIDES}, b AS (SELECT sample_id, polygon, CAST(floor(min(ax)) AS INT) AS x0, CAST(ceil(max(ax)) AS INT) AS x1, CAST(floor(min(ay)) AS INT) AS y0, CAST(ceil(max(ay)) AS INT) AS y1 FROM sides WHERE polygon % 400 = 0 GROUP BY ALL),
+@query(f"""WITH {CELLS}, {_SIDES}, b AS (SELECT sample_id, polygon, CAST(floor(min(ax)) AS INT) AS x0, CAST(ceil(max(ax)) AS INT) AS x1, CAST(floor(min(ay)) AS INT) AS y0, CAST(ceil(max(ay)) AS INT) AS y1 FROM sides GROUP BY ALL),
 p AS (SELECT sample_id, polygon, y, unnest(generate_series(x0, x1)) AS x FROM (SELECT *, unnest(generate_series(y0, y1)) AS y FROM b)),
 t AS (SELECT p.sample_id, p.polygon, p.y, p.x, sum(CASE WHEN (ay > p.y + 0.5) <> (by_ > p.y + 0.5) AND p.x + 0.5 < (bx - ax) * (p.y + 0.5 - ay) / CASE WHEN by_ = ay THEN 1e-12 ELSE by_ - ay END + ax THEN 1 ELSE 0 END) % 2 AS odd FROM p JOIN sides s ON p.polygon = s.polygon GROUP BY ALL)
 SELECT sample_id, polygon, count(*) AS pixels, CAST(sum(x) AS BIGINT) AS sum_x, CAST(sum(y) AS BIGINT) AS sum_y FROM t WHERE odd = 1 GROUP BY ALL""")
 def polygon_pixels(spark, sf_dir):
-    found = geometry.rasterised(_polygons(spark, sf_dir).where("polygon % 400 = 0"), ["sample_id"])
+    found = geometry.rasterised(_polygons(spark, sf_dir), ["sample_id"])
     return found.groupBy("sample_id", "polygon").agg(F.count("*").alias("pixels"), F.sum("x").alias("sum_x"), F.sum("y").alias("sum_y"))
 
 
