@@ -324,3 +324,55 @@ def partial_by_many(df: DataFrame, keys: Sequence[str], a: str, b: str, controls
 
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
     return sums.mapInPandas(solve, ", ".join(f"`{c}` {kinds[c]}" for c in keys) + ", partial double")
+
+
+def panoptic(pairs: DataFrame, sizes_a: DataFrame, sizes_b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Panoptic quality, aggregated Jaccard index and Dice of matched labels, from totals.
+
+    pairs: matched (keys, shared, iou); sizes: (keys, n), a row a label. All are sums, so regions add up.
+    """
+    keys = list(keys)
+    found = pairs.groupBy(*keys).agg(F.count("*").alias("tp"), F.sum("iou").alias("iou"), F.sum("shared").alias("shared"))
+    a = sizes_a.groupBy(*keys).agg(F.count("*").alias("labels_a"), F.sum("n").alias("area_a"))
+    b = sizes_b.groupBy(*keys).agg(F.count("*").alias("labels_b"), F.sum("n").alias("area_b"))
+    all_ = a.join(b, keys, "full").join(found, keys, "left").fillna(0)
+    tp, shared, area = F.col("tp"), F.col("shared"), F.col("area_a") + F.col("area_b")
+    return all_.select(
+        *keys, "tp", (F.col("labels_b") - tp).alias("fp"), (F.col("labels_a") - tp).alias("fn"),
+        safe_ratio(F.col("iou"), (F.col("labels_a") + F.col("labels_b")) / 2).alias("pq"), safe_ratio(shared, area - shared).alias("aji"), safe_ratio(2 * shared, area).alias("dice"),
+    )
+
+
+def mean_bootstrap(df: DataFrame, keys: Sequence[str], unit: str, value: str, rounds: int, level: float = 0.95) -> DataFrame:
+    """Mean over units of a value, one a unit, and its interval over Poisson resamples of whole units.
+
+    A resample without any unit is left out; the decision says on which side of zero the interval lies.
+    """
+    drawn = df.select(*keys, unit, value, F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("draw"))
+    weight = poisson_weight(uniform(F.col(unit), F.col("draw")))
+    drawn = drawn.groupBy(*keys, "draw").agg(safe_ratio(F.sum(F.col(value) * weight), F.sum(weight)).alias("m")).where("m is not null")
+    ends = [(1 - level) / 2, (1 + level) / 2]
+    out = drawn.groupBy(*keys).agg(F.percentile("m", ends[0]).alias("low"), F.percentile("m", ends[1]).alias("high"))
+    means = df.groupBy(*keys).agg(F.count(value).alias("units"), F.avg(value).alias("mean"))
+    decision = F.when(F.col("low") > 0, "higher").when(F.col("high") < 0, "lower").otherwise("undecided")
+    return means.join(out, list(keys)).withColumn("decision", decision)
+
+
+def seam_excess(df: DataFrame, keys: Sequence[str], column: str, every: int) -> DataFrame:
+    """(keys, axis, place, n, excess): for each block boundary the 95th percentile of its steps over that of all steps elsewhere."""
+
+    def along(axis: str, other: str) -> DataFrame:
+        line = Window.partitionBy(*keys, other).orderBy(axis)
+        step = df.withColumn("step", F.abs(F.col(column) - F.lag(column).over(line))).where("step is not null")
+        at = F.col(axis) % every == 0
+        base = step.where(~at).groupBy(*keys).agg(F.percentile("step", 0.95).alias("base"))
+        met = step.where(at).groupBy(*keys, F.col(axis).alias("place")).agg(F.count("*").alias("n"), F.percentile("step", 0.95).alias("p95"))
+        return met.join(base, list(keys)).select(*keys, F.lit(axis).alias("axis"), "place", "n", (F.col("p95") - F.col("base")).alias("excess"))
+
+    return along("x", "y").unionByName(along("y", "x"))
+
+
+def standardised(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """`df` with `z`: how many population deviations a value lies from its group's mean; the deviation has a floor."""
+    s = df.groupBy(*keys).agg(F.avg(column).alias("_m"), F.greatest(F.stddev_pop(column), F.lit(2.220446049250313e-16)).alias("_s"))
+    return df.join(s, list(keys)).withColumn("z", (F.col(column) - F.col("_m")) / F.col("_s")).drop("_m", "_s")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,3 +133,78 @@ def best_matching(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     matching of largest number and overlap is just these pairs.
     """
     return pairs.where("iou > 0.5").select(*keys, "a", "b", "iou")
+
+
+def cheapest(cost: np.ndarray) -> np.ndarray:
+    """The column of each row in the assignment of least total cost, by shortest augmenting paths; rows are no more than columns."""
+    n, m = cost.shape
+    row_price, column_price = np.zeros(n + 1), np.zeros(m + 1)
+    owner, back = np.zeros(m + 1, dtype=np.int64), np.zeros(m + 1, dtype=np.int64)  # place 0 stands for none
+    for row in range(1, n + 1):
+        owner[0], at = row, 0
+        least, used = np.full(m + 1, np.inf), np.zeros(m + 1, dtype=bool)
+        while True:
+            used[at] = True
+            reduced = np.concatenate(([np.inf], cost[owner[at] - 1] - row_price[owner[at]] - column_price[1:]))
+            better = ~used & (reduced < least)
+            least[better], back[better] = reduced[better], at
+            to = int(np.argmin(np.where(used, np.inf, least)))
+            step = least[to]
+            row_price[owner[used]] += step
+            column_price[used] -= step
+            least[~used] -= step
+            at = to
+            if not owner[at]:
+                break
+        while at:
+            owner[at] = owner[back[at]]
+            at = back[at]
+    out = np.zeros(n, dtype=np.int64)
+    out[owner[1:][owner[1:] > 0] - 1] = np.flatnonzero(owner[1:] > 0)
+    return out
+
+
+def assignment(pairs: DataFrame, keys: Sequence[str], score: str, most_pairs: bool = True) -> DataFrame:
+    """(keys, a, b, score): the one-to-one matching of pairs (a, b, score > 0) with the greatest total score.
+
+    With most_pairs the number of pairs comes first, and the total score decides among the largest
+    matchings. Pairs that do not touch are matched each by themselves: components spread over all
+    tasks and stream through them, and a task holds one component's square of scores.
+    """
+    keys = list(keys)
+    pairs = pairs.where(F.col(score) > 0).select(*keys, F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), F.col(score).cast("double").alias("score"))
+    left, right = F.col("a") * 2, F.col("b") * 2 + 1
+    component = components(pairs.select(*keys, left.alias("src"), right.alias("dst")), keys)
+    rows = pairs.withColumn("node", left).join(component, [*keys, "node"])
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    order = [*keys, "component", "a", "b"]
+    rows = rows.select(*order, "score").repartition(*keys, "component").sortWithinPartitions(*order)
+    width = len(keys)
+
+    def solve(held: list[tuple]) -> list[tuple]:
+        a, b = sorted({r[width + 1] for r in held}), sorted({r[width + 2] for r in held})
+        place_a, place_b = {x: i for i, x in enumerate(a)}, {x: i for i, x in enumerate(b)}
+        scores = np.zeros((len(a), len(b)))
+        for r in held:
+            scores[place_a[r[width + 1]], place_b[r[width + 2]]] = r[width + 3]
+        weight = np.where(scores > 0, scores + (max(len(a), len(b)) + 1 if most_pairs else 0), 0)
+        turned = len(a) > len(b)
+        column = cheapest(-(weight.T if turned else weight))
+        found = [(int(c), i) if turned else (i, int(c)) for i, c in enumerate(column)]
+        return [(*held[0][:width], a[i], b[j], float(scores[i, j])) for i, j in found if scores[i, j] > 0]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, held = None, []
+        names = [*keys, "a", "b", "score"]
+        for batch in batches:
+            out: list[tuple] = []
+            for r in zip(*(batch[c].tolist() for c in batch.columns), strict=True):
+                if r[: width + 1] != own:
+                    out += solve(held) if held else []
+                    own, held = r[: width + 1], []
+                held.append(r)
+            yield pd.DataFrame(out, columns=names)
+        yield pd.DataFrame(solve(held) if held else [], columns=names)
+
+    schema = "".join(f"`{k}` {kinds[k]}, " for k in keys) + "a long, b long, score double"
+    return rows.mapInPandas(run, schema)

@@ -111,3 +111,13 @@ def proportional_sample(df: DataFrame, stratum: str, most: int, draw: Column) ->
     quota = F.greatest(F.lit(1), F.rint(F.lit(float(most)) * F.col("_n") / F.col("_all")))
     ranked = df.withColumn("_draw", draw).withColumn("nth", F.row_number().over(w.orderBy("_draw")))
     return ranked.join(F.broadcast(sizes.crossJoin(total)), stratum).where(F.col("nth") <= quota).drop("_draw", "_n", "_all")
+
+
+def page_envelope(df: DataFrame, key: str, cursor: int, limit: int) -> DataFrame:
+    """One row for a page after `cursor`: its keys, how many rows there are in all, whether more follow, and the next cursor."""
+    rows = page(df.select(key), key, cursor, limit)
+    found = rows.agg(F.array_sort(F.collect_list(key)).alias("_k"))  # one more than `limit` at most
+    shown = F.slice("_k", 1, limit)
+    more = F.size("_k") > limit
+    total = df.agg(F.count("*").alias("total"))
+    return found.crossJoin(total).select(shown.alias("keys"), "total", more.alias("truncated"), F.when(more, F.element_at(shown, -1)).alias("next_cursor"))

@@ -150,3 +150,13 @@ def ranked_tiles(tiles: DataFrame, keys: Sequence[str], least: float) -> DataFra
     """Tiles with enough tissue, numbered in scan order."""
     w = Window.partitionBy(*keys).orderBy("grid_row", "grid_col")
     return tiles.where(F.col("fraction") >= least).withColumn("tile", F.row_number().over(w))
+
+
+def opened(mask: DataFrame, keys: Sequence[str], radius: int, height: int, width: int) -> DataFrame:
+    """The mask eroded and dilated again: parts narrower than the disc go."""
+    return dilated(eroded(mask, keys, radius), keys, radius, height, width)
+
+
+def closed(mask: DataFrame, keys: Sequence[str], radius: int, height: int, width: int) -> DataFrame:
+    """The mask dilated and eroded again: gaps narrower than the disc are filled; beyond the edge there is no mask."""
+    return eroded(dilated(mask, keys, radius, height, width), keys, radius)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CELL = "struct<centroid:array<double>,type:int,type_prob:double>"
 
@@ -56,3 +58,53 @@ def query_index(spark: SparkSession, path: str, tile: int, x0: float, y0: float,
     """Cells of the index in a closed box: folders are pruned by bin_y, row groups by bin_x."""
     found = spark.read.parquet(path).where(F.col("bin_y").between(int(y0 // tile), int(y1 // tile)) & F.col("bin_x").between(int(x0 // tile), int(x1 // tile)))
     return found.where(F.col("x").between(x0, x1) & F.col("y").between(y0, y1)).drop("bin_y", "bin_x")
+
+
+def _json_fault(text: str | None) -> str | None:
+    def once(pairs: list) -> dict:
+        out = dict(pairs)
+        if len(out) < len(pairs):
+            names = [k for k, _ in pairs]
+            raise ValueError(f"repeated key: {min(k for k in out if names.count(k) > 1)}")
+        return out
+
+    if text is None:
+        return "no text"
+    try:
+        json.loads(text, object_pairs_hook=once, parse_constant=lambda c: (_ for _ in ()).throw(ValueError("not a number")))
+    except json.JSONDecodeError:
+        return "malformed"
+    except (ValueError, RecursionError) as e:
+        return str(e)
+    return None
+
+
+def strict_json(df: DataFrame, column: str) -> DataFrame:
+    """`df` with `fault`: null for strict JSON, else why not: malformed, repeated key, not a number, no text.
+
+    Spark's own parser takes the last of repeated keys in silence, so texts are read in Arrow batches.
+    """
+
+    @F.pandas_udf("string")
+    def fault(texts):
+        return texts.map(_json_fault)
+
+    return df.withColumn("fault", fault(F.col(column)))
+
+
+def write_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Write a table as CSV files with headers, never over an existing one."""
+    df.write.mode("errorifexists").csv(path, header=True, compression=compression, quoteAll=True)
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, wanted: Sequence[str] | None = None) -> DataFrame:
+    """CSV files, compressed or not, under a schema; a value that breaks it is an error. Columns `wanted` beyond it are null."""
+    rows = spark.read.csv(path, header=True, schema=schema, mode="FAILFAST", enforceSchema=False)
+    names = rows.columns if wanted is None else wanted
+    return rows.select(*(F.col(n) if n in rows.columns else F.lit(None).cast("string").alias(n) for n in names))
+
+
+def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """(path, bytes) of the files under a folder, without reading any."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    return found.select("path", F.col("length").alias("bytes"))
