@@ -202,10 +202,10 @@ def chosen_label_path(spark, sf_dir):
     return per.agg(F.max_by("path", F.struct("filled", "texty", "path")).alias("path"), F.max("filled").alias("filled"))
 
 
-@query("""SELECT n_regionkey AS stage, string_agg(DISTINCT f, ';' ORDER BY f) AS missing, count(*) AS n FROM (SELECT n_regionkey, unnest(CASE WHEN n_nationkey % 2 = 0 THEN ['hash', 'version'] ELSE ['license'] END) AS f FROM nation) GROUP BY ALL""")
+@query("""SELECT p_brand AS stage, string_agg(DISTINCT f, ';' ORDER BY f) AS missing, count(*) AS n FROM (SELECT p_brand, unnest(CASE WHEN p_size % 2 = 0 THEN ['hash', 'version'] WHEN p_size > 40 THEN ['license'] ELSE [] END) AS f FROM part) GROUP BY ALL""")
 def inventory_gaps(spark, sf_dir):
-    fields = F.when(F.col("n_nationkey") % 2 == 0, F.array(F.lit("hash"), F.lit("version"))).otherwise(F.array(F.lit("license")))
-    rows = table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("stage"), F.explode(fields).alias("f"))
+    fields = F.when(F.col("p_size") % 2 == 0, F.array(F.lit("hash"), F.lit("version"))).when(F.col("p_size") > 40, F.array(F.lit("license")))
+    rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("stage"), F.explode(fields).alias("f"))
     return rows.groupBy("stage").agg(F.array_join(F.array_sort(F.collect_set("f")), ";").alias("missing"), F.count("*").alias("n"))
 
 
@@ -242,9 +242,9 @@ def crop_bounds(spark, sf_dir):
     return evidence.padded(best, 3, 64, 64).select("sample_id", "x0", "y0", "x1", "y1")
 
 
-@query("""WITH RECURSIVE s AS (SELECT n_nationkey AS id, 0 AS level, 1000 + n_nationkey * 137 AS w, 700 + n_nationkey * 91 AS h FROM nation UNION ALL SELECT id, level + 1, (w + 1) // 2, (h + 1) // 2 FROM s WHERE greatest(w, h) > 256) SELECT id, level, w, h FROM s""")
+@query(f"""WITH RECURSIVE {CELLS}, s AS (SELECT sample_id AS id, 0 AS level, CAST(max(x) * 8 AS BIGINT) AS w, CAST(max(y) * 8 AS BIGINT) AS h FROM cells GROUP BY sample_id UNION ALL SELECT id, level + 1, (w + 1) // 2, (h + 1) // 2 FROM s WHERE greatest(w, h) > 256) SELECT id, level, w, h FROM s""")
 def pyramid_levels(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), (F.col("n_nationkey") * 137 + 1000).alias("w"), (F.col("n_nationkey") * 91 + 700).alias("h"))
+    n = cells(spark, sf_dir).groupBy(F.col("sample_id").alias("id")).agg((F.max("x") * 8).cast("long").alias("w"), (F.max("y") * 8).cast("long").alias("h"))
     return evidence.pyramid(n, "id", 256)
 
 

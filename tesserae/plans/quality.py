@@ -175,6 +175,14 @@ def customers_by_csv(spark, sf_dir):
     return records.read_csv(spark, path, rows.schema, ["c_custkey", "c_name", "c_acctbal", "remark"])
 
 
+@query("SELECT s_nationkey, count(*) AS n, true AS intact FROM supplier GROUP BY ALL")
+def restored_bundle(spark, sf_dir):
+    """Suppliers packed with digests, read again and verified row by row."""
+    path = f"{graph.shared_folder(spark)}/bundle-{uuid.uuid4().hex}"
+    records.pack(table(spark, sf_dir, "supplier"), "s_suppkey", path, 4)
+    return records.restored(spark, path).groupBy("s_nationkey", "intact").agg(F.count("*").alias("n"))
+
+
 @query("SELECT p_partkey, p_size AS size_x, round(p_size * 0.25, 4) AS physical_x, 'p' || p_partkey AS name FROM part")
 def image_attributes(spark, sf_dir):
     """Attributes scraped from XML headers made of parts."""

@@ -402,9 +402,9 @@ def best_files(spark, sf_dir):
     return records.best_files(table(spark, sf_dir, "part").select(path.alias("path")).distinct(), [".ome.tiff", ".tif", ".png"])
 
 
-@query("""SELECT n_nationkey AS id, sha256('{"n_nationkey":' || n_nationkey || ',"n_name":"' || n_name || '"}') AS digest FROM nation""")
+@query("""SELECT p_partkey AS id, sha256('{"p_partkey":' || p_partkey || ',"p_brand":"' || p_brand || '"}') AS digest FROM part""")
 def row_digests(spark, sf_dir):
-    return table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id"), records.row_digest(F.col("n_nationkey"), F.col("n_name")).alias("digest"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), records.row_digest(F.col("p_partkey"), F.col("p_brand")).alias("digest"))
 
 
 @query(f"""WITH {PIXELS} SELECT sample_id, label, count(*) AS area, CAST(sum(x) AS BIGINT) AS sum_x, CAST(sum(y) AS BIGINT) AS sum_y, min(x) AS x0, max(x) + 1 AS x1, min(y) AS y0, max(y) + 1 AS y1,

@@ -139,3 +139,11 @@ def test_unset_checkpoint_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         graph.shared_folder(Session())
+
+
+def test_bundles_that_were_changed(spark, tmp_path):
+    records.pack(spark.createDataFrame([(i, f"v{i}") for i in range(20)], "id long, v string"), "id", f"file://{tmp_path}/b", 3)
+    rows = spark.read.parquet(f"file://{tmp_path}/b").withColumn("v", F.when(F.col("id") == 7, "other").otherwise(F.col("v")))
+    rows.write.parquet(f"file://{tmp_path}/c")
+    assert [r["id"] for r in records.restored(spark, f"file://{tmp_path}/c").where("not intact").collect()] == [7]
+    assert records.restored(spark, f"file://{tmp_path}/b").where("intact").count() == 20
