@@ -85,10 +85,22 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, keys: Sequence[st
 
 def rasterised(polygons: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, polygon, y, x): pixels whose centres lie in a polygon."""
-    boxed = polygons.withColumn("_b", bounds(F.col("ring")))
+
+    def straddles(e: Column) -> Column:
+        return (e["a"]["y"] > F.col("y") + 0.5) != (e["b"]["y"] > F.col("y") + 0.5)
+
+    def at(e: Column) -> Column:
+        a, b = e["a"], e["b"]
+        return (b["x"] - a["x"]) * (F.col("y") + 0.5 - a["y"]) / (b["y"] - a["y"]) + a["x"]
+
+    # A row of pixels is filled between its first and second crossing, third and fourth, and so on.
+    boxed = polygons.where(F.size("ring") >= 3).withColumn("_b", bounds(F.col("ring")))
     rows = boxed.withColumn("y", F.explode(F.expr("sequence(CAST(floor(_b.y0) AS INT), CAST(ceil(_b.y1) AS INT))")))
-    rows = rows.withColumn("x", F.explode(F.expr("sequence(CAST(floor(_b.x0) AS INT), CAST(ceil(_b.x1) AS INT))")))
-    return rows.where(inside(F.col("ring"), F.col("x") + 0.5, F.col("y") + 0.5)).select(*keys, "polygon", "y", "x")
+    rows = rows.withColumn("_c", F.array_sort(F.transform(F.filter(_edges(F.col("ring")), straddles), at))).where(F.size("_c") > 0)
+    spans = rows.select(*keys, "polygon", "y", "_c", F.explode(F.expr("sequence(1, size(_c) - 1, 2)")).alias("_i"))
+    ends = [F.ceil(F.element_at("_c", F.col("_i") + k) - 0.5).cast("int") for k in (0, 1)]
+    spans = spans.select(*keys, "polygon", "y", ends[0].alias("_from"), (ends[1] - 1).alias("_to")).where("_from <= _to")
+    return spans.select(*keys, "polygon", "y", F.explode(F.sequence("_from", "_to")).alias("x"))
 
 
 def features(documents: DataFrame, column: str) -> DataFrame:

@@ -95,11 +95,11 @@ def token_purity(spark, sf_dir):
 
 @query(f"""WITH {RASTER}, t AS (SELECT sample_id, y // 8 AS ty, x // 8 AS tx, avg(label) AS v FROM raster GROUP BY ALL), p AS (SELECT sample_id, y, x, (y + 0.5) / 8 - 0.5 AS fy, (x + 0.5) / 8 - 0.5 AS fx FROM raster),
 n AS (SELECT p.sample_id, p.y, p.x, t.v, (1 - abs(fy - t.ty)) * (1 - abs(fx - t.tx)) AS w FROM p JOIN t ON p.sample_id = t.sample_id AND abs(fy - t.ty) < 1 AND abs(fx - t.tx) < 1)
-SELECT sample_id, y, x, round(sum(w * v) / sum(w), 6) AS v FROM n GROUP BY ALL""")
+SELECT sample_id, y, x, round(sum(w * v) / sum(w) + 1e-9, 6) AS v FROM n GROUP BY ALL""")
 def bilinear_projection(spark, sf_dir):
     r = label_raster(spark, sf_dir)
     tokens = evidence.tokens(r, ["sample_id"], 8).select("sample_id", "ty", "tx", F.col("mean").alias("v"))
-    return evidence.bilinear(r.select("sample_id", "y", "x"), tokens, ["sample_id"], 8).withColumn("v", F.round("v", 6))
+    return evidence.bilinear(r.select("sample_id", "y", "x"), tokens, ["sample_id"], 8).withColumn("v", F.round(F.col("v") + 1e-9, 6))  # many values are halves of the last digit
 
 
 @query(f"""WITH {PIXELS}, q AS (SELECT sample_id, quantile_cont(score, 0.02) AS lo, quantile_cont(score, 0.98) AS hi FROM pixels GROUP BY ALL) SELECT p.sample_id, count(*) AS n, round(avg(least(greatest((score - lo) / nullif(hi - lo, 0), 0), 1)), 9) AS mean FROM pixels p JOIN q ON p.sample_id = q.sample_id GROUP BY ALL""")
