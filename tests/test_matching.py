@@ -68,7 +68,7 @@ def test_given_instances_are_matched_as_over_one_half(spark, sf_dir):
 def test_nearest_with_outliers_and_ties(spark, tile):
     rng = random.Random(4)
     rows = [(s, 100 * s + i, rng.randint(0, 20) / 2.0, rng.randint(0, 20) / 2.0, "xy"[i % 2]) for s in range(3) for i in range(40)]
-    rows += [(0, 900, 5e4, -3.0, "x"), (7, 901, 0.0, 0.0, "x"), (8, 902, 1.0, 1.0, "x"), (8, 903, 1.0, 1.0, "y")]
+    rows += [(0, 900, 300.0, -3.0, "x"), (7, 901, 0.0, 0.0, "x"), (8, 902, 1.0, 1.0, "x"), (8, 903, 1.0, 1.0, "y")]
     df = spark.createDataFrame(rows, "s long, id long, x double, y double, source string")
 
     def brute(k, differ):
