@@ -64,7 +64,7 @@ def test_given_instances_are_matched_as_over_one_half(spark, sf_dir):
     assert quality.assigned_instances(spark, sf_dir).count() >= len(got)
 
 
-@pytest.mark.parametrize("tile", [0.5, 7.0, 1e6])
+@pytest.mark.parametrize("tile", [4.0, 1e6])
 def test_nearest_with_outliers_and_ties(spark, tile):
     rng = random.Random(4)
     rows = [(s, 100 * s + i, rng.randint(0, 20) / 2.0, rng.randint(0, 20) / 2.0, "xy"[i % 2]) for s in range(3) for i in range(40)]
