@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 SECONDS = {"ms": 0.001, "s": 1.0, "m": 60.0, "h": 3600.0, "d": 86400.0}
 MICROMETRES = {"nm": 0.001, "um": 1.0, "µm": 1.0, "mm": 1000.0, "cm": 10000.0, "m": 1000000.0}
 TRUE_WORDS = ("true", "1", "yes", "y", "on")
+BYTE_UNITS = ("B", "KB", "MB", "GB", "TB")
+DEFAULT_MODES = ("tile", "inner_square")
+ALL_MODES = ("tile", "nuclei", "cyto", "inner_square")
+DEFAULT_MODE_WORDS = ("", "all", "default")
+ALL_MODE_WORDS = ("full", "all4", "all_four", "full_stack")
+MODE_WORDS = {
+    "tile": ("tile", "full", "full_tile", "full-tile"),
+    "nuclei": ("nuclei", "nucleus", "nuclear", "label", "labels"),
+    "cyto": ("cyto", "cytoplasm"),
+    "inner_square": ("inner", "inner_square", "inner-square", "square"),
+}
 
 
 def normal_id(c: Column) -> Column:
@@ -91,3 +102,41 @@ def uncertainty(margin: Column, stability: Column, least_margin: float = 0.10, l
         .when(stability < least_stability, "low_stability")
         .otherwise("accepted")
     )
+
+
+def readable_bytes(c: Column) -> Column:
+    """Bytes as '512 B' or '1.5 KB', in powers of 1024 up to TB; halves of the last digit go to the even one."""
+    out = F.concat(c.cast("long").cast("string"), F.lit(" B"))
+    for power, unit in list(enumerate(BYTE_UNITS))[1:]:
+        value = F.rint(c / float(1024**power) * 10) / 10
+        out = F.when(c >= float(1024**power), F.format_string(f"%.1f {unit}", value)).otherwise(out)
+    return out
+
+
+def readable_seconds(c: Column) -> Column:
+    """Seconds as '1h 2m 3s', '2m 3s' or '3s', rounded; negative ones are 0."""
+    s = F.greatest(F.rint(c).cast("long"), F.lit(0).cast("long"))
+    h, m, rest = F.floor(s / 3600), F.floor(s % 3600 / 60), s % 60
+    return F.when(h > 0, F.format_string("%dh %dm %ds", h, m, rest)).when(m > 0, F.format_string("%dm %ds", m, rest)).otherwise(F.format_string("%ds", rest))
+
+
+def modes(c: Column) -> Column:
+    """Mode names of a text of words joined by commas or plus signs, each once, in order; an unknown word is an error."""
+    text = F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    known = F.create_map(*(F.lit(x) for name, words in MODE_WORDS.items() for word in words for x in (word, name)))
+    words = F.filter(F.transform(F.split(text, "[+,]"), lambda w: F.trim(w)), lambda w: w != "")
+    named = F.array_distinct(F.transform(words, lambda w: F.coalesce(known[w], F.raise_error(F.concat(F.lit("unknown mode: "), w)).cast("string"))))
+    named = F.when(F.size(words) == 0, F.raise_error(F.lit("no mode")).cast("array<string>")).otherwise(named)
+    whole = [F.array(*(F.lit(m) for m in names)) for names in (DEFAULT_MODES, ALL_MODES)]
+    return F.when(text.isin(*DEFAULT_MODE_WORDS), whole[0]).when(text.isin(*ALL_MODE_WORDS), whole[1]).otherwise(named)
+
+
+def declared(text: Column, names: tuple[str, ...], inside: tuple[str, ...] = ("properties", "metadata", "pipeline_metadata")) -> Column:
+    """The different plain values that a JSON text declares under any of `names`, in order: at its top, in the objects
+    named by `inside`, in its features and in their properties. Objects, lists, nulls and blanks are left out."""
+    plain = "map<string,string>"
+    tops = F.array(F.from_json(text, plain), *(F.from_json(F.get_json_object(text, f"$.{p}"), plain) for p in inside))
+    features = F.coalesce(F.from_json(F.get_json_object(text, "$.features"), f"array<{plain}>"), F.array().cast(f"array<{plain}>"))
+    below = F.flatten(F.transform(features, lambda f: F.array(f, F.from_json(f["properties"], plain))))
+    values = F.flatten(F.transform(F.concat(tops, below), lambda m: F.array(*(F.trim(m[n]) for n in names))))
+    return F.array_distinct(F.filter(values, lambda v: v.isNotNull() & (v != "") & ~v.rlike(r"^[\[{]")))

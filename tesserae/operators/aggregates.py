@@ -376,3 +376,11 @@ def standardised(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """`df` with `z`: how many population deviations a value lies from its group's mean; the deviation has a floor."""
     s = df.groupBy(*keys).agg(F.avg(column).alias("_m"), F.greatest(F.stddev_pop(column), F.lit(2.220446049250313e-16)).alias("_s"))
     return df.join(s, list(keys)).withColumn("z", (F.col(column) - F.col("_m")) / F.col("_s")).drop("_m", "_s")
+
+
+def edge_ratio(df: DataFrame, keys: Sequence[str], value: str, edge: str, least_edge: int, least_core: int) -> DataFrame:
+    """Mean of the rows at an edge over the mean of the others; null if either are too few or the others' sum isn't positive."""
+    v, e = F.col(value), F.col(edge)
+    g = df.groupBy(*keys).agg(F.count_if(e).alias("n_edge"), F.count_if(~e).alias("n_core"), F.sum(F.when(e, v)).alias("_e"), F.sum(F.when(~e, v)).alias("_c"))
+    enough = (F.col("n_edge") >= least_edge) & (F.col("n_core") >= least_core) & (F.col("_c") > 0)
+    return g.select(*keys, "n_edge", "n_core", F.when(enough, (F.col("_e") / F.col("n_edge")) / (F.col("_c") / F.col("n_core"))).alias("ratio"))

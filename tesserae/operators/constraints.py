@@ -104,3 +104,9 @@ def not_bijective(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def repeated(df: DataFrame, key: str) -> DataFrame:
     """Keys of more than one row."""
     return _violations(df.groupBy(key).count().where("count > 1"), f"{key} repeats", F.col(key))
+
+
+def violations(df: DataFrame, keys: Sequence[str], rules: dict[str, Column]) -> DataFrame:
+    """(keys, rule): every rule over several fields that a row breaks; a rule that is null holds."""
+    broken = F.array(*(F.when(~rule, F.lit(name)) for name, rule in rules.items()))
+    return df.select(*keys, F.explode(F.filter(broken, lambda r: r.isNotNull())).alias("rule"))

@@ -8,7 +8,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .aggregates import uniform
+from . import geometry
+from .aggregates import spearman, uniform
+
+# What a component's evidence is called.
+TIERS = ("broad_consensus_with_scoped_support", "broad_consensus", "single_broad_with_scoped_support", "single_broad_only", "scoped_support_only")
+STATUSES = ("abstained_insufficient_detector_support", "abstained_missing_broad_detector_consensus", "abstained_broad_detector_distance", "accepted_instance_fusion")
 
 
 def tiers(points: DataFrame, near: DataFrame, tight: float) -> DataFrame:
@@ -166,3 +171,81 @@ def merge_small(raster: DataFrame, keys: Sequence[str], least: int) -> DataFrame
     d = F.round((F.col("cy") - F.col("by")) * (F.col("cy") - F.col("by")) + (F.col("cx") - F.col("bx")) * (F.col("cx") - F.col("bx")), 9)
     best = small.join(target, list(keys)).groupBy(*keys, "label").agg(F.min_by("merged", F.struct(d, "merged")).alias("merged"))
     return best.unionByName(big.select(*keys, "label", F.col("label").alias("merged")))
+
+
+def first_members(points: DataFrame, named: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(keys, component, source, id, columns): each source's first point of every component.
+
+    points: (keys, id, source, columns); named: (keys, node, component). A point in no component is its own.
+    """
+    placed = points.join(named.withColumnRenamed("node", "id"), [*keys, "id"], "left").withColumn("component", F.coalesce("component", "id"))
+    return placed.groupBy(*keys, "component", "source").agg(F.min_by(F.struct("id", *columns), "id").alias("m")).select(*keys, "component", "source", "m.*")
+
+
+def pair_agreement(members: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """How far every two sources agree on the components that both are in: matched shares, distances, overlaps and Hausdorff distances.
+
+    members: (keys, component, source, x, y, box), one row a component and source; counts: (source, n).
+    """
+    side = {s: members.select(*keys, "component", *(F.col(c).alias(f"{c}_{s}") for c in ("source", "x", "y", "box"))) for s in "ab"}
+    met = side["a"].join(side["b"], [*keys, "component"]).where("source_a < source_b")
+    dx, dy = F.col("x_a") - F.col("x_b"), F.col("y_a") - F.col("y_b")
+    met = met.select("source_a", "source_b", F.sqrt(dx * dx + dy * dy).alias("d"), geometry.box_iou(F.col("box_a"), F.col("box_b")).alias("iou"), geometry.box_hausdorff(F.col("box_a"), F.col("box_b")).alias("h"))
+    shares = [("d", "median_d", 0.5), ("d", "p95_d", 0.95), ("iou", "iou_p25", 0.25), ("iou", "iou_median", 0.5), ("iou", "iou_p75", 0.75), ("h", "hausdorff_median", 0.5), ("h", "hausdorff_p95", 0.95)]
+    found = met.groupBy("source_a", "source_b").agg(F.count("*").alias("matched"), *(F.percentile(c, q).alias(name) for c, name, q in shares))
+    for s in "ab":
+        found = found.join(counts.select(F.col("source").alias(f"source_{s}"), F.col("n").alias(f"count_{s}")), f"source_{s}")
+        found = found.withColumn(f"fraction_{s}", F.col("matched") / F.greatest(f"count_{s}", F.lit(1)))
+    return found
+
+
+def role_evidence(members: DataFrame, keys: Sequence[str], broad: Sequence[str], radius: float, least: int) -> DataFrame:
+    """What speaks for every component: its broad and other (scoped) sources, how near the broad ones lie, a score, and whether it is accepted.
+
+    members: (keys, component, source, x, y), one row a component and source, so a component's list is as short as the sources.
+    A component of fewer than `least` sources, without all of `broad`, or with two broad points over `radius` apart abstains.
+    """
+    wanted = F.array(*(F.lit(s) for s in broad))
+    g = members.groupBy(*keys, "component").agg(F.array_sort(F.collect_list(F.struct("source", "x", "y"))).alias("_m"))
+    g = g.withColumn("_b", F.filter("_m", lambda m: F.array_contains(wanted, m["source"])))
+    n_broad, n_all = F.size("_b"), F.size("_m")
+    apart = F.transform("_b", lambda p: F.transform("_b", lambda q: F.sqrt((p["x"] - q["x"]) * (p["x"] - q["x"]) + (p["y"] - q["y"]) * (p["y"] - q["y"]))))
+    g = g.withColumn("far", F.coalesce(F.array_max(F.flatten(apart)), F.lit(0.0)))
+    full, scoped = n_broad == len(broad), n_all > n_broad
+    tier = F.when(full & scoped, TIERS[0]).when(full, TIERS[1]).when((n_broad > 0) & scoped, TIERS[2]).when(n_broad > 0, TIERS[3]).otherwise(TIERS[4])
+    score = n_broad / F.lit(max(1, len(broad))) * (0.5 + 0.5 * (1 - F.least(F.col("far") / radius, F.lit(1.0))))
+    agreement = F.when(full & (F.col("score") >= 0.75), "high").when(F.col("score") >= 0.45, "moderate").otherwise("low")
+    status = F.when(n_all < least, STATUSES[0]).when(~full, STATUSES[1]).when(F.col("far") > radius, STATUSES[2]).otherwise(STATUSES[3])
+    sources = F.array_join(F.transform("_m", lambda m: m["source"]), ";")
+    return g.withColumn("score", score).select(*keys, "component", sources.alias("sources"), n_broad.alias("n_broad"), tier.alias("tier"), "far", "score", agreement.alias("agreement"), status.alias("status"))
+
+
+def distance_correlation(sample: DataFrame, keys: Sequence[str], one: Sequence[str], two: Sequence[str]) -> DataFrame:
+    """Spearman's correlation of the distances between a sample's rows (id) in two spaces, each given by its columns.
+
+    All pairs of a group's sample meet, so samples are to be drawn small.
+    """
+    names = [*one, *two]
+    a = sample.select(*keys, F.col("id").alias("a"), *(F.col(c).alias(f"{c}_a") for c in names))
+    b = sample.select(*keys, F.col("id").alias("b"), *(F.col(c).alias(f"{c}_b") for c in names))
+    far = [F.sqrt(sum(((F.col(f"{c}_a") - F.col(f"{c}_b")) * (F.col(f"{c}_a") - F.col(f"{c}_b")) for c in space), F.lit(0.0))) for space in (one, two)]
+    pairs = a.join(b, list(keys)).where("a < b").select(*keys, far[0].alias("d1"), far[1].alias("d2"))
+    return spearman(pairs, keys, "d1", "d2")
+
+
+def density_weights(df: DataFrame, keys: Sequence[str], bin_size: float, power: float) -> DataFrame:
+    """`df` with `weight`: each row's share of its grid bin's count to the power of `power`."""
+    placed = df.withColumn("_bx", F.floor(F.col("x") / bin_size)).withColumn("_by", F.floor(F.col("y") / bin_size))
+    counts = placed.groupBy(*keys, "_bx", "_by").agg(F.count("*").alias("_n"))
+    return placed.join(counts, [*keys, "_bx", "_by"]).withColumn("weight", F.pow(F.col("_n"), F.lit(power - 1.0))).drop("_bx", "_by", "_n")
+
+
+def leverages(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`df` with `weight`: each row's leverage in the centred plane (x, y) of its group; 0 where the group spans no plane."""
+    means = df.groupBy(*keys).agg(F.avg("x").alias("_mx"), F.avg("y").alias("_my"))
+    u, v = F.col("x") - F.col("_mx"), F.col("y") - F.col("_my")
+    near = df.join(means, list(keys))
+    sums = near.groupBy(*keys).agg(F.sum(u * u).alias("_uu"), F.sum(u * v).alias("_uv"), F.sum(v * v).alias("_vv"))
+    det = F.col("_uu") * F.col("_vv") - F.col("_uv") * F.col("_uv")
+    lever = (u * u * F.col("_vv") - 2 * u * v * F.col("_uv") + v * v * F.col("_uu")) / det
+    return near.join(sums, list(keys)).withColumn("weight", F.when(det > 0, lever).otherwise(F.lit(0.0))).drop("_mx", "_my", "_uu", "_uv", "_vv")

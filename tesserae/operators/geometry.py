@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -108,8 +108,6 @@ def features(documents: DataFrame, column: str) -> DataFrame:
 
     Only outer rings are kept; parts are numbered by falling area, then by their bounds.
     """
-    from pyspark.sql import Window
-
     shape = "struct<type:string,properties:map<string,string>,geometry:struct<type:string,coordinates:string>>"
     parsed = documents.select(F.explode(F.from_json(F.get_json_object(column, "$.features"), f"array<{shape}>")).alias("f"))
     deep = F.from_json(F.col("f.geometry.coordinates"), "array<array<array<array<double>>>>")
@@ -120,3 +118,50 @@ def features(documents: DataFrame, column: str) -> DataFrame:
     rings = rings.withColumn("area", area(F.col("ring"))).withColumn("_b", bounds(F.col("ring")))
     order = Window.partitionBy("name").orderBy(F.desc("area"), "_b")
     return rings.withColumn("part", F.row_number().over(order)).select("name", "part", "ring", "area")
+
+
+def net_area(ring: Column, holes: Column) -> Column:
+    """A ring's area less its holes', at least 0; null holes are none."""
+    return F.greatest(area(ring) - F.aggregate(F.coalesce(holes, F.array()), F.lit(0.0), lambda s, h: s + area(h)), F.lit(0.0))
+
+
+def sampled_boundary(polygons: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """(keys, polygon, k, x, y): `n` points at equal steps of length along a ring, from its first corner on.
+
+    A ring without length has no points.
+    """
+    line = Window.partitionBy(*keys, "polygon")
+    sides = polygons.where(F.size("ring") > 0).select(*keys, "polygon", F.posexplode(_edges(F.col("ring"))).alias("i", "e"))
+    dx, dy = F.col("e.b.x") - F.col("e.a.x"), F.col("e.b.y") - F.col("e.a.y")
+    sides = sides.withColumn("_l", F.sqrt(dx * dx + dy * dy)).withColumn("_end", F.sum("_l").over(line.orderBy("i")))
+    sides = sides.withColumn("_start", F.coalesce(F.lag("_end").over(line.orderBy("i")), F.lit(0.0))).withColumn("_all", F.max("_end").over(line))
+    first, last = (F.ceil(F.col(c) * n / F.col("_all")) for c in ("_start", "_end"))
+    held = sides.where("_l > 0").withColumn("_from", first).withColumn("_to", last - 1).where("_from <= _to")
+    placed = held.withColumn("k", F.explode(F.sequence("_from", "_to"))).withColumn("_t", (F.col("k") * F.col("_all") / n - F.col("_start")) / F.col("_l"))
+    return placed.select(*keys, "polygon", "k", (F.col("e.a.x") + F.col("_t") * dx).alias("x"), (F.col("e.a.y") + F.col("_t") * dy).alias("y"))
+
+
+def box_iou(a: Column, b: Column) -> Column:
+    """Intersection over union of two boxes (structs of x0, y0, x1 and y1); null if both are empty."""
+    shared = F.lit(1.0)
+    for low, high in (("x0", "x1"), ("y0", "y1")):
+        shared = shared * F.greatest(F.least(a[high], b[high]) - F.greatest(a[low], b[low]), F.lit(0.0))
+    sizes = [(c["x1"] - c["x0"]) * (c["y1"] - c["y0"]) for c in (a, b)]
+    return F.try_divide(shared, sizes[0] + sizes[1] - shared)
+
+
+def box_hausdorff(a: Column, b: Column) -> Column:
+    """The Hausdorff distance of two boxes: how far a corner of either lies from the other."""
+
+    def out(p: Column, q: Column) -> Column:
+        x, y = (F.greatest(q[low] - p[low], p[high] - q[high], F.lit(0.0)) for low, high in (("x0", "x1"), ("y0", "y1")))
+        return F.sqrt(x * x + y * y)
+
+    return F.greatest(out(a, b), out(b, a))
+
+
+def first_bounds(ring: Column, box: Column, x: Column, y: Column) -> Column:
+    """The bounds of a contour of three points or more, else of a box, else of a point; bounds the wrong way round are an error."""
+    point = F.struct(x.alias("x0"), y.alias("y0"), x.alias("x1"), y.alias("y1"))
+    found = F.coalesce(F.when(F.size(ring) >= 3, bounds(ring)), box, point)
+    return F.when((found["x0"] > found["x1"]) | (found["y0"] > found["y1"]), F.raise_error(F.lit("reversed bounds"))).otherwise(found)

@@ -121,3 +121,22 @@ def page_envelope(df: DataFrame, key: str, cursor: int, limit: int) -> DataFrame
     more = F.size("_k") > limit
     total = df.agg(F.count("*").alias("total"))
     return found.crossJoin(total).select(shown.alias("keys"), "total", more.alias("truncated"), F.when(more, F.element_at(shown, -1)).alias("next_cursor"))
+
+
+def gallery(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], most: int) -> DataFrame:
+    """The first `most` rows of each group in an order, with `nth` and how many rows the group leaves out."""
+    w = Window.partitionBy(*keys)
+    first = df.withColumn("nth", F.row_number().over(w.orderBy(*order))).where(F.col("nth") <= most)
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return first.join(sizes, list(keys)).withColumn("omitted", F.greatest(F.col("_n") - most, F.lit(0))).drop("_n")
+
+
+def blinded(df: DataFrame, group: Sequence[str], cluster: str, row: str, per_cluster: int, draw: Column) -> tuple[DataFrame, DataFrame]:
+    """A review packet and its key: `per_cluster` drawn rows of every cluster, shuffled within `group` by another draw.
+
+    The packet is (group, item, row) and says nothing of clusters; the key is (group, item, cluster).
+    """
+    drawn = hashed_sample(df, [*group, cluster], per_cluster, draw).select(*group, cluster, row)
+    shuffled = F.struct(F.md5(F.concat_ws(":", F.lit("item"), F.col(row).cast("string"))), F.col(row))
+    items = drawn.withColumn("item", F.row_number().over(Window.partitionBy(*group).orderBy(shuffled)))
+    return items.select(*group, "item", row), items.select(*group, "item", cluster)

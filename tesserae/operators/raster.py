@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import joins
+from .graph import components, stored
+
 
 def lattice(samples: DataFrame, keys: Sequence[str], width: int, height: int, stride: int) -> DataFrame:
     """(keys, label, grid_row, grid_col, x0, y0, x1, y1): cores side by side, the last ones cut at the edge."""
@@ -160,3 +163,53 @@ def opened(mask: DataFrame, keys: Sequence[str], radius: int, height: int, width
 def closed(mask: DataFrame, keys: Sequence[str], radius: int, height: int, width: int) -> DataFrame:
     """The mask dilated and eroded again: gaps narrower than the disc are filled; beyond the edge there is no mask."""
     return eroded(dilated(mask, keys, radius, height, width), keys, radius)
+
+
+def sized_components(mask: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+    """(keys, y, x, component, n, largest): a mask's pixels with their four-connected part, its size, and whether it is the largest.
+
+    A part is named by its first pixel, y * width + x; of equally large parts the first is the largest.
+    """
+    own = mask.select(*keys, "y", "x", (F.col("y").cast("long") * width + F.col("x")).alias("node"))
+    named = own.join(components(neighbour_edges(mask, keys, width), keys), [*keys, "node"], "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = named.groupBy(*keys, "component").agg(F.count("*").alias("n"))
+    best = sizes.groupBy(*keys).agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("_best"))
+    return named.join(sizes, [*keys, "component"]).join(best, list(keys)).select(*keys, "y", "x", "component", "n", (F.col("component") == F.col("_best")).alias("largest"))
+
+
+def filled(mask: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+    """The mask with its holes: pixels that no path of four-neighbours outside the mask leads out of its bounds.
+
+    Only pixels within the mask's own bounds are looked at, so an empty canvas costs nothing.
+    """
+    ends = mask.groupBy(*keys).agg(F.min("y").alias("_y0"), F.max("y").alias("_y1"), F.min("x").alias("_x0"), F.max("x").alias("_x1"))
+    every = ends.withColumn("y", F.explode(F.sequence("_y0", "_y1"))).withColumn("x", F.explode(F.sequence("_x0", "_x1")))
+    rim = (F.col("y") == F.col("_y0")) | (F.col("y") == F.col("_y1")) | (F.col("x") == F.col("_x0")) | (F.col("x") == F.col("_x1"))
+    node = F.col("y").cast("long") * width + F.col("x")
+    outside = stored(every.select(*keys, "y", "x", node.alias("node"), rim.alias("rim")).join(mask.select(*keys, "y", "x"), [*keys, "y", "x"], "left_anti"))
+    named = components(neighbour_edges(outside, keys, width), keys)
+    rims = outside.where("rim").select(*keys, "node")
+    open_parts = named.join(rims, [*keys, "node"], "left_semi").select(*keys, "component").distinct()
+    leaving = named.join(open_parts, [*keys, "component"], "left_semi").select(*keys, "node").unionByName(rims)
+    return mask.select(*keys, "y", "x").unionByName(outside.join(leaving, [*keys, "node"], "left_anti").select(*keys, "y", "x"))
+
+
+def grown(seeds: DataFrame, within: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+    """Labels of `seeds` (y, x, label) grown over all pixels of the mask `within`, however far: each takes its nearest seed pixel's.
+
+    Ties go to the first seed pixel in scan order. Keys without a seed get no label.
+    """
+    node = F.col("y").cast("long") * width + F.col("x")
+    todo = within.join(seeds, [*keys, "y", "x"], "left_anti").select(*keys, node.alias("id"), "y", "x")
+    near = joins.nearest(todo, seeds.select(*keys, node.alias("id"), "y", "x"), keys, 1, 4.0)
+    named = near.join(seeds.select(*keys, node.alias("b"), "label"), [*keys, "b"])
+    kinds = {f.name: f.dataType for f in seeds.schema}
+    place = [F.expr(f"a div {width}").cast(kinds["y"]).alias("y"), F.expr(f"a % {width}").cast(kinds["x"]).alias("x")]
+    return seeds.select(*keys, "y", "x", "label").unionByName(named.select(*keys, *place, "label"))
+
+
+def reassigned(raster: DataFrame, supported: Column, allowed: Column, keys: Sequence[str], width: int) -> DataFrame:
+    """Pixels whose label is not `supported` take the nearest supported one's; such a pixel that is not `allowed` to is an error."""
+    loose = F.assert_true(supported | allowed, F.lit("an unsupported label away from the edge"))
+    checked = raster.withColumn("_ok", supported).where(loose.isNull())
+    return grown(checked.where("_ok").select(*keys, "y", "x", "label"), checked.where("NOT _ok").select(*keys, "y", "x"), keys, width)
