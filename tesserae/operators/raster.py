@@ -74,8 +74,8 @@ def expanded(raster: DataFrame, keys: Sequence[str], radius: int, height: int, w
 
     Each pixel is sent to the disc around it and summed up per target before the shuffle.
     """
-    spread = raster.where("label <> 0").select(*keys, "y", "x", "label", F.explode(_offsets(radius)).alias("o"))
-    spread = spread.select(*keys, (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"), "label", "o.d2")
+    spread = raster.where("label <> 0").select(*keys, "y", "x", "label", F.explode(_offsets(radius)).alias("_o"))
+    spread = spread.select(*keys, (F.col("y") + F.col("_o.dy")).alias("y"), (F.col("x") + F.col("_o.dx")).alias("x"), "label", "_o.d2")
     inside = spread.where((F.col("y") >= 0) & (F.col("y") < height) & (F.col("x") >= 0) & (F.col("x") < width))
     return inside.groupBy(*keys, "y", "x").agg(F.min(F.struct("d2", "label")).alias("m")).select(*keys, "y", "x", "m.label", "m.d2")
 
@@ -87,8 +87,8 @@ def dilated(mask: DataFrame, keys: Sequence[str], radius: int, height: int, widt
 
 def eroded(mask: DataFrame, keys: Sequence[str], radius: int) -> DataFrame:
     """Mask pixels whose whole disc is in the mask; beyond the edge there is none."""
-    spread = mask.select(*keys, "y", "x", F.explode(_offsets(radius)).alias("o"))
-    hits = spread.groupBy(*keys, (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x")).agg(F.count("*").alias("n"))
+    spread = mask.select(*keys, "y", "x", F.explode(_offsets(radius)).alias("_o"))
+    hits = spread.groupBy(*keys, (F.col("y") + F.col("_o.dy")).alias("y"), (F.col("x") + F.col("_o.dx")).alias("x")).agg(F.count("*").alias("n"))
     size = sum(1 for dy in range(-radius, radius + 1) for dx in range(-radius, radius + 1) if dy * dy + dx * dx <= radius * radius)
     return hits.where(F.col("n") == size).select(*keys, "y", "x")
 
@@ -102,8 +102,8 @@ def boundary_f1(a: DataFrame, b: DataFrame, keys: Sequence[str], tolerance: int)
     """F1 of two masks' boundaries, a boundary pixel counting if the other boundary is within `tolerance`."""
 
     def side(own: DataFrame, other: DataFrame, name: str) -> DataFrame:
-        spread = other.select(*keys, "y", "x", F.explode(_offsets(tolerance)).alias("o"))
-        near = spread.select(*keys, (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x")).distinct().withColumn("_n", F.lit(1))
+        spread = other.select(*keys, "y", "x", F.explode(_offsets(tolerance)).alias("_o"))
+        near = spread.select(*keys, (F.col("y") + F.col("_o.dy")).alias("y"), (F.col("x") + F.col("_o.dx")).alias("x")).distinct().withColumn("_n", F.lit(1))
         return own.join(near, [*keys, "y", "x"], "left").groupBy(*keys).agg((F.count("_n") / F.count("*")).alias(name))
 
     ea, eb = boundary(a, keys), boundary(b, keys)
@@ -117,8 +117,8 @@ def neighbour_edges(mask: DataFrame, keys: Sequence[str], width: int) -> DataFra
     node = F.col("y").cast("long") * width + F.col("x")
     own = mask.select(*keys, node.alias("src"), "y", "x")
     steps = F.explode(F.array(F.struct(F.lit(0).alias("dy"), F.lit(1).alias("dx")), F.struct(F.lit(1).alias("dy"), F.lit(0).alias("dx"))))
-    to = own.select(*keys, "src", "y", "x", steps.alias("s")).where(F.col("x") + F.col("s.dx") < width)
-    to = to.withColumn("dst", (F.col("y") + F.col("s.dy")) * width + F.col("x") + F.col("s.dx"))
+    to = own.select(*keys, "src", "y", "x", steps.alias("_s")).where(F.col("x") + F.col("_s.dx") < width)
+    to = to.withColumn("dst", (F.col("y") + F.col("_s.dy")) * width + F.col("x") + F.col("_s.dx"))
     return to.join(own.select(*keys, F.col("src").alias("dst")), [*keys, "dst"]).select(*keys, "src", "dst")
 
 

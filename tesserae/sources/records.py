@@ -49,9 +49,12 @@ def feature_collection(rows: DataFrame, name: str) -> Column:
 
 
 def build_index(cells: DataFrame, path: str, tile: int) -> None:
-    """Write cells for look-ups by place: one folder a tile row, sorted within, never over an existing index."""
+    """Write cells for look-ups by place: one folder a tile row, sorted within, never over an existing index.
+
+    Tasks take ranges of (row, column, cell), so a row of many cells is written by several.
+    """
     placed = cells.withColumn("bin_y", F.floor(F.col("y") / tile)).withColumn("bin_x", F.floor(F.col("x") / tile))
-    placed.repartition("bin_y").sortWithinPartitions("bin_x", "cell_id").write.mode("errorifexists").partitionBy("bin_y").parquet(path)
+    placed.repartitionByRange("bin_y", "bin_x", "cell_id").sortWithinPartitions("bin_y", "bin_x", "cell_id").write.mode("errorifexists").partitionBy("bin_y").parquet(path)
 
 
 def query_index(spark: SparkSession, path: str, tile: int, x0: float, y0: float, x1: float, y1: float) -> DataFrame:
