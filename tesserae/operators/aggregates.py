@@ -158,10 +158,10 @@ def average_rank(column: str, keys: Sequence[str]) -> Column:
     return F.rank().over(w) + (F.count(F.lit(1)).over(Window.partitionBy(*keys, column)) - 1) / 2.0
 
 
-def correlation(df: DataFrame, keys: Sequence[str], a: str, b: str, name: str) -> DataFrame:
-    """Pearson's r from exact sums; null under three rows or with a constant column."""
-    x, y = F.col(a), F.col(b)
-    s = df.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"), F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy"))
+def correlation(df: DataFrame, keys: Sequence[str], a: str, b: str, name: str, weight: str | None = None) -> DataFrame:
+    """Pearson's r from exact sums; null under three rows or with a constant column. A row counts `weight` times."""
+    x, y, w = F.col(a), F.col(b), F.lit(1) if weight is None else F.col(weight)
+    s = df.groupBy(*keys).agg(F.sum(w).alias("n"), F.sum(w * x).alias("sx"), F.sum(w * y).alias("sy"), F.sum(w * x * x).alias("sxx"), F.sum(w * y * y).alias("syy"), F.sum(w * x * y).alias("sxy"))
     n = F.col("n").cast("double")
     cov = n * F.col("sxy") - F.col("sx") * F.col("sy")
     var = (n * F.col("sxx") - F.col("sx") * F.col("sx")) * (n * F.col("syy") - F.col("sy") * F.col("sy"))
@@ -169,9 +169,34 @@ def correlation(df: DataFrame, keys: Sequence[str], a: str, b: str, name: str) -
 
 
 def spearman(df: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFrame:
-    """Pearson's r of average ranks."""
-    ranked = df.select(*keys, average_rank(a, keys).alias("ra"), average_rank(b, keys).alias("rb"))
-    return correlation(ranked, keys, "ra", "rb", "spearman")
+    """Pearson's r of average ranks; rows that lack either value take no part.
+
+    Equal pairs are counted before the shuffle, and ranks are running sums over different values only.
+    """
+    pairs = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(*keys, a, b).agg(F.count("*").alias("_w"))
+    ranked = pairs
+    for c, name in ((a, "_ra"), (b, "_rb")):
+        steps = pairs.groupBy(*keys, c).agg(F.sum("_w").alias("_n"))
+        upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy(c))
+        ranked = ranked.join(steps.select(*keys, c, (upto - (F.col("_n") - 1) / 2.0).alias(name)), [*keys, c])
+    return correlation(ranked, keys, "_ra", "_rb", "spearman", "_w")
+
+
+def percentiles(df: DataFrame, keys: Sequence[str], column: str, wanted: dict[str, float]) -> DataFrame:
+    """(keys, names): exact percentiles, interpolated, of a column's values that aren't null.
+
+    Equal values are counted before the shuffle; what is sorted, and may spill, are the different values of a group.
+    """
+    all_ = Window.partitionBy(*keys)
+    steps = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
+    steps = steps.select(*keys, "_v", F.sum("_n").over(all_.orderBy("_v")).alias("_upto"), F.sum("_n").over(all_).alias("_all"))
+    ends, out = [], []
+    for name, q in wanted.items():
+        at = (F.col("_all") - 1) * F.lit(q)
+        ends += [F.min(F.when(F.col("_upto") > f(at), F.col("_v"))).alias(f"_{name}{i}") for i, f in enumerate((F.floor, F.ceil))]
+        low, high = F.col(f"_{name}0"), F.col(f"_{name}1")
+        out.append(F.when(low == high, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high).alias(name))
+    return steps.groupBy(*keys).agg(F.max("_all").alias("_all"), *ends).select(*keys, *out)
 
 
 def partial_correlation(df: DataFrame, keys: Sequence[str], a: str, b: str, control: str) -> DataFrame:
@@ -195,9 +220,10 @@ def hotspots(df: DataFrame, keys: Sequence[str], bin_size: float, a: str, b: str
 def distribution(df: DataFrame, keys: Sequence[str], column: str, top: float) -> DataFrame:
     """Quantiles, and the shares of zeros and of values at `top` or more."""
     c = F.col(column)
-    return df.groupBy(*keys).agg(
-        F.percentile(column, 0.01).alias("q01"), F.percentile(column, 0.5).alias("q50"), F.percentile(column, 0.99).alias("q99"), F.avg((c == 0).cast("int")).alias("zero_share"), F.avg((c >= top).cast("int")).alias("top_share")
-    )
+    shares = df.groupBy(*keys).agg(F.avg((c == 0).cast("int")).alias("zero_share"), F.avg((c >= top).cast("int")).alias("top_share"))
+    cuts = percentiles(df, keys, column, {"q01": 0.01, "q50": 0.5, "q99": 0.99})
+    both = shares.join(cuts, list(keys), "left") if keys else shares.crossJoin(cuts)  # one row each
+    return both.select(*keys, "q01", "q50", "q99", "zero_share", "top_share")
 
 
 def histogram_auc(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -223,15 +249,17 @@ def top_variance(df: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def robust_scale(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """Median and median absolute deviation."""
-    middle = df.groupBy(*keys).agg(F.median(column).alias("middle"))
-    off = df.join(middle, list(keys)).withColumn("off", F.abs(F.col(column) - F.col("middle")))
-    return off.groupBy(*keys).agg(F.max("middle").alias("middle"), F.median("off").alias("mad"))
+    """Median and median absolute deviation; groups without a value have neither."""
+    keys = list(keys)
+    middle = percentiles(df, keys, column, {"middle": 0.5})
+    off = df.join(middle, keys).withColumn("off", F.abs(F.col(column) - F.col("middle")))
+    found = middle.join(percentiles(off, keys, "off", {"mad": 0.5}), keys)
+    return df.select(*keys).distinct().join(found, keys, "left").select(*keys, "middle", "mad")
 
 
 def impute_median(df: DataFrame, column: str) -> DataFrame:
     """Nulls replaced by the column's median, or 0 if it has none."""
-    middle = df.agg(F.median(column).alias("_m"))
+    middle = percentiles(df, [], column, {"_m": 0.5})  # one row
     return df.crossJoin(F.broadcast(middle)).withColumn(column, F.coalesce(F.col(column), F.col("_m"), F.lit(0.0))).drop("_m")
 
 

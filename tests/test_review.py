@@ -131,3 +131,19 @@ def test_index_spreads_a_row_of_tiles(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     got = records.query_index(spark, str(tmp_path / "index"), 10, 100, 0, 119, 5)
     assert got.count() == 160 and len(list((tmp_path / "index" / "bin_y=0").glob("*.parquet"))) > 1
+
+
+def test_percentiles_and_spearman(spark):
+    draw = random.Random(1)
+    rows = [(g, float(draw.randrange(9)), draw.choice([None, *range(5)])) for g in range(3) for _ in range(50)] + [(7, None, 1), (8, 2.0, 2)]
+    df = spark.createDataFrame(rows, "g int, a double, b int")
+    got = {r.g: (r.p, r.q) for r in aggregates.percentiles(df, ["g"], "a", {"p": 0.33, "q": 1.0}).collect()}
+    want = {r.g: (r.p, r.q) for r in df.groupBy("g").agg(F.percentile("a", 0.33).alias("p"), F.percentile("a", 1.0).alias("q")).where("p IS NOT NULL").collect()}
+    assert got == {g: pytest.approx(v) for g, v in want.items()}
+    assert aggregates.percentiles(df.limit(0), [], "a", {"p": 0.5}).collect()[0].p is None
+    assert {r.g: r.mad for r in aggregates.robust_scale(df, ["g"], "a").where("g > 6").collect()} == {7: None, 8: 0.0}
+    full = df.where("a IS NOT NULL AND b IS NOT NULL")
+    ranked = full.select("g", aggregates.average_rank("a", ["g"]).alias("ra"), aggregates.average_rank("b", ["g"]).alias("rb"))
+    want = {r.g: r.r for r in aggregates.correlation(ranked, ["g"], "ra", "rb", "r").collect()}
+    got = {r.g: r.spearman for r in aggregates.spearman(df, ["g"], "a", "b").collect()}
+    assert got == {g: v if v is None else pytest.approx(v) for g, v in want.items()}
