@@ -412,3 +412,8 @@ def edge_ratio(df: DataFrame, keys: Sequence[str], value: str, edge: str, least_
     g = df.groupBy(*keys).agg(F.count_if(e).alias("n_edge"), F.count_if(~e).alias("n_core"), F.sum(F.when(e, v)).alias("_e"), F.sum(F.when(~e, v)).alias("_c"))
     enough = (F.col("n_edge") >= least_edge) & (F.col("n_core") >= least_core) & (F.col("_c") > 0)
     return g.select(*keys, "n_edge", "n_core", F.when(enough, (F.col("_e") / F.col("n_edge")) / (F.col("_c") / F.col("n_core"))).alias("ratio"))
+
+
+def macro_average(df: DataFrame, keys: Sequence[str], value: str, missing: str, weight: str) -> DataFrame:
+    """Mean of a metric over a unit's regions, those without one left out, and the share of rows missing, weighted by the regions' rows."""
+    return df.groupBy(*keys).agg(F.count("*").alias("regions"), F.avg(value).alias("mean"), F.try_divide(F.sum(F.col(weight) * F.col(missing)), F.sum(weight)).alias("missing"))

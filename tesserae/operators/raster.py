@@ -213,3 +213,9 @@ def reassigned(raster: DataFrame, supported: Column, allowed: Column, keys: Sequ
     loose = F.assert_true(supported | allowed, F.lit("an unsupported label away from the edge"))
     checked = raster.withColumn("_ok", supported).where(loose.isNull())
     return grown(checked.where("_ok").select(*keys, "y", "x", "label"), checked.where("NOT _ok").select(*keys, "y", "x"), keys, width)
+
+
+def scan_ordered(raster: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, label, number): labels numbered from 1 by their first pixel, row by row."""
+    first = raster.where("label <> 0").groupBy(*keys, "label").agg(F.min(F.struct("y", "x")).alias("_first"))
+    return first.select(*keys, "label", F.row_number().over(Window.partitionBy(*keys).orderBy("_first", "label")).alias("number"))

@@ -9,7 +9,7 @@ from ..operators import aggregates as agg
 from ..operators import constraints, evidence, geometry, graph, joins, ordered, raster
 from ..sources import records
 from .evidence import _ALL_PAIRS
-from .frames import CELLS, PIXELS, RASTER, cells, pixels, table
+from .frames import CELLS, OUTCOMES, PIXELS, RASTER, cells, outcomes, pixels, table
 from .frames import raster as label_raster
 from .quality import _CROSS
 from .spatial import _PAIRS, _SIDES, _points, _polygons, _sparse
@@ -269,3 +269,18 @@ def declared_values(spark, sf_dir):
     text = F.concat(F.lit("{"), top, F.lit('"metadata": {"mpp": " 0.5 "}, "features": [{"slide": {"mpp": 9}, "properties": {"mpp": 0.5, "slide": "s'), k, F.lit('"}}, {"properties": null, "mpp": [1]}]}'))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text"))
     return orders.select("o_orderkey", F.array_join(scalars.declared(F.col("text"), ("mpp", "slide")), ";").alias("declared"))
+
+
+@query(f"WITH {RASTER}, l AS (SELECT sample_id, label * 100 + y // 8 AS label, min(y * 64 + x) AS f FROM raster GROUP BY ALL) SELECT sample_id, label, CAST(row_number() OVER (PARTITION BY sample_id ORDER BY f) AS INTEGER) AS number FROM l")
+def scan_ordered_labels(spark, sf_dir):
+    return raster.scan_ordered(label_raster(spark, sf_dir).withColumn("label", F.expr("label * 100 + y div 8")), ["sample_id"])
+
+
+@query(f"""WITH {OUTCOMES}, r AS (SELECT detector, patient, roi, CASE WHEN sum(fp) = 0 THEN sum(tp) / (sum(tp) + sum(fn)) END AS v, sum(fn) / (sum(tp) + sum(fn)) AS m, sum(tp) + sum(fp) + sum(fn) AS w FROM outcomes GROUP BY ALL)
+SELECT detector, patient, count(*) AS regions, round(avg(v), 9) AS mean, round(sum(w * m) / sum(w), 9) AS missing FROM r GROUP BY ALL""")
+def patient_missing_shares(spark, sf_dir):
+    """Recall by patient over regions without a false alarm, and the share of reference rows missed."""
+    tp, fp, fn = F.sum("tp"), F.sum("fp"), F.sum("fn")
+    r = outcomes(spark, sf_dir).groupBy("detector", "patient", "roi").agg(F.when(fp == 0, tp / (tp + fn)).alias("v"), (fn / (tp + fn)).alias("m"), (tp + fp + fn).alias("w"))
+    found = agg.macro_average(r, ["detector", "patient"], "v", "m", "w")
+    return found.withColumn("mean", F.round("mean", 9)).withColumn("missing", F.round("missing", 9))
