@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -140,3 +142,10 @@ def declared(text: Column, names: tuple[str, ...], inside: tuple[str, ...] = ("p
     below = F.flatten(F.transform(features, lambda f: F.array(f, F.from_json(f["properties"], plain))))
     values = F.flatten(F.transform(F.concat(tops, below), lambda m: F.array(*(F.trim(m[n]) for n in names))))
     return F.array_distinct(F.filter(values, lambda v: v.isNotNull() & (v != "") & ~v.rlike(r"^[\[{]")))
+
+
+def blend_weight(i: Column, n: int, least: float = 1e-3) -> Column:
+    """The raised-cosine weight of position i from 0 in a patch n long, at least `least`; 1 in patches of one or two."""
+    if n <= 2:
+        return F.lit(1.0)
+    return F.greatest(0.5 - 0.5 * F.cos(i * (2 * math.pi / (n - 1))), F.lit(least))

@@ -284,3 +284,16 @@ def patient_missing_shares(spark, sf_dir):
     r = outcomes(spark, sf_dir).groupBy("detector", "patient", "roi").agg(F.when(fp == 0, tp / (tp + fn)).alias("v"), (fn / (tp + fn)).alias("m"), (tp + fp + fn).alias("w"))
     found = agg.macro_average(r, ["detector", "patient"], "v", "m", "w")
     return found.withColumn("mean", F.round("mean", 9)).withColumn("missing", F.round("missing", 9))
+
+
+@query(f"""WITH {RASTER}, p AS (SELECT sample_id, y, x, label % 3 AS channel, y // 8 - a AS py, x // 8 - b AS px, (label * 7 + (y // 8 - a) * 3 + x // 8 - b) % 10 AS p FROM raster, range(2) s(a), range(2) t(b) WHERE y // 8 >= a AND x // 8 >= b),
+w AS (SELECT *, greatest(0.5 - 0.5 * cos((y - 8 * py) * (2 * pi() / 15)), 0.001) * greatest(0.5 - 0.5 * cos((x - 8 * px) * (2 * pi() / 15)), 0.001) AS w FROM p)
+SELECT sample_id, y, x, channel, round(sum(w * p) / sum(w), 7) AS p FROM w GROUP BY ALL""")
+def cosine_blended(spark, sf_dir):
+    """Patches of 16 pixels at every eighth, weighted towards their middles."""
+    both = F.array(F.lit(0), F.lit(1))
+    p = label_raster(spark, sf_dir).withColumn("a", F.explode(both)).withColumn("b", F.explode(both))
+    p = p.withColumn("py", F.expr("y div 8 - a")).withColumn("px", F.expr("x div 8 - b")).where("py >= 0 AND px >= 0")
+    w = scalars.blend_weight(F.col("y") - 8 * F.col("py"), 16) * scalars.blend_weight(F.col("x") - 8 * F.col("px"), 16)
+    patches = p.select("sample_id", "y", "x", (F.col("label") % 3).alias("channel"), F.expr("(label * 7 + py * 3 + px) % 10").alias("p"), w.alias("w"))
+    return raster.blended(patches, ["sample_id"]).withColumn("p", F.round("p", 7))
