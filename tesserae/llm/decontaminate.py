@@ -173,7 +173,8 @@ def _search(columns: dict[str, list], marks: dict[int, tuple[np.ndarray, np.ndar
                 if len(at):
                     yield rows(at, n=[n] * len(at), digest=[block.digest(s, n) for s in at.tolist()])
             elif len(at):
-                new = np.flatnonzero(np.concatenate(([True], (fp[1:] != fp[:-1]) | (np.diff(at) != 1))))
+                cut = (fp[1:] != fp[:-1]) | (np.diff(at) != 1) | (block.text[at[1:]] != block.text[at[:-1]])
+                new = np.flatnonzero(np.concatenate(([True], cut)))
                 run = np.diff(np.concatenate((new, [len(at)])))
                 out = rows(at[new], n=[n] * len(new), fp=fp[new])
                 yield out | {"last": out["s"] + run - 1}

@@ -112,3 +112,26 @@ def test_every_long_shared_span_shares_a_fingerprint():
     for s in range(0, 300, 7):
         b = d.Block([(words(5, s) + " " + " ".join(text.split()[s : s + 10]) + " " + words(5, s + 1)).encode()])
         assert low[s] in b.winnow()[1]
+
+
+@pytest.mark.parametrize("few", [0, 1, d.FEW])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_texts_of_few_words(spark, few, seed):
+    """Equal fingerprints meet at the ends of texts that share a block; items have one to twelve words."""
+    rng = np.random.default_rng(seed)
+
+    def text(n):
+        return " ".join(f"w{i}" for i in rng.integers(0, 12, n))
+
+    items = [(i, text(1 + i % 12)) for i in range(31)]
+    docs = [(i, text(int(rng.integers(0, 30)))) for i in range(80)] + [(100, "w1"), (101, "w1 w2"), (102, "w2 w3")]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string").repartition(3, "doc_id"), spark.createDataFrame(items, "item_id long, text string")
+    assert found(df, bench, few=few) == brute(docs, items)
+
+
+@pytest.mark.parametrize("few", [0, d.FEW])
+def test_one_word_items_stay_within_their_texts(spark, few):
+    docs = spark.createDataFrame([(1, "w1"), (2, "w1 w2"), (3, "w2 w3")], "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(1, "w1"), (2, "w2")], "item_id long, text string")
+    assert found(docs, bench, few=few) == [(1, 1, 1, "1"), (2, 2, 2, "1,2"), (3, 2, 1, "2")]
+    assert d.drop_hit(docs, bench, few=few).count() == 0
