@@ -165,10 +165,10 @@ def _search(queries: Vectors, keys: np.ndarray, k: int, count: Callable[[int, li
     return run
 
 
-def taking_part(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding) of rows with an id and a vector without null or non-finite components."""
+def taking_part(vectors: DataFrame, *more: str) -> DataFrame:
+    """(vec_id, embedding, more) of rows with an id and a vector without null or non-finite components."""
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).where("vec_id is not null and embedding is not null").where(~bad)
+    return vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), *more).where("vec_id is not null and embedding is not null").where(~bad)
 
 
 def counters(spark: SparkSession) -> list[Accumulator]:
