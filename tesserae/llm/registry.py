@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, extract, negatives, pieces, pii, simhash, suffix, topk, toxicity, warc
+from . import chat, decontaminate, extract, lexical, negatives, pieces, pii, simhash, suffix, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_suffix_repeats": suffix.op10_suffix_repeats,
+        "op11_lexical": lexical.op11_lexical,
         "op12_hard_negatives": negatives.op12_hard_negatives,
     }
 
@@ -32,5 +33,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_chat": chat.OP5_SQL,
         "op8_decontaminate": decontaminate.OP8_SQL,
         "op10_suffix_repeats": suffix.OP10_SQL,
+        "op11_lexical": lexical.OP11_SQL,
         "op12_hard_negatives": negatives.OP12_SQL,
     }
