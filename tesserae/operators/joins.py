@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import stored
+from .ordered import dealt
 
 #: Rows that a broadcast side may have; larger sides go through a shuffle.
 BROADCAST_ROWS = 20_000
@@ -50,6 +51,46 @@ def box_join(points: DataFrame, boxes: DataFrame, keys: Sequence[str], tile: int
     return met.where("x >= x0 AND x < x1 AND y >= y0 AND y < y1").drop("_tx", "_ty")
 
 
+def latest(points: DataFrame, starts: DataFrame, keys: Sequence[str], at: str, carried: Sequence[str]) -> DataFrame:
+    """`points` with the columns `carried` of the last of `starts` with the same keys whose `at` is not past the point's.
+
+    Both sides are sorted together by ranges, and the last start of each range is carried over to the
+    ranges after it, so neither a key nor a value with many points makes a task large. Of starts at one
+    place the one with the greatest carried values counts. Points before the first start, or without
+    a place, get nulls; starts without a place are ignored. Starts sit close together, far apart or anywhere.
+    """
+    keys, inner = list(keys), [c for c in points.columns if c not in keys and c != at]
+    point = F.struct(F.xxhash64(*points.columns).alias("_h"), F.struct(*inner).alias("_v") if inner else F.lit(0).alias("_v"))
+    start = F.struct(*keys, F.struct(*(F.col(c) for c in carried)).alias("_v"))
+    kinds = points.select(point.alias("_point")).schema["_point"].dataType, starts.select(start.alias("_start")).schema["_start"].dataType
+    left = starts.where(F.col(at).isNotNull()).select(*keys, at, F.lit(0).alias("_kind"), start.alias("_start"), F.lit(None).cast(kinds[0]).alias("_point"))
+    right = points.select(*keys, at, F.lit(1).alias("_kind"), F.lit(None).cast(kinds[1]).alias("_start"), point.alias("_point"))
+    rows = left.unionByName(right).withColumn("_salt", F.coalesce("_point._h", F.lit(0)))
+    order = [*keys, at, "_kind", "_salt"]
+    rows = dealt(rows, order)
+    ends = rows.where("_kind = 0").groupBy("_p").agg(F.max_by("_start", F.struct(*keys, at, "_start._v")).alias("_last"))
+    parts = rows.select("_p").distinct().join(ends, "_p", "left")  # a row for each range
+    ends = parts.select("_p", F.last("_last", ignorenulls=True).over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
+    within = Window.partitionBy("_p").orderBy(*keys, at, "_kind", "_start._v", "_salt").rowsBetween(Window.unboundedPreceding, 0)
+    found = rows.withColumn("_own", F.last("_start", ignorenulls=True).over(within)).where("_kind = 1").join(ends, "_p", "left")
+    found = found.withColumn("_got", F.coalesce("_own", "_carry"))
+    fits = reduce(lambda a, b: a & b, (F.col(f"_got.{k}").eqNullSafe(F.col(k)) for k in keys), F.col(at).isNotNull())
+    return found.select(*keys, at, *(F.col(f"_point._v.{c}").alias(c) for c in inner), *(F.when(fits, F.col(f"_got._v.{c}")).alias(c) for c in carried))
+
+
+def irregular_lattice_join(points: DataFrame, grid: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Points (x, y) with the core (x0, y0, x1, y1) of an irregular lattice that they lie in, half-open.
+
+    Each axis is an as-of join with the lattice's different starts, and the two starts name the
+    core in an equi-join; points in no core are left out.
+    """
+    keys = list(keys)
+    for axis in "xy":
+        starts = grid.select(*keys, F.col(f"{axis}0").alias(axis), F.col(f"{axis}0")).distinct()
+        points = latest(points, starts, keys, axis, [f"{axis}0"])
+    return points.join(grid, [*keys, "x0", "y0"]).where("x < x1 AND y < y1")
+
+
 def near_pairs(points: DataFrame, keys: Sequence[str], radius: float) -> DataFrame:
     """(keys, a, b, d): ordered pairs of different points (id, x, y) less than `radius` apart.
 

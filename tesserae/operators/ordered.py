@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import stored
+
 
 def first_of(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row of each group in an order; unlike dropDuplicates, which row it is is defined."""
@@ -38,16 +40,38 @@ def dense_labels(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
     return sizes.select(*keys, label, "n", F.row_number().over(w.orderBy(label)).alias("dense"), F.row_number().over(w.orderBy(F.desc("n"), label)).alias("by_size"))
 
 
-def running(df: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:
-    """Running sum up to a row, before it, and from it on."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return df.select(
-        *keys,
-        order,
-        F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-        F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-        F.sum(value).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("from_here"),
-    )
+def dealt(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """`df` dealt out by ranges of `order` and stored, with the number of its range, `_p`.
+
+    What is summed up within ranges and carried over their ends then replaces one long window; rows
+    of a large group fall into several ranges.
+    """
+    return stored(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
+
+
+def same(a: DataFrame, b: DataFrame, names: Sequence[str]) -> Column:
+    """Whether two frames' columns are the same, nulls included."""
+    return reduce(lambda x, y: x & y, (a[n].eqNullSafe(b[n]) for n in names), F.lit(True))
+
+
+def running(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], value: str, also: Sequence[str] = ()) -> DataFrame:
+    """Running sum of a long `value` up to a row, before it, and from it on; with the columns of `also`.
+
+    Sums within ranges of the order, and the sums of the ranges before: a group of any size is
+    spread over as many tasks as it needs.
+    """
+    keys, order = list(keys), [order] if isinstance(order, str) else list(order)
+    columns = list(dict.fromkeys([*keys, *order, value, *also]))
+    rows = dealt(df.select(*columns), [*keys, *order])
+    parts = Window.partitionBy(*keys).orderBy("_p")
+    sums = rows.groupBy(*keys, "_p").agg(F.sum(value).alias("_s"))
+    sums = sums.select(*keys, "_p", F.coalesce(F.sum("_s").over(parts.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_s").over(Window.partitionBy(*keys)).alias("_all"))
+    within = Window.partitionBy(*keys, "_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.withColumn("_w", F.sum(value).over(within))
+    met = summed.join(sums, same(summed, sums, [*keys, "_p"]))
+    upto = F.col("_before") + F.col("_w")
+    kept = [summed[c] for c in columns if c != value or c in also]
+    return met.select(*kept, upto.alias("upto"), (upto - F.col(value)).alias("before"), (F.col("_all") - upto + F.col(value)).alias("from_here"))
 
 
 def gap_clusters(df: DataFrame, keys: Sequence[str], value: str, gap: float) -> DataFrame:

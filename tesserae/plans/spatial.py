@@ -401,3 +401,25 @@ def boundary_agreement(spark, sf_dir):
 def area_percentile_ranks(spark, sf_dir):
     n = F.count(F.lit(1)).over(Window.partitionBy("sample_id"))
     return cells(spark, sf_dir).select("sample_id", "cell_id", (agg.average_rank("area", ["sample_id"]) / n).alias("share"))
+
+
+_LATTICE = """marks AS (SELECT * FROM cells WHERE area >= 60 AND kind = 1),
+xs AS (SELECT sample_id, x0, least(lead(x0) OVER (PARTITION BY sample_id ORDER BY x0), x0 + 48) AS x1 FROM (SELECT DISTINCT sample_id, x AS x0 FROM marks)),
+ys AS (SELECT sample_id, y0, least(lead(y0) OVER (PARTITION BY sample_id ORDER BY y0), y0 + 96) AS y1 FROM (SELECT DISTINCT sample_id, y AS y0 FROM marks)),
+grid AS (SELECT sample_id, x0, y0, coalesce(x1, x0 + 48) AS x1, coalesce(y1, y0 + 96) AS y1 FROM xs JOIN ys USING (sample_id))"""
+
+
+@query(f"""WITH {CELLS}, {_LATTICE}, a AS (SELECT c.sample_id, c.cell_id, c.x, c.y, c.area, xs.x0 FROM cells c ASOF JOIN xs ON c.sample_id = xs.sample_id AND c.x >= xs.x0),
+b AS (SELECT a.*, ys.y0 FROM a ASOF JOIN ys ON a.sample_id = ys.sample_id AND a.y >= ys.y0)
+SELECT sample_id, x0, y0, count(*) AS n, CAST(sum(area) AS BIGINT) AS area, min(cell_id) AS first FROM b JOIN grid USING (sample_id, x0, y0) WHERE x < x1 AND y < y1 GROUP BY ALL""")
+def irregular_cores(spark, sf_dir):
+    """Cells in the cores of a lattice whose starts lie anywhere, with gaps between some cores."""
+    c = cells(spark, sf_dir)
+    marks = c.where("area >= 60 AND kind = 1")
+    axes = []
+    for axis, most in (("x", 48), ("y", 96)):
+        starts = marks.select("sample_id", F.col(axis).alias(f"{axis}0")).distinct()
+        after = F.lead(f"{axis}0").over(Window.partitionBy("sample_id").orderBy(f"{axis}0"))
+        axes.append(starts.withColumn(f"{axis}1", F.least(after, F.col(f"{axis}0") + most)))
+    met = joins.irregular_lattice_join(c.select("sample_id", "cell_id", "x", "y", "area"), axes[0].join(axes[1], "sample_id"), ["sample_id"])
+    return met.groupBy("sample_id", "x0", "y0").agg(F.count("*").alias("n"), F.sum("area").alias("area"), F.min("cell_id").alias("first"))
