@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, extract, lexical, negatives, pieces, pii, simhash, suffix, topk, toxicity, warc
+from . import chat, decontaminate, extract, lexical, mixing, negatives, pieces, pii, simhash, suffix, topk, toxicity, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_suffix_repeats": suffix.op10_suffix_repeats,
         "op11_lexical": lexical.op11_lexical,
         "op12_hard_negatives": negatives.op12_hard_negatives,
+        "op13_mixing": mixing.op13_mixing,
     }
 
 
