@@ -9,7 +9,12 @@ with such a line is a content region and is taken whole, however short its other
 Elements and names are features of that choice, not the choice: lines in an article or main element
 count twice, and a cluster there selects that element; sections with a name such as `notice` count a
 quarter and are taken only on their own. What can't be an article's text (menus, headers and footers
-of pages, sidebars, adverts, forms, scripts, reader comments) has no ratio and is never content.
+of pages, sidebars, adverts, forms, scripts, reader comments) has no ratio and is never content. Within
+an article a name that only holds such a word (`comment-on-law`, `related-work`) counts half, and is
+never content only if the section is made of repeated items or of links; headings are not judged by name.
+
+Time is linear in a page's length, whatever is left open in it: what the parser cannot finish is
+taken apart by a plain scan, in which an unclosed tag ends at the next `<`.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -32,8 +38,11 @@ SIGMA = 1.0
 CUT = 1.0
 #: Ratios beyond count as this, so that very long lines don't raise the threshold over ordinary ones.
 CEILING = 80.0
-#: Factors on the ratios of lines in article and main elements, and in sections with a weak name.
-HELD, WEAK = 2.0, 0.25
+#: Factors on the ratios of lines in article and main elements, in sections with a weak name, and in doubtful ones.
+HELD, WEAK, DOUBTFUL = 2.0, 0.25, 0.5
+#: From so many items of a kind, or this share of characters in links or in list items, on a doubtful section is no content.
+ITEMS, LINKED, LISTED = 2, 0.4, 0.8
+ITEM_TAGS = frozenset("article dd div li section".split())
 #: Characters that the parser is given at a time.
 FEED = 1 << 16
 
@@ -56,6 +65,8 @@ MARKED = frozenset(
     "gdpr hidden masthead menu modal nav navbar navigation newsletter pager pagination popup related replies reply respond sidebar signup "
     "sponsor sponsored subscribe subscription".split()
 )
+#: Classes of lists of what readers say; as an id, or on a section, they may be the text's own.
+TALK = frozenset("discussion discussions feedback reactions responses thread".split())
 #: Words that speak against a section without deciding.
 WEAKLY = frozenset("notice notification promo promotion share sharing skip social toolbar widget widgets".split())
 #: Words that mark even an element within a line of text.
@@ -69,6 +80,9 @@ HOLDERS = frozenset("html body article main".split())
 ENDS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 _WORDS = re.compile(r"[a-z]+")
+_TOKENS = re.compile(r"<[^<>]*>|<[^<>]*|[^<]+")
+_MARKUP = re.compile(r"<[a-zA-Z/!?]")
+_HEADING = re.compile(r"h[1-6]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
@@ -81,14 +95,24 @@ def named(names: str, words: frozenset[str]) -> bool:
     return False
 
 
+def decisive(names: str) -> bool:
+    """Whether one of the class or id names is just a marked word."""
+    return not MARKED.isdisjoint(names.lower().split())
+
+
 @dataclass
 class Section:
-    """A section of a page: the one around it, the innermost article or main element it is or lies in, its name's weight."""
+    """A section of a page: the one around it, the innermost article or main element it is or lies in, its name's weight.
+
+    doubtful: its name holds a marked word; items: how often the elements in it have each tag and class.
+    """
 
     parent: int
     holder: int
     weak: bool = False
     root: bool = False
+    doubtful: bool = False
+    items: dict[tuple[str, str], int] = field(default_factory=dict)
 
 
 @dataclass
@@ -101,6 +125,7 @@ class Line:
     dropped: bool = False
     title: bool = False
     section: int = 0
+    listed: bool = False
     text: str = ""
 
 
@@ -131,7 +156,7 @@ class Lines(HTMLParser):
             if self.line.text:
                 self.lines.append(self.line)
         at = self.open[-1]
-        self.line = Line(tags=0 if self.line.text else self.line.tags, dropped=at.dropped, title=at.tag == "h1", section=at.section)
+        self.line = Line(tags=0 if self.line.text else self.line.tags, dropped=at.dropped, title=at.tag == "h1", section=at.section, listed=bool(self.count.get("li")))
 
     def _pop(self) -> Open:
         was = self.open.pop()
@@ -154,14 +179,18 @@ class Lines(HTMLParser):
         at = self.open[-1]
         section, inline, dropped = at.section, at.inline, at.dropped
         held = self.sections[section].holder >= 0
-        weak = False
+        weak = doubtful = False
         if not dropped:
             dropped = tag in DROPPED or (tag == "header" and not held)
             if attrs and not dropped:
-                dropped, weak = self._marks(tag, attrs, block, held)
+                dropped, weak, doubtful = self._marks(tag, attrs, block, held)
             inline = dropped and not block
-        if not dropped and (tag in SECTIONS or weak):
-            self.sections.append(Section(section, self.sections[section].holder, weak, tag in ("html", "body")))
+        if tag in ITEM_TAGS and self.sections[section].doubtful:
+            items = self.sections[section].items
+            kind = tag, next((v or "" for n, v in attrs if n == "class"), "")
+            items[kind] = items.get(kind, 0) + 1
+        if not dropped and (tag in SECTIONS or weak or doubtful):
+            self.sections.append(Section(section, self.sections[section].holder, weak, tag in ("html", "body"), doubtful))
             section = len(self.sections) - 1
             if tag in ("article", "main"):
                 self.sections[section].holder = section
@@ -172,25 +201,39 @@ class Lines(HTMLParser):
             self.line.tags += 1
 
     @staticmethod
-    def _marks(tag: str, attrs: list[tuple[str, str | None]], block: bool, held: bool) -> tuple[bool, bool]:
-        """Whether attributes drop an element, and whether they speak against it."""
-        weak = False
+    def _marks(tag: str, attrs: list[tuple[str, str | None]], block: bool, held: bool) -> tuple[bool, bool, bool]:
+        """Whether attributes drop an element, whether they speak against it, and whether they leave that in doubt."""
+        weak = doubtful = False
         for name, value in attrs:
             if tag in ("html", "body"):
                 break
             if name == "hidden":
-                return True, False
+                return True, False, False
             if not value:
                 continue
             if name in ("class", "id"):
-                if tag in HOLDERS and not held:
+                if tag in HOLDERS and not held or _HEADING.fullmatch(tag):
                     continue
-                if block and named(value, MARKED) or tag in ("ins", "span") and named(value, ADVERTS):
-                    return True, False
+                if tag in ("ins", "span") and named(value, ADVERTS):
+                    return True, False, False
+                if block and named(value, MARKED):
+                    if not held or decisive(value):
+                        return True, False, False
+                    doubtful = True
+                if block and name == "class" and tag != "section" and not TALK.isdisjoint(value.lower().split()):
+                    return True, False, False
                 weak |= block and named(value, WEAKLY)
             elif name == "role" and value.lower() in ROLES or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
-                return True, False
-        return False, weak
+                return True, False, False
+        return False, weak, doubtful
+
+    def parse_html_declaration(self, i: int) -> int:
+        """Declarations and marked sections end at the first `>` (CDATA at `]]>`), however odd they are."""
+        if self.rawdata.startswith("<!--", i):
+            return self.parse_comment(i)
+        end = "]]>" if self.rawdata[i : i + 9].lower() == "<![cdata[" else ">"
+        at = self.rawdata.find(end, i + 2)
+        return at + len(end) if at >= 0 else -1
 
     def handle_endtag(self, tag: str) -> None:
         at = self.open[-1]
@@ -218,16 +261,56 @@ class Lines(HTMLParser):
                 self.line.linked += len("".join(data.split()))
 
 
+    def finish(self) -> None:
+        """Takes what is left open at the end of a page, in one scan: an unclosed tag ends at the next `<` and is dropped."""
+        left, self.rawdata = self.rawdata, ""
+        for token in _TOKENS.findall(left):
+            if self.cdata_elem:
+                if not re.match(rf"</{self.cdata_elem}[\s/>]", token, re.IGNORECASE):
+                    continue
+            elif not _MARKUP.match(token):
+                self.handle_data(unescape(token))
+                continue
+            if token.endswith(">"):
+                self.feed(token)
+                self.rawdata = ""  # a quote was left open
+        self._break()
+
+
 def parsed(html: str, feed: int = FEED) -> tuple[list[Line], list[Section]]:
     """The lines of a page, in order, and its sections."""
-    parser = Lines()
-    for at in range(0, len(html), feed):
-        parser.feed(html[at : at + feed])
-    parser.close()
-    parser._break()
+    parser, at = Lines(), 0
+    while at < len(html):
+        # What is still open is looked through again, so pieces grow with it.
+        to = at + max(feed, len(parser.rawdata))
+        parser.feed(html[at:to])
+        at = to
+    parser.finish()
     return parser.lines, parser.sections
 
 
+def settle(lines: list[Line], sections: list[Section]) -> None:
+    """Drops the lines of doubtful sections that are lists of items or of links, with all in them."""
+    if not any(s.doubtful for s in sections):
+        return
+    size, linked, listed = ([0] * len(sections) for _ in range(3))
+    for x in lines:
+        n = len(x.text) - x.text.count(" ")
+        size[x.section] += n
+        linked[x.section] += x.linked
+        listed[x.section] += n if x.listed else 0
+    for i in range(len(sections) - 1, 0, -1):
+        for total in (size, linked, listed):
+            total[sections[i].parent] += total[i]
+    gone = [False] * len(sections)
+    for i, s in enumerate(sections):
+        classed, items = (max([n for (t, c), n in s.items.items() if test(t, c)], default=0) for test in (lambda t, c: c, lambda t, c: t == "li"))
+        repeats = classed >= ITEMS or items >= ITEMS and listed[i] >= LISTED * size[i] or linked[i] >= LINKED * max(1, size[i])
+        gone[i] = s.doubtful and repeats or s.parent >= 0 and gone[s.parent]
+    for x in lines:
+        x.dropped |= gone[x.section]
+
+
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     """Ratios under a Gaussian window; the weights beyond the ends go to what is there."""
     if len(ratios) < 2:
@@ -245,7 +328,7 @@ def clusters(lines: list[Line], sections: list[Section]) -> np.ndarray:
     for i, x in enumerate(lines):
         if not x.dropped:
             s = sections[x.section]
-            factor = (HELD if s.holder >= 0 else 1.0) * (WEAK if s.weak else 1.0)
+            factor = (HELD if s.holder >= 0 else 1.0) * (WEAK if s.weak else 1.0) * (DOUBTFUL if s.doubtful else 1.0)
             ratios[i] = min(CEILING, max(0, len(x.text) - x.text.count(" ") - x.linked) / max(1, x.tags)) * factor
             members.setdefault(x.section, []).append(i)
     smooth = np.zeros(len(lines))
@@ -264,7 +347,7 @@ def regions(lines: list[Line], sections: list[Section]) -> Iterator[Line]:
                 chosen.add(sections[x.section].holder)
     taken, around = [], set()
     for i, s in enumerate(sections):  # sections come after those around them
-        inherits = s.parent >= 0 and not s.weak and not sections[s.parent].root and taken[s.parent]
+        inherits = s.parent >= 0 and not s.weak and not s.doubtful and not sections[s.parent].root and taken[s.parent]
         taken.append(i in chosen or inherits)
     for i in chosen:
         while (i := sections[i].parent) >= 0 and i not in around:
@@ -278,6 +361,7 @@ def regions(lines: list[Line], sections: list[Section]) -> Iterator[Line]:
 def main_text(html: str | None) -> str:
     """The content lines of a whole page, joined by newlines."""
     lines, sections = parsed(html or "")
+    settle(lines, sections)
     return "\n".join(x.text for x in regions(lines, sections)) if lines else ""
 
 

@@ -2,6 +2,7 @@ import html
 import math
 import random
 import re
+import time
 
 import pytest
 
@@ -192,3 +193,45 @@ def test_ratio_path_by_plain_loops():
 
         page = "<div>" + "".join(block(1) for _ in range(rng.randint(1, 9))) + "</div>"
         assert main_text(page) == brute_force(page), page
+
+
+LONG = "Real words of a long paragraph that go on. " * 11
+
+
+@pytest.mark.parametrize("opened", ["<section class='comment-on-law'>", "<section id='related-work'>", "<div class='search-results'>", "<div class='ad-hoc-networks'>", "<section class='discussion'>", "<div id='discussion'>"])
+def test_names_in_an_article_are_weighed(opened):
+    closed = opened[1:].split()[0]
+    got = main_text(f"<nav><a href=x>Menu</a></nav><article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p>{opened}<h2>Part</h2><p>Own {LONG}</p></{closed}></article>")
+    assert got.count("Real") == 33 and "Own Real" in got and "\nPart\n" in got
+
+
+@pytest.mark.parametrize("heading", ["<h2 id='menu'>The menu</h2>", "<h2 id='Advertising'>Advertising</h2>", "<h3 class='comments'>Comments on the law</h3>"])
+def test_headings_are_not_judged_by_name(heading):
+    got = main_text(f"<article><h1>Title</h1><p>{LONG}</p>{heading}<p>{LONG}</p></article>")
+    assert re.sub("<[^>]+>", "", heading) in got.split("\n")
+
+
+@pytest.mark.parametrize("talk", ["<div class=discussion><div><b>Ann</b><p>{}</p></div><div><b>Bob</b><p>{}</p></div></div>", "<ol class=discussion><li>Ann: {}<li>Bob: {}</ol>", "<div class='comment-list'><div class=c><p>{}</div><div class=c><p>{}</div></div>", "<div class='reply-list'><ul><li>{}<li>{}</ul></div>", "<div class='related-posts'><p><a href=x>{}</a></p></div>"])
+@pytest.mark.parametrize("inside", [True, False])
+def test_what_readers_say_goes(talk, inside):
+    said = "What a reader has to say about all of this. " * 12
+    talk = talk.format(said, said)
+    got = main_text(f"<article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p>{talk if inside else ''}</article>{'' if inside else talk}")
+    assert "reader" not in got and got.count("Real") == 22
+
+
+@pytest.mark.parametrize("part", ["<a ", "<!--", "<p>", "&", "</", "<!", "<?", "<![", "<a href='", '<a b="', "<script>", "<a/", "</a ", "<div ", "&#", "<p title", "<![CDATA[", "<x>y", "<li>", "<b a='>"])
+def test_time_is_linear(part):
+    began = time.time()
+    main_text("<article><p>Words. " + part * (1_000_000 // len(part)))
+    assert time.time() - began < 20
+
+
+def test_what_is_left_open():
+    for left in ("<b", "<b c", "</b", "<!-- c", "<!x", "<?p", "<![CDATA[ y", "<b a='"):
+        assert main_text(f"<article><p>x {left}") == "x", left
+    assert main_text("<article>x <b a='<i>y</i> z") == "x y z"
+    assert main_text("<article>x <!-- c <p>a</p>b") == "x\na\nb"
+    assert main_text("<article>x < y &am") == "x < y &am"
+    assert main_text("<article>x <![if IE]>y<![endif]> z <![![> w") == "x y z w"
+    assert main_text("<article>x<script>y < z <p>w") == "x"
