@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import running
+
 
 def zonal(pixels: DataFrame, keys: Sequence[str], channels: Sequence[str]) -> DataFrame:
     """Area, coordinate sums, bounds (ends exclusive) and each channel's sum and maximum for every label but 0."""
@@ -185,11 +187,11 @@ def spearman(df: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFrame:
 def percentiles(df: DataFrame, keys: Sequence[str], column: str, wanted: dict[str, float]) -> DataFrame:
     """(keys, names): exact percentiles, interpolated, of a column's values that aren't null.
 
-    Equal values are counted before the shuffle; what is sorted, and may spill, are the different values of a group.
+    Equal values are counted before the shuffle, and the different ones get running counts over ranges of
+    values, so neither a few groups nor one of any size meet in one task.
     """
-    all_ = Window.partitionBy(*keys)
     steps = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
-    steps = steps.select(*keys, "_v", F.sum("_n").over(all_.orderBy("_v")).alias("_upto"), F.sum("_n").over(all_).alias("_all"))
+    steps = running(steps, keys, "_v", "_n").withColumnRenamed("upto", "_upto").withColumn("_all", F.col("before") + F.col("from_here"))
     ends, out = [], []
     for name, q in wanted.items():
         at = (F.col("_all") - 1) * F.lit(q)
@@ -199,6 +201,13 @@ def percentiles(df: DataFrame, keys: Sequence[str], column: str, wanted: dict[st
     return steps.groupBy(*keys).agg(F.max("_all").alias("_all"), *ends).select(*keys, *out)
 
 
+def with_percentiles(found: DataFrame, df: DataFrame, keys: Sequence[str], wanted: dict[str, dict[str, float]]) -> DataFrame:
+    """`found`, a row for each of the keys, with percentiles() of several columns of `df`; null where a column has no values."""
+    for column, names in wanted.items():
+        found = found.join(percentiles(df, keys, column, names), list(keys), "left")
+    return found
+
+
 def partial_correlation(df: DataFrame, keys: Sequence[str], a: str, b: str, control: str) -> DataFrame:
     """Correlation of a and b with one control's linear part taken out."""
     parts = [correlation(df, keys, *pair, name) for pair, name in (((a, b), "ab"), ((a, control), "ac"), ((b, control), "bc"))]
@@ -275,8 +284,9 @@ def enrichment(df: DataFrame, cluster: str, markers: Sequence[str]) -> DataFrame
     """Mean of each marker by cluster against all, in standard deviations (sample); null if there is none."""
     spread = df.select(cluster, F.explode(F.array(*(F.struct(F.lit(m).alias("marker"), F.col(m).alias("value")) for m in markers))).alias("m")).select(cluster, "m.*")
     every = spread.groupBy("marker").agg(F.avg("value").alias("overall"), F.stddev_samp("value").alias("sd"))
-    own = spread.groupBy(cluster, "marker").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.median("value").alias("median"))
-    return own.join(F.broadcast(every), "marker").select(cluster, "marker", "n", "mean", "median", "overall", F.try_divide(F.col("mean") - F.col("overall"), F.col("sd")).alias("smd"))
+    own = spread.groupBy(cluster, "marker").agg(F.count("value").alias("n"), F.avg("value").alias("mean"))
+    own = with_percentiles(own, spread, [cluster, "marker"], {"value": {"median": 0.5}})
+    return own.join(every, "marker").select(cluster, "marker", "n", "mean", "median", "overall", F.try_divide(F.col("mean") - F.col("overall"), F.col("sd")).alias("smd"))
 
 
 def chance_agreement(df: DataFrame, keys: Sequence[str], cluster: str) -> DataFrame:

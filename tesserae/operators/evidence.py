@@ -8,8 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import geometry
-from .aggregates import spearman, uniform
+from . import geometry, overlay
+from .aggregates import spearman, uniform, with_percentiles
+from .graph import stored
 
 # What a component's evidence is called.
 TIERS = ("broad_consensus_with_scoped_support", "broad_consensus", "single_broad_with_scoped_support", "single_broad_only", "scoped_support_only")
@@ -185,14 +186,21 @@ def first_members(points: DataFrame, named: DataFrame, keys: Sequence[str], colu
 def pair_agreement(members: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """How far every two sources agree on the components that both are in: matched shares, distances, overlaps and Hausdorff distances.
 
-    members: (keys, component, source, x, y, box), one row a component and source; counts: (source, n).
+    members: (keys, component, source, id, x, y, ring), one row a component and source; counts: (source, n).
+    Overlaps and Hausdorff distances are those of the contours, whatever their shapes; contours under three
+    points or without area have neither.
     """
-    side = {s: members.select(*keys, "component", *(F.col(c).alias(f"{c}_{s}") for c in ("source", "x", "y", "box"))) for s in "ab"}
-    met = side["a"].join(side["b"], [*keys, "component"]).where("source_a < source_b")
+    side = {s: members.select(*keys, "component", *(F.col(c).alias(n) for c, n in (("id", s), ("source", f"source_{s}"), ("x", f"x_{s}"), ("y", f"y_{s}")))) for s in "ab"}
+    met = stored(side["a"].join(side["b"], [*keys, "component"]).where("source_a < source_b"))
+    drawn = members.where(F.size("ring") >= 3).where(geometry.area(F.col("ring")) > 0).select(*keys, F.col("id").alias("polygon"), "ring")
+    shapes = overlay.overlay_areas(overlay.arranged(met, drawn, keys), keys).select(*keys, "a", "b", "iou")
+    shapes = shapes.join(overlay.hausdorff(met, drawn, keys), [*keys, "a", "b"])
     dx, dy = F.col("x_a") - F.col("x_b"), F.col("y_a") - F.col("y_b")
-    met = met.select("source_a", "source_b", F.sqrt(dx * dx + dy * dy).alias("d"), geometry.box_iou(F.col("box_a"), F.col("box_b")).alias("iou"), geometry.box_hausdorff(F.col("box_a"), F.col("box_b")).alias("h"))
-    shares = [("d", "median_d", 0.5), ("d", "p95_d", 0.95), ("iou", "iou_p25", 0.25), ("iou", "iou_median", 0.5), ("iou", "iou_p75", 0.75), ("h", "hausdorff_median", 0.5), ("h", "hausdorff_p95", 0.95)]
-    found = met.groupBy("source_a", "source_b").agg(F.count("*").alias("matched"), *(F.percentile(c, q).alias(name) for c, name, q in shares))
+    met = stored(met.join(shapes, [*keys, "a", "b"], "left").select("source_a", "source_b", F.sqrt(dx * dx + dy * dy).alias("d"), "iou", F.col("distance").alias("h")))
+    pair = ["source_a", "source_b"]
+    found = met.groupBy(*pair).agg(F.count("*").alias("matched"))
+    shares = {"d": {"median_d": 0.5, "p95_d": 0.95}, "iou": {"iou_p25": 0.25, "iou_median": 0.5, "iou_p75": 0.75}, "h": {"hausdorff_median": 0.5, "hausdorff_p95": 0.95}}
+    found = with_percentiles(found, met, pair, shares)
     for s in "ab":
         found = found.join(counts.select(F.col("source").alias(f"source_{s}"), F.col("n").alias(f"count_{s}")), f"source_{s}")
         found = found.withColumn(f"fraction_{s}", F.col("matched") / F.greatest(f"count_{s}", F.lit(1)))

@@ -208,3 +208,38 @@ def assignment(pairs: DataFrame, keys: Sequence[str], score: str, most_pairs: bo
 
     schema = "".join(f"`{k}` {kinds[k]}, " for k in keys) + "a long, b long, score double"
     return rows.mapInPandas(run, schema)
+
+
+def cycles(links: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, id, ring, off) of a permutation (keys, id, next): the smallest id of each cycle, and how many steps lead to it.
+
+    Pointers are doubled: in round k a node knows the smallest of the 2**k nodes after it, and where it
+    lies, and a join with the node there doubles that. When nothing changes any more, every node
+    has seen its whole cycle; so the rounds are the logarithm of the longest cycle. The smallest node
+    itself comes with the cycle's length.
+    """
+    keys = list(keys)
+    state = stored(links.select(*keys, "id", F.col("next").alias("jump"), F.col("next").alias("ring"), F.lit(1).cast("long").alias("off")))
+    step = 1
+    while True:
+        there = state.select(*keys, F.col("id").alias("jump"), F.col("jump").alias("_jump"), F.col("ring").alias("_ring"), F.col("off").alias("_off"))
+        later = F.col("_ring") < F.col("ring")
+        met = state.join(there, [*keys, "jump"])
+        new = met.select(*keys, "id", F.col("_jump").alias("jump"), F.least("ring", "_ring").alias("ring"), F.when(later, F.col("_off") + step).otherwise(F.col("off")).alias("off"), later.alias("_later"))
+        new = stored(new, instead_of=state)
+        state = new.drop("_later")
+        if new.where("_later").isEmpty():
+            return state.select(*keys, "id", "ring", "off")
+        step *= 2
+
+
+def followed(parents: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, id, top) of a forest (keys, id, parent): the last of the chain of parents; ids that are no one's child are tops."""
+    keys = list(keys)
+    state = stored(parents.select(*keys, "id", F.col("parent").alias("top")))
+    while True:
+        up = state.select(*keys, F.col("id").alias("top"), F.col("top").alias("_top"))
+        new = stored(state.join(up, [*keys, "top"], "left").select(*keys, "id", F.coalesce("_top", "top").alias("top"), F.col("_top").isNotNull().alias("_more")), instead_of=state)
+        state = new.drop("_more")
+        if new.where("_more").isEmpty():
+            return state

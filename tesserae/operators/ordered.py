@@ -134,7 +134,7 @@ def proportional_sample(df: DataFrame, stratum: str, most: int, draw: Column) ->
     total = sizes.agg(F.sum("_n").alias("_all"))
     quota = F.greatest(F.lit(1), F.rint(F.lit(float(most)) * F.col("_n") / F.col("_all")))
     ranked = df.withColumn("_draw", draw).withColumn("nth", F.row_number().over(w.orderBy("_draw")))
-    return ranked.join(F.broadcast(sizes.crossJoin(total)), stratum).where(F.col("nth") <= quota).drop("_draw", "_n", "_all")
+    return ranked.join(sizes.crossJoin(total), stratum).where(F.col("nth") <= quota).drop("_draw", "_n", "_all")
 
 
 def page_envelope(df: DataFrame, key: str, cursor: int, limit: int) -> DataFrame:

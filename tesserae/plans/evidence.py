@@ -38,7 +38,8 @@ def source_agreement(spark, sf_dir):
     near = joins.near_pairs(points, ["sample_id"], 24.0)
     a, b = points.select(F.col("id").alias("a"), F.col("source").alias("source_a")), points.select(F.col("id").alias("b"), F.col("source").alias("source_b"))
     both = near.join(a, "a").join(b, "b").where("source_a < source_b")
-    return both.groupBy("source_a", "source_b").agg(F.count("*").alias("n"), F.round(F.median("d"), 6).alias("median_d"), F.round(F.percentile("d", 0.95), 6).alias("p95_d"))
+    found = agg.with_percentiles(both.groupBy("source_a", "source_b").agg(F.count("*").alias("n")), both, ["source_a", "source_b"], {"d": {"median_d": 0.5, "p95_d": 0.95}})
+    return found.withColumns({c: F.round(c, 6) for c in ("median_d", "p95_d")})
 
 
 @query(f"""WITH {CELLS}, {_PAIRS}, g AS (SELECT sample_id, a, count(DISTINCT sb) AS others, max(d) AS far, string_agg(DISTINCT sb, ';' ORDER BY sb) AS seen FROM pairs WHERE d < 16 AND sa <> sb GROUP BY ALL)

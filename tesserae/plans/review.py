@@ -39,23 +39,29 @@ m AS (SELECT f.*, x, y, sqrt(area) / 2 AS h FROM f JOIN (SELECT cell_id, x, y, a
 
 def _members(spark, sf_dir):
     half = F.sqrt("area") / 2
-    box = F.struct((F.col("x") - half).alias("x0"), (F.col("y") - half).alias("y0"), (F.col("x") + half).alias("x1"), (F.col("y") + half).alias("y1"))
-    points = cells(spark, sf_dir).select("sample_id", F.col("cell_id").alias("id"), "source", "x", "y", box.alias("box"))
+    ring = F.array(*(F.struct((F.col("x") + dx * half).alias("x"), (F.col("y") + dy * half).alias("y")) for dx, dy in ((-1, -1), (1, -1), (1, 1), (-1, 1))))
+    points = cells(spark, sf_dir).select("sample_id", F.col("cell_id").alias("id"), "source", "x", "y", ring.alias("ring"))
     edges = joins.near_pairs(_points(spark, sf_dir), ["sample_id"], 12.0).where("a < b")
     named = graph.components(edges.select("sample_id", F.col("a").alias("src"), F.col("b").alias("dst")), ["sample_id"])
-    return evidence.first_members(points, named, ["sample_id"], ["x", "y", "box"])
+    return evidence.first_members(points, named, ["sample_id"], ["x", "y", "ring"])
 
 
-@query(f"""WITH RECURSIVE {_MEMBERS}, p AS (SELECT a.source AS source_a, b.source AS source_b, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d, a.h AS ha, b.h AS hb, abs(a.x - b.x) AS dx, abs(a.y - b.y) AS dy
+# The contours' corners, each against the other square's sides: from within to the nearest side, else to the square.
+_FAR = """corner_far AS (SELECT k, max(CASE WHEN ex < 0 AND ey < 0 THEN least(-ex, -ey) ELSE sqrt(greatest(ex, 0) * greatest(ex, 0) + greatest(ey, 0) * greatest(ey, 0)) END) AS hd FROM (
+  SELECT k, abs(ux - tx + sx * h1) - h2 AS ex, abs(uy - ty + sy * h1) - h2 AS ey FROM (SELECT k, xa AS ux, ya AS uy, xb AS tx, yb AS ty, ha AS h1, hb AS h2 FROM p UNION ALL SELECT k, xb, yb, xa, ya, hb, ha FROM p), s) GROUP BY k)"""
+
+
+@query(f"""WITH RECURSIVE {_MEMBERS}, s(sx, sy) AS (VALUES (-1, -1), (1, -1), (1, 1), (-1, 1)),
+p AS (SELECT row_number() OVER () AS k, a.source AS source_a, b.source AS source_b, a.x AS xa, a.y AS ya, b.x AS xb, b.y AS yb, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d, a.h AS ha, b.h AS hb, abs(a.x - b.x) AS dx, abs(a.y - b.y) AS dy
   FROM m a JOIN m b ON a.sample_id = b.sample_id AND a.component = b.component AND a.source < b.source),
-q AS (SELECT *, greatest(least(2 * ha, 2 * hb, ha + hb - dx), 0) * greatest(least(2 * ha, 2 * hb, ha + hb - dy), 0) AS shared FROM p),
-r AS (SELECT *, shared / (4 * ha * ha + 4 * hb * hb - shared) AS iou, sqrt(greatest(dx + abs(ha - hb), 0) * greatest(dx + abs(ha - hb), 0) + greatest(dy + abs(ha - hb), 0) * greatest(dy + abs(ha - hb), 0)) AS hd FROM q),
+q AS (SELECT *, greatest(least(2 * ha, 2 * hb, ha + hb - dx), 0) * greatest(least(2 * ha, 2 * hb, ha + hb - dy), 0) AS shared FROM p), {_FAR},
+r AS (SELECT *, shared / (4 * ha * ha + 4 * hb * hb - shared) AS iou FROM q JOIN corner_far USING (k)),
 n AS (SELECT source, count(*) AS n FROM cells GROUP BY ALL)
 SELECT source_a, source_b, count(*) AS matched, any_value(na.n) AS count_a, any_value(nb.n) AS count_b, count(*) / any_value(na.n) AS fraction_a, count(*) / any_value(nb.n) AS fraction_b, round(median(d), 6) AS median_d, round(quantile_cont(d, 0.95), 6) AS p95_d,
   round(quantile_cont(iou, 0.25), 6) AS iou_p25, round(median(iou), 6) AS iou_median, round(quantile_cont(iou, 0.75), 6) AS iou_p75, round(median(hd), 6) AS hausdorff_median, round(quantile_cont(hd, 0.95), 6) AS hausdorff_p95
 FROM r JOIN n na ON source_a = na.source JOIN n nb ON source_b = nb.source GROUP BY ALL""")
 def detector_pairs(spark, sf_dir):
-    """Squares of the cells' areas stand for their contours."""
+    """Contours are squares of the cells' areas, so that SQL can say what their overlaps are."""
     counts = cells(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n"))
     found = evidence.pair_agreement(_members(spark, sf_dir), counts, ["sample_id"])
     return found.select(*(F.round(c, 6).alias(c) if c.endswith(("_d", "median", "p25", "p75", "p95")) else c for c in found.columns))
@@ -84,8 +90,9 @@ def nearest_coherence(spark, sf_dir):
     near = joins.nearest(points, points, ["sample_id"], 6, 64.0).join(kinds, ["sample_id", "a"]).join(kinds.toDF("sample_id", "b", "kb"), ["sample_id", "b"])
     share = near.groupBy("sample_id", "a", "kind").agg(F.avg((F.col("kind") == F.col("kb")).cast("int")).alias("f"))
     chance = agg.chance_agreement(cells(spark, sf_dir), ["sample_id"], "kind").select("sample_id", "chance")
-    found = share.groupBy("sample_id", "kind").agg(F.count("*").alias("n"), F.avg("f").alias("mean"), F.round(F.median("f"), 9).alias("median")).join(chance, "sample_id")
-    return found.select("sample_id", "kind", "n", F.round("mean", 9).alias("mean"), "median", F.round(F.col("mean") - F.col("chance"), 9).alias("excess"))
+    found = share.groupBy("sample_id", "kind").agg(F.count("*").alias("n"), F.avg("f").alias("mean")).join(chance, "sample_id")
+    found = agg.with_percentiles(found, share, ["sample_id", "kind"], {"f": {"median": 0.5}})
+    return found.select("sample_id", "kind", "n", F.round("mean", 9).alias("mean"), F.round("median", 9).alias("median"), F.round(F.col("mean") - F.col("chance"), 9).alias("excess"))
 
 
 @query(f"""WITH {CELLS}, r AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY md5(CAST(cell_id AS VARCHAR)), cell_id) AS nth FROM cells), s AS (SELECT * FROM r WHERE nth <= 60),

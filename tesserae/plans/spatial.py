@@ -368,7 +368,9 @@ def neighbour_coherence(spark, sf_dir):
     pairs = joins.near_pairs(_points(spark, sf_dir), ["sample_id"], 24.0)
     kinds = c.select(F.col("cell_id").alias("a"), F.col("kind").alias("ka"))
     same = pairs.join(kinds, "a").join(kinds.toDF("b", "kb"), "b").groupBy("sample_id", "a", "ka").agg(F.avg((F.col("ka") == F.col("kb")).cast("int")).alias("f"))
-    return same.groupBy("sample_id", F.col("ka").alias("kind")).agg(F.count("*").alias("n"), F.round(F.avg("f"), 9).alias("mean"), F.round(F.median("f"), 9).alias("median"))
+    same = same.withColumnRenamed("ka", "kind")
+    found = same.groupBy("sample_id", "kind").agg(F.count("*").alias("n"), F.round(F.avg("f"), 9).alias("mean"))
+    return agg.with_percentiles(found, same, ["sample_id", "kind"], {"f": {"median": 0.5}}).withColumn("median", F.round("median", 9))
 
 
 @query(f"WITH {CELLS}, n AS (SELECT sample_id, kind, count(*) AS n FROM cells GROUP BY ALL) SELECT sample_id, CAST(sum(n * n) / (sum(n) * sum(n)) AS DOUBLE) AS chance, count(*) AS clusters FROM n GROUP BY ALL")

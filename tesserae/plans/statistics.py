@@ -70,7 +70,9 @@ def bootstrap_intervals(spark, sf_dir):
 SELECT who_a, who_b, count(*) AS n, CAST(sum(difference) AS BIGINT) AS total, median(difference) AS median FROM p GROUP BY ALL""")
 def paired_differences(spark, sf_dir):
     m = outcomes(spark, sf_dir).groupBy("roi", "detector").agg(F.sum("tp").alias("v"))
-    return joins.compare_units(m, ["roi"], "detector", "v").groupBy("who_a", "who_b").agg(F.count("*").alias("n"), F.sum("difference").alias("total"), F.median("difference").alias("median"))
+    pairs = joins.compare_units(m, ["roi"], "detector", "v")
+    found = pairs.groupBy("who_a", "who_b").agg(F.count("*").alias("n"), F.sum("difference").alias("total"))
+    return agg.with_percentiles(found, pairs, ["who_a", "who_b"], {"difference": {"median": 0.5}})
 
 
 @query(f"""WITH {OUTCOMES}, r AS (SELECT detector, patient, roi, sum(tp) / nullif(sum(tp) + sum(fp), 0) AS v, sum(tp) AS w FROM outcomes GROUP BY ALL), p AS (SELECT detector, patient, avg(v) AS v FROM r GROUP BY ALL)
