@@ -6,7 +6,8 @@ email, ip, card, phone   the base patterns (parts at most 255; Luhn; 8 to 15 dig
 iban                     country code and digits, confirmed by mod 97
 card                     also 13 to 15 digits that pass Luhn, if a word near by speaks for a card
 ssn                      three, two and four digits, if a word near by speaks for it
-key                      access keys and values given to words such as password or token
+key                      access keys, and values given to words such as password or token that look made up:
+                         they mix letters with digits or signs, or cases within a word
 
 Every span has a score: its kind's own, more if a word near by speaks for it and less if one speaks
 against it. Base spans are always kept, however low their scores; a span that the method adds is kept
@@ -44,6 +45,8 @@ _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _DIGIT = re.compile(r"[0-9]")
 _ACCESS = re.compile(r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b")
 _SECRET = re.compile(r"\b(?:password|passwd|pwd|secret|token|api_?key)\b[\x20\t]{0,3}[=:][\x20\t]{0,3}(?P<q>[\"']?)(?P<v>[^\s\"']{6,})(?P=q)", re.IGNORECASE)
+_SIGNS = re.compile(r"[^\W_][#$%&*+/=@^~|\\!?]+[^\W_]")
+_CASES = re.compile(r"[a-z][A-Z]|[A-Z]{2}[a-z]")
 
 #: Own score of a kind; words that speak for it; words that speak against it. Cards of 16 digits or more, as base spans, have a score beyond other ones'.
 CONTEXT = {
@@ -104,9 +107,18 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     return out
 
 
-def scored(kind: str, text: str, start: int, end: int, base: bool = False) -> float:
-    """Score of a span: its kind's own, moved by the words near by."""
+def made_up(value: str) -> bool:
+    """Whether a value is no word of a language: letters with digits or signs between them, or cases mixed past the first letter."""
+    value = value.strip(".,;:!?()[]<>")
+    letters = any(c.isalpha() for c in value)
+    others = any(c.isdigit() for c in value) or _SIGNS.search(value)
+    return len(value) >= 6 and letters and bool(others or _CASES.search(value))
+
+
+def scored(kind: str, text: str, start: int, end: int, base: bool = False, around: tuple[int, int] | None = None) -> float:
+    """Score of a span: its kind's own, moved by the words near by; of a span that stands for more of the text, those near `around`."""
     own, pro, con = _CONTEXT["base card" if base and kind == "card" else kind]
+    start, end = around or (start, end)
     near = f"{text[max(0, start - NEAR) : start]} | {text[end : end + NEAR]}"
     return min(1.0, max(0.0, own + 0.3 * bool(pro.search(near)) - 0.4 * bool(con.search(near))))
 
@@ -120,6 +132,7 @@ def spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:
     base = base_spans(text)
     found = [(k, s, e, scored(k, text, s, e, base=True), True) for k in KINDS for s, e in base[k]]
     extra: list[tuple[str, int, int]] = []
+    whole: dict[int, tuple[int, int]] = {}
     if _DIGIT.search(text):
         for m in _IBAN.finditer(text):
             body = m[0]
@@ -135,12 +148,15 @@ def spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:
         extra += [("ssn", *m.span()) for m in _SSN.finditer(text)]
         extra += [("key", *m.span()) for m in _ACCESS.finditer(text)]
     if "=" in text or ":" in text:
-        extra += [("key", *m.span("v")) for m in _SECRET.finditer(text)]
+        for m in _SECRET.finditer(text):
+            if made_up(m["v"]):
+                extra.append(("key", *m.span("v")))
+                whole[m.start("v")] = m.span()  # the word before the value is no context
     taken = bytearray(len(text) if extra else 0)
     for _, s, e, *_ in found if extra else ():
         taken[s:e] = b"\1" * (e - s)
     for kind, s, e in extra:
-        if not any(taken[s:e]) and (x := scored(kind, text, s, e)) >= KEEP:
+        if not any(taken[s:e]) and (x := scored(kind, text, s, e, around=whole.get(s) if kind == "key" else None)) >= KEEP:
             found.append((kind, s, e, x, False))
             taken[s:e] = b"\1" * (e - s)
     order = {k: i for i, k in enumerate((*KINDS, *ADDED))}
