@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from ..operators import joins, models
+from ..operators import communities, joins, mixtures, models
 from .frames import CELLS, cells, table
 
 QUERIES: dict = {}
@@ -48,14 +48,14 @@ def propagated_communities(spark, sf_dir):
 @query()
 def principal_component_spread(spark, sf_dir):
     """Variance along each component, free of signs; tested against numpy."""
-    p = models.principal_components(_vectors(spark, sf_dir), "v", 3)
+    p = mixtures.principal_components(_vectors(spark, sf_dir), "v", 3)
     return p.select(F.posexplode("components").alias("component", "value")).groupBy("component").agg(F.round(F.var_samp("value"), 6).alias("variance"))
 
 
 @query()
 def embedding_clusters(spark, sf_dir):
-    """k-means by Spark's own library; tested for its invariants."""
-    return models.k_means(_vectors(spark, sf_dir), "v", 8, 7).groupBy("cluster", "label").agg(F.count("*").alias("n"))
+    """k-means from sums; tested against numpy."""
+    return mixtures.k_means(_vectors(spark, sf_dir), "v", 8, 7).groupBy("cluster", "label").agg(F.count("*").alias("n"))
 
 
 def _head(width: int):
@@ -86,8 +86,36 @@ def round_shapes(spark, sf_dir):
     return models.shape_filter(s, 4.0, 0.1).select("cell_id", "area", F.round("circularity", 9).alias("circularity"))
 
 
+def _patients(spark, sf_dir):
+    c = cells(spark, sf_dir).groupBy(F.col("patient").alias("label")).agg(F.count("*").alias("n"), F.avg("x").alias("x"), F.avg("y").alias("y"))
+    return c.select("label", "n", F.array("x", "y").alias("v"))
+
+
 @query()
 def forced_clusters(spark, sf_dir):
-    """Clusters merged down to five by their centroids; tested against a loop."""
-    c = cells(spark, sf_dir).groupBy(F.col("patient").alias("label")).agg(F.count("*").alias("n"), F.avg("x").alias("x"), F.avg("y").alias("y"))
-    return models.merge_to_k(c, 5)
+    """Clusters merged, nearest centres first, until five are left; tested against a loop."""
+    return models.merge_to_k(_patients(spark, sf_dir), 5)
+
+
+@query()
+def regrouped_clusters(spark, sf_dir):
+    """Clusters below the mean size merged into the nearest larger ones, round by round; tested against a loop."""
+    c = _patients(spark, sf_dir)
+    return models.merge_small(c, c.agg(F.avg("n")).first()[0])
+
+
+@query()
+def louvain_communities(spark, sf_dir):
+    """Communities of the shared-neighbour graph by modularity, each connected; tested against a loop and for what modularity gains."""
+    near = models.nearest_in_feature_space(_vectors(spark, sf_dir), 10)
+    edges = models.shared_neighbours(near.select("a", "b")).where("shared >= 3").withColumnRenamed("shared", "w")
+    return communities.louvain(edges, connected=True)
+
+
+@query()
+def mixture_components(spark, sf_dir):
+    """A mixture of three Gaussians over the cells' places and areas: each component's size, mean and spread; tested against numpy."""
+    rows = cells(spark, sf_dir).select("cell_id", F.array("x", "y", F.col("area").cast("double")).alias("v"))
+    fitted = mixtures.fit_mixture(rows, "v", 3, shape="full", rounds=25)
+    found = mixtures.mixed(rows, "v", fitted)
+    return found.groupBy("component").agg(F.count("*").alias("n"), *(F.round(F.avg(F.get("v", F.lit(i))), 3).alias(f"mean_{c}") for i, c in enumerate(("x", "y", "area"))), F.round(F.avg("share"), 4).alias("sure"))
