@@ -251,15 +251,15 @@ def nearest_in_feature_space(rows: DataFrame, k: int, block_rows: int = BLOCK_RO
     Neighbours are rows of `others`, else of `rows` themselves; no row is its own. Vectors lie in cells
     around pivots, a bounded sample. A row first looks in one block of its own cell, and then meets only
     those cells that may hold something nearer than its k-th so far, by the triangle inequality. Cells are cut
-    into blocks of about `block_rows` rows, and so are the rows that meet one, which bounds a task; clustered
-    vectors meet a few cells, vectors without structure meet them all. Ties go to the smaller id; rows
+    into blocks of about `block_rows` rows, and so are the rows that meet one, which bounds a task; there are about two
+    cells to as many rows. Clustered vectors meet a few cells, vectors without structure meet them all. Ties go to the smaller id; rows
     without a vector take no part.
     """
     spark = rows.sparkSession
     asking = stored(rows.where("v is not null").select("id", "v"))
     held = asking if others is None else stored(others.where("v is not null").select("id", "v"))
     n = held.count()
-    m = max(1, min(MOST_PIVOTS, int(n**0.5) // 2 if pivots is None else pivots))
+    m = max(1, min(MOST_PIVOTS, 2 * n // block_rows if pivots is None else pivots))
     drawn = held.orderBy(F.xxhash64("id", F.lit(5)), "id").limit(m).toPandas()
     schema = "a long, b long, d double"
     if not len(drawn):
@@ -322,6 +322,6 @@ def nearest_in_feature_space(rows: DataFrame, k: int, block_rows: int = BLOCK_RO
                 i, c, p = i[keep], c[keep], p[keep]
                 yield pd.DataFrame({"id": part["id"].to_numpy()[i], "v": part["v"].to_numpy()[i], "cell": c.astype(np.int32), "part": p.astype(np.int32), "least": part["least"].to_numpy()[i]})
 
-    rest = meet(stored(known.mapInPandas(further, probe)))
+    rest = meet(stored(known).mapInPandas(further, probe))
     near = first.unionByName(rest).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return near.select("a", "b", "rank", *(["d"] if distances else []))
