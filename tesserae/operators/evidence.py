@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import geometry, overlay
-from .aggregates import spearman, uniform, with_percentiles
+from .aggregates import percentiles, spearman, uniform, with_percentiles
 from .graph import stored
+from .joins import nearest
+from .ordered import running
 
 # What a component's evidence is called.
 TIERS = ("broad_consensus_with_scoped_support", "broad_consensus", "single_broad_with_scoped_support", "single_broad_only", "scoped_support_only")
@@ -109,7 +111,8 @@ def align_labels(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def weighted_sample(df: DataFrame, keys: Sequence[str], row: str, weight: str, n: int) -> DataFrame:
-    """(keys, row, nth): n rows of each group drawn without replacement by weight, from hashed exponential keys."""
+    """(keys, row, nth): n rows of each group drawn without replacement by weight, from hashed exponential keys; rows that weigh nothing never."""
+    df = df.where(F.col(weight) > 0)
     key = -F.log(F.greatest(uniform(F.col(row)), F.lit(1e-12))) / F.col(weight)
     order = Window.partitionBy(*keys).orderBy("_key", row)
     return df.select(*keys, row, key.alias("_key")).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= n).drop("_key")
@@ -257,3 +260,66 @@ def leverages(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     det = F.col("_uu") * F.col("_vv") - F.col("_uv") * F.col("_uv")
     lever = (u * u * F.col("_vv") - 2 * u * v * F.col("_uv") + v * v * F.col("_uu")) / det
     return near.join(sums, list(keys)).withColumn("weight", F.when(det > 0, lever).otherwise(F.lit(0.0))).drop("_mx", "_my", "_uu", "_uv", "_vv")
+
+
+def box_size(df: DataFrame, target: int, rounds: int = 24) -> float:
+    """A side of square boxes of the plane (x, y) of which about `target` hold a row: the largest, by halving, that leaves at least so many.
+
+    Every round counts the occupied boxes of one size. If even the smallest boxes hold too few, it is theirs.
+    """
+    ends = df.agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
+    high = max([float(e or 0) for e in ends], default=0.0) or 1.0
+    low = high / (1 << rounds)
+
+    def occupied(size: float) -> int:
+        return df.select(F.floor(F.col("x") / size), F.floor(F.col("y") / size)).distinct().count()
+
+    for _ in range(rounds):
+        middle = (low * high) ** 0.5
+        if occupied(middle) >= target:
+            low = middle
+        else:
+            high = middle
+        if high / low < 1.01:
+            break
+    return low
+
+
+def even_sample(df: DataFrame, keys: Sequence[str], id_: str, size: float, most: int) -> DataFrame:
+    """(keys, id, quota, nth): `most` rows of each group, spread as evenly over occupied boxes of a side as their rows allow.
+
+    Boxes get the same number, or all they have; what is left goes, one each, to the first boxes in the order
+    of a hash of their places, and rows within a box are drawn by a hash of their id.
+    """
+    keys = list(keys)
+    placed = df.select(*keys, id_, F.floor(F.col("x") / size).alias("_bx"), F.floor(F.col("y") / size).alias("_by"))
+    boxes = stored(placed.groupBy(*keys, "_bx", "_by").agg(F.count("*").alias("_n")).withColumn("_one", F.lit(1).cast("long")))
+    order = ["_n", "_bx", "_by"]
+    summed = running(boxes, keys, order, "_n", ["_n"]).select(*keys, *order, F.col("before").alias("_less"))
+    summed = summed.join(running(boxes, keys, order, "_one").select(*keys, *order, F.col("from_here").alias("_rest")), [*keys, *order])
+    full = F.col("_less") + F.col("_n") * F.col("_rest") > most
+    level = F.min(F.when(full, F.struct("_n", "_bx", "_by", F.floor((F.lit(most) - F.col("_less")) / F.col("_rest")).alias("level"))))
+    levels = summed.groupBy(*keys).agg(F.coalesce(level["level"], F.max("_n")).alias("_level"))
+    told = boxes.join(levels, keys) if keys else boxes.crossJoin(levels)
+    given = told.groupBy(*keys).agg((F.lit(most) - F.sum(F.least("_n", "_level"))).alias("_left"))
+    told = told.join(given, keys) if keys else told.crossJoin(given)
+    open_ = told.where("_n > _level").withColumn("_h", F.md5(F.concat_ws(":", F.col("_bx").cast("string"), F.col("_by").cast("string"))))
+    turns = running(open_, keys, ["_h", "_bx", "_by"], "_one", ["_n", "_level", "_left"]).select(*keys, "_bx", "_by", (F.col("upto") <= F.col("_left")).alias("_more"))
+    quota = told.join(turns, [*keys, "_bx", "_by"], "left").select(*keys, "_bx", "_by", (F.least("_n", "_level") + F.when(F.col("_more"), 1).otherwise(0)).alias("quota"))
+    draw = Window.partitionBy(*keys, "_bx", "_by").orderBy(F.md5(F.col(id_).cast("string")), id_)
+    drawn = placed.join(quota, [*keys, "_bx", "_by"]).withColumn("nth", F.row_number().over(draw))
+    return drawn.where("nth <= quota").select(*keys, id_, "quota", "nth")
+
+
+def inverse_distance_weights(points: DataFrame, keys: Sequence[str], k: int, power: float, tile: float) -> DataFrame:
+    """(keys, id, weight): each point's mean distance from its `k` nearest others to the power of -`power`.
+
+    Distances of zero, and those under the least thousandth of the others, count as that thousandth. Points
+    without neighbours weigh nothing.
+    """
+    keys = list(keys)
+    near = stored(nearest(points, points, keys, k, tile).groupBy(*keys, F.col("a").alias("id")).agg(F.avg("d").alias("_d")))
+    low = percentiles(near.where("_d > 0"), keys, "_d", {"_low": 0.001})
+    met = near.join(low, keys, "left") if keys else near.crossJoin(low)
+    weighed = met.select(*keys, "id", F.pow(F.greatest("_d", F.coalesce("_low", F.lit(2.0**-52))), F.lit(-power)).alias("weight"))
+    return points.select(*keys, "id").join(weighed, [*keys, "id"], "left").fillna({"weight": 0.0})

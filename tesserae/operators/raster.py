@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -219,3 +222,126 @@ def scan_ordered(raster: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, label, number): labels numbered from 1 by their first pixel, row by row."""
     first = raster.where("label <> 0").groupBy(*keys, "label").agg(F.min(F.struct("y", "x")).alias("_first"))
     return first.select(*keys, "label", F.row_number().over(Window.partitionBy(*keys).orderBy("_first", "label")).alias("number"))
+
+
+def _spiral(step: Column, cx: Column, cy: Column) -> tuple[Column, Column]:
+    """The pixel (x, y) that a spiral around a centre comes to at a step: rings of squares, upper and lower sides first, in turn."""
+    ring = F.ceil((F.sqrt(step.cast("double") + 1) - 1) / 2)
+    i = step - (2 * ring - 1) * (2 * ring - 1)
+    rows = i < 2 * (2 * ring + 1)
+    j = i - 2 * (2 * ring + 1)
+    low = F.when(i % 2 == 0, -ring).otherwise(ring)
+    dx = F.when(step == 0, 0).when(rows, F.floor(i / 2) - ring).otherwise(low)
+    dy = F.when(step == 0, 0).when(rows, low).otherwise(F.floor(j / 2) - ring + 1)
+    return cx + dx, cy + dy
+
+
+def seed_pixels(centres: DataFrame, keys: Sequence[str], width: int, height: int) -> DataFrame:
+    """(keys, id, x, y): a pixel of its own for every centre (id, order, x, y), what taking turns in `order` would give.
+
+    A centre takes the first free pixel along a spiral around its own. Here all ask at once: a pixel
+    keeps the first in order, and the others go on to the next pixel that none before them holds. What
+    is held by one before them stays so, and of several that go on from one pixel the n-th can't get better than
+    the n-th place that is left to their first, so each skips as many; so crowds take a few rounds. Centres beyond the image
+    count as on its edge; more centres than pixels are an error. `order` must not repeat within keys.
+    """
+    keys = list(keys)
+    near = [F.least(F.lit(n - 1), F.greatest(F.lit(0), F.rint(c))).cast("long") for c, n in (("x", width), ("y", height))]
+    rows = centres.select(*keys, "id", F.col("order").cast("long").alias("order"), near[0].alias("cx"), near[1].alias("cy"))
+    crowded = rows.groupBy(*keys).count().where(F.col("count") > width * height)
+    if not crowded.isEmpty():
+        raise ValueError("more centres than pixels")
+    last = (2 * max(width, height) + 1) ** 2
+    state = rows.withColumn("step", F.lit(0).cast("long")).withColumn("need", F.lit(0).cast("long")).withColumn("first", F.col("order")).withColumn("x", F.col("cx")).withColumn("y", F.col("cy"))
+    while True:
+        state = stored(state)
+        pixel = Window.partitionBy(*keys, "x", "y", "_asks").orderBy("order")
+        asked = state.withColumn("_asks", F.col("need") == 0).withColumn("_holds", (F.row_number().over(pixel) == 1) & F.col("_asks"))
+        lost = stored(asked.where("NOT _holds"))
+        holds = asked.where("_holds").drop("_asks", "_holds")
+        if lost.isEmpty():
+            return holds.select(*keys, "id", "x", "y")
+        # The place among those that go on from one pixel, and what a search has still to skip.
+        crowd = Window.partitionBy(*keys, "cx", "cy", "step", "_asks").orderBy("order")
+        first = F.when(F.col("_asks"), F.min("order").over(crowd.rowsBetween(Window.unboundedPreceding, 0))).otherwise(F.col("first"))
+        lost = lost.withColumn("first", first).withColumn("need", F.when(F.col("_asks"), F.row_number().over(crowd)).otherwise(F.col("need"))).select(*keys, "id", "order", "cx", "cy", "step", "need", "first")
+        tries = lost.withColumn("_to", F.explode(F.sequence(F.col("step") + 1, F.least(F.col("step") + 2 * F.col("need") + 24, F.lit(last)))))
+        x, y = _spiral(F.col("_to"), F.col("cx"), F.col("cy"))
+        tries = tries.withColumn("x", x).withColumn("y", y).where((F.col("x") >= 0) & (F.col("x") < width) & (F.col("y") >= 0) & (F.col("y") < height))
+        free = tries.join(holds.select(*keys, "x", "y", F.col("order").alias("_held")), [*keys, "x", "y"], "left").where("_held IS NULL OR _held > first")
+        free = free.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys, "id").orderBy("_to")))
+        fits = (F.col("_nth") >= F.col("need")) & (F.col("_held").isNull() | (F.col("_held") > F.col("order")))
+        got = free.groupBy(*keys, "id").agg(F.count("*").alias("_n"), F.min(F.when(fits, F.struct(F.col("_to"), F.col("x"), F.col("y")))).alias("_at"))
+        after = lost.join(got, [*keys, "id"], "left")
+        missed = F.col("_at").isNull()
+        after = after.select(*keys, "id", "order", "cx", "cy", F.when(missed, F.col("step") + 2 * F.col("need") + 24).otherwise(F.col("_at._to")).alias("step"), F.when(missed, F.greatest(F.lit(1), F.col("need") - F.coalesce("_n", F.lit(0)))).otherwise(F.lit(0)).cast("long").alias("need"), "first", F.coalesce("_at.x", "cx").alias("x"), F.coalesce("_at.y", "cy").alias("y"))
+        state = holds.select(*after.columns).unionByName(after)
+
+
+def boundary_band(labels: DataFrame, keys: Sequence[str], radius: int) -> DataFrame:
+    """Pixels within `radius` of one that has a neighbour, of four, with another label."""
+    steps = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in ((0, 1), (0, -1), (1, 0), (-1, 0)))))
+    to = labels.where("label > 0").select(*keys, "y", "x", "label", steps.alias("_s")).select(*keys, F.col("y").alias("_y"), F.col("x").alias("_x"), F.col("label").alias("_l"), (F.col("y") + F.col("_s.dy")).alias("y"), (F.col("x") + F.col("_s.dx")).alias("x"))
+    edge = to.join(labels.where("label > 0"), [*keys, "y", "x"]).where("label <> _l").select(*keys, F.col("_y").alias("y"), F.col("_x").alias("x")).distinct()
+    spread = edge.select(*keys, "y", "x", F.explode(_offsets(radius)).alias("_o")).select(*keys, (F.col("y") + F.col("_o.dy")).alias("y"), (F.col("x") + F.col("_o.dx")).alias("x")).distinct()
+    return labels.where("label > 0").join(spread, [*keys, "y", "x"], "left_semi").select(*keys, "y", "x")
+
+
+def _flooded(part: pd.DataFrame) -> pd.DataFrame:
+    """A tile's pixels (y, x, g, own, fixed, cost) after a flood from those that have a cost, over those of its own.
+
+    A cost is the way from a label, read backwards: its highest gradient and how many pixels lie at that height,
+    then the same of the way before, and at the end the label. So a longer way never costs less, and of two
+    ways to a pixel the cheaper stays so beyond it, which makes costs the same in any order of work.
+    """
+    place = {(y, x): i for i, (y, x) in enumerate(zip(part["y"].tolist(), part["x"].tolist(), strict=True))}
+    g, own, fixed = part["g"].tolist(), part["own"].tolist(), part["fixed"].tolist()
+    cost = [tuple(c) if c is not None else None for c in part["cost"]]
+    before = list(cost)
+    heap = [(c, y, x) for (y, x), i in place.items() if (c := cost[i])]
+    heapq.heapify(heap)
+    while heap:
+        c, y, x = heapq.heappop(heap)
+        if c != cost[place[y, x]]:
+            continue
+        for to in ((y, x + 1), (y, x - 1), (y + 1, x), (y - 1, x)):
+            i = place.get(to)
+            if i is not None and own[i] and not fixed[i]:
+                new = (g[i], 1.0, *c) if g[i] > c[0] else (c[0], c[1] + 1, *c[2:])
+                if cost[i] is None or new < cost[i]:
+                    cost[i] = new
+                    heapq.heappush(heap, (new, *to))
+    out = part.assign(cost=pd.Series([None if c is None else list(c) for c in cost], index=part.index, dtype=object), changed=[a != b for a, b in zip(before, cost, strict=True)])
+    return out[part["own"].to_numpy()].drop(columns=["own", "_ty", "_tx"])
+
+
+def snapped(labels: DataFrame, gradient: DataFrame, keys: Sequence[str], radius: int, tile: int = 256) -> DataFrame:
+    """(keys, y, x, label): labels whose inner boundaries have moved, within `radius`, to the ridges of a gradient (y, x, g).
+
+    Pixels near a boundary are freed and flooded from the labels around: each takes the label from which a
+    path within the mask stays lowest, by its highest gradient, then by how much of it lies so high, then by the
+    path before that, and last by the smallest label.
+    Tiles flood by themselves, with the pixels around them, and hand on what has changed at
+    their edges until nothing does, so the outcome does not depend on `tile`. Pixels without a gradient
+    count as 0; where no label is left to flood from, pixels keep their own.
+    """
+    keys = list(keys)
+    mask = labels.where("label > 0").select(*keys, "y", "x", F.col("label").cast("long").alias("own_label"))
+    free = boundary_band(labels, keys, radius).withColumn("_free", F.lit(True))
+    slopes = gradient.select(*keys, "y", "x", F.col("g").cast("double").alias("g"))
+    rows = mask.join(free, [*keys, "y", "x"], "left").join(slopes, [*keys, "y", "x"], "left")
+    rows = rows.select(*keys, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), F.coalesce("g", F.lit(0.0)).alias("g"), F.col("_free").isNull().alias("fixed"), "own_label")
+    start = F.array(F.lit(float("-inf")), F.lit(0.0), F.col("own_label").cast("double"))
+    rows = rows.withColumn("cost", F.when(F.col("fixed"), start))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in rows.columns) + ", changed boolean"
+    steps = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in ((0, 0), (0, 1), (0, -1), (1, 0), (-1, 0)))))
+    state = stored(rows)
+    while True:
+        # A pixel goes to its own tile and to those that a neighbour lies in.
+        dealt_ = state.withColumn("_s", steps).withColumn("_ty", F.floor((F.col("y") + F.col("_s.dy")) / tile)).withColumn("_tx", F.floor((F.col("x") + F.col("_s.dx")) / tile))
+        dealt_ = dealt_.withColumn("own", (F.col("_ty") == F.floor(F.col("y") / tile)) & (F.col("_tx") == F.floor(F.col("x") / tile))).drop("_s").dropDuplicates([*keys, "y", "x", "_ty", "_tx"])
+        new = stored(dealt_.groupBy(*keys, "_ty", "_tx").applyInPandas(_flooded, schema), instead_of=state)
+        state = new.drop("changed")
+        if new.where("changed").isEmpty():
+            return state.select(*keys, "y", "x", F.coalesce(F.element_at("cost", -1).cast("long"), "own_label").alias("label"))

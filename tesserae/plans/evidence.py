@@ -254,3 +254,24 @@ p AS (SELECT s.sample_id, s.label, b.label AS merged, row_number() OVER (PARTITI
 SELECT sample_id, label, merged FROM p WHERE r = 1 UNION ALL SELECT sample_id, label, label FROM b""")
 def merged_small_clusters(spark, sf_dir):
     return evidence.merge_small(label_raster(spark, sf_dir), ["sample_id"], 400)
+
+
+@query(f"""WITH {CELLS}, b AS (SELECT sample_id, CAST(floor(x / 64) AS BIGINT) AS bx, CAST(floor(y / 64) AS BIGINT) AS by_, count(*) AS n FROM cells GROUP BY ALL),
+l AS (SELECT sample_id, max(lv) AS level FROM (SELECT sample_id, lv, sum(least(n, lv)) AS t FROM b, range(0, 1001) r(lv) GROUP BY ALL) WHERE t <= 300 GROUP BY sample_id),
+q AS (SELECT b.*, least(n, level) + CASE WHEN n > level AND row_number() OVER (PARTITION BY b.sample_id, n > level ORDER BY md5(bx || ':' || by_), bx, by_) <= 300 - sum(least(n, level)) OVER (PARTITION BY b.sample_id) THEN 1 ELSE 0 END AS quota FROM b JOIN l ON b.sample_id = l.sample_id),
+c AS (SELECT *, row_number() OVER (PARTITION BY sample_id, floor(x / 64), floor(y / 64) ORDER BY md5(CAST(cell_id AS VARCHAR)), cell_id) AS nth FROM cells)
+SELECT c.sample_id, cell_id, CAST(quota AS BIGINT) AS quota, CAST(nth AS INTEGER) AS nth FROM c JOIN q ON c.sample_id = q.sample_id AND floor(x / 64) = bx AND floor(y / 64) = by_ WHERE nth <= quota""")
+def even_landmarks(spark, sf_dir):
+    """Landmarks spread as evenly as may be over occupied boxes."""
+    return evidence.even_sample(cells(spark, sf_dir), ["sample_id"], "cell_id", 64.0, 300)
+
+
+@query(f"""WITH {CELLS}, {_ALL_PAIRS}, r AS (SELECT sample_id, a, sqrt(d2) AS d, row_number() OVER (PARTITION BY a ORDER BY d2, b) AS k FROM pairs),
+m AS (SELECT sample_id, a, avg(d) AS d FROM r WHERE k <= 6 GROUP BY ALL), l AS (SELECT sample_id, quantile_cont(d, 0.001) AS low FROM m WHERE d > 0 GROUP BY ALL),
+w AS (SELECT m.sample_id, a AS cell_id, -ln(greatest(CAST('0x' || substr(md5(CAST(a AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0, 1e-12)) * greatest(d, coalesce(low, 0)) AS key FROM m LEFT JOIN l ON m.sample_id = l.sample_id)
+SELECT sample_id, cell_id, CAST(nth AS INTEGER) AS nth FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY key, cell_id) AS nth FROM w) WHERE nth <= 50""")
+def inverse_distance_landmarks(spark, sf_dir):
+    """Landmarks drawn where cells lie close together."""
+    points = _points(spark, sf_dir)
+    weights = evidence.inverse_distance_weights(points, ["sample_id"], 6, 1.0, 64.0)
+    return evidence.weighted_sample(weights.withColumnRenamed("id", "cell_id"), ["sample_id"], "cell_id", "weight", 50)
