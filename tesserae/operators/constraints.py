@@ -84,6 +84,20 @@ def overlapping_cores(grid: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _violations(grid.withColumn("_end", F.max("x1").over(before)).where("_end > x0"), "overlap", F.col("label"))
 
 
+def overlapping_boxes(boxes: DataFrame, keys: Sequence[str], tile: int) -> DataFrame:
+    """(keys, a, b): pairs of boxes (label, x0, y0, x1, y1) with area in common, a before b, wherever they lie.
+
+    Boxes meet in the tiles that both touch; the first such tile reports a pair, so none is told twice.
+    """
+    keys = list(keys)
+    reach = F.expr(f"sequence(floor(x0 / {tile}), greatest(floor(x0 / {tile}), ceil(x1 / {tile}) - 1))"), F.expr(f"sequence(floor(y0 / {tile}), greatest(floor(y0 / {tile}), ceil(y1 / {tile}) - 1))")
+    spread = boxes.select(*keys, "label", "x0", "y0", "x1", "y1").withColumn("_tx", F.explode(reach[0])).withColumn("_ty", F.explode(reach[1]))
+    other = spread.select(*keys, "_tx", "_ty", F.col("label").alias("b"), *(F.col(c).alias(f"_{c}") for c in ("x0", "y0", "x1", "y1")))
+    met = spread.withColumnRenamed("label", "a").join(other, [*keys, "_tx", "_ty"]).where("a < b AND x0 < _x1 AND _x0 < x1 AND y0 < _y1 AND _y0 < y1")
+    first = (F.col("_tx") == F.floor(F.greatest("x0", "_x0") / tile)) & (F.col("_ty") == F.floor(F.greatest("y0", "_y0") / tile))
+    return met.where(first).select(*keys, "a", "b")
+
+
 def conflicting_values(df: DataFrame, unit: str, order: str, value: str, tolerance: float) -> DataFrame:
     """Rows whose value differs from their unit's smallest or largest by more than a share of the larger one, with these.
 

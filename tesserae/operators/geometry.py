@@ -54,17 +54,25 @@ def on_edge(ring: Column, x: Column, y: Column) -> Column:
 
 
 def crosses_itself(ring: Column) -> Column:
-    """Whether two sides without a common end cross."""
+    """Whether two sides without a common end share a point, or two neighbours run back over each other; sides without length count as points."""
     edges = F.transform(_edges(ring), lambda e, i: F.struct(e["a"].alias("a"), e["b"].alias("b"), i.alias("i")))
 
     def side(p: Column, q: Column, r: Column) -> Column:
         return F.signum((q["x"] - p["x"]) * (r["y"] - p["y"]) - (q["y"] - p["y"]) * (r["x"] - p["x"]))
 
-    def cross(e: Column, f: Column) -> Column:
+    def near(e: Column, f: Column, c: str) -> Column:
+        return (F.least(e["a"][c], e["b"][c]) <= F.greatest(f["a"][c], f["b"][c])) & (F.least(f["a"][c], f["b"][c]) <= F.greatest(e["a"][c], e["b"][c]))
+
+    def meet(e: Column, f: Column) -> Column:
         apart = (f["i"] > e["i"] + 1) & ~((e["i"] == 0) & (f["i"] == F.size(ring) - 1))
-        return apart & (side(e["a"], e["b"], f["a"]) * side(e["a"], e["b"], f["b"]) < 0) & (side(f["a"], f["b"], e["a"]) * side(f["a"], f["b"], e["b"]) < 0)
+        return apart & near(e, f, "x") & near(e, f, "y") & (side(e["a"], e["b"], f["a"]) * side(e["a"], e["b"], f["b"]) <= 0) & (side(f["a"], f["b"], e["a"]) * side(f["a"], f["b"], e["b"]) <= 0)
+
+    def back(e: Column, f: Column) -> Column:
+        follows = (f["i"] == (e["i"] + 1) % F.size(ring)) & (F.size(ring) > 2)
+        dot = (e["b"]["x"] - e["a"]["x"]) * (f["b"]["x"] - f["a"]["x"]) + (e["b"]["y"] - e["a"]["y"]) * (f["b"]["y"] - f["a"]["y"])
+        return follows & (side(e["a"], e["b"], f["b"]) == 0) & (dot < 0)
 
-    return F.exists(edges, lambda e: F.exists(edges, lambda f: cross(e, f)))
+    return F.exists(edges, lambda e: F.exists(edges, lambda f: meet(e, f) | back(e, f)))
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, keys: Sequence[str], tile: int, edge_counts: bool = False) -> DataFrame:

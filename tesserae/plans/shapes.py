@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import contours, geometry, overlay, raster
-from .frames import RASTER, cells, pixels
+from ..operators import constraints, contours, geometry, overlay, raster
+from .frames import CELLS, RASTER, cells, pixels
 from .frames import raster as label_raster
 
 QUERIES: dict = {}
@@ -107,3 +107,32 @@ def snapped_boundaries(spark, sf_dir):
     p = pixels(spark, sf_dir).groupBy("sample_id", "y", "x").agg(F.max("score").alias("g"))
     labels = p.select("sample_id", "y", "x", F.expr("CAST((y div 16) * 4 + x div 16 + 1 AS INT)").alias("label"))
     return raster.snapped(labels, p, ["sample_id"], 3, 32)
+
+
+_RINGS = """c(k, i, dx, dy) AS (VALUES (0, 0, 0, 0), (0, 1, 8, 0), (0, 2, 8, 8), (0, 3, 0, 8), (1, 0, 0, 0), (1, 1, 8, 8), (1, 2, 8, 0), (1, 3, 0, 8),
+  (2, 0, 0, 0), (2, 1, 8, 0), (2, 2, 4, 0), (2, 3, 0, 8), (3, 0, 0, 0), (3, 1, 8, 0), (3, 2, 4, 4), (3, 3, 0, 8), (4, 0, 0, 0), (4, 1, 8, 4), (4, 2, 0, 8), (4, 3, 4, 2)),
+s AS (SELECT sample_id, cell_id, kind, a.i, x + a.dx AS ax, y + a.dy AS ay, x + b.dx AS bx, y + b.dy AS by_ FROM cells, c a JOIN c b ON a.k = b.k AND b.i = (a.i + 1) % 4 WHERE a.k = kind - 1),
+t AS (SELECT e.cell_id, e.i AS i, f.i AS j, e.ax AS ax, e.ay AS ay, e.bx AS bx, e.by_ AS by_, f.ax AS cx, f.ay AS cy, f.bx AS dx, f.by_ AS dy FROM s e JOIN s f ON e.cell_id = f.cell_id),
+o AS (SELECT *, sign((bx - ax) * (cy - ay) - (by_ - ay) * (cx - ax)) AS o1, sign((bx - ax) * (dy - ay) - (by_ - ay) * (dx - ax)) AS o2, sign((dx - cx) * (ay - cy) - (dy - cy) * (ax - cx)) AS o3, sign((dx - cx) * (by_ - cy) - (dy - cy) * (bx - cx)) AS o4 FROM t),
+h AS (SELECT cell_id, bool_or(j > i + 1 AND j - i < 3 AND o1 * o2 <= 0 AND o3 * o4 <= 0 AND least(ax, bx) <= greatest(cx, dx) AND least(cx, dx) <= greatest(ax, bx) AND least(ay, by_) <= greatest(cy, dy) AND least(cy, dy) <= greatest(ay, by_)
+  OR j = (i + 1) % 4 AND o2 = 0 AND (bx - ax) * (dx - cx) + (by_ - ay) * (dy - cy) < 0) AS crosses FROM o GROUP BY cell_id)"""
+
+
+@query(f"WITH {CELLS}, {_RINGS} SELECT sample_id, kind, count(*) AS n, count(*) FILTER (crosses) AS crossing FROM cells JOIN h USING (cell_id) GROUP BY ALL")
+def crossing_rings(spark, sf_dir):
+    """Rings that are simple, cross themselves, run back over themselves, bend inwards, or touch a side with a corner, by the cell's kind."""
+    shapes = {1: [(0, 0), (8, 0), (8, 8), (0, 8)], 2: [(0, 0), (8, 8), (8, 0), (0, 8)], 3: [(0, 0), (8, 0), (4, 0), (0, 8)], 4: [(0, 0), (8, 0), (4, 4), (0, 8)], 5: [(0, 0), (8, 4), (0, 8), (4, 2)]}
+    ring = F.lit(None)
+    for kind, corners in shapes.items():
+        ring = F.when(F.col("kind") == kind, F.array(*(F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y")) for dx, dy in corners))).otherwise(ring)
+    found = cells(spark, sf_dir).withColumn("ring", ring).withColumn("crosses", geometry.crosses_itself(F.col("ring")))
+    return found.groupBy("sample_id", "kind").agg(F.count("*").alias("n"), F.count_if("crosses").alias("crossing"))
+
+
+@query(f"""WITH {CELLS}, b AS (SELECT sample_id, cell_id, x AS x0, y AS y0, x + area / 4.0 AS x1, y + kind * 3.0 AS y1 FROM cells)
+SELECT a.sample_id, a.cell_id AS a, c.cell_id AS b FROM b a JOIN b c ON a.sample_id = c.sample_id AND a.cell_id < c.cell_id AND a.x0 < c.x1 AND c.x0 < a.x1 AND a.y0 < c.y1 AND c.y0 < a.y1""")
+def overlapping_boxes(spark, sf_dir):
+    """Boxes that overlap any other, in whatever row or column they start."""
+    c = cells(spark, sf_dir)
+    boxes = c.select("sample_id", F.col("cell_id").alias("label"), F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("x") + F.col("area") / 4.0).alias("x1"), (F.col("y") + F.col("kind") * 3.0).alias("y1"))
+    return constraints.overlapping_boxes(boxes, ["sample_id"], 16)

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tesserae.operators import contours, evidence, geometry, overlay
+from tesserae.operators import constraints, contours, evidence, geometry, overlay
 
 RING = "array<struct<x:double,y:double>>"
 
@@ -255,3 +255,18 @@ def test_simplified_and_cleaned(spark):
     found = contours.polygons(frame(spark, px), ["k"])
     assert [(r["area"], len(r["holes"])) for r in contours.cleaned(found, 2.0).collect()] == [(24.0, 1)]
     assert [(r["area"], len(r["holes"])) for r in contours.cleaned(found, 2.0, fill=True).collect()] == [(25.0, 0)]
+
+
+def test_rings_that_touch_themselves(spark):
+    rings = {"bow": [(0, 0), (2, 2), (2, 0), (0, 2)], "spike": [(0, 0), (4, 0), (2, 0), (0, 4)], "touch": [(0, 0), (4, 2), (0, 4), (2, 1)], "corner": [(0, 0), (4, 0), (2, 2), (4, 4), (0, 4), (2, 2)], "square": [(0, 0), (2, 0), (2, 2), (0, 2)], "triangle": [(0, 0), (2, 0), (0, 2)], "straight": [(0, 0), (1, 0), (2, 0), (2, 2), (0, 2)]}
+    df = spark.createDataFrame([(k, [{"x": float(x), "y": float(y)} for x, y in p]) for k, p in rings.items()], f"k string, ring {RING}")
+    got = {r["k"]: r["c"] for r in df.select("k", geometry.crosses_itself(F.col("ring")).alias("c")).collect()}
+    assert got == {"bow": True, "spike": True, "touch": True, "corner": True, "square": False, "triangle": False, "straight": False}
+
+
+def test_overlapping_boxes(spark):
+    r = random.Random(7)
+    boxes = [(r.randint(1, 2), i, x := r.uniform(-20, 60), y := r.uniform(-20, 60), x + r.choice([0, 3, 30]), y + r.choice([2, 15])) for i in range(80)]
+    got = constraints.overlapping_boxes(spark.createDataFrame(boxes, "s int, label int, x0 double, y0 double, x1 double, y1 double"), ["s"], 8)
+    want = [(a[0], a[1], b[1]) for a in boxes for b in boxes if a[0] == b[0] and a[1] < b[1] and a[2] < b[4] and b[2] < a[4] and a[3] < b[5] and b[3] < a[5]]
+    assert sorted(tuple(x) for x in got.collect()) == sorted(want)
