@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
 from ..operators import constraints, geometry, graph, ordered, raster
-from ..sources import records
+from ..operators.graph import shared_folder
+from ..sources import cell_index, records
 from .frames import CELLS, OUTCOMES, RASTER, cells, outcomes, table
 from .frames import raster as label_raster
 from .spatial import _SIDES, _TWO, _polygons, _two
@@ -197,3 +198,29 @@ def image_attributes(spark, sf_dir):
 def table_files(spark, sf_dir):
     """The files that a folder of tables holds, by suffix; their number and bytes are not in any table."""
     return records.listing(spark, sf_dir, "*.parquet").groupBy(F.regexp_extract("path", "[^/.]*$", 0).alias("suffix")).agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+
+
+def _published(spark, sf_dir):
+    """An index of all cells with two models' predictions and vectors of three values."""
+    c = cells(spark, sf_dir)
+    one = c.select("cell_id", F.lit("kinds").alias("model"), F.col("kind").alias("class_id"), F.concat(F.lit("kind-"), F.col("kind")).alias("label"), "probability")
+    two = c.select("cell_id", F.lit("sizes").alias("model"), (F.col("area") % 3).cast("int").alias("class_id"), F.concat(F.lit("size-"), F.col("area") % 3).alias("label"), (F.col("area") / 64.0).alias("probability"))
+    vectors = c.select("cell_id", F.array(F.col("x"), F.col("y"), F.col("area").cast("double")).alias("values"))
+    path = f"{shared_folder(spark)}/cells-{uuid.uuid4().hex}"
+    cell_index.publish(c.select("cell_id", "sample_id", "source", "x", "y"), one.unionByName(two), vectors, path, 128, ["kinds", "sizes"])
+    return cell_index.open_index(spark, path, verify=True)
+
+
+@query(f"""WITH {CELLS} SELECT cell_id, sample_id, source, x, y, 'sizes' AS model, CAST(area % 3 AS INTEGER) AS class_id, 'size-' || (area % 3) AS label, area / 64.0 AS probability FROM cells
+WHERE x BETWEEN 100 AND 420.5 AND y BETWEEN 30 AND 400 AND area % 3 > 0 AND area / 64.0 >= 0.25""")
+def indexed_predictions(spark, sf_dir):
+    """Cells of a viewport with one model's predictions, of two labels and from a probability on, out of a published index."""
+    return _published(spark, sf_dir).viewport(100, 30, 420.5, 400, "sizes", ["size-1", "size-2"], 0.25)
+
+
+@query(f"WITH {CELLS} SELECT cell_id, x AS first, y AS second, CAST(area AS DOUBLE) AS third FROM cells WHERE kind = 2 AND source = 'F'")
+def located_vectors(spark, sf_dir):
+    """Vectors of chosen cells, by their locators."""
+    wanted = cells(spark, sf_dir).where("kind = 2 AND source = 'F'").select("cell_id")
+    found = _published(spark, sf_dir).vectors_of(wanted)
+    return found.select("cell_id", *(F.get("values", F.lit(i)).alias(name) for i, name in enumerate(("first", "second", "third"))))
