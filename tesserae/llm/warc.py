@@ -67,7 +67,7 @@ def resolve(records: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
     lower case. Returned: record_id, canonical_url, status, response_id and headers. status is
     'resolved', 'validator_mismatch' (response_id is the response that disagreed; headers are null)
     or 'no_earlier_response' (so for null URLs and times too). Earlier means a smaller ts; of
-    responses with the same ts the greatest record_id counts. Entity tags are compared weakly, and
+    responses with the same ts the greatest record_id counts, a null one being the least. Entity tags are compared weakly, and
     decide alone where both sides have one; else the dates of last modification do, where both have
     one; else nothing speaks against it. Null headers are none, and headers with a null value are not
     there. Repeated revisits are resolved each; other columns are left out; an empty table gives an
@@ -76,7 +76,7 @@ def resolve(records: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
     named = records.select("record_id", canonical_url(F.col("url")).alias("key"), "ts", "revisit", F.map_filter(F.coalesce("headers", F.create_map().cast("map<string,string>")), lambda k, v: v.isNotNull()).alias("headers"))
     known = named.where("key is not null and ts is not null")
     response = F.when(~F.col("revisit"), F.struct("record_id", "headers"))
-    times = known.groupBy("key", "ts").agg(F.max_by(response, F.when(~F.col("revisit"), F.col("record_id"))).alias("here"))
+    times = known.groupBy("key", "ts").agg(F.max_by(response, F.when(~F.col("revisit"), F.coalesce("record_id", F.lit(-(1 << 63))))).alias("here"))
     times, large = _bucketed(materialize(times), per_bucket)
     before = Window.partitionBy("key", "bucket").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
     walked = times.withColumn("near", F.last("here", ignorenulls=True).over(before))

@@ -75,3 +75,9 @@ def test_against_brute_force(spark, per_bucket):
 def test_columns_of_other_names(spark):
     df = spark.createDataFrame([(1, "a.com", 1, False, {"etag": "x"}, 5, 6, "s"), (2, "a.com", 2, True, {"etag": "x"}, 5, 6, "s")], "record_id long, url string, ts long, revisit boolean, headers map<string,string>, bucket int, cuts int, status string")
     assert [tuple(r)[:4] for r in warc.resolve(df).collect()] == [(2, "a.com", "resolved", 1)]
+
+
+def test_responses_without_ids(spark):
+    """They resolve revisits, too, where no response of the same time has an id."""
+    df = spark.createDataFrame([(None, "a.com", 1, False, {"etag": "x"}), (5, "a.com", 2, True, {"etag": "x"}), (None, "b.com", 1, False, {"etag": "x"}), (1, "b.com", 1, False, {"etag": "y"}), (6, "b.com", 2, True, {"etag": "y"})], "record_id long, url string, ts long, revisit boolean, headers map<string,string>")
+    assert sorted(tuple(r)[:4] for r in warc.resolve(df).collect()) == [(5, "a.com", "resolved", None), (6, "b.com", "resolved", 1)]
