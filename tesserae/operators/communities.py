@@ -16,6 +16,8 @@ from .graph import components, stored
 
 #: What a move, and what a round must gain at least, as a share of all weight.
 LEAST = 1e-9
+#: Edges of a graph that the driver finishes by itself.
+FEW = 50_000
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -87,17 +89,70 @@ def _moved(edges: DataFrame, total: float, resolution: float) -> DataFrame:
         turn += 1
 
 
-def louvain(edges: DataFrame, resolution: float = 1.0, connected: bool = False) -> DataFrame:
+def _here(edges: list[tuple[int, int, float]], resolution: float, connected: bool) -> dict[int, int]:
+    """The community of each node of a graph of (a, b, w), one move after another until none gains, level by level."""
+    near: dict[int, dict[int, float]] = {}
+    for a, b, w in edges:
+        for x, y in ((a, b), (b, a)):  # a loop counts twice
+            near.setdefault(x, {})
+            near[x][y] = near[x].get(y, 0.0) + w
+    total = sum(sum(own.values()) for own in near.values())
+    labels = {n: n for n in near}
+    while True:
+        k = {n: sum(own.values()) for n, own in near.items()}
+        of, sums, moved = {n: n for n in near}, dict(k), True
+        while moved:
+            moved = False
+            for n in sorted(near):
+                weight: dict[int, float] = {of[n]: 0.0}
+                for other, w in near[n].items():
+                    if other != n:
+                        weight[of[other]] = weight.get(of[other], 0.0) + w
+                sums[of[n]] -= k[n]
+                score = {c: w - resolution * k[n] * sums[c] / total for c, w in weight.items()}
+                best = max(score, key=lambda c: (score[c], -c))
+                if best != of[n] and score[best] - score[of[n]] > LEAST * total:
+                    of[n], moved = best, True
+                sums[of[n]] += k[n]
+        if connected:
+            part: dict[int, int] = {}
+            for n in sorted(near):
+                todo = [] if n in part else [n]
+                part.setdefault(n, n)
+                while todo:
+                    for other in near[x := todo.pop()]:
+                        if other not in part and of[other] == of[x]:
+                            part[other] = n
+                            todo.append(other)
+            of = part
+        labels = {n: of[c] for n, c in labels.items()}
+        if len(set(of.values())) == len(near):
+            return labels
+        level: dict[int, dict[int, float]] = {}
+        for x, own in near.items():
+            for y, w in own.items():
+                row = level.setdefault(of[x], {})
+                row[of[y]] = row.get(of[y], 0.0) + w
+        near = level
+
+
+def louvain(edges: DataFrame, resolution: float = 1.0, connected: bool = False, few: int = FEW) -> DataFrame:
     """(node, community) of a graph of (a, b, w), each pair once, w > 0: communities of locally greatest modularity.
 
     connected: communities that fall apart are split into their connected parts before each
     contraction, which modularity can only gain by. A community is named by one of its nodes. Node ids
-    are longs; loops are inner weight; an empty graph has no communities.
+    are longs; loops are inner weight; an empty graph has no communities. Once contraction has left `few`
+    edges or fewer, which are counted, the driver goes on with single moves.
     """
     level = stored(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), F.col("w").cast("double").alias("w")).where("w > 0"))
     weight = level.agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
     labels = stored(_nodes(level).select("node", F.col("node").alias("community")))
     while weight:
+        rest = level.limit(few + 1).collect() if few else []  # `few` rows, and one
+        if 0 < len(rest) <= few:
+            found = _here([tuple(r) for r in rest], resolution, connected)
+            ends = edges.sparkSession.createDataFrame(list(found.items()), "community long, c long")
+            return labels.join(ends, "community").select("node", F.col("c").alias("community"))
         moved = _moved(level, 2.0 * weight, resolution)
         if connected:
             inner = level.where("a <> b").join(moved.toDF("a", "ca"), "a").join(moved.toDF("b", "cb"), "b").where("ca = cb")

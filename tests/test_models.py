@@ -167,11 +167,12 @@ def modularity_of(edges, label, resolution=1.0):
     return sum(w for a, b, w in edges if label[a] == label[b]) / total - resolution * sum(v * v for v in k.values()) / (2 * total) ** 2
 
 
+@pytest.mark.parametrize("few", [0, communities.FEW])
 @pytest.mark.parametrize("connected", [False, True])
-def test_louvain_finds_planted_groups(spark, connected):
+def test_louvain_finds_planted_groups(spark, connected, few):
     edges = planted(1, 5, 12, 0.6, 0.03) + [(0, 0, 2)]
     df = spark.createDataFrame(edges, "a long, b long, w long")
-    found = communities.louvain(df, connected=connected)
+    found = communities.louvain(df, connected=connected, few=few)
     label = {r["node"]: r["community"] for r in found.collect()}
     assert len({(n // 12, c) for n, c in label.items()}) == 5 == len(set(label.values()))
     assert communities.modularity(df, found) == pytest.approx(modularity_of(edges, label))
@@ -191,6 +192,20 @@ def test_modularity_never_falls(spark):
     assert communities.louvain(df.where("false")).isEmpty()
 
 
+def test_single_moves():
+    edges = planted(4, 3, 9, 0.5, 0.1)
+    label = communities._here(edges, 1.0, True)
+    assert modularity_of(edges, label) >= modularity_of(edges, {n: n // 9 for n in label}) - 0.05
+    for c in set(label.values()):
+        own, seen = {n for n in label if label[n] == c}, set()
+        todo = [min(own)]
+        while todo:
+            n = todo.pop()
+            seen.add(n)
+            todo += [b if a == n else a for a, b, _ in edges if n in (a, b) and {a, b} <= own and (b if a == n else a) not in seen]
+        assert seen == own
+
+
 def test_moves_that_share_no_community(spark):
     rows = [(1, 1, 2, 0.5), (2, 2, 3, 0.7), (3, 4, 5, 0.1), (4, 6, 5, 0.1), (5, 7, 8, 0.2)]
     got = communities._apart(spark.createDataFrame(rows, "a long, c long, best long, gain double"))
