@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import stored
 from .ordered import running
 
 
@@ -95,6 +96,19 @@ def bootstrap(df: DataFrame, keys: Sequence[str], unit: str, rounds: int, level:
     return drawn.withColumn("f1", f1).groupBy(*keys).agg(F.percentile("f1", ends[0]).alias("low"), F.percentile("f1", ends[1]).alias("high"), F.avg("f1").alias("mean"))
 
 
+def bootstrap_metrics(df: DataFrame, keys: Sequence[str], unit: str, rounds: int, level: float = 0.95) -> DataFrame:
+    """(keys, metric, low, high, mean): as bootstrap(), for precision, recall, F1 and Jaccard index; resamples that leave one undefined don't count for it."""
+    sums = df.groupBy(*keys, unit).agg(*(F.sum(c).alias(c) for c in ("tp", "fp", "fn")))
+    drawn = sums.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
+    weight = poisson_weight(uniform(F.col(unit), F.col("draw")))
+    drawn = drawn.groupBy(*keys, "draw").agg(*(F.sum(F.col(c) * weight).alias(c) for c in ("tp", "fp", "fn")))
+    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
+    found = {"precision": safe_ratio(tp, tp + fp), "recall": safe_ratio(tp, tp + fn), "f1": safe_ratio(2 * tp, 2 * tp + fp + fn), "jaccard": safe_ratio(tp, tp + fp + fn)}
+    each = drawn.select(*keys, F.explode(F.array(*(F.struct(F.lit(n).alias("metric"), v.cast("double").alias("value")) for n, v in found.items()))).alias("m")).select(*keys, "m.metric", "m.value")
+    ends = [(1 - level) / 2, (1 + level) / 2]
+    return each.groupBy(*keys, "metric").agg(F.percentile("value", ends[0]).alias("low"), F.percentile("value", ends[1]).alias("high"), F.avg("value").alias("mean"))  # `rounds` values a group
+
+
 def contingency(df: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFrame:
     """Adjusted Rand index, mutual information and its normal form, homogeneity, completeness and variation.
 
@@ -226,6 +240,13 @@ def hotspots(df: DataFrame, keys: Sequence[str], bin_size: float, a: str, b: str
     return sums.select(*keys, "bins", F.when(F.col("bins") >= 3, safe_ratio(F.col("both"), F.col("any"))).alias("jaccard"))
 
 
+def binned_agreement(df: DataFrame, keys: Sequence[str], bin_size: float, a: str, b: str) -> DataFrame:
+    """(keys, bins, pearson, spearman) of two measures' means over spatial bins; both null under three bins or without spread."""
+    bins = stored(df.groupBy(*keys, F.floor(F.col("x") / bin_size).alias("_bx"), F.floor(F.col("y") / bin_size).alias("_by")).agg(F.avg(a).alias("_ma"), F.avg(b).alias("_mb")))
+    out = bins.groupBy(*keys).agg(F.count("*").alias("bins"))
+    return out.join(correlation(bins, keys, "_ma", "_mb", "pearson"), list(keys)).join(spearman(bins, keys, "_ma", "_mb"), list(keys))
+
+
 def distribution(df: DataFrame, keys: Sequence[str], column: str, top: float) -> DataFrame:
     """Quantiles, and the shares of zeros and of values at `top` or more."""
     c = F.col(column)

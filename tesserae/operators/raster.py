@@ -26,6 +26,48 @@ def lattice(samples: DataFrame, keys: Sequence[str], width: int, height: int, st
     )
 
 
+def centred_axis(length: int, stride: int) -> tuple[int, int]:
+    """(first centre, number) of adjacent cores whose centres lie within an axis and that cover all of it."""
+    if length <= 0 or stride <= 0:
+        raise ValueError("an axis and its stride are above zero")
+    n = max(1, -(-length // stride))
+    first = -(-(length - (n - 1) * stride) // 2)
+    first -= max(0, first + (n - 1) * stride - (length - 1))
+    first = max(0, first)
+    if first - stride // 2 > 0 or first + (n - 1) * stride - stride // 2 + stride < length:
+        raise ValueError("cores with centres within the axis don't cover it")
+    return first, n
+
+
+def centred_lattice(samples: DataFrame, keys: Sequence[str], width: int, height: int, stride: int) -> DataFrame:
+    """(keys, label, grid_row, grid_col, cx, cy, x0, y0, x1, y1): cores of one size with centres in the image; the outer ones reach beyond its edge."""
+    (left, columns), (top, rows) = centred_axis(width, stride), centred_axis(height, stride)
+    out = samples.select(*keys).distinct()
+    out = out.withColumn("grid_row", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))).withColumn("grid_col", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
+    cx, cy = F.lit(left) + F.col("grid_col") * stride, F.lit(top) + F.col("grid_row") * stride
+    half = stride // 2
+    return out.select(
+        *keys, (F.col("grid_row") * columns + F.col("grid_col") + 1).alias("label"), "grid_row", "grid_col", cx.alias("cx"), cy.alias("cy"), (cx - half).alias("x0"), (cy - half).alias("y0"), (cx - half + stride).alias("x1"), (cy - half + stride).alias("y1")
+    )
+
+
+def core_cells(cells: DataFrame, shards: DataFrame, keys: Sequence[str], width: float, height: float) -> DataFrame:
+    """(keys, shard, id, x, y): cells of shards (keys, shard, id, x, y in the shard's window) moved to their places in the image.
+
+    shards: (keys, shard, hx0, hy0, hx1, hy1, x0, y0, x1, y1), windows and cores. A cell outside its window, in the halo
+    around its core, outside the image, or without a known shard is an error, and so is an id that repeats within keys.
+    """
+    keys = list(keys)
+    once = F.count(F.lit(1)).over(Window.partitionBy(*keys, "id"))
+    met = cells.select(*keys, "shard", "id", F.col("x").alias("_lx"), F.col("y").alias("_ly"), once.alias("_n")).join(shards, [*keys, "shard"], "left")
+    x, y = F.col("hx0") + F.col("_lx"), F.col("hy0") + F.col("_ly")
+    window = (F.col("_lx") >= 0) & (F.col("_ly") >= 0) & (F.col("_lx") < F.col("hx1") - F.col("hx0")) & (F.col("_ly") < F.col("hy1") - F.col("hy0"))
+    core = (x >= F.col("x0")) & (x < F.col("x1")) & (y >= F.col("y0")) & (y < F.col("y1"))
+    rules = [(F.col("hx0").isNotNull(), "an unknown shard"), (F.coalesce(window, F.lit(False)), "a cell outside its window"), (core, "a halo cell outside its core"), ((x >= 0) & (y >= 0) & (x < width) & (y < height), "a cell outside the image"), (F.col("_n") == 1, "an id repeats")]
+    why = F.coalesce(*(F.when(~rule, F.lit(text)) for rule, text in rules))
+    return met.where(F.when(why.isNull(), True).otherwise(F.raise_error(why).cast("boolean"))).select(*keys, "shard", "id", x.alias("x"), y.alias("y"))
+
+
 def with_halo(cores: DataFrame, halo: int, width: int, height: int) -> DataFrame:
     """Cores with the window that a halo adds, clipped to the image."""
     return cores.select(

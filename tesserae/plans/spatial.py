@@ -425,3 +425,21 @@ def irregular_cores(spark, sf_dir):
         axes.append(starts.withColumn(f"{axis}1", F.least(after, F.col(f"{axis}0") + most)))
     met = joins.irregular_lattice_join(c.select("sample_id", "cell_id", "x", "y", "area"), axes[0].join(axes[1], "sample_id"), ["sample_id"])
     return met.groupBy("sample_id", "x0", "y0").agg(F.count("*").alias("n"), F.sum("area").alias("area"), F.min("cell_id").alias("first"))
+
+
+@query(f"""WITH {CELLS}, s AS (SELECT DISTINCT sample_id FROM cells)
+SELECT sample_id, CAST(r * 6 + c + 1 AS INTEGER) AS label, CAST(20 + 192 * c AS INTEGER) AS cx, CAST(62 + 192 * r AS INTEGER) AS cy, CAST(-76 + 192 * c AS INTEGER) AS x0, CAST(-34 + 192 * r AS INTEGER) AS y0, CAST(116 + 192 * c AS INTEGER) AS x1, CAST(158 + 192 * r AS INTEGER) AS y1 FROM s, range(4) a(r), range(6) b(c)""")
+def centred_cores(spark, sf_dir):
+    """Adjacent cores of 192 by 192 whose centres lie in an image of 1,000 by 700."""
+    return raster.centred_lattice(cells(spark, sf_dir), ["sample_id"], 1000, 700, 192).select("sample_id", "label", "cx", "cy", "x0", "y0", "x1", "y1")
+
+
+@query(f"""WITH {CELLS} SELECT sample_id, CAST(floor(y / 256) * 4 + floor(x / 256) + 1 AS BIGINT) AS shard, count(*) AS n, CAST(sum(x) AS DOUBLE) AS sum_x, CAST(sum(y) AS DOUBLE) AS sum_y FROM cells GROUP BY ALL""")
+def shard_cells(spark, sf_dir):
+    """Cells of windows with halos, moved back to the image; each must lie in its own core."""
+    c = cells(spark, sf_dir)
+    shards = raster.with_halo(raster.lattice(c, ["sample_id"], 1024, 1024, 256), 64, 1024, 1024).withColumnRenamed("label", "shard")
+    own = c.withColumn("shard", (F.floor(F.col("y") / 256) * 4 + F.floor(F.col("x") / 256) + 1)).join(shards.select("sample_id", "shard", "hx0", "hy0"), ["sample_id", "shard"])
+    local = own.select("sample_id", "shard", F.col("cell_id").alias("id"), (F.col("x") - F.col("hx0")).alias("x"), (F.col("y") - F.col("hy0")).alias("y"))
+    found = raster.core_cells(local, shards, ["sample_id"], 1024, 1024)
+    return found.groupBy("sample_id", "shard").agg(F.count("*").alias("n"), F.sum("x").alias("sum_x"), F.sum("y").alias("sum_y"))

@@ -432,3 +432,23 @@ def streamed_event_counts(spark, sf_dir):
 def pricing_summary(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     return li.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.sum("l_quantity").cast("long").alias("quantity"), F.sum(F.rint(F.col("l_extendedprice") * 100).cast("long")).alias("cents"))
+
+
+@query(f"""WITH {OUTCOMES}, s AS (SELECT detector, patient, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM outcomes GROUP BY ALL),
+d AS (SELECT *, CAST('0x' || substr(md5(patient || ':' || draw), 1, 8) AS BIGINT) / 4294967296.0 AS u FROM s, range(200) r(draw)),
+w AS (SELECT *, {_WEIGHT} AS w FROM d), t AS (SELECT detector, draw, CAST(sum(tp * w) AS DOUBLE) AS tp, CAST(sum(fp * w) AS DOUBLE) AS fp, CAST(sum(fn * w) AS DOUBLE) AS fn FROM w GROUP BY ALL),
+m AS (SELECT detector, unnest([{{'metric': 'precision', 'value': tp / nullif(tp + fp, 0)}}, {{'metric': 'recall', 'value': tp / nullif(tp + fn, 0)}}, {{'metric': 'f1', 'value': 2 * tp / nullif(2 * tp + fp + fn, 0)}}, {{'metric': 'jaccard', 'value': tp / nullif(tp + fp + fn, 0)}}], recursive := true) FROM t)
+SELECT detector, metric, round(quantile_cont(value, 0.025), 9) AS low, round(quantile_cont(value, 0.975), 9) AS high, round(avg(value), 9) AS mean FROM m GROUP BY ALL""")
+def bootstrap_metric_intervals(spark, sf_dir):
+    """Intervals of precision, recall, F1 and Jaccard index by resampled patients."""
+    out = agg.bootstrap_metrics(outcomes(spark, sf_dir), ["detector"], "patient", 200)
+    return out.select("detector", "metric", *(F.round(c, 9).alias(c) for c in ("low", "high", "mean")))
+
+
+@query(f"""WITH {CELLS}, b AS (SELECT sample_id, floor(x / 128) AS bx, floor(y / 128) AS by_, avg(patient) AS ma, avg(area) AS mb FROM cells GROUP BY ALL),
+r AS (SELECT *, rank() OVER (PARTITION BY sample_id ORDER BY ma) + (count(*) OVER (PARTITION BY sample_id, ma) - 1) / 2 AS ra, rank() OVER (PARTITION BY sample_id ORDER BY mb) + (count(*) OVER (PARTITION BY sample_id, mb) - 1) / 2 AS rb FROM b)
+SELECT sample_id, count(*) AS bins, round(CASE WHEN count(*) >= 3 THEN corr(ma, mb) END, 7) AS pearson, round(CASE WHEN count(*) >= 3 THEN corr(ra, rb) END, 7) AS spearman FROM r GROUP BY sample_id""")
+def binned_correlation(spark, sf_dir):
+    """How two measures go together over spatial bins."""
+    found = agg.binned_agreement(cells(spark, sf_dir), ["sample_id"], 128.0, "patient", "area")
+    return found.withColumns({c: F.round(c, 7) for c in ("pearson", "spearman")})

@@ -98,3 +98,37 @@ def test_inverse_distances(spark):
     low = 1.0 + 0.001 * 0  # of the distances above zero: 1, 2, 7 and 90
     assert got[1, 5] == pytest.approx(90.0**-2) and got[1, 3] == pytest.approx(2.0**-2) and got[2, 9] == 0.0
     assert got[1, 0] == got[1, 1] == pytest.approx((low + 0.003) ** -2)
+
+
+def test_centred_axes():
+    for length in range(1, 60):
+        for stride in range(1, 25):
+            try:
+                first, n = raster.centred_axis(length, stride)
+            except ValueError:
+                continue
+            centres = [first + i * stride for i in range(n)]
+            assert 0 <= centres[0] and (centres[-1] < length or n * stride > length + stride) and centres[0] - stride // 2 <= 0 and centres[-1] - stride // 2 + stride >= length
+    assert raster.centred_axis(1000, 192) == (20, 6) and raster.centred_axis(5, 10) == (3, 1)
+    with pytest.raises(ValueError, match="above zero"):
+        raster.centred_axis(0, 3)
+
+
+@pytest.mark.parametrize(
+    "why, cells",
+    [
+        ("outside its window", [(1, 1, 40.0, 5.0)]),
+        ("outside its core", [(1, 1, 30.0, 5.0)]),
+        ("an id repeats", [(1, 1, 3.0, 5.0), (2, 1, 12.0, 5.0)]),
+        ("unknown shard", [(9, 1, 3.0, 5.0)]),
+        ("outside its window", [(1, 1, None, 5.0)]),
+        ("outside the image", [(2, 1, 34.0, 5.0)]),
+    ],
+)
+def test_core_cells(spark, why, cells):
+    shards = spark.createDataFrame([(1, 0, 0, 32, 32, 0, 0, 24, 32), (2, 16, 0, 64, 32, 24, 0, 64, 32)], "shard int, hx0 int, hy0 int, hx1 int, hy1 int, x0 int, y0 int, x1 int, y1 int")
+    kind = "shard int, id int, x double, y double"
+    good = raster.core_cells(spark.createDataFrame([(1, 1, 3.0, 5.0), (2, 2, 12.0, 5.0)], kind), shards, [], 48, 32).collect()
+    assert sorted(map(tuple, good)) == [(1, 1, 3.0, 5.0), (2, 2, 28.0, 5.0)]
+    with pytest.raises(Exception, match=why):
+        raster.core_cells(spark.createDataFrame(cells, kind), shards, [], 48, 32).collect()
