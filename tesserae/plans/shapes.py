@@ -69,8 +69,8 @@ def _overlapping(a, b, keys, tile):
 SELECT sample_id, raster.label AS label_a, n.label AS label_b, CAST(count(*) AS DOUBLE) AS both FROM raster JOIN n USING (sample_id, y, x) GROUP BY ALL""")
 def polygon_overlaps(spark, sf_dir):
     """Exact common areas of two masks' polygons; of pixels' outlines they are the pixels that both have."""
-    a = contours.polygons(label_raster(spark, sf_dir), ["sample_id"]).withColumn("polygon", F.col("polygon") * 16 + F.col("label"))
-    b = contours.polygons(_nuclei(spark, sf_dir), ["sample_id"]).withColumn("polygon", -1 - F.col("polygon") * 16 - F.col("label"))
+    a = contours.polygons(label_raster(spark, sf_dir), ["sample_id"], eight=False).withColumn("polygon", F.col("polygon") * 16 + F.col("label"))
+    b = contours.polygons(_nuclei(spark, sf_dir), ["sample_id"], eight=False).withColumn("polygon", -1 - F.col("polygon") * 16 - F.col("label"))
     pairs = _overlapping(a, b, ["sample_id"], 8)
     found = overlay.overlay_areas(overlay.arranged(pairs, a.unionByName(b), ["sample_id"], 8.0), ["sample_id"])
     labels = found.select("sample_id", (F.col("a") % 16).cast("int").alias("label_a"), ((-1 - F.col("b")) % 16).cast("int").alias("label_b"), "both")
