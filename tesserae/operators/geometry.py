@@ -91,6 +91,20 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, keys: Sequence[st
     return met.where(test).drop("_tx", "_ty", "_b")
 
 
+def one_polygon(met: DataFrame, keys: Sequence[str], overlap: str = "smallest") -> DataFrame:
+    """(keys, polygon): the polygon of each point of points_in_polygons(), where several hold it: the smallest, or an error.
+
+    overlap: 'smallest' takes the one of least area, ties to the smaller polygon; 'error' raises. keys name a point.
+    """
+    if overlap not in ("smallest", "error"):
+        raise ValueError("overlaps are settled by the smallest or are errors")
+    sized = met.select(*keys, "polygon", area(F.col("ring")).alias("_area"))
+    best = sized.groupBy(*keys).agg(F.min(F.struct("_area", "polygon")).alias("_m"), F.count("*").alias("_n"))
+    if overlap == "error":
+        best = best.where(F.assert_true(F.col("_n") == 1, F.lit("polygons overlap at a point")).isNull())
+    return best.select(*keys, F.col("_m.polygon").alias("polygon"))
+
+
 def rasterised(polygons: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, polygon, y, x): pixels whose centres lie in a polygon."""
 

@@ -36,6 +36,14 @@ def look_up(df: DataFrame, mapping: DataFrame, key: str, value: str, default) ->
     return df.join(mapping.select(key, value), key, "left").fillna({value: default})
 
 
+def look_up_known(df: DataFrame, mapping: DataFrame, key: str, value: str) -> DataFrame:
+    """`df` with `value` of its key; a key that the mapping lacks, or has more than once, is an error, a null key gets null."""
+    told = mapping.select(key, value, F.count(F.lit(1)).over(Window.partitionBy(key)).alias("_n"))
+    met = df.join(told, key, "left")
+    why = F.when(F.col(key).isNotNull() & F.col("_n").isNull(), F.concat(F.lit(f"no {value} for the {key} "), F.col(key).cast("string"))).when(F.col("_n") > 1, F.concat(F.lit(f"{key} repeats: "), F.col(key).cast("string")))
+    return met.where(F.when(why.isNull(), True).otherwise(F.raise_error(why).cast("boolean"))).drop("_n")
+
+
 def lattice_join(points: DataFrame, grid: DataFrame, keys: Sequence[str], stride: int) -> DataFrame:
     """Points in the half-open cores of a regular lattice (x0, y0): an equi-join on floor(x / stride) * stride."""
     placed = points.withColumn("x0", (F.floor(F.col("x") / stride) * stride).cast("long")).withColumn("y0", (F.floor(F.col("y") / stride) * stride).cast("long"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import constraints, contours, geometry, overlay, raster
+from ..operators import constraints, contours, geometry, joins, overlay, raster
 from .frames import CELLS, RASTER, cells, pixels
 from .frames import raster as label_raster
 
@@ -136,3 +136,23 @@ def overlapping_boxes(spark, sf_dir):
     c = cells(spark, sf_dir)
     boxes = c.select("sample_id", F.col("cell_id").alias("label"), F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("x") + F.col("area") / 4.0).alias("x1"), (F.col("y") + F.col("kind") * 3.0).alias("y1"))
     return constraints.overlapping_boxes(boxes, ["sample_id"], 16)
+
+
+@query(f"""WITH {CELLS}, t AS (SELECT sample_id, cell_id AS polygon, x, y, 20.0 * (1 + cell_id % 3) AS h FROM cells WHERE cell_id % 40 = 0),
+m AS (SELECT c.sample_id, c.cell_id, t.polygon, h FROM cells c JOIN t ON c.sample_id = t.sample_id AND abs(c.x - t.x) + abs(c.y - t.y) < h)
+SELECT sample_id, cell_id, arg_min(polygon, (h, polygon)) AS polygon FROM m GROUP BY ALL""")
+def smallest_polygons(spark, sf_dir):
+    """Cells with the smallest of the diamonds that hold them; diamonds of three sizes stand around every fortieth cell."""
+    c = cells(spark, sf_dir)
+    half = 20.0 * (1 + F.col("cell_id") % 3)
+    ring = F.array(*(F.struct((F.col("x") + dx * half).alias("x"), (F.col("y") + dy * half).alias("y")) for dx, dy in ((1, 0), (0, 1), (-1, 0), (0, -1))))
+    diamonds = c.where("cell_id % 40 = 0").select("sample_id", F.col("cell_id").alias("polygon"), ring.alias("ring"))
+    met = geometry.points_in_polygons(c.select("sample_id", "cell_id", "x", "y"), diamonds, ["sample_id"], 64)
+    return geometry.one_polygon(met, ["sample_id", "cell_id"])
+
+
+@query(f"""WITH {CELLS} SELECT kind, CASE kind WHEN 1 THEN 'urgent' WHEN 2 THEN 'high' WHEN 3 THEN 'medium' WHEN 4 THEN 'unset' WHEN 5 THEN 'low' END AS name, count(*) AS n FROM cells GROUP BY ALL""")
+def known_kinds(spark, sf_dir):
+    """Kinds by name, none of which may be missing."""
+    names = spark.createDataFrame([(1, "urgent"), (2, "high"), (3, "medium"), (4, "unset"), (5, "low")], "kind int, name string")
+    return joins.look_up_known(cells(spark, sf_dir), names, "kind", "name").groupBy("kind", "name").agg(F.count("*").alias("n"))

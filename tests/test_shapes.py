@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tesserae.operators import constraints, contours, evidence, geometry, overlay
+from tesserae.operators import constraints, contours, evidence, geometry, joins, overlay
 
 RING = "array<struct<x:double,y:double>>"
 
@@ -270,3 +270,28 @@ def test_overlapping_boxes(spark):
     got = constraints.overlapping_boxes(spark.createDataFrame(boxes, "s int, label int, x0 double, y0 double, x1 double, y1 double"), ["s"], 8)
     want = [(a[0], a[1], b[1]) for a in boxes for b in boxes if a[0] == b[0] and a[1] < b[1] and a[2] < b[4] and b[2] < a[4] and a[3] < b[5] and b[3] < a[5]]
     assert sorted(tuple(x) for x in got.collect()) == sorted(want)
+
+
+def test_overlaps_are_settled_or_errors(spark):
+    def square(i, h):
+        return (1, i, [{"x": x * h, "y": y * h} for x, y in ((-1.0, -1.0), (1.0, -1.0), (1.0, 1.0), (-1.0, 1.0))])
+
+    shapes = spark.createDataFrame([square(1, 9.0), square(2, 4.0), square(3, 4.0)], f"s int, polygon int, ring {RING}")
+    points = spark.createDataFrame([(1, 10, 0.5, 0.5), (1, 11, 6.0, 0.0), (1, 12, 50.0, 0.0)], "s int, id int, x double, y double")
+    met = geometry.points_in_polygons(points, shapes, ["s"], 8)
+    assert sorted((r["id"], r["polygon"]) for r in geometry.one_polygon(met, ["s", "id"]).collect()) == [(10, 2), (11, 1)]
+    assert [(r["id"], r["polygon"]) for r in geometry.one_polygon(met.where("id = 11"), ["s", "id"], "error").collect()] == [(11, 1)]
+    with pytest.raises(Exception, match="overlap at a point"):
+        geometry.one_polygon(met, ["s", "id"], "error").collect()
+    with pytest.raises(ValueError):
+        geometry.one_polygon(met, ["s", "id"], "largest")
+
+
+def test_look_ups_that_may_not_miss(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    names = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (3, "d")], "k int, name string")
+    assert sorted((r["k"] or 0, r["name"]) for r in joins.look_up_known(df, names, "k", "name").collect()) == [(0, None), (1, "a"), (2, "b")]
+    with pytest.raises(Exception, match="no name for the k 9"):
+        joins.look_up_known(df.unionByName(spark.createDataFrame([(9,)], "k int")), names, "k", "name").collect()
+    with pytest.raises(Exception, match="k repeats: 3"):
+        joins.look_up_known(df.unionByName(spark.createDataFrame([(3,)], "k int")), names, "k", "name").collect()
