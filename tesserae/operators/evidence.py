@@ -141,6 +141,23 @@ def rotation_fit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return s.select(*keys, F.try_divide(top, F.sqrt((F.col("xx") + F.col("yy")) * (F.col("uu") + F.col("vv")))).alias("correlation"))
 
 
+def procrustes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, n, correlation, rmse) of standardised (x, y) with standardised (u, v) turned, or turned and mirrored, onto them.
+
+    All of it follows from the four correlations between the columns: a two by two table's singular values add up to
+    the root of its squares and twice its determinant's size. A constant column stands at zero; one row has neither.
+    """
+    sums = [F.count("*").alias("n"), *(F.var_samp(c).alias(f"_{c}") for c in "xyuv"), *(F.covar_samp(a, b).alias(f"_{a}{b}") for a in "xy" for b in "uv")]
+    s = df.groupBy(*keys).agg(*sums)
+    r = {a + b: F.coalesce(F.try_divide(F.col(f"_{a}{b}"), F.sqrt(F.col(f"_{a}") * F.col(f"_{b}"))), F.lit(0.0)) for a in "xy" for b in "uv"}
+    total = F.sqrt(r["xu"] * r["xu"] + r["xv"] * r["xv"] + r["yu"] * r["yu"] + r["yv"] * r["yv"] + 2 * F.abs(r["xu"] * r["yv"] - r["xv"] * r["yu"]))
+    size = [sum((F.when(F.col(f"_{c}") > 0, F.lit(1.0)).otherwise(F.lit(0.0)) for c in pair), F.lit(0.0)) for pair in ("xy", "uv")]
+    n = F.col("n").cast("double")
+    off = F.sqrt(F.greatest(F.lit(0.0), (size[0] + size[1] - 2 * total) * (n - 1) / (2 * n)))
+    several = F.col("n") > 1
+    return s.select(*keys, "n", F.when(several, F.try_divide(total, F.sqrt(size[0] * size[1]))).alias("correlation"), F.when(several, off).alias("rmse"))
+
+
 def cascade(df: DataFrame, keys: Sequence[str], score: str, margin: float, order: Sequence[Column | str]) -> DataFrame:
     """Of the rows within `margin` of their group's best score, the first in an order."""
     w = Window.partitionBy(*keys)

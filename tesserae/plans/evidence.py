@@ -275,3 +275,12 @@ def inverse_distance_landmarks(spark, sf_dir):
     points = _points(spark, sf_dir)
     weights = evidence.inverse_distance_weights(points, ["sample_id"], 6, 1.0, 64.0)
     return evidence.weighted_sample(weights.withColumnRenamed("id", "cell_id"), ["sample_id"], "cell_id", "weight", 50)
+
+
+@query(f"""WITH {CELLS}, r AS (SELECT sample_id, count(*) AS n, corr(x, area) AS xu, corr(x, patient) AS xv, corr(y, area) AS yu, corr(y, patient) AS yv FROM cells GROUP BY ALL),
+t AS (SELECT sample_id, n, sqrt(xu * xu + xv * xv + yu * yu + yv * yv + 2 * abs(xu * yv - xv * yu)) AS total FROM r)
+SELECT sample_id, n, round(total / 2, 7) AS correlation, round(sqrt((4 - 2 * total) * (n - 1) / (2 * n)), 7) AS rmse FROM t""")
+def procrustes_fit(spark, sf_dir):
+    """How well one standardised plane falls on another, mirrored or not."""
+    c = cells(spark, sf_dir).select("sample_id", "x", "y", F.col("area").cast("double").alias("u"), F.col("patient").cast("double").alias("v"))
+    return evidence.procrustes(c, ["sample_id"]).withColumns({n: F.round(n, 7) for n in ("correlation", "rmse")})

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from tesserae.operators import evidence, raster
@@ -132,3 +133,23 @@ def test_core_cells(spark, why, cells):
     assert sorted(map(tuple, good)) == [(1, 1, 3.0, 5.0), (2, 2, 28.0, 5.0)]
     with pytest.raises(Exception, match=why):
         raster.core_cells(spark.createDataFrame(cells, kind), shards, [], 48, 32).collect()
+
+
+def test_procrustes(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(0, 3, (60, 2))
+    planes = {1: x @ np.array([[0.6, 0.8], [-0.8, 0.6]]) * 4 + 7, 2: x @ np.array([[0.6, 0.8], [0.8, -0.6]]), 3: x + rng.normal(0, 2, x.shape), 4: np.stack((x[:, 0], np.full(60, 5.0)), axis=1)}
+    rows = [(k, *map(float, (*p, *q))) for k, u in planes.items() for p, q in zip(x, u, strict=True)] + [(5, 1.0, 1.0, 1.0, 1.0)]
+    got = {r.k: r for r in evidence.procrustes(spark.createDataFrame(rows, "k int, x double, y double, u double, v double"), ["k"]).collect()}
+
+    def standard(m):
+        sd = m.std(0, ddof=1)
+        return np.divide(m - m.mean(0), sd, out=np.zeros_like(m), where=sd > 0)
+
+    for k, u in planes.items():
+        a, b = standard(x), standard(u)
+        left, _, right = np.linalg.svd(b.T @ a)
+        turned = b @ left @ right
+        assert got[k].rmse == pytest.approx(np.sqrt(((a - turned) ** 2).mean()), abs=1e-7)
+        assert got[k].correlation == pytest.approx(np.corrcoef(a.ravel(), turned.ravel())[0, 1], abs=1e-7)
+    assert got[5].correlation is None and got[5].rmse is None
