@@ -2,7 +2,10 @@
 
 import math
 
-from tesserae.operators import aggregates
+import numpy as np
+import pytest
+
+from tesserae.operators import aggregates, graph, joins
 
 
 def test_hotspots_interpolate_from_the_lower_value(spark):
@@ -12,3 +15,14 @@ def test_hotspots_interpolate_from_the_lower_value(spark):
     # The cut lies four tenths from v to the next double, which is v: both are hot in a, all four in b.
     assert aggregates.hotspots(points, ["s"], 10.0, "a", "b", 0.8).first()["jaccard"] == 0.5
     assert aggregates.percentiles(points, ["s"], "a", {"q": 0.8}).first()["q"] == v
+
+
+def test_near_points_are_not_broadcast(spark):
+    # Files of points are small, so their sizes let a driver hold far more than it can.
+    points = spark.range(400).selectExpr("0 AS s", "id", "CAST(id % 3 AS STRING) AS source", "CAST(id * 7 % 40 AS DOUBLE) AS x", "CAST(id * 11 % 40 AS DOUBLE) AS y")
+    near = joins.nearest_of_sources(points, ["s"], 3.0, 4)
+    assert "Broadcast" not in near._jdf.queryExecution().executedPlan().toString()
+    fused = graph.greedy_union(near.select("s", "a", "b", "d", "source_a", "source_b"), points, ["s"])
+    assert "Broadcast" not in fused._jdf.queryExecution().executedPlan().toString()
+    looked_up = graph.greedy_union(near.select("s", "a", "b", "d"), points, ["s"])
+    assert set(fused.collect()) == set(looked_up.collect())
