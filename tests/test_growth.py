@@ -26,3 +26,51 @@ def test_near_points_are_not_broadcast(spark):
     assert "Broadcast" not in fused._jdf.queryExecution().executedPlan().toString()
     looked_up = graph.greedy_union(near.select("s", "a", "b", "d"), points, ["s"])
     assert set(fused.collect()) == set(looked_up.collect())
+
+
+def brute_landmarks(points, landmarks, k):
+    out = set()
+    for i, x, y in points:
+        near = sorted(((x - u) ** 2 + (y - v) ** 2, j) for j, u, v in landmarks)[:k]
+        out |= {(i, j, n + 1) for n, (_, j) in enumerate(near)}
+    return out
+
+
+@pytest.mark.parametrize("most", [20_000, 5])
+def test_landmarks_that_crowd_or_tie(spark, monkeypatch, most):
+    # Ties of 65: (1, 8) and (4, 7) are equally far, though their rounded hypotenuses may differ; a crowd shares a place.
+    landmarks = [(9, 1.0, 8.0), (8, 4.0, 7.0), (7, -8.0, 1.0), (6, 7.0, -4.0)] + [(100 + i, 50.0 + i % 2 / 8, 50.0) for i in range(300)] + [(1000 + i, float(i * 13 % 97), float(i * 29 % 97)) for i in range(300)]
+    points = [(i, float(i % 10) * 9, float(i // 10) * 9) for i in range(100)] + [(200, 50.0, 50.0), (201, -1e6, 4e5)]
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", most)
+    p = spark.createDataFrame(points, "id long, x double, y double")
+    found = joins.nearest_landmarks(p, spark.createDataFrame(landmarks, "landmark long, x double, y double"), 7)
+    assert {(r["id"], r["landmark"], r["rank"]) for r in found.collect()} == brute_landmarks(points, landmarks, 7)
+
+
+def test_a_point_meets_few_landmarks():
+    # What a look-up compares grows with the points, not with points times landmarks.
+    rng = np.random.default_rng(1)
+    met = []
+    for n in (2_000, 16_000):
+        near = joins._Near(rng.random(n), rng.random(n), np.arange(n), None, 5)
+        order, cells, width, height = near._grid(near._first_size())
+        met.append(np.bincount(cells).max())
+        rows, found, d2, rank = near.find(rng.random(500), rng.random(500), np.full(500, -1), None)
+        assert len(rows) == 2_500
+    assert max(met) < 40
+
+
+def test_nearest_carries_columns_and_splits_crowds(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(i % 2), int(i), float(x), float(y), "xyz"[i % 3]) for i, (x, y) in enumerate(np.round(rng.random((300, 2)) * 64) / 8)]
+    rows += [(0, 1000 + i, 3.0, 3.0, "x") for i in range(40)] + [(1, 2000, None, 1.0, "x"), (1, 2001, 500.0, 500.0, "y")]
+    df = spark.createDataFrame(rows, "s int, id long, x double, y double, kind string")
+    kind = {r[1]: r[4] for r in rows}
+    for differ in (None, "kind"):
+        want = set()
+        for s, i, x, y, own in rows:
+            if x is not None:
+                near = sorted(((x - u) ** 2 + (y - v) ** 2, j) for t, j, u, v, other in rows if u is not None and t == s and j != i and not (differ and other == own))[:5]
+                want |= {(s, i, j, n + 1, own, kind[j]) for n, (_, j) in enumerate(near)}
+        got = joins.nearest(df, df, ["s"], 5, 1.0, differ, ["kind"]).select("s", "a", "b", "rank", "kind_a", "kind_b").collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want)
