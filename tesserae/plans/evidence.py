@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars
 from ..operators import aggregates as agg
 from ..operators import evidence, joins, ordered, raster
+from ..operators.graph import stored
 from .frames import CELLS, OUTCOMES, PIXELS, RASTER, SCORES, cells, outcomes, pixels, scores, table
 from .frames import raster as label_raster
 
@@ -34,10 +35,8 @@ _PAIRS = "pairs AS (SELECT a.sample_id, a.cell_id AS a, b.cell_id AS b, a.source
 
 @query(f"""WITH {CELLS}, {_PAIRS} SELECT sa AS source_a, sb AS source_b, count(*) AS n, round(median(d), 6) AS median_d, round(quantile_cont(d, 0.95), 6) AS p95_d FROM pairs WHERE d < 24 AND sa < sb GROUP BY ALL""")
 def source_agreement(spark, sf_dir):
-    points = _points(spark, sf_dir)
-    near = joins.near_pairs(points, ["sample_id"], 24.0)
-    a, b = points.select(F.col("id").alias("a"), F.col("source").alias("source_a")), points.select(F.col("id").alias("b"), F.col("source").alias("source_b"))
-    both = near.join(a, "a").join(b, "b").where("source_a < source_b")
+    near = joins.near_pairs(_points(spark, sf_dir), ["sample_id"], 24.0, ["source"])
+    both = stored(near.where("source_a < source_b").select("source_a", "source_b", "d"))
     found = agg.with_percentiles(both.groupBy("source_a", "source_b").agg(F.count("*").alias("n")), both, ["source_a", "source_b"], {"d": {"median_d": 0.5, "p95_d": 0.95}})
     return found.withColumns({c: F.round(c, 6) for c in ("median_d", "p95_d")})
 
