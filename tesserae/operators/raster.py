@@ -330,7 +330,7 @@ def boundary_band(labels: DataFrame, keys: Sequence[str], radius: int) -> DataFr
 
 
 def _flooded(part: pd.DataFrame) -> pd.DataFrame:
-    """A tile's pixels (y, x, g, own, fixed, cost) after a flood from those that have a cost, over those of its own.
+    """A tile's pixels (y, x, g, own, fixed, cost, fresh) after a flood from the fresh ones, over those of its own.
 
     A cost is the way from a label, read backwards: its highest gradient and how many pixels lie at that height,
     then the same of the way before, and at the end the label. So a longer way never costs less, and of two
@@ -340,7 +340,8 @@ def _flooded(part: pd.DataFrame) -> pd.DataFrame:
     g, own, fixed = part["g"].tolist(), part["own"].tolist(), part["fixed"].tolist()
     cost = [tuple(c) if c is not None else None for c in part["cost"]]
     before = list(cost)
-    heap = [(c, y, x) for (y, x), i in place.items() if (c := cost[i])]
+    fresh = part["fresh"].tolist()
+    heap = [(cost[i], y, x) for (y, x), i in place.items() if fresh[i]]
     heapq.heapify(heap)
     while heap:
         c, y, x = heapq.heappop(heap)
@@ -354,7 +355,7 @@ def _flooded(part: pd.DataFrame) -> pd.DataFrame:
                     cost[i] = new
                     heapq.heappush(heap, (new, *to))
     out = part.assign(cost=pd.Series([None if c is None else list(c) for c in cost], index=part.index, dtype=object), changed=[a != b for a, b in zip(before, cost, strict=True)])
-    return out[part["own"].to_numpy()].drop(columns=["own", "_ty", "_tx"])
+    return out[part["own"].to_numpy()].drop(columns=["own", "fresh", "_ty", "_tx"])
 
 
 def snapped(labels: DataFrame, gradient: DataFrame, keys: Sequence[str], radius: int, tile: int = 256) -> DataFrame:
@@ -364,7 +365,8 @@ def snapped(labels: DataFrame, gradient: DataFrame, keys: Sequence[str], radius:
     path within the mask stays lowest, by its highest gradient, then by how much of it lies so high, then by the
     path before that, and last by the smallest label.
     Tiles flood by themselves, with the pixels around them, and hand on what has changed at
-    their edges until nothing does, so the outcome does not depend on `tile`. Pixels without a gradient
+    their edges; a tile floods again only from what changed around it, until nothing does, so the outcome does
+    not depend on `tile`. Pixels that stay fixed take part only next to free ones. Pixels without a gradient
     count as 0; where no label is left to flood from, pixels keep their own.
     """
     keys = list(keys)
@@ -375,15 +377,29 @@ def snapped(labels: DataFrame, gradient: DataFrame, keys: Sequence[str], radius:
     rows = rows.select(*keys, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), F.coalesce("g", F.lit(0.0)).alias("g"), F.col("_free").isNull().alias("fixed"), "own_label")
     start = F.array(F.lit(float("-inf")), F.lit(0.0), F.col("own_label").cast("double"))
     rows = rows.withColumn("cost", F.when(F.col("fixed"), start))
+    rows = stored(rows.withColumn("changed", F.col("fixed")).dropDuplicates([*keys, "y", "x"]))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in rows.columns) + ", changed boolean"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in rows.columns)
     steps = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in ((0, 0), (0, 1), (0, -1), (1, 0), (-1, 0)))))
-    state = stored(rows)
+    loose = rows.where("NOT fixed")
+    beside = loose.withColumn("_s", steps).select(*keys, (F.col("y") + F.col("_s.dy")).alias("y"), (F.col("x") + F.col("_s.dx")).alias("x")).distinct()
+    state = stored(loose.unionByName(rows.where("fixed").join(beside.hint("merge"), [*keys, "y", "x"], "left_semi")))
+    first = True
     while True:
         # A pixel goes to its own tile and to those that a neighbour lies in.
         dealt_ = state.withColumn("_s", steps).withColumn("_ty", F.floor((F.col("y") + F.col("_s.dy")) / tile)).withColumn("_tx", F.floor((F.col("x") + F.col("_s.dx")) / tile))
         dealt_ = dealt_.withColumn("own", (F.col("_ty") == F.floor(F.col("y") / tile)) & (F.col("_tx") == F.floor(F.col("x") / tile))).drop("_s").dropDuplicates([*keys, "y", "x", "_ty", "_tx"])
-        new = stored(dealt_.groupBy(*keys, "_ty", "_tx").applyInPandas(_flooded, schema), instead_of=state)
-        state = new.drop("changed")
-        if new.where("changed").isEmpty():
-            return state.select(*keys, "y", "x", F.coalesce(F.element_at("cost", -1).cast("long"), "own_label").alias("label"))
+        if first:
+            new = dealt_.withColumn("fresh", F.col("changed"))
+        else:
+            stirred = stored(dealt_.where("changed AND NOT own").select(*keys, "_ty", "_tx").distinct())
+            if stirred.isEmpty():
+                break
+            new = dealt_.join(stirred.hint("merge"), [*keys, "_ty", "_tx"], "left_semi").withColumn("fresh", F.col("changed") & ~F.col("own"))
+        new = new.groupBy(*keys, "_ty", "_tx").applyInPandas(_flooded, schema)
+        if not first:
+            still = state.withColumn("_ty", F.floor(F.col("y") / tile)).withColumn("_tx", F.floor(F.col("x") / tile)).join(stirred.hint("merge"), [*keys, "_ty", "_tx"], "left_anti")
+            new = new.unionByName(still.withColumn("changed", F.lit(False)).select(*rows.columns))
+        state, first = stored(new, instead_of=state), False
+    moved = state.where("NOT fixed").select(*keys, "y", "x", F.coalesce(F.element_at("cost", -1).cast("long"), "own_label").alias("label"))
+    return rows.where("fixed").select(*keys, "y", "x", F.col("own_label").alias("label")).unionByName(moved)

@@ -3,9 +3,10 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from tesserae.operators import aggregates, graph, joins
+from tesserae.operators import aggregates, graph, joins, raster
 
 
 def test_hotspots_interpolate_from_the_lower_value(spark):
@@ -74,3 +75,14 @@ def test_nearest_carries_columns_and_splits_crowds(spark):
                 want |= {(s, i, j, n + 1, own, kind[j]) for n, (_, j) in enumerate(near)}
         got = joins.nearest(df, df, ["s"], 5, 1.0, differ, ["kind"]).select("s", "a", "b", "rank", "kind_a", "kind_b").collect()
         assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_a_tile_floods_again_from_what_changed_around_it():
+    # A row of five free pixels between two fixed ones: the left one is a neighbour's that has changed, the right one was spread before.
+    low = [[float("-inf"), 0.0, 1.0], [float("-inf"), 0.0, 2.0]]
+    part = pd.DataFrame({"y": 0, "x": range(7), "g": 1.0, "own": [False] + [True] * 6, "fixed": [True] + [False] * 5 + [True], "own_label": 9, "cost": [low[0], None, None, None, None, None, low[1]], "changed": False, "_ty": 0, "_tx": 0})
+    none = raster._flooded(part.assign(fresh=False))
+    assert not none["changed"].any()
+    got = raster._flooded(part.assign(fresh=[True] + [False] * 6))
+    assert got["x"].tolist() == [1, 2, 3, 4, 5, 6] and got["changed"].tolist() == [True] * 5 + [False]
+    assert [c[-1] for c in got["cost"]] == [1.0] * 5 + [2.0]
