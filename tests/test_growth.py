@@ -86,3 +86,27 @@ def test_a_tile_floods_again_from_what_changed_around_it():
     got = raster._flooded(part.assign(fresh=[True] + [False] * 6))
     assert got["x"].tolist() == [1, 2, 3, 4, 5, 6] and got["changed"].tolist() == [True] * 5 + [False]
     assert [c[-1] for c in got["cost"]] == [1.0] * 5 + [2.0]
+
+
+def test_short_cycles_leave_early(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    lengths = [*range(1, 20), *[4] * 300, 33, 200]
+    ids = rng.permutation(2 * sum(lengths))[: sum(lengths)].tolist()
+    links, want, at = [], set(), 0
+    for n in lengths:
+        own = ids[at : at + n]
+        at += n
+        first = own.index(min(own))
+        links += [(0, own[i], own[(i + 1) % n]) for i in range(n)]
+        want |= {(0, own[i], own[first], (first - i) % n or n) for i in range(n)}
+    kept, written = graph.stored, []
+
+    def counted(df, instead_of=None):
+        out = kept(df, instead_of)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "stored", counted)
+    got = graph.cycles(spark.createDataFrame(links, "k int, id long, next long"), ["k"]).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert sum(written) < 7 * len(links)  # nine rounds
