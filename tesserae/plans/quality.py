@@ -10,7 +10,7 @@ from ..operators import aggregates as agg
 from ..operators import constraints, geometry, graph, ordered, raster
 from ..operators.graph import shared_folder
 from ..sources import cell_index, records
-from .frames import CELLS, OUTCOMES, RASTER, cells, outcomes, table
+from .frames import CELLS, OUTCOMES, RASTER, cells, outcomes, table, tissue
 from .frames import raster as label_raster
 from .spatial import _SIDES, _TWO, _polygons, _two
 from .statistics import _WEIGHT
@@ -135,7 +135,7 @@ _MASK = "m AS (SELECT sample_id, y, x FROM raster WHERE (y * 5 + x * 3) % 11 > 1
 
 
 def _mask(spark, sf_dir):
-    return label_raster(spark, sf_dir).where("(y * 5 + x * 3) % 11 > 1").select("sample_id", "y", "x")
+    return tissue(spark, sf_dir).where("(y * 5 + x * 3) % 11 > 1")
 
 
 @query(f"""WITH {RASTER}, {_CROSS}, {_MASK}, e AS (SELECT m.sample_id, m.y + dy AS y, m.x + dx AS x FROM m, d GROUP BY ALL HAVING count(*) = 5)
