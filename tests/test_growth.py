@@ -110,3 +110,12 @@ def test_short_cycles_leave_early(spark, monkeypatch):
     got = graph.cycles(spark.createDataFrame(links, "k int, id long, next long"), ["k"]).collect()
     assert {tuple(r) for r in got} == want and len(got) == len(want)
     assert sum(written) < 7 * len(links)  # nine rounds
+
+
+def test_lone_pairs_are_matched_without_components(spark, monkeypatch):
+    rows = [(1, i, i, 0.5) for i in range(50)] + [(1, 60, 60, 0.9), (1, 60, 61, 0.8), (1, 62, 60, 0.8), (2, 60, 61, 0.1), (2, None, 9, 0.5)]
+    linked, plain = [], graph.components
+    monkeypatch.setattr(graph, "components", lambda edges, keys=(): linked.append(edges.count()) or plain(edges, keys))
+    got = {tuple(r)[:3] for r in graph.assignment(spark.createDataFrame(rows, "s int, a int, b int, iou double"), ["s"], "iou").collect()}
+    assert got == {(1, i, i) for i in range(50)} | {(1, 60, 61), (1, 62, 60), (2, 60, 61)}
+    assert linked == [3]
