@@ -48,8 +48,10 @@ def density_clusters(points: DataFrame, near: DataFrame, least: int) -> DataFram
     other share a cluster, named by its smallest core; other points join their smallest near core's
     cluster; points without one are noise, with a null cluster.
     """
+    near = stored(near.select("a", "b"))  # read four times
     cores = near.groupBy("a").agg((F.count("*") + 1).alias("n")).where(F.col("n") >= least).select(F.col("a").alias("core"))
-    core_pairs = near.join(cores.withColumnRenamed("core", "a"), "a", "left_semi").join(cores.withColumnRenamed("core", "b"), "b", "left_semi").where("a < b")
+    cores = stored(cores)
+    core_pairs = near.where("a < b").join(cores.withColumnRenamed("core", "a").hint("merge"), "a", "left_semi").join(cores.withColumnRenamed("core", "b").hint("merge"), "b", "left_semi")
     found = components(core_pairs.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     named = cores.join(found.withColumnRenamed("node", "core"), "core", "left").select("core", F.coalesce("component", "core").alias("cluster"))
     edge = near.join(named.withColumnRenamed("core", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min_by("cluster", "b").alias("border"))

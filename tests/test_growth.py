@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from tesserae.operators import aggregates, graph, joins, raster
+from tesserae.operators import aggregates, graph, joins, models, raster
 
 
 def test_hotspots_interpolate_from_the_lower_value(spark):
@@ -119,3 +119,19 @@ def test_lone_pairs_are_matched_without_components(spark, monkeypatch):
     got = {tuple(r)[:3] for r in graph.assignment(spark.createDataFrame(rows, "s int, a int, b int, iou double"), ["s"], "iou").collect()}
     assert got == {(1, i, i) for i in range(50)} | {(1, 60, 61), (1, 62, 60), (2, 60, 61)}
     assert linked == [3]
+
+
+def test_density_clusters_find_their_pairs_once(spark):
+    # Near pairs are the dear part, and were found again for every step that reads them.
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    pairs = [(i, j) for i in range(20) for j in (i - 1, i + 1) if 0 <= j < 20]
+    near = spark.createDataFrame(pairs, "a long, b long").mapInPandas(count, "a long, b long")
+    got = {r["id"]: r["cluster"] for r in models.density_clusters(spark.range(21), near, 3).collect()}
+    assert got == {**dict.fromkeys(range(20), 1), 20: None}
+    assert made.value == len(pairs)
