@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -262,33 +263,139 @@ def closed(mask: DataFrame, keys: Sequence[str], radius: int, height: int, width
     return _pixels(_swept(wide, keys, radius, True), keys, mask)
 
 
+def _runs(rows: np.ndarray, marks: np.ndarray, up: np.ndarray) -> tuple:
+    """(part, of, places, marked) of rows of 64 pixels, each of which may go on in the one before (up).
+
+    Runs of pixels are joined by the ones they touch in the next row, the later pointing at the earlier, until none moves.
+    `places` are the pixels' places, row by row, `part` their parts, numbered by first pixel; `marked` is told for each part.
+    """
+    bits = [np.unpackbits(w.astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool) for w in (rows, marks)]
+    held = bits[0]
+    start = held.copy()
+    start[:, 1:] &= ~held[:, :-1]
+    run = np.cumsum(start.ravel()).reshape(held.shape) - 1
+    both = held[1:] & held[:-1] & up[1:, None]
+    meet = both.copy()
+    meet[:, 1:] &= ~both[:, :-1]
+    a, b = run[:-1][meet], run[1:][meet]
+    parent = np.arange(int(start.sum()))
+    while True:
+        p, q = parent[a], parent[b]
+        if (p == q).all():
+            break
+        np.minimum.at(parent, np.maximum(p, q), np.minimum(p, q))
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+    places = np.flatnonzero(held.ravel())
+    tops, part = np.unique(parent[run.ravel()[places]], return_inverse=True)
+    return part, len(tops), places, np.bincount(part, weights=bits[1].ravel()[places], minlength=len(tops)) > 0
+
+
+def parts(words: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+    """(keys, component, n, marked, pixels): four-connected parts of words (keys, y, _wx, _w), and whether one of their pixels is in _mark.
+
+    A part is named by its first pixel, y * width + x, and has a row for each tile of 64 x 64 pixels that it lies in.
+    Tasks stream through tiles and join what meets in one; only parts at a tile's edge go on to rounds of components.
+    """
+    keys = list(keys)
+    tile = Window.partitionBy(*keys, F.expr("shiftright(CAST(y AS BIGINT), 6)"), "_wx").orderBy("y")
+    rows = words.where("_w <> 0").select(*keys, F.col("y").cast("long").alias("_y"), "_wx", "_w", "_mark", F.coalesce(F.lag("y").over(tile) == F.col("y") - 1, F.lit(False)).alias("_up"))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+
+    def found(batch: pa.RecordBatch) -> pa.RecordBatch:
+        y, wx, w, mark, up = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_y", "_wx", "_w", "_mark", "_up"))
+        part, n, places, marked = _runs(w, mark, up)
+        order = np.argsort(part, kind="stable")
+        at, x = places[order] // 64, wx[places[order] // 64] * 64 + places[order] % 64
+        node, row = y[at] * width + x, y[at] & 63
+        ends = np.cumsum(np.bincount(part, minlength=n))
+        first = np.concatenate(([0], ends[:-1])).astype(np.int64)
+        edge = (row == 0) | (row == 63) | (x & 63 == 0) & (x > 0) | (x & 63 == 63) & (x + 1 < width)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate((first, [len(node)])), pa.int32()), pa.array(node))
+        open_ = np.logical_or.reduceat(edge, first) if n else edge
+        own = batch.select(keys).take(pa.array(at[first])) if keys else None
+        columns = [*(own.columns if keys else []), pa.array(node[first]), pa.array(np.diff(np.concatenate((first, [len(node)])))), pa.array(marked), pa.array(open_), lists]
+        return pa.RecordBatch.from_arrays(columns, [*keys, "component", "n", "marked", "_open", "pixels"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in (b.slice(lo, 1 << 14) for b in batches for lo in range(0, b.num_rows, 1 << 14)):
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            cuts = np.flatnonzero(~batch.column("_up").to_numpy(zero_copy_only=False))
+            cut = int(cuts[-1])  # the last tile may go on in the next batch
+            if cut:
+                yield found(batch.slice(0, cut))
+            held = batch.slice(cut)
+        if held is not None and held.num_rows:
+            yield found(held)
+
+    schema = "".join(f"`{k}` {kinds[k]}, " for k in keys) + "component long, n long, marked boolean, _open boolean, pixels array<long>"
+    local = stored(rows.mapInArrow(run, schema))
+    open_ = local.where("_open").drop("_open")
+    at = open_.select(*keys, "component", F.explode("pixels").alias("_p"))
+    y, x = F.expr(f"(_p - pmod(_p, {width}L)) div {width}"), F.expr(f"pmod(_p, {width}L)")
+    down = at.where(y.bitwiseAND(F.lit(63)) == 63).select(*keys, F.col("component").alias("src"), (F.col("_p") + width).alias("_p"))
+    right = at.where((x.bitwiseAND(F.lit(63)) == 63) & (x + 1 < width)).select(*keys, F.col("component").alias("src"), (F.col("_p") + 1).alias("_p"))
+    begins = [y.bitwiseAND(F.lit(63)) == 0, x.bitwiseAND(F.lit(63)) == 0]
+    edges = [far.join(at.where(begin).withColumnRenamed("component", "dst").hint("merge"), [*keys, "_p"]) for far, begin in zip((down, right), begins, strict=True)]
+    linked = components(edges[0].unionByName(edges[1]).select(*keys, "src", "dst"), keys).withColumnRenamed("component", "_to")
+    joined = open_.join(linked.withColumnRenamed("node", "component").hint("merge"), [*keys, "component"], "left").withColumn("component", F.coalesce("_to", "component"))
+    columns = [*keys, "component", "n", "marked", "pixels"]
+    return local.where("NOT _open").select(*columns).unionByName(joined.select(*columns))
+
+
+def _sizes(found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    sizes = found.groupBy(*keys, "component").agg(F.sum("n").alias("n"))
+    best = sizes.groupBy(*keys).agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("_best"))
+    return sizes.join(best, list(keys)).select(*keys, "component", "n", (F.col("component") == F.col("_best")).alias("largest"))
+
+
+def component_sizes(mask: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+    """(keys, component, n, largest): a mask's four-connected parts, as in sized_components()."""
+    return _sizes(parts(_words(mask, keys).withColumn("_mark", F.lit(0).cast("long")), keys, width), keys)
+
+
 def sized_components(mask: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
     """(keys, y, x, component, n, largest): a mask's pixels with their four-connected part, its size, and whether it is the largest.
 
     A part is named by its first pixel, y * width + x; of equally large parts the first is the largest.
     """
-    own = mask.select(*keys, "y", "x", (F.col("y").cast("long") * width + F.col("x")).alias("node"))
-    named = own.join(components(neighbour_edges(mask, keys, width), keys), [*keys, "node"], "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = named.groupBy(*keys, "component").agg(F.count("*").alias("n"))
-    best = sizes.groupBy(*keys).agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("_best"))
-    return named.join(sizes, [*keys, "component"]).join(best, list(keys)).select(*keys, "y", "x", "component", "n", (F.col("component") == F.col("_best")).alias("largest"))
+    found = parts(_words(mask, keys).withColumn("_mark", F.lit(0).cast("long")), keys, width)
+    each = found.drop("n").join(_sizes(found, keys), [*keys, "component"]).withColumn("_p", F.explode("pixels"))
+    return each.select(*keys, *_place(mask, width), "component", "n", "largest")
 
 
-def filled(mask: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
-    """The mask with its holes: pixels that no path of four-neighbours outside the mask leads out of its bounds.
+def _place(mask: DataFrame, width: int) -> list[Column]:
+    """The place of pixel _p, with the types of the mask's places."""
+    y, x = F.expr(f"(_p - pmod(_p, {width}L)) div {width}"), F.expr(f"pmod(_p, {width}L)")
+    return [y.cast(mask.schema["y"].dataType).alias("y"), x.cast(mask.schema["x"].dataType).alias("x")]
+
+
+def holes(mask: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+    """(keys, y, x): pixels outside a mask that no path of four-neighbours outside it leads out of its bounds.
 
-    Only pixels within the mask's own bounds are looked at, so an empty canvas costs nothing.
+    Only words within the mask's own bounds are looked at, so an empty canvas costs nothing.
     """
-    ends = mask.groupBy(*keys).agg(F.min("y").alias("_y0"), F.max("y").alias("_y1"), F.min("x").alias("_x0"), F.max("x").alias("_x1"))
-    every = ends.withColumn("y", F.explode(F.sequence("_y0", "_y1"))).withColumn("x", F.explode(F.sequence("_x0", "_x1")))
-    rim = (F.col("y") == F.col("_y0")) | (F.col("y") == F.col("_y1")) | (F.col("x") == F.col("_x0")) | (F.col("x") == F.col("_x1"))
-    node = F.col("y").cast("long") * width + F.col("x")
-    outside = stored(every.select(*keys, "y", "x", node.alias("node"), rim.alias("rim")).join(mask.select(*keys, "y", "x"), [*keys, "y", "x"], "left_anti"))
-    named = components(neighbour_edges(outside, keys, width), keys)
-    rims = outside.where("rim").select(*keys, "node")
-    open_parts = named.join(rims, [*keys, "node"], "left_semi").select(*keys, "component").distinct()
-    leaving = named.join(open_parts, [*keys, "component"], "left_semi").select(*keys, "node").unionByName(rims)
-    return mask.select(*keys, "y", "x").unionByName(outside.join(leaving, [*keys, "node"], "left_anti").select(*keys, "y", "x"))
+    keys = list(keys)
+    words = stored(_words(mask, keys))
+    low, high = F.expr("_wx * 64 + length(bin(_w)) - length(trim(TRAILING '0' FROM bin(_w)))"), F.expr("_wx * 64 + length(bin(_w)) - 1")
+    ends = words.groupBy(*keys).agg(F.min("y").alias("_y0"), F.max("y").alias("_y1"), F.min(low).alias("_x0"), F.max(high).alias("_x1"))
+    every = ends.withColumn("y", F.explode(F.sequence("_y0", "_y1"))).withColumn("_wx", F.explode(F.expr("sequence(shiftright(_x0, 6), shiftright(_x1, 6))")))
+    from_, to = F.expr("greatest(_x0 - _wx * 64, 0L)"), F.expr("least(_x1 - _wx * 64, 63L)")
+    inside = F.expr("shiftleft(-1L, CAST(_from AS INT)) & shiftrightunsigned(-1L, CAST(63 - _to AS INT))")
+    sides = F.expr("CASE WHEN y IN (_y0, _y1) THEN -1L ELSE (CASE WHEN _wx = shiftright(_x0, 6) THEN shiftleft(1L, CAST(_from AS INT)) ELSE 0L END) | (CASE WHEN _wx = shiftright(_x1, 6) THEN shiftleft(1L, CAST(_to AS INT)) ELSE 0L END) END")
+    box = every.withColumn("_from", from_).withColumn("_to", to).select(*keys, "y", "_wx", inside.alias("_in"), sides.alias("_mark"))
+    met = box.join(words.hint("merge"), [*keys, "y", "_wx"], "left")
+    outside = met.select(*keys, "y", "_wx", F.col("_in").bitwiseAND(F.bitwise_not(F.coalesce("_w", F.lit(0).cast("long")))).alias("_w"), "_mark")
+    found = parts(outside, keys, width)
+    leaving = found.where("marked").select(*keys, "component").distinct()
+    return found.join(leaving, [*keys, "component"], "left_anti").withColumn("_p", F.explode("pixels")).select(*keys, *_place(mask, width))
+
+
+def filled(mask: DataFrame, keys: Sequence[str], width: int) -> DataFrame:
+    """The mask with its holes()."""
+    return mask.select(*keys, "y", "x").unionByName(holes(mask, keys, width))
 
 
 def grown(seeds: DataFrame, within: DataFrame, keys: Sequence[str], width: int) -> DataFrame:

@@ -73,3 +73,65 @@ def test_masks_meet_as_words(spark, sf_dir):
     for query in (spatial.eroded_mask, quality.closed_mask):
         plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert plan.rindex("bit_or(") > plan.rindex("Exchange")  # the plan's lowest exchange is of words
+
+
+def flooded(cells):
+    """{pixel: the first pixel of its part}, and parts by their first pixel."""
+    left, parts = set(cells), {}
+    for first in sorted(cells):
+        if first in left:
+            left.discard(first)
+            todo, part = [first], set()
+            while todo:
+                y, x = todo.pop()
+                part.add((y, x))
+                near = {(y + 1, x), (y - 1, x), (y, x + 1), (y, x - 1)} & left
+                left -= near
+                todo += near
+            parts[first] = part
+    return parts
+
+
+def canvas(mask):
+    ys, xs = [y for y, _ in mask], [x for _, x in mask]
+    box = {(y, x) for y in range(min(ys), max(ys) + 1) for x in range(min(xs), max(xs) + 1)}
+    rim = {(y, x) for y, x in box if y in (min(ys), max(ys)) or x in (min(xs), max(xs))}
+    return box - set(mask), rim
+
+
+WIDTH = 200
+SNAKE = {(y, x) for y in range(140) for x in range(199) if y % 2 == 0 or x == (198 if y % 4 == 1 else 0)}
+SHAPES = {1: drawn(5, 150, WIDTH, 11_000), 2: SNAKE, 3: {(5, 63)}, 4: {(5, 63), (5, 64), (63, 7), (64, 7), (64, 8)}, 5: drawn(6, 64, 64, 1_500)}
+
+
+@pytest.mark.parametrize("batch", [10_000, 7])
+def test_parts_and_holes_of_masks_over_tiles(spark, batch):
+    shapes = SHAPES if batch > 7 else {s: SHAPES[s] for s in (3, 4, 5)}
+    df = frame(spark, shapes).persist()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        rows = {(r.s, r.y, r.x): (r.component, r.n, r.largest) for r in raster.sized_components(df, ["s"], WIDTH).collect()}
+        sizes = {tuple(r) for r in raster.component_sizes(df, ["s"], WIDTH).collect()} if batch == 7 else None
+        found = got(raster.holes(df, ["s"], WIDTH))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want, want_sizes, want_holes = {}, set(), {}
+    for s, mask in shapes.items():
+        parts = flooded(mask)
+        best = min(parts, key=lambda f: (-len(parts[f]), f))
+        for first, part in parts.items():
+            told = (first[0] * WIDTH + first[1], len(part), first == best)
+            want_sizes.add((s, *told))
+            want |= {(s, y, x): told for y, x in part}
+        outside, rim = canvas(mask)
+        shut = set().union(*(p for p in flooded(outside).values() if not p & rim))
+        if shut:
+            want_holes[s] = shut
+    assert rows == want and sizes in (None, want_sizes) and found == want_holes
+
+
+def test_parts_within_a_tile_need_no_rounds(spark, monkeypatch):
+    linked, plain = [], raster.components
+    monkeypatch.setattr(raster, "components", lambda edges, keys=(): linked.append(edges.count()) or plain(edges, keys))
+    raster.sized_components(frame(spark, {5: SHAPES[5]}), ["s"], 64).count()
+    assert linked == [0]
