@@ -404,7 +404,8 @@ def grown(seeds: DataFrame, within: DataFrame, keys: Sequence[str], width: int)
     Ties go to the first seed pixel in scan order. Keys without a seed get no label.
     """
     node = F.col("y").cast("long") * width + F.col("x")
-    todo = within.join(seeds, [*keys, "y", "x"], "left_anti").select(*keys, node.alias("id"), "y", "x")
+    seeds = stored(seeds.select(*keys, "y", "x", "label"))  # both are read in every round of nearest()
+    todo = stored(within.join(seeds, [*keys, "y", "x"], "left_anti").select(*keys, node.alias("id"), "y", "x"))
     near = joins.nearest(todo, seeds.select(*keys, node.alias("id"), "y", "x"), keys, 1, 4.0)
     named = near.join(seeds.select(*keys, node.alias("b"), "label"), [*keys, "b"])
     kinds = {f.name: f.dataType for f in seeds.schema}

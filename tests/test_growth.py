@@ -135,3 +135,20 @@ def test_density_clusters_find_their_pairs_once(spark):
     got = {r["id"]: r["cluster"] for r in models.density_clusters(spark.range(21), near, 3).collect()}
     assert got == {**dict.fromkeys(range(20), 1), 20: None}
     assert made.value == len(pairs)
+
+
+def test_seeds_are_made_once(spark):
+    # Rounds of nearest() made the raster that seeds come from anew each time.
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    kind = "s int, y int, x int, label int"
+    seeds = spark.createDataFrame([(1, 0, 0, 5), (1, 0, 40, 6)], kind).mapInPandas(count, kind)
+    within = spark.createDataFrame([(1, 0, x) for x in range(64)], "s int, y int, x int")
+    got = {r["x"]: r["label"] for r in raster.grown(seeds, within, ["s"], 64).collect()}
+    assert got == {x: 5 if x <= 20 else 6 for x in range(64)}
+    assert made.value == 2
