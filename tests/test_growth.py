@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from tesserae.operators import aggregates, graph, joins, models, raster
+from tesserae.operators import aggregates, evidence, graph, joins, models, overlay, raster
 
 
 def test_hotspots_interpolate_from_the_lower_value(spark):
@@ -152,3 +152,44 @@ def test_seeds_are_made_once(spark):
     got = {r["x"]: r["label"] for r in raster.grown(seeds, within, ["s"], 64).collect()}
     assert got == {x: 5 if x <= 20 else 6 for x in range(64)}
     assert made.value == 2
+
+
+def stars(spark, n):
+    """Members of components: three sources' outlines with bays, some of them apart, without area or alone."""
+    rng, rows = np.random.default_rng(21), []
+    for i in range(n):
+        x, y = rng.uniform(0, 900, 2)
+        for j, source in enumerate("ABC"[: 1 + i % 3]):
+            u, v = x + rng.normal(0, 3), y + rng.normal(0, 3)
+            ring = [(u + r * math.cos(t), v + r * math.sin(t)) for t, r in zip(np.linspace(0, 2 * math.pi, 9)[:-1], rng.uniform(1, 5, 8))]
+            ring = ring[: 2 if i % 10 == 4 and j else 8][:: 1 if rng.random() < 0.5 else -1]
+            rows.append((i % 2, i, 10 * i + j, source, float(u), float(v), [{"x": float(p), "y": float(q)} for p, q in ring]))
+    return spark.createDataFrame(rows, "s int, component int, id int, source string, x double, y double, ring array<struct<x:double,y:double>>")
+
+
+def test_small_contours_are_compared_in_their_row(spark, monkeypatch):
+    members = stars(spark, 60)
+    counts = members.groupBy("source").agg({"*": "count"}).toDF("source", "n")
+    columns = sorted(evidence.pair_agreement(members, counts, ["s"]).columns)
+
+    def agreement():
+        return sorted(map(tuple, evidence.pair_agreement(members, counts, ["s"]).select(*columns).orderBy("source_a", "source_b").collect()), key=str)
+
+    with monkeypatch.context() as m:
+        m.setattr(evidence, "ROW_SIDES", 0)
+        as_rows = agreement()
+    for name in ("arranged", "hausdorff"):
+        monkeypatch.setattr(overlay, name, lambda *_: pytest.fail("small contours were dealt out as rows"))
+    in_a_row = agreement()
+    assert len(in_a_row) == 3
+    for one, two in zip(as_rows, in_a_row, strict=True):
+        assert all(p == q or math.isclose(p, q, abs_tol=1e-9) for p, q in zip(one, two, strict=True))
+
+
+def test_members_are_named_without_broadcasts_and_alone_only_if_asked(spark):
+    points = spark.createDataFrame([(0, i, "AB"[i % 2], float(i)) for i in range(6)], "s int, id long, source string, x double")
+    named = spark.createDataFrame([(0, 1, 1), (0, 2, 1), (0, 3, 1)], "s int, node long, component long")
+    for alone, want in ((True, {(0, "A", 0), (1, "A", 2), (1, "B", 1), (4, "A", 4), (5, "B", 5)}), (False, {(1, "A", 2), (1, "B", 1)})):
+        found = evidence.first_members(points, named, ["s"], ["x"], alone)
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+        assert {(r["component"], r["source"], r["id"]) for r in found.collect()} == want

@@ -185,6 +185,17 @@ def test_hausdorff(convex, spark):
         assert math.isclose(got[i], max(max(away(u, q) for u in p), max(away(u, p) for u in q)), abs_tol=1e-9)
 
 
+def test_common_areas_and_hausdorff_in_a_row(convex, spark):
+    want, pairs, frame_, _ = convex
+    by = lambda name: frame_.select(F.expr("polygon div 2").alias("i"), F.col("ring").alias(name)).where(f"polygon % 2 = {'ab'.index(name)}")
+    both = by("a").join(by("b"), "i")
+    got = {r["i"]: r for r in both.select("i", overlay.common_area(F.col("a"), F.col("b")).alias("both"), overlay.ring_hausdorff(F.col("a"), F.col("b")).alias("h")).collect()}
+    far = {r["a"] // 2: r["distance"] for r in overlay.hausdorff(spark.createDataFrame([(1, 2 * i, 2 * i + 1) for i in want], "k int, a int, b int"), frame_, ["k"]).collect()}
+    assert set(got) == set(want)
+    for i, (shared, _, _) in want.items():
+        assert math.isclose(got[i]["both"], shared, abs_tol=1e-9) and got[i]["h"] == far[i], i
+
+
 def test_overlays_of_outlines_are_pixels(spark):
     """Polygons with holes, sharing sides, corners and more."""
     a, b = mask(8, 14, 14, (0, 1, 1)), mask(9, 14, 14, (0, 1, 1))
