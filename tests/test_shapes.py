@@ -207,6 +207,18 @@ def test_overlays_of_outlines_are_pixels(spark):
     assert overlay.arranged(pairs.where("false"), pa.unionByName(pb), ["k"]).isEmpty()
 
 
+@pytest.mark.parametrize("most", [1_000_000, 60, 0])
+def test_common_areas_of_outlines_are_pixels(spark, monkeypatch, most):
+    a, b = mask(8, 14, 14, (0, 1, 1)), mask(9, 14, 14, (0, 1, 1))
+    pa, pb = contours.polygons(frame(spark, a), ["k"]), contours.polygons(frame(spark, b), ["k"])
+    pb = pb.withColumn("polygon", -1 - F.col("polygon"))
+    pairs = pa.select("k", F.col("polygon").alias("a")).join(pb.select("k", F.col("polygon").alias("b")), "k")
+    monkeypatch.setattr(overlay, "ROW_SIDES", most)
+    if most > 60:  # no pair has as many
+        monkeypatch.setattr(overlay, "arranged", lambda *_: pytest.fail("small polygons were dealt out as rows"))
+    assert overlay.common_areas(pairs, pa.unionByName(pb), ["k"], 4.0).agg(F.sum("both")).first()[0] == len(set(a) & set(b))
+
+
 def test_pair_agreement_of_odd_contours(spark):
     shapes = [(1, 1, "A", [(0, 0), (4, 0), (4, 4), (0, 4)]), (1, 2, "B", [(2, 0), (6, 0), (2, 4)]), (2, 3, "A", [(0, 0), (1, 1)]), (2, 4, "B", [(0, 0), (2, 0), (0, 2)])]
     members = spark.createDataFrame([(1, c, i, s, 0.0, float(i), [{"x": float(x), "y": float(y)} for x, y in p]) for c, i, s, p in shapes], f"s int, component int, id int, source string, x double, y double, ring {RING}")
