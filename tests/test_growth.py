@@ -2,6 +2,7 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
@@ -18,6 +19,21 @@ def test_hotspots_interpolate_from_the_lower_value(spark):
     assert aggregates.percentiles(points, ["s"], "a", {"q": 0.8}).first()["q"] == v
 
 
+def test_percentiles_round_as_their_sql_does(spark):
+    # Cuts between values that are a few last bits apart; the first group is one of 64 means that lost a hot bin.
+    draw = np.random.default_rng(3)
+    groups = [[i / 100 for i in range(50)] + [0.5379999999999999, 0.538] + [0.6 + i / 100 for i in range(12)]]
+    for _ in range(300):
+        values = sorted(draw.random(int(draw.integers(3, 65))).tolist())
+        at = int((len(values) - 1) * 0.8)
+        values[at + 1] = math.nextafter(values[at], 2)
+        groups.append(values)
+    rows = pd.DataFrame([(g, v) for g, values in enumerate(groups) for v in values], columns=["g", "v"])
+    want = dict(duckdb.sql("SELECT g, quantile_cont(v, 0.8) FROM rows GROUP BY g").fetchall())
+    found = aggregates.percentiles(spark.createDataFrame(rows), ["g"], "v", {"q": 0.8})
+    assert {r["g"]: r["q"] for r in found.collect()} == want and want[0] == 0.538
+
+
 def test_near_points_are_not_broadcast(spark):
     # Files of points are small, so their sizes let a driver hold far more than it can.
     points = spark.range(400).selectExpr("0 AS s", "id", "CAST(id % 3 AS STRING) AS source", "CAST(id * 7 % 40 AS DOUBLE) AS x", "CAST(id * 11 % 40 AS DOUBLE) AS y")
