@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 from tesserae.operators import aggregates, evidence, graph, joins, models, overlay, raster
+from tesserae.plans import catalog
 
 
 def test_hotspots_interpolate_from_the_lower_value(spark):
@@ -45,6 +46,30 @@ def test_near_points_are_not_broadcast(spark):
     assert set(fused.collect()) == set(looked_up.collect())
 
 
+def test_fused_instances_use_all_pairs_of_a_crowd(spark, tmp_path):
+    # The four cells of O nearest to any of the six of F go to four of them; the other two are left with those further off.
+    rows, places = [], {}
+    for key in range(1000):
+        kind, low = ("F", 500) if len(rows) < 6 else ("O", 500) if len(rows) < 10 else ("O", 514)
+        for customer in range(8192):
+            x, y = (key * 7919 + customer * 31) % 8192 / 8, (key * 104729 + customer * 17) % 8192 / 8
+            if len(rows) < 12 and low <= x < low + 6 and 500 <= y < 506:
+                rows.append((key, customer, kind, "1-URGENT"))
+                places[key] = (x, y)
+                break
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    source = {r[0]: r[2] for r in rows}
+    edges = sorted((math.dist(places[a], places[b]), a, b) for a in source for b in source if source[a] < source[b])
+    group = {k: {k} for k in source}
+    for d, a, b in edges:
+        together = group[a] | group[b]
+        if d < 24 and len({source[k] for k in together}) == len(together):
+            group |= dict.fromkeys(together, together)
+    found = catalog.queries()["fused_instances"](spark, str(tmp_path))
+    assert len(group) == 12 and all(len(g) == 2 for g in group.values())
+    assert {r["id"]: r["fused"] for r in found.collect()} == {k: min(g) for k, g in group.items()}
+
+
 def brute_landmarks(points, landmarks, k):
     out = set()
     for i, x, y in points:
