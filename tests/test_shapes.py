@@ -91,6 +91,53 @@ def test_polygons_rasterise_back(spark, eight):
     assert {(r["label"], r["polygon"]): r["area"] for r in found.collect()} == sizes
 
 
+def patches(seed, h, w, size):
+    """A mask of two labels in patches of a size, sprinkled with pixels of either and of none."""
+    r = random.Random(seed)
+    coarse = {(y, x): r.choice((1, 1, 2, 0)) for y in range(h // size + 1) for x in range(w // size + 1)}
+    px = {(y, x): coarse[y // size, x // size] if r.random() < 0.97 else r.choice((0, 1, 2)) for y in range(h) for x in range(w)}
+    return {p: v for p, v in px.items() if v}
+
+
+@pytest.mark.parametrize("eight", [True, False])
+@pytest.mark.parametrize("size", [5, 90])
+def test_contours_and_polygons_across_tiles(spark, eight, size):
+    """Rings, holes and runs of pixels that leave their tiles, a frame around all, and a frame in it whose holes lie far from its side."""
+    px = patches(size, 200, 140, size)
+    for i in range(260):
+        for d in (0, 1, 2):
+            px |= {(d, i): 1, (259 - d, i): 1, (i, d): 1, (i, 259 - d): 1}
+    px |= {(y, x): 2 for y in range(205, 250) for x in range(70, 250) if not (y in (210, 220) and x % 61 == 5 or y == 230 and x > 75 and x < 240)}
+    df = frame(spark, px)
+    got = contours.contours(df, ["k"], eight).collect()
+    assert all(g["hole"] == (g["area"] < 0) and g["hole"] == (g["ring"] % 4 == 1) for g in got)
+    assert sorted((g["label"], g["area"], g["sides"], from_least([(p["x"], p["y"]) for p in g["points"]])) for g in got) == walked(px, eight)
+    # Regions by their pixels, the first in scan order of each being where its outer ring's smallest side starts.
+    steps = [(0, 1), (1, 0), (0, -1), (-1, 0)] + ([(1, 1), (1, -1), (-1, 1), (-1, -1)] if eight else [])
+    sizes, seen = {}, set()
+    for p in sorted(px):
+        if p not in seen:
+            todo, n = [p], 0
+            seen.add(p)
+            while todo:
+                y, x = todo.pop()
+                n += 1
+                near = [(y + dy, x + dx) for dy, dx in steps if px.get((y + dy, x + dx)) == px[p] and (y + dy, x + dx) not in seen]
+                seen.update(near)
+                todo += near
+            sizes[px[p], (p[0] * contours.FAR + p[1]) * 4] = n
+    found = contours.polygons(df, ["k"], eight).collect()
+    assert {(r["label"], r["polygon"]): r["area"] for r in found} == sizes
+    assert sum(1 + len(r["holes"]) for r in found) == len(got)
+
+
+def test_sides_within_a_tile_are_not_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(contours, "cycles", lambda *_: pytest.fail("rings of one tile were ranked as rows"))
+    px = mask(5)
+    assert len(contours.contours(frame(spark, px), ["k"]).collect()) == len(walked(px, True))
+    assert contours.polygons(frame(spark, px), ["k"]).agg(F.sum("area")).first()[0] == len(px)
+
+
 def test_one_long_ring(spark):
     """A comb, whose ring is far longer than it is wide, and an empty mask."""
     px = {(y, x): 1 for x in range(60) for y in range(40) if y == 0 or x % 2 == 0}
