@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tesserae.operators import constraints, contours, evidence, geometry, joins, overlay
+from tesserae.operators import constraints, contours, evidence, geometry, graph, joins, overlay
+from tesserae.plans import catalog
 
 RING = "array<struct<x:double,y:double>>"
 
@@ -138,6 +139,13 @@ def test_sides_within_a_tile_are_not_dealt_out(spark, monkeypatch):
     assert contours.polygons(frame(spark, px), ["k"]).agg(F.sum("area")).first()[0] == len(px)
 
 
+def test_polygon_overlaps_deal_out_no_sides(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(graph, "cycles", lambda *_: pytest.fail("sides were ranked as rows"))
+    monkeypatch.setattr(contours, "cycles", graph.cycles)
+    monkeypatch.setattr(overlay, "arranged", lambda *_: pytest.fail("small polygons were dealt out as rows"))
+    assert catalog.queries()["polygon_overlaps"](spark, sf_dir).agg(F.sum("both")).first()[0] > 0
+
+
 def test_one_long_ring(spark):
     """A comb, whose ring is far longer than it is wide, and an empty mask."""
     px = {(y, x): 1 for x in range(60) for y in range(40) if y == 0 or x % 2 == 0}
