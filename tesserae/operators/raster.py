@@ -489,77 +489,224 @@ def boundary_band(labels: DataFrame, keys: Sequence[str], radius: int) -> DataFr
     return labels.where("label > 0").join(spread, [*keys, "y", "x"], "left_semi").select(*keys, "y", "x")
 
 
-def _flooded(part: pd.DataFrame) -> pd.DataFrame:
-    """A tile's pixels (y, x, g, own, fixed, cost, fresh) after a flood from the fresh ones, over those of its own.
+def _spread(heap: list, cost: list, g: list, can: list, width: int) -> None:
+    """Costs spread from a heap of (cost, place) to places where `can` holds, beside each other in rows of `width`; `cost` is changed.
 
     A cost is the way from a label, read backwards: its highest gradient and how many pixels lie at that height,
     then the same of the way before, and at the end the label. So a longer way never costs less, and of two
     ways to a pixel the cheaper stays so beyond it, which makes costs the same in any order of work.
     """
-    place = {(y, x): i for i, (y, x) in enumerate(zip(part["y"].tolist(), part["x"].tolist(), strict=True))}
-    g, own, fixed = part["g"].tolist(), part["own"].tolist(), part["fixed"].tolist()
-    cost = [tuple(c) if c is not None else None for c in part["cost"]]
-    before = list(cost)
-    fresh = part["fresh"].tolist()
-    heap = [(cost[i], y, x) for (y, x), i in place.items() if fresh[i]]
     heapq.heapify(heap)
     while heap:
-        c, y, x = heapq.heappop(heap)
-        if c != cost[place[y, x]]:
+        c, i = heapq.heappop(heap)
+        if c != cost[i]:
             continue
-        for to in ((y, x + 1), (y, x - 1), (y + 1, x), (y - 1, x)):
-            i = place.get(to)
-            if i is not None and own[i] and not fixed[i]:
-                new = (g[i], 1.0, *c) if g[i] > c[0] else (c[0], c[1] + 1, *c[2:])
-                if cost[i] is None or new < cost[i]:
-                    cost[i] = new
-                    heapq.heappush(heap, (new, *to))
-    out = part.assign(cost=pd.Series([None if c is None else list(c) for c in cost], index=part.index, dtype=object), changed=[a != b for a, b in zip(before, cost, strict=True)])
+        for j in (i + 1, i - 1, i + width, i - width):
+            if can[j]:
+                new = (g[j], 1.0, *c) if g[j] > c[0] else (c[0], c[1] + 1, *c[2:])
+                if cost[j] is None or new < cost[j]:
+                    cost[j] = new
+                    heapq.heappush(heap, (new, j))
+
+
+def _flooded(part: pd.DataFrame) -> pd.DataFrame:
+    """A tile's pixels as rows (y, x, g, own, fixed, cost, fresh) after a flood from the fresh ones, over those of its own."""
+    y, x = part["y"].to_numpy() - part["y"].min() + 1, part["x"].to_numpy() - part["x"].min() + 1
+    width = int(x.max()) + 2
+    places = (y * width + x).tolist()
+    size = (int(y.max()) + 2) * width
+    g, can, cost = [0.0] * size, [False] * size, [None] * size
+    for i, h, own, fixed, c in zip(places, part["g"], part["own"], part["fixed"], part["cost"], strict=True):
+        g[i], can[i], cost[i] = h, own and not fixed, None if c is None else tuple(c)
+    before = [cost[i] for i in places]
+    _spread([(c, i) for c, i, fresh in zip(before, places, part["fresh"], strict=True) if fresh], cost, g, can, width)
+    after = [cost[i] for i in places]
+    out = part.assign(cost=pd.Series([None if c is None else list(c) for c in after], index=part.index, dtype=object), changed=[a != b for a, b in zip(before, after, strict=True)])
     return out[part["own"].to_numpy()].drop(columns=["own", "fresh", "_ty", "_tx"])
 
 
+class _Tile:
+    """The free pixels of a tile, by their places in rows of `tile` + 2, with the costs that have reached them.
+
+    `to` says on which sides, north, south, west and east by bits, a free pixel of another tile lies.
+    """
+
+    def __init__(self, tile: int, at: np.ndarray, g: np.ndarray, to: np.ndarray, label: np.ndarray, cost: list):
+        self.tile, self.at, self.g, self.to, self.label, self.cost = tile, at, g, to, label, cost
+
+    def flood(self, seeds: list[tuple]) -> list[tuple]:
+        """Floods from seeds (cost, place) and returns what the tiles around are to know: (dy, dx, place there, cost)."""
+        width = self.tile + 2
+        size = width * (width + 1)  # rows below the last are never entered
+        heights, can, cost = np.zeros(size), np.zeros(size, bool), [None] * size
+        heights[self.at], can[self.at] = self.g, True
+        places = self.at.tolist()
+        for i, c in zip(places, self.cost, strict=True):
+            cost[i] = c
+        for c, i in seeds:
+            cost[i] = c
+        _spread(seeds, cost, heights.tolist(), can.tolist(), width)
+        before, self.cost = self.cost, [cost[i] for i in places]
+        moved = [k for k, (a, b) in enumerate(zip(before, self.cost, strict=True)) if a is not b]
+        if moved:
+            self.label[moved] = [int(self.cost[k][-1]) for k in moved]
+        to, sent = self.to.tolist(), []
+        for k in moved:
+            if to[k]:
+                i = places[k]
+                there = ((-1, 0, i + self.tile * width), (1, 0, i - self.tile * width), (0, -1, i + self.tile), (0, 1, i - self.tile))
+                sent += [(*there[b], self.cost[k]) for b in range(4) if to[k] >> b & 1]
+        return sent
+
+
+def _banded(label: np.ndarray, radius: int) -> np.ndarray:
+    """Which pixels of a square of labels, 0 for none, lie within `radius` of one that has a neighbour, of four, with another label; the outermost `radius` + 1 are not told."""
+    edge = np.zeros(label.shape, bool)
+    for one, two in ((np.s_[1:], np.s_[:-1]), (np.s_[:, 1:], np.s_[:, :-1])):
+        other = (label[one] != label[two]) & (label[one] > 0) & (label[two] > 0)
+        edge[one] |= other
+        edge[two] |= other
+    band = np.zeros(label.shape, bool)
+    if edge.any():
+        n = len(label)
+        for dy in range(-radius, radius + 1):
+            reach = math.isqrt(radius * radius - dy * dy)
+            for dx in range(-reach, reach + 1):
+                band[max(dy, 0) : n + min(dy, 0), max(dx, 0) : n + min(dx, 0)] |= edge[max(-dy, 0) : n + min(-dy, 0), max(-dx, 0) : n + min(-dx, 0)]
+    return band & (label > 0)
+
+
+def _begun(y: np.ndarray, x: np.ndarray, label: np.ndarray, g: np.ndarray, ty: int, tx: int, radius: int, tile: int) -> tuple[_Tile, np.ndarray, np.ndarray, list[tuple]]:
+    """A tile flooded from the fixed pixels in it and beside it, the fixed pixels of its own and their labels, and what the tiles around are to know.
+
+    Its pixels come with those around it, as far as its outermost pixels' neighbours need to know whether they are free.
+    """
+    halo = radius + 2
+    n = tile + 2 * halo
+    labels, heights = np.zeros((n, n), np.int64), np.zeros((n, n))
+    row, column = y[::-1] - ty * tile + halo, x[::-1] - tx * tile + halo  # of a repeated pixel the first counts
+    labels[row, column], heights[row, column] = label[::-1], g[::-1]
+    near = np.s_[halo - 1 : 1 - halo, halo - 1 : 1 - halo]
+    free, labels, heights = _banded(labels, radius)[near], labels[near], heights[near]
+    own = np.zeros(free.shape, bool)
+    own[1:-1, 1:-1] = True
+    can, fixed = free & own, (labels > 0) & ~free
+    beside = np.zeros(free.shape, bool)
+    for one, two in ((np.s_[1:], np.s_[:-1]), (np.s_[:, 1:], np.s_[:, :-1])):
+        beside[one] |= can[two]
+        beside[two] |= can[one]
+    at, kept, seeds = (np.flatnonzero(m) for m in (can, fixed & own, fixed & beside))
+    out = free & ~own
+    to = np.zeros(free.shape, np.int32)
+    for bit, (inner, outer) in enumerate(((np.s_[1], np.s_[0]), (np.s_[-2], np.s_[-1]), (np.s_[:, 1], np.s_[:, 0]), (np.s_[:, -2], np.s_[:, -1]))):
+        to[inner] |= out[outer].astype(np.int32) << bit
+    flat = labels.ravel()
+    made = _Tile(tile, at, heights.ravel()[at], to.ravel()[at], flat[at], [None] * len(at))
+    sent = made.flood([((-math.inf, 0.0, float(v)), i) for i, v in zip(seeds.tolist(), flat[seeds].tolist(), strict=True)]) if len(at) else []
+    return made, kept, flat[kept], sent
+
+
+#: What a tile is between two rounds of snapped(), and what it hands on.
+_TILE = "at array<int>, g array<double>, to array<int>, label array<long>, n array<int>, cost array<double>"
+_SENT = "sent array<struct<dy: int, dx: int, at: int, cost: array<double>>>"
+
+
+def _listed(parts: Sequence[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if len(parts) else np.zeros(0), kind))
+
+
+def _written(tiles: Sequence[_Tile], sent: Sequence[list[tuple]]) -> list[pa.Array]:
+    """The columns of _TILE and _SENT."""
+    kinds = (("at", pa.int32()), ("g", pa.float64()), ("to", pa.int32()), ("label", pa.int64()))
+    columns = [_listed([getattr(t, c) for t in tiles], kind) for c, kind in kinds]
+    columns.append(_listed([np.array([len(c or ()) for c in t.cost], np.int32) for t in tiles], pa.int32()))
+    columns.append(_listed([np.array([v for c in t.cost if c for v in c], np.float64) for t in tiles], pa.float64()))
+    kind = pa.list_(pa.struct([("dy", pa.int32()), ("dx", pa.int32()), ("at", pa.int32()), ("cost", pa.list_(pa.float64()))]))
+    return [*columns, pa.array([[(dy, dx, i, list(c)) for dy, dx, i, c in s] for s in sent], kind)]
+
+
+def _read(batch: pa.RecordBatch, tile: int) -> Iterator[_Tile]:
+    """What _written() wrote."""
+    lists = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column(c) for c in ("at", "g", "to", "label", "n", "cost"))]
+    for i in range(batch.num_rows):
+        at, g, to, label, n, flat = (values[ends[i] : ends[i + 1]] for ends, values in lists)
+        flat, ends = flat.tolist(), np.cumsum(n).tolist()
+        yield _Tile(tile, at, g, to, label.copy(), [tuple(flat[a:b]) if b > a else None for a, b in zip([0, *ends], ends, strict=False)])
+
+
 def snapped(labels: DataFrame, gradient: DataFrame, keys: Sequence[str], radius: int, tile: int = 256) -> DataFrame:
     """(keys, y, x, label): labels whose inner boundaries have moved, within `radius`, to the ridges of a gradient (y, x, g).
 
     Pixels near a boundary are freed and flooded from the labels around: each takes the label from which a
     path within the mask stays lowest, by its highest gradient, then by how much of it lies so high, then by the
     path before that, and last by the smallest label.
-    Tiles flood by themselves, with the pixels around them, and hand on what has changed at
-    their edges; a tile floods again only from what changed around it, until nothing does, so the outcome does
-    not depend on `tile`. Pixels that stay fixed take part only next to free ones. Pixels without a gradient
-    count as 0; where no label is left to flood from, pixels keep their own.
+    Tiles, a row each, flood by themselves, from the fixed pixels in and beside them, and hand on to the tiles around what has changed
+    at their edges; a tile floods again only from what it is handed, until nothing is, so the outcome does
+    not depend on `tile`. Pixels without a gradient count as 0; where no label is left to flood from, pixels keep their own.
     """
     keys = list(keys)
-    mask = labels.where("label > 0").select(*keys, "y", "x", F.col("label").cast("long").alias("own_label"))
-    free = boundary_band(labels, keys, radius).withColumn("_free", F.lit(True))
+    mask = labels.where("label > 0").select(*keys, "y", "x", F.col("label").cast("long").alias("label"))
     slopes = gradient.select(*keys, "y", "x", F.col("g").cast("double").alias("g"))
-    rows = mask.join(free, [*keys, "y", "x"], "left").join(slopes, [*keys, "y", "x"], "left")
-    rows = rows.select(*keys, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), F.coalesce("g", F.lit(0.0)).alias("g"), F.col("_free").isNull().alias("fixed"), "own_label")
-    start = F.array(F.lit(float("-inf")), F.lit(0.0), F.col("own_label").cast("double"))
-    rows = rows.withColumn("cost", F.when(F.col("fixed"), start))
-    rows = stored(rows.withColumn("changed", F.col("fixed")).dropDuplicates([*keys, "y", "x"]))
+    rows = mask.join(slopes.hint("merge"), [*keys, "y", "x"], "left")
+    rows = rows.select(*keys, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"), "label", F.coalesce("g", F.lit(0.0)).alias("g"))
+    for c in "yx":
+        reach = [F.floor((F.col(c) + d) / tile) for d in (-radius - 2, radius + 2)]
+        rows = rows.withColumn(f"_t{c}", F.explode(F.sequence(*reach)))
+    place = Window.partitionBy(*keys, "_ty", "_tx").orderBy("y", "x", "label", "g")
+    rows = rows.withColumn("_first", F.row_number().over(place) == 1)
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in rows.columns)
-    steps = F.explode(F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in ((0, 0), (0, 1), (0, -1), (1, 0), (-1, 0)))))
-    loose = rows.where("NOT fixed")
-    beside = loose.withColumn("_s", steps).select(*keys, (F.col("y") + F.col("_s.dy")).alias("y"), (F.col("x") + F.col("_s.dx")).alias("x")).distinct()
-    state = stored(loose.unionByName(rows.where("fixed").join(beside.hint("merge"), [*keys, "y", "x"], "left_semi")))
+    own = [*keys, "_ty", "_tx"]
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in own) + f", {_TILE}, {_SENT}"
+    names = [*own, "at", "g", "to", "label", "n", "cost", "sent"]
+
+    def begin(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        y, x, label, g, ty, tx, new = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "x", "label", "g", "_ty", "_tx", "_first"))
+        ends = np.append(np.flatnonzero(new), len(new)).tolist()
+        inside = (y // tile == ty) & (x // tile == tx)
+        for lo in range(0, len(ends) - 1, 64):
+            some = [(a, b) for a, b in zip(ends[lo : lo + 64], ends[lo + 1 : lo + 65], strict=False) if inside[a:b].any()]
+            made = [_begun(y[a:b], x[a:b], label[a:b], g[a:b], int(ty[a]), int(tx[a]), radius, tile) for a, b in some]
+            if made:
+                tiles, kept, names_of, sent = zip(*made, strict=True)
+                keyed = batch.select(own).take(pa.array([a for a, _ in some])).columns
+                yield pa.RecordBatch.from_arrays([*keyed, *_written(tiles, sent), _listed(kept, pa.int32()), _listed(names_of, pa.int64())], [*names, "kept", "kept_label"])
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in (b.slice(lo, 1 << 16) for b in batches for lo in range(0, b.num_rows, 1 << 16)):
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            cut = int(np.flatnonzero(batch.column("_first").to_numpy(zero_copy_only=False))[-1])  # the last tile may go on in the next batch
+            if cut:
+                yield from begin(batch.slice(0, cut))
+            held = batch.slice(cut)
+        if held is not None and held.num_rows:
+            yield from begin(held)
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(lo, 64) for b in batches for lo in range(0, b.num_rows, 64)):
+            tiles = list(_read(batch, tile))
+            sent = [t.flood([(tuple(m["cost"]), m["at"]) for m in came]) for t, came in zip(tiles, batch.column("came").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.select(own).columns, *_written(tiles, sent)], names)
+
+    begun = stored(rows.mapInArrow(start, f"{schema}, kept array<int>, kept_label array<long>"))
+    state, new = begun.select(*names), begun
     first = True
     while True:
-        # A pixel goes to its own tile and to those that a neighbour lies in.
-        dealt_ = state.withColumn("_s", steps).withColumn("_ty", F.floor((F.col("y") + F.col("_s.dy")) / tile)).withColumn("_tx", F.floor((F.col("x") + F.col("_s.dx")) / tile))
-        dealt_ = dealt_.withColumn("own", (F.col("_ty") == F.floor(F.col("y") / tile)) & (F.col("_tx") == F.floor(F.col("x") / tile))).drop("_s").dropDuplicates([*keys, "y", "x", "_ty", "_tx"])
-        if first:
-            new = dealt_.withColumn("fresh", F.col("changed"))
-        else:
-            stirred = stored(dealt_.where("changed AND NOT own").select(*keys, "_ty", "_tx").distinct())
-            if stirred.isEmpty():
-                break
-            new = dealt_.join(stirred.hint("merge"), [*keys, "_ty", "_tx"], "left_semi").withColumn("fresh", F.col("changed") & ~F.col("own"))
-        new = new.groupBy(*keys, "_ty", "_tx").applyInPandas(_flooded, schema)
-        if not first:
-            still = state.withColumn("_ty", F.floor(F.col("y") / tile)).withColumn("_tx", F.floor(F.col("x") / tile)).join(stirred.hint("merge"), [*keys, "_ty", "_tx"], "left_anti")
-            new = new.unionByName(still.withColumn("changed", F.lit(False)).select(*rows.columns))
-        state, first = stored(new, instead_of=state), False
-    moved = state.where("NOT fixed").select(*keys, "y", "x", F.coalesce(F.element_at("cost", -1).cast("long"), "own_label").alias("label"))
-    return rows.where("fixed").select(*keys, "y", "x", F.col("own_label").alias("label")).unionByName(moved)
+        handed = new.select(*own, F.explode("sent").alias("m")).select(*keys, (F.col("_ty") + F.col("m.dy")).alias("_ty"), (F.col("_tx") + F.col("m.dx")).alias("_tx"), F.struct("m.at", "m.cost").alias("m"))
+        came = stored(handed.groupBy(*own).agg(F.collect_list("m").alias("came")))  # what lies around a tile, at most
+        if came.isEmpty():
+            break
+        stirred = came.select(*own)
+        todo = state.drop("sent").join(stirred, own, "left_semi").join(came.hint("merge"), own)
+        still = state.join(stirred, own, "left_anti").withColumn("sent", F.lit(None).cast(state.schema["sent"].dataType))
+        state = stored(todo.mapInArrow(again, schema).unionByName(still), instead_of=None if first else state)
+        new, first = state, False
+
+    def pixels(df: DataFrame, at: str, label: str) -> DataFrame:
+        each = df.select(*own, F.explode(F.arrays_zip(F.col(at).alias("at"), F.col(label).alias("label"))).alias("p"))
+        y, x = F.expr(f"_ty * {tile} - 1 + p.at div {tile + 2}"), F.expr(f"_tx * {tile} - 1 + p.at % {tile + 2}")
+        return each.select(*keys, y.alias("y"), x.alias("x"), F.col("p.label").alias("label"))
+
+    return pixels(begun, "kept", "kept_label").unionByName(pixels(state, "at", "label"))

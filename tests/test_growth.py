@@ -129,6 +129,22 @@ def test_a_tile_floods_again_from_what_changed_around_it():
     assert [c[-1] for c in got["cost"]] == [1.0] * 5 + [2.0]
 
 
+def test_rounds_of_snapped_hold_tiles(spark, monkeypatch):
+    # 40 x 40 pixels, whose costs go from tile to tile for several rounds, in rows of whole tiles of 8 x 8.
+    kept, written = raster.stored, []
+
+    def counted(df, instead_of=None):
+        out = kept(df, instead_of)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(raster, "stored", counted)
+    pixels = spark.range(1600).selectExpr("0 AS k", "id div 40 AS y", "id % 40 AS x", "CAST(id * 7919 % 13 AS DOUBLE) AS g", "IF(id % 40 < 20, 1, 2) AS label")
+    found = raster.snapped(pixels, pixels, ["k"], 12, 8)
+    assert found.count() == 1600 and found.select("y", "x").distinct().count() == 1600
+    assert len(written) > 4 and max(written) <= 25
+
+
 def test_short_cycles_leave_early(spark, monkeypatch):
     rng = np.random.default_rng(2)
     lengths = [*range(1, 20), *[4] * 300, 33, 200]
